@@ -35,6 +35,17 @@ def _widened(groups):
     return F.array_join(F.transform(F.split(groups, ":"), lambda g: F.lpad(g, 4, "0")), "")
 
 
+def _hex_groups(bare):
+    """IPv6 groups where an IPv4 tail stands for the last two."""
+    tail = F.substring_index(bare, ":", -1)
+    # A one-element transform binds the split octets to a name.
+    number = F.get(F.transform(F.array(_octets(tail)), _number), F.lit(0))
+    code = F.lpad(F.hex(number), 8, "0")
+    head = F.substr(bare, F.lit(1), F.length(bare) - F.length(tail))
+    return F.when(~bare.contains("."), bare).otherwise(
+        F.concat(head, F.regexp_replace(code, "^(....)", "$1:")))
+
+
 def with_address(df, column, version="version", hi="hi", lo="lo"):
     """Add an address text's version, hi and lo; NULL where it is none.
 
@@ -43,6 +54,9 @@ def with_address(df, column, version="version", hi="hi", lo="lo"):
     """
     c = F.col
     text = c(column)
+    gap = F.instr("_groups", "::")
+    left = F.when(gap > 0, F.substr("_groups", F.lit(1), gap - 1)).otherwise(c("_groups"))
+    right = F.when(gap > 0, F.substr("_groups", gap + 2)).otherwise(F.lit(""))
     side = lambda part: F.when(part == "", F.lit("")).when(part.rlike(_HEXTETS), _widened(part))
     known = F.length("_left") + F.length("_right")
     half = lambda start: F.conv(F.substring("_hex", start, 16), 16, -10).try_cast("bigint")
@@ -51,21 +65,10 @@ def with_address(df, column, version="version", hi="hi", lo="lo"):
         {"_octets": _octets(text),
          "_bare": F.when(text.contains(":") & text.rlike(_SCOPED),
                          F.substring_index(text, "%", 1))},
-        {"_v4": _number(c("_octets")),
-         "_tail": F.when(c("_bare").contains("."), F.substring_index("_bare", ":", -1))},
-        # An IPv4 tail stands for the last two groups.
-        {"_tail_octets": _octets(c("_tail"))},
-        {"_tail_hex": F.lpad(F.hex(_number(c("_tail_octets"))), 8, "0")},
-        {"_groups": F.when(c("_tail").isNull(), c("_bare")).otherwise(F.concat(
-            F.substr("_bare", F.lit(1), F.length("_bare") - F.length("_tail")),
-            F.substring("_tail_hex", 1, 4), F.lit(":"), F.substring("_tail_hex", 5, 4)))},
-        {"_gap": F.instr("_groups", "::")},
-        {"_left": side(F.when(c("_gap") > 0, F.substr("_groups", F.lit(1), c("_gap") - 1))
-                       .otherwise(c("_groups"))),
-         "_right": side(F.when(c("_gap") > 0, F.substr("_groups", c("_gap") + 2))
-                        .otherwise(F.lit("")))},
+        {"_v4": _number(c("_octets")), "_groups": _hex_groups(c("_bare"))},
+        {"_shortened": gap > 0, "_left": side(left), "_right": side(right)},
         # '::' stands for one zero group at least; without it all eight are there.
-        {"_hex": F.when(F.when(c("_gap") > 0, known <= 28).otherwise(known == 32),
+        {"_hex": F.when(F.when(c("_shortened"), known <= 28).otherwise(known == 32),
                         F.concat("_left", F.repeat(F.lit("0"), 32 - known), "_right"))},
         {version: F.when(c("_v4").isNotNull(), 4).when(c("_hex").isNotNull(), 6),
          hi: F.when(c("_v4").isNotNull(), F.shiftleft("_v4", 32)).otherwise(half(1)),
@@ -90,29 +93,27 @@ def with_network(df, column):
     masks may be a length, a netmask or a hostmask.
     """
     c = F.col
-    digits = F.when(c("_mask").rlike(r"^[0-9]+\z"), c("_mask").try_cast("int"))
+    mask = c("mask__")
+    digits = F.when(mask.rlike(r"^[0-9]+\z"), mask.try_cast("int"))
     zeros = 4294967295 - c("_dotted")
     run_of_ones = lambda n: n.bitwiseAND(n + 1) == 0
     dotted = (F.when(run_of_ones(zeros), 32 - F.bit_count(zeros))
               .when(run_of_ones(c("_dotted")), 32 - F.bit_count("_dotted")))
-    valid = F.col("_n").between(1, 2) & F.col("_len").between(0, c("_width"))
+    size, known = c("prefix_len"), c("prefix_len").isNotNull()
     parts = in_steps(df, {"_parts": F.split(c(column), "/")}, {
         "address__": F.get("_parts", F.lit(0)), "mask__": F.get("_parts", F.lit(1)),
         "n__": F.size("_parts")})
-    parsed = with_address(parts, "address__", "version", "hi__", "lo__")
     out = in_steps(
-        parsed,
-        {"_mask": c("mask__"), "_n": c("n__"),
-         "_width": F.when(c("version") == 4, 32).when(c("version") == 6, 128)},
-        {"_mask_octets": F.when(c("version") == 4, _octets(c("_mask")))},
+        with_address(parts, "address__", "version", "hi__", "lo__"),
+        {"_width": F.when(c("version") == 4, 32).when(c("version") == 6, 128),
+         "_mask_octets": F.when(c("version") == 4, _octets(mask))},
         {"_dotted": _number(c("_mask_octets"))},
-        {"_len": F.when(c("_n") == 1, c("_width")).otherwise(F.coalesce(digits, dotted))
+        {"_len": F.when(c("n__") == 1, c("_width")).otherwise(F.coalesce(digits, dotted))
             .cast("int")},
-        {"prefix_len": F.when(valid, c("_len"))},
-        {"version": F.when(c("prefix_len").isNotNull(), c("version")),
-         "p_hi": prefix_high(c("hi__"), c("prefix_len")),
-         "p_lo": prefix_low(c("lo__"), c("prefix_len"))},
-        {"p_hi": F.when(c("prefix_len").isNotNull(), c("p_hi")),
-         "p_lo": F.when(c("prefix_len").isNotNull(), c("p_lo"))},
+        {"prefix_len": F.when(c("n__").between(1, 2) & c("_len").between(0, c("_width")),
+                              c("_len"))},
+        {"version": F.when(known, c("version")),
+         "p_hi": F.when(known, prefix_high(c("hi__"), size)),
+         "p_lo": F.when(known, prefix_low(c("lo__"), size))},
     )
     return out.drop("address__", "mask__", "n__", "hi__", "lo__")

@@ -1,19 +1,31 @@
 """Stepwise columns.
 
-A column expression used several times is evaluated several times when it is
-written out in one go. ``in_steps`` gives each intermediate value a column of
-its own; Catalyst keeps such projections apart (within one codegen stage)
-where merging them would repeat work.
+A long column expression that uses its parts several times grows beyond all
+bounds: the optimizer writes projected columns out wherever filters and joins
+above refer to them. ``in_steps`` computes each step in a generator that
+yields one row per row. Such columns are never written out, so every step is
+evaluated once and the plan stays small.
 """
 
+from pyspark.sql import functions as F
+
+
+class Plain(dict):
+    """A step made by an ordinary projection (as Python functions need)."""
+
 
 def in_steps(df, *steps):
-    """Add the columns of each step (a dict) in turn.
+    """Add the columns of each step (a dict) in turn, replacing ones of the same name.
 
     Columns whose name starts with '_' serve later steps and are dropped.
     """
     temporary = []
     for step in steps:
-        df = df.withColumns(step)
         temporary += [name for name in step if name.startswith("_")]
+        if isinstance(step, Plain):
+            df = df.withColumns(step)
+        else:
+            row = F.struct(*[c.alias(name) for name, c in step.items()])
+            kept = [name for name in df.columns if name not in step]
+            df = df.select(*kept, F.inline(F.array(row)))
     return df.drop(*temporary)

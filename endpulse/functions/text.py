@@ -94,9 +94,8 @@ def with_base64_text(df, column, out):
     return in_steps(
         df,
         {"_compact": F.regexp_replace(c(column), _BLANK_CLASS, "")},
-        {"_compact": F.when(~compact.rlike(r"[^\x00-\x7F]"), compact)},
-        {"_padded": F.concat(
-            compact, F.repeat(F.lit("="), (4 - F.length(compact) % 4) % 4))},
+        {"_padded": F.when(~compact.rlike(r"[^\x00-\x7F]"), F.concat(
+            compact, F.repeat(F.lit("="), (4 - F.length(compact) % 4) % 4)))},
         {"_kept": data_only(padded)},
         {"_size": _data_length(F.split(c("_kept"), "="))},
         {"_kept2": F.when(c("_size").isNull(), data_only(F.translate(padded, "-_", "+/")))},
