@@ -7,7 +7,7 @@ Everything here stays in the JVM.
 
 from pyspark.sql import functions as F
 
-from .staged import in_steps
+from .staged import cases, in_steps
 from .text import strip
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -21,29 +21,36 @@ def host_key(c):
     return F.lower(F.rtrim(strip(c), F.lit(".")))
 
 
-def _octets(c):
-    return F.when(c.rlike(IPV4), F.split(c, r"\."))
+def _octets(text):
+    return cases((f"{text} RLIKE r'{IPV4}'", rf"split({text}, r'\.')"))
 
 
 def _number(octets):
     """Octets as one number, e.g. 1.2.3.4 is 0x01020304."""
-    part = lambda i: F.get(octets, F.lit(i)).try_cast("bigint")
-    return part(0) * 16777216 + part(1) * 65536 + part(2) * 256 + part(3)
+    return "(" + " + ".join(
+        f"try_cast(get({octets}, {i}) AS BIGINT) * {256 ** (3 - i)}" for i in range(4)) + ")"
 
 
-def _widened(groups):
-    return F.array_join(F.transform(F.split(groups, ":"), lambda g: F.lpad(g, 4, "0")), "")
+_TAIL = "substring_index(_bare, ':', -1)"
+# IPv6 groups where an IPv4 tail stands for the last two; a one-element
+# transform binds the split octets to a name.
+_GROUPS = cases(
+    ("NOT contains(_bare, '.')", "_bare"),
+    otherwise=f"""concat(
+      substr(_bare, 1, length(_bare) - length({_TAIL})),
+      regexp_replace(lpad(hex(get(transform(array({_octets(_TAIL)}), o -> {_number('o')}), 0)), 8, '0'),
+                     '^(....)', '$1:'))""")
 
 
-def _hex_groups(bare):
-    """IPv6 groups where an IPv4 tail stands for the last two."""
-    tail = F.substring_index(bare, ":", -1)
-    # A one-element transform binds the split octets to a name.
-    number = F.get(F.transform(F.array(_octets(tail)), _number), F.lit(0))
-    code = F.lpad(F.hex(number), 8, "0")
-    head = F.substr(bare, F.lit(1), F.length(bare) - F.length(tail))
-    return F.when(~bare.contains("."), bare).otherwise(
-        F.concat(head, F.regexp_replace(code, "^(....)", "$1:")))
+def _side(part):
+    """One side of '::' as hex digits, NULL where it is malformed."""
+    wide = f"array_join(transform(split({part}, ':'), g -> lpad(g, 4, '0')), '')"
+    return cases((f"{part} = ''", "''"), (f"{part} RLIKE r'{_HEXTETS}'", wide))
+
+
+_GAP = "instr(_groups, '::')"
+_KNOWN = "(length(_left) + length(_right))"
+_HALF = "try_cast(conv(substring(_hex, {}, 16), 16, -10) AS BIGINT)"
 
 
 def with_address(df, column, version="version", hi="hi", lo="lo"):
@@ -52,38 +59,33 @@ def with_address(df, column, version="version", hi="hi", lo="lo"):
     Leading zeros in IPv4 are refused; IPv6 may be shortened, end in IPv4 and
     carry a %scope, which is ignored.
     """
-    c = F.col
-    text = c(column)
-    gap = F.instr("_groups", "::")
-    left = F.when(gap > 0, F.substr("_groups", F.lit(1), gap - 1)).otherwise(c("_groups"))
-    right = F.when(gap > 0, F.substr("_groups", gap + 2)).otherwise(F.lit(""))
-    side = lambda part: F.when(part == "", F.lit("")).when(part.rlike(_HEXTETS), _widened(part))
-    known = F.length("_left") + F.length("_right")
-    half = lambda start: F.conv(F.substring("_hex", start, 16), 16, -10).try_cast("bigint")
+    text = f"`{column}`"
     return in_steps(
         df,
         {"_octets": _octets(text),
-         "_bare": F.when(text.contains(":") & text.rlike(_SCOPED),
-                         F.substring_index(text, "%", 1))},
-        {"_v4": _number(c("_octets")), "_groups": _hex_groups(c("_bare"))},
-        {"_shortened": gap > 0, "_left": side(left), "_right": side(right)},
+         "_bare": cases((f"contains({text}, ':') AND {text} RLIKE r'{_SCOPED}'",
+                         f"substring_index({text}, '%', 1)"))},
+        {"_v4": _number("_octets"), "_groups": _GROUPS},
+        {"_short": f"{_GAP} > 0",
+         "_left_text": cases((f"{_GAP} > 0", f"substr(_groups, 1, {_GAP} - 1)"), otherwise="_groups"),
+         "_right_text": cases((f"{_GAP} > 0", f"substr(_groups, {_GAP} + 2)"), otherwise="''")},
+        {"_left": _side("_left_text"), "_right": _side("_right_text")},
         # '::' stands for one zero group at least; without it all eight are there.
-        {"_hex": F.when(F.when(c("_shortened"), known <= 28).otherwise(known == 32),
-                        F.concat("_left", F.repeat(F.lit("0"), 32 - known), "_right"))},
-        {version: F.when(c("_v4").isNotNull(), 4).when(c("_hex").isNotNull(), 6),
-         hi: F.when(c("_v4").isNotNull(), F.shiftleft("_v4", 32)).otherwise(half(1)),
-         lo: F.when(c("_v4").isNotNull(), F.lit(0).cast("bigint")).otherwise(half(17))},
+        {"_hex": cases((f"(_short AND {_KNOWN} <= 28) OR (NOT _short AND {_KNOWN} = 32)",
+                        f"concat(_left, repeat('0', 32 - {_KNOWN}), _right)"))},
+        {version: cases(("_v4 IS NOT NULL", "4"), ("_hex IS NOT NULL", "6")),
+         hi: cases(("_v4 IS NOT NULL", "shiftleft(_v4, 32)"), otherwise=_HALF.format(1)),
+         lo: cases(("_v4 IS NOT NULL", "0L"), otherwise=_HALF.format(17))},
     )
 
 
-def prefix_high(hi, length):
-    shifted = F.call_function("shiftrightunsigned", hi, 64 - length)
-    return F.when(length == 0, F.lit(0).cast("bigint")).when(length < 64, shifted).otherwise(hi)
-
-
-def prefix_low(lo, length):
-    shifted = F.call_function("shiftrightunsigned", lo, 128 - length)
-    return F.when(length <= 64, F.lit(0).cast("bigint")).when(length < 128, shifted).otherwise(lo)
+# The first prefix_len of 128 bits, as two numbers.
+PREFIX_HIGH = cases(
+    ("prefix_len = 0", "0L"), ("prefix_len < 64", "shiftrightunsigned({0}, 64 - prefix_len)"),
+    otherwise="{0}")
+PREFIX_LOW = cases(
+    ("prefix_len <= 64", "0L"), ("prefix_len < 128", "shiftrightunsigned({0}, 128 - prefix_len)"),
+    otherwise="{0}")
 
 
 def with_network(df, column):
@@ -92,28 +94,25 @@ def with_network(df, column):
     Host bits are masked off and a bare address is a network of one. IPv4
     masks may be a length, a netmask or a hostmask.
     """
-    c = F.col
-    mask = c("mask__")
-    digits = F.when(mask.rlike(r"^[0-9]+\z"), mask.try_cast("int"))
-    zeros = 4294967295 - c("_dotted")
-    run_of_ones = lambda n: n.bitwiseAND(n + 1) == 0
-    dotted = (F.when(run_of_ones(zeros), 32 - F.bit_count(zeros))
-              .when(run_of_ones(c("_dotted")), 32 - F.bit_count("_dotted")))
-    size, known = c("prefix_len"), c("prefix_len").isNotNull()
-    parts = in_steps(df, {"_parts": F.split(c(column), "/")}, {
-        "address__": F.get("_parts", F.lit(0)), "mask__": F.get("_parts", F.lit(1)),
-        "n__": F.size("_parts")})
-    out = in_steps(
-        with_address(parts, "address__", "version", "hi__", "lo__"),
-        {"_width": F.when(c("version") == 4, 32).when(c("version") == 6, 128),
-         "_mask_octets": F.when(c("version") == 4, _octets(mask))},
-        {"_dotted": _number(c("_mask_octets"))},
-        {"_len": F.when(c("n__") == 1, c("_width")).otherwise(F.coalesce(digits, dotted))
-            .cast("int")},
-        {"prefix_len": F.when(c("n__").between(1, 2) & c("_len").between(0, c("_width")),
-                              c("_len"))},
-        {"version": F.when(known, c("version")),
-         "p_hi": F.when(known, prefix_high(c("hi__"), size)),
-         "p_lo": F.when(known, prefix_low(c("lo__"), size))},
+    # Netmask and hostmask are runs of ones, so adding one leaves no common bit.
+    zeros = "(4294967295 - _dotted)"
+    length = cases(
+        ("_n = 1", "_width"),
+        (r"_mask RLIKE r'^[0-9]+\z'", "try_cast(_mask AS INT)"),
+        (f"({zeros} & ({zeros} + 1)) = 0", f"32 - bit_count({zeros})"),
+        ("(_dotted & (_dotted + 1)) = 0", "32 - bit_count(_dotted)"))
+    parts = in_steps(df, {"parts__": f"split(`{column}`, '/')"}, {"address__": "get(parts__, 0)"})
+    parsed = with_address(parts, "address__", "ip__", "hi__", "lo__")
+    known = in_steps(
+        parsed,
+        {"_mask": "get(parts__, 1)", "_n": "size(parts__)",
+         "_width": "CASE ip__ WHEN 4 THEN 32 WHEN 6 THEN 128 END"},
+        {"_mask_octets": cases(("ip__ = 4", _octets("_mask")))},
+        {"_dotted": _number("_mask_octets")},
+        {"_length": f"CAST({length} AS INT)"},
+        {"prefix_len": cases(("_n BETWEEN 1 AND 2 AND _length BETWEEN 0 AND _width", "_length"))},
+        {"version": cases(("prefix_len IS NOT NULL", "ip__")),
+         "p_hi": cases(("prefix_len IS NOT NULL", PREFIX_HIGH.format("hi__"))),
+         "p_lo": cases(("prefix_len IS NOT NULL", PREFIX_LOW.format("lo__")))},
     )
-    return out.drop("address__", "mask__", "n__", "hi__", "lo__")
+    return known.drop("parts__", "address__", "ip__", "hi__", "lo__")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from .staged import in_steps
+from .staged import cases, in_steps
 
 # The characters str.strip() and str.split() treat as blank.
 BLANK = (
@@ -47,40 +47,22 @@ def decode_utf8(binary):
 _BLANK_CLASS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in BLANK) + "]"
 
 
-def _data_length(pieces):
-    """How many data characters of a base64 text count, NULL if it is bad.
+# How many data characters of a base64 text count, NULL if it is bad. The text,
+# data characters and '=' only, comes split at '='. Decoding ends at the first
+# complete padding; without one, all data must be a whole number of quads. The
+# fold carries counts only: data characters so far, '=' in a row, and the data
+# characters before the end.
+_DATA_LENGTH = """aggregate(
+  slice({pieces}, 2, size({pieces})),
+  named_struct('data', length(get({pieces}, 0)), 'pads', 0, 'cut', CAST(NULL AS INT)),
+  (acc, piece) -> named_struct(
+    'data', acc.data + length(piece),
+    'pads', CASE WHEN length(piece) > 0 THEN 0 WHEN acc.data % 4 >= 2 THEN acc.pads + 1 ELSE acc.pads END,
+    'cut', coalesce(acc.cut, CASE WHEN acc.data % 4 >= 2 AND acc.data % 4 + acc.pads + 1 >= 4 THEN acc.data END)),
+  acc -> coalesce(acc.cut, CASE WHEN acc.data % 4 = 0 THEN acc.data END))"""
 
-    ``pieces`` is the text (data characters and '=' only) split at '='.
-    Decoding ends at the first complete padding; without one, all data must
-    be a whole number of quads. The fold carries counts only: data characters
-    so far, '=' in a row, and the data characters before the end.
-    """
-    zero = F.lit(0)
-
-    def step(acc, piece):
-        tail = acc["data"] % 4
-        pads = F.when(tail >= 2, acc["pads"] + 1).otherwise(acc["pads"])
-        ends = (tail >= 2) & (tail + pads >= 4)
-        size = F.length(piece)
-        return F.struct(
-            (acc["data"] + size).alias("data"),
-            F.when(size > 0, 0).otherwise(pads).alias("pads"),
-            F.coalesce(acc["cut"], F.when(ends, acc["data"])).alias("cut"),
-        )
-
-    def finish(acc):
-        return F.coalesce(acc["cut"], F.when(acc["data"] % 4 == 0, acc["data"]))
-
-    start = F.struct(
-        F.length(F.get(pieces, zero)).alias("data"), zero.alias("pads"),
-        F.lit(None).cast("int").alias("cut"))
-    return F.aggregate(F.slice(pieces, 2, F.size(pieces)), start, step, finish)
-
-
-def _bytes_of(kept, size):
-    data = F.substring(F.replace(kept, F.lit("="), F.lit("")), F.lit(1), size)
-    whole = F.concat(data, F.repeat(F.lit("="), (4 - size % 4) % 4))
-    return F.try_to_binary(whole, F.lit("base64"))
+_BYTES = """try_to_binary(concat(
+  substring(replace({kept}, '='), 1, {size}), repeat('=', (4 - {size} % 4) % 4)), 'base64')"""
 
 
 def with_base64_text(df, column, out):
@@ -89,18 +71,20 @@ def with_base64_text(df, column, out):
     Foreign characters are skipped and missing padding is added. The URL-safe
     alphabet is tried only where the standard one fails.
     """
-    compact, padded, c = F.col("_compact"), F.col("_padded"), F.col
-    data_only = lambda text: F.regexp_replace(text, "[^A-Za-z0-9+/=]", "")
-    return in_steps(
+    data_only = "regexp_replace({}, '[^A-Za-z0-9+/=]', '')".format
+    done = in_steps(
         df,
-        {"_compact": F.regexp_replace(c(column), _BLANK_CLASS, "")},
-        {"_padded": F.when(~compact.rlike(r"[^\x00-\x7F]"), F.concat(
-            compact, F.repeat(F.lit("="), (4 - F.length(compact) % 4) % 4)))},
-        {"_kept": data_only(padded)},
-        {"_size": _data_length(F.split(c("_kept"), "="))},
-        {"_kept2": F.when(c("_size").isNull(), data_only(F.translate(padded, "-_", "+/")))},
-        {"_size2": _data_length(F.split(c("_kept2"), "="))},
-        {"_bytes": F.when(c("_size").isNotNull(), _bytes_of(c("_kept"), c("_size")))
-            .otherwise(_bytes_of(c("_kept2"), c("_size2")))},
-        {out: F.nullif(decode_utf8(c("_bytes")), F.lit(""))},
+        {"_compact": f"regexp_replace(`{column}`, r'{_BLANK_CLASS}', '')"},
+        {"_padded": cases((r"NOT _compact RLIKE r'[^\x00-\x7F]'",
+                           "concat(_compact, repeat('=', (4 - length(_compact) % 4) % 4))"))},
+        {"_kept": data_only("_padded")},
+        {"_pieces": "split(_kept, '=')"},
+        {"_size": _DATA_LENGTH.format(pieces="_pieces")},
+        {"_safe_kept": cases(("_size IS NULL", data_only("translate(_padded, '-_', '+/')")))},
+        {"_safe_pieces": "split(_safe_kept, '=')"},
+        {"_safe_size": _DATA_LENGTH.format(pieces="_safe_pieces")},
+        {"decoded__": cases(("_size IS NOT NULL", _BYTES.format(kept="_kept", size="_size")),
+                            otherwise=_BYTES.format(kept="_safe_kept", size="_safe_size"))},
     )
+    text = F.nullif(decode_utf8(F.col("decoded__")), F.lit(""))
+    return done.withColumn(out, text).drop("decoded__")

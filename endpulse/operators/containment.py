@@ -17,7 +17,7 @@ Networks are read twice (lengths and join): pass a stored table.
 from pyspark.sql import functions as F
 
 from ..functions.netaddr import (
-    IPV4, host_key, prefix_high, prefix_low, with_address, with_network,
+    IPV4, PREFIX_HIGH, PREFIX_LOW, host_key, with_address, with_network,
 )
 
 SHORT = 16
@@ -45,8 +45,8 @@ def _with_prefixes(addresses, networks):
     own = F.when(F.col("version") == 4, lengths["v4"]).when(F.col("version") == 6, lengths["v6"])
     salt = F.when(F.col("prefix_len") <= SHORT, F.pmod(F.xxhash64("hi", "lo"), F.lit(SALT)))
     return addresses.withColumn("prefix_len", F.explode_outer(own)).withColumns({
-        "p_hi": prefix_high(F.col("hi"), F.col("prefix_len")),
-        "p_lo": prefix_low(F.col("lo"), F.col("prefix_len")),
+        "p_hi": F.expr(PREFIX_HIGH.format("hi")),
+        "p_lo": F.expr(PREFIX_LOW.format("lo")),
         "salt": F.coalesce(salt.cast("int"), F.lit(0)),
     })
 

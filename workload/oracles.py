@@ -112,7 +112,7 @@ FROM (SELECT DISTINCT sha256(trim(split_part(line, '#', 1))) AS proxy_hash FROM
 JOIN known k ON k.proxy_hash = l.proxy_hash JOIN verdicts v ON v.proxy_hash = l.proxy_hash""",
 
     "run_cidr": """
-SELECT l.*, coalesce(NOT h.hit, false) AS cidr_ok FROM run_links l LEFT JOIN host_hits h ON h.host = l.host""",
+SELECT l.*, coalesce(h.hit, false) AS cidr_ok FROM run_links l LEFT JOIN host_hits h ON h.host = l.host""",
 
     "run_url": """
 SELECT c.*, CASE WHEN url_ok THEN t.latency_ms END AS latency_ms, CASE WHEN url_ok THEN p.exit_ip END AS exit_ip,

@@ -451,7 +451,7 @@ def first_run(spark, sf_dir):
         payloads=v.content, converted=v.outbounds, url_attempts=v.run_url_attempts,
         exit_answers=v.run_exit_answers, speed_attempts=v.run_speed_attempts,
         resolutions=v.resolutions, networks=v.parsed_networks, geo=v.geo_networks)
-    params = Params(now=NOW, target=10, speed_threshold=2.0, cidr_method="exclude",
+    params = Params(now=NOW, target=10, speed_threshold=2.0, cidr_method="include",
                     country_method="exclude", countries=("SB", "SC"), elapsed=12.5)
     return run_once(spark, shared_folder(spark, "run"), inputs, params)
 
