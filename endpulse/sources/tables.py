@@ -21,7 +21,8 @@ def read_or_empty(spark, path, schema, fmt="parquet", **options):
 def read_payloads(spark, path):
     """Landed payload files: (source, content, arrived).
 
-    A file is named by its source's link, percent-encoded.
+    A file is named by its source's link, percent-encoded. Spark lists no
+    empty files, so an empty payload is as if it had not been fetched.
     """
     return payload_columns(spark.read.format("binaryFile").load(path))
 

@@ -1,0 +1,94 @@
+import ipaddress
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from endpulse.operators import containment
+from endpulse.schemas import GEO_NETWORKS
+
+
+def networks(spark, texts):
+    return containment.parse_networks(spark.createDataFrame([(t,) for t in texts], "line string"))
+
+
+def addresses(spark, texts):
+    return spark.createDataFrame([(t,) for t in texts], "address string")
+
+
+def cases(seed):
+    rng = random.Random(seed)
+    nets = ["10.0.0.0/8", "10.1.0.0/16", "10.1.2.0/24", "2001:db8::/32", "2001:db8::1/128", "172.16.0.0/12",
+            "2000::/3", "10.1.2.3", "10.1.2.0/25"]
+    nets += [f"{ipaddress.IPv4Address(rng.getrandbits(32))}/{rng.randrange(6, 33)}" for _ in range(60)]
+    nets += [f"{ipaddress.IPv6Address(rng.getrandbits(128))}/{rng.randrange(4, 129)}" for _ in range(40)]
+    ips = ["10.1.2.3", "10.1.2.200", "10.9.9.9", "::ffff:10.1.2.3", "2001:db8::1", "2001:db8::2", "::1", "bad"]
+    ips += [str(ipaddress.IPv4Address(rng.getrandbits(32))) for _ in range(400)]
+    ips += [str(ipaddress.IPv6Address(rng.getrandbits(128))) for _ in range(300)]
+    for text in nets:
+        net = ipaddress.ip_network(text, strict=False)
+        ips.append(str(net[rng.randrange(min(net.num_addresses, 2**30))]))
+    return nets, ips
+
+
+def inside(ip, net):
+    try:
+        return ipaddress.ip_address(ip) in ipaddress.ip_network(net, strict=False)
+    except ValueError:
+        return False
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_any_match_and_longest_match_equal_brute_force(spark, threshold):
+    nets, ips = cases(21)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = {r.address for r in containment.contained(addresses(spark, ips * 3), networks(spark, nets)).collect()}
+        assert got == {ip for ip in ips if any(inside(ip, n) for n in nets)}
+
+        table = spark.createDataFrame([(n, f"C{i}" if i % 3 else "", f"Name{i}", None if i % 2 else f"T{i}")
+                                       for i, n in enumerate(nets)], GEO_NETWORKS)
+        rows = spark.createDataFrame(list(enumerate(ips + [None, ""])), "id int, exit_ip string")
+        found = containment.with_geo(rows, containment.geo_networks(table), "id").collect()
+        assert len(found) == len(ips) + 2
+        for r in found:
+            around = [i for i, n in enumerate(nets) if r.exit_ip and inside(r.exit_ip, n)]
+            if not around:
+                assert (r.country, r.city) == (None, None)
+                continue
+            longest = max(ipaddress.ip_network(nets[i], strict=False).prefixlen for i in around)
+            labels = [(f"C{i}" if i % 3 else f"Name{i}", None if i % 2 else f"T{i}") for i in around
+                      if ipaddress.ip_network(nets[i], strict=False).prefixlen == longest]
+            assert (r.country, r.city) in labels
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_everything_lies_in_the_whole_space(spark):
+    ips = ["0.0.0.0", "255.255.255.255", "1.2.3.4", "::", "ffff::"]
+    got = {r.address for r in containment.contained(addresses(spark, ips), networks(spark, ["0.0.0.0/0"])).collect()}
+    assert got == set(ips[:3])
+
+
+def test_host_verdicts(spark):
+    hosts = spark.createDataFrame([("In.example.",), ("out.example",), ("both.example",), ("none.example",),
+                                   ("10.0.0.7",), ("9.9.9.9",), ("fe80::1",), ("broken.example",)], "host string")
+    known = spark.createDataFrame([("in.example", "10.0.0.1"), ("out.example", "8.8.8.8"), ("both.example", "8.8.8.8"),
+                                   ("both.example", "10.0.0.2"), ("both.example", "10.0.0.2"),
+                                   ("9.9.9.9", "10.0.0.9"), ("broken.example", "x")], "host string, address string")
+    nets = networks(spark, ["10.0.0.0/8"])
+    verdict = lambda n, m: {r.host for r in containment.host_verdicts(hosts, known, n, m).collect() if r.passed}
+    assert verdict(nets, "include") == {"in.example", "both.example", "10.0.0.7"}
+    assert verdict(nets, "exclude") == {"out.example", "9.9.9.9", "fe80::1"}
+    nothing = networks(spark, ["# none"])
+    assert verdict(nothing, "include") == verdict(nothing, "exclude") == set()
+
+
+def test_rejected_lines_are_told(spark, tmp_path):
+    from endpulse.sources.tables import read_networks
+
+    path = tmp_path / "nets.txt"
+    path.write_text("# head\r\n 10.0.0.0/8 \n\n1.2.3.0/24 # x\n::/0\n#x\n300.1.1.1\n")
+    nets, rejects = read_networks(spark, str(path))
+    assert {r.line for r in nets.collect()} == {"10.0.0.0/8", "::/0"}
+    assert {r.line for r in rejects.collect()} == {"1.2.3.0/24 # x", "300.1.1.1"}

@@ -1,0 +1,91 @@
+import urllib.parse
+
+from pyspark.sql import functions as F
+
+from endpulse import schemas
+from endpulse.operators import catalog as cat
+from endpulse.sources.snapshots import SnapshotStore
+from endpulse.streaming import changed, results as rs
+
+from test_catalog import NOW, catalog
+
+
+def rows(n):
+    return [(i, f"h{i % 17}", "url" if i % 3 else "speed", i % 4 > 0, "ok" if i % 4 else "url_test_failed",
+             float(i) if i % 5 == 0 else None, None, "DE" if i % 7 == 0 else None, None,
+             float(i) if i % 3 == 0 else None) for i in range(n)]
+
+
+def text(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_results_stream_equals_batch_and_survives_replay(spark, tmp_path):
+    base = catalog(spark, *[dict(proxy_hash=f"h{i}") for i in range(0, 17, 2)])
+    everything = spark.createDataFrame(rows(300), schemas.RESULTS)
+    landed, folder = str(tmp_path / "landed"), str(tmp_path / "folded")
+    for i in range(3):
+        everything.where(F.col("seq") % 3 == i).coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(schemas.RESULTS).option("maxFilesPerTrigger", 1).parquet(landed)
+    rs.start_results_stream(stream, folder, str(tmp_path / "check")).awaitTermination()
+    want = text(cat.apply_results(base, everything, NOW))
+    assert len(list((tmp_path / "folded").glob("batch=*"))) == 3
+    assert text(rs.current_catalog(spark, base, folder, NOW)) == want
+    # A stream that lost its checkpoint replays all batches over the same folders.
+    rs.start_results_stream(stream, folder, str(tmp_path / "check2")).awaitTermination()
+    assert text(rs.current_catalog(spark, base, folder, NOW)) == want
+    # Nothing new: nothing happens.
+    rs.start_results_stream(stream, folder, str(tmp_path / "check2")).awaitTermination()
+    assert text(rs.current_catalog(spark, base, folder, NOW)) == want
+
+    store = SnapshotStore(spark, str(tmp_path / "state"))
+    store.commit({"catalog": store.write(base, store.begin(), "catalog")}, NOW)
+    rs.compact(store, folder, NOW)
+    assert text(store.load()["catalog"]) == [r for r in want if "last_status='dead'" not in r]
+    store.close()
+
+
+def test_no_results_yet(spark, tmp_path):
+    base = catalog(spark, dict(proxy_hash="a"))
+    assert text(rs.current_catalog(spark, base, str(tmp_path / "none"), NOW)) == text(base)
+
+
+def test_payload_stream_reads_changed_payloads_once(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    base = spark.createDataFrame([], schemas.SOURCE_STATE)
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+
+    def land(name, source, body):
+        folder = landing / name
+        folder.mkdir()
+        (folder / urllib.parse.quote(source, safe="")).write_text(body)
+
+    def run():
+        stream = changed.payload_file_stream(spark, str(landing / "*"))
+        changed.start_payload_stream(stream, base, out, check).awaitTermination()
+        return sorted((r.source, r.line) for r in changed.changed_links(spark, out).collect())
+
+    land("1", "http://a", "ss://1\nss://2")
+    land("1b", "http://b", "c3M6Ly85")
+    first = [("http://a", "ss://1"), ("http://a", "ss://2"), ("http://b", "ss://9")]
+    assert run() == first
+    land("2", "http://a", "ss://1\nss://2")  # the same again
+    assert run() == first
+    land("3", "http://a", "ss://1\nss://3")
+    assert run() == sorted(first + [("http://a", "ss://1"), ("http://a", "ss://3")])
+    state = {r.link: r.last_data_hash for r in changed.source_state(spark, base, out).collect()}
+    assert set(state) == {"http://a", "http://b"}
+
+
+def test_earlier_state_counts(spark, tmp_path):
+    import hashlib
+    body = b"ss://1"
+    base = spark.createDataFrame([("a", hashlib.sha256(body).hexdigest())], schemas.SOURCE_STATE)
+    landed = str(tmp_path / "landed")
+    spark.createDataFrame([("a", bytearray(body), 1), ("b", bytearray(body), 1)],
+                          "source string, content binary, arrived long").write.parquet(landed)
+    stream = spark.readStream.schema("source string, content binary, arrived long").parquet(landed)
+    out = str(tmp_path / "out")
+    changed.start_payload_stream(stream, base, out, str(tmp_path / "check")).awaitTermination()
+    assert [tuple(r) for r in changed.changed_links(spark, out).collect()] == [("b", "ss://1")]
