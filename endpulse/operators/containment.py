@@ -6,12 +6,15 @@ each distinct address repeated once per prefix length in use (at most 33 and
 129). Catalyst and AQE broadcast the networks when their measured size allows,
 and then nothing but the distinct addresses is shuffled.
 
-For the other case, prefixes of up to SHORT bits would be hot join keys, as
-many addresses share them. They are salted: each such network is repeated SALT
-times, and there are few of them, at most 2 * (2**(SHORT + 1) - 1) whatever
-the data. A longer IPv4 key has at most 2**(31 - SHORT) distinct addresses.
-
-Networks are read twice (lengths and join): pass a stored table.
+For the other case, a prefix that many addresses share would be a hot join
+key, so such prefixes are salted: each network is repeated, and its addresses
+are spread over the copies. Prefixes of up to SHORT bits get the most copies;
+there are at most 2 * (2**(SHORT + 1) - 1) of them, whatever the data. A longer
+IPv4 prefix has at most 2**(31 - SHORT) distinct addresses and needs none; a
+longer IPv6 one may have any number and gets a few.
+
+Networks are read twice (lengths and join), and so are the rows that are
+labelled: pass stored tables.
 """
 
 from pyspark.sql import functions as F
@@ -19,9 +22,11 @@ from pyspark.sql import functions as F
 from ..functions.netaddr import (
     IPV4, PREFIX_HIGH, PREFIX_LOW, host_key, with_address, with_network,
 )
+from .skew import lookup_join
 
 SHORT = 16
-SALT = 64
+SHORT_COPIES = 64
+LONG_IPV6_COPIES = 16
 KEY = ["version", "prefix_len", "p_hi", "p_lo"]
 
 
@@ -43,18 +48,27 @@ def _with_prefixes(addresses, networks):
         F.when(F.col("version") == version, F.col("prefix_len")))
     lengths = networks.agg(F.struct(size_if(4).alias("v4"), size_if(6).alias("v6"))).scalar()
     own = F.when(F.col("version") == 4, lengths["v4"]).when(F.col("version") == 6, lengths["v6"])
-    salt = F.when(F.col("prefix_len") <= SHORT, F.pmod(F.xxhash64("hi", "lo"), F.lit(SALT)))
+    # Without a prefix (unreadable, or no networks of the version) nothing can
+    # match; those rows are spread as well.
+    copies = F.coalesce(_copies(), F.lit(SHORT_COPIES))
     return addresses.withColumn("prefix_len", F.explode_outer(own)).withColumns({
         "p_hi": F.expr(PREFIX_HIGH.format("hi")),
         "p_lo": F.expr(PREFIX_LOW.format("lo")),
-        "salt": F.coalesce(salt.cast("int"), F.lit(0)),
+        "salt": F.pmod(F.xxhash64("address"), copies).cast("int"),
     })
 
 
+def _copies():
+    """How often a network is repeated in the join."""
+    return (
+        F.when(F.col("prefix_len") <= SHORT, SHORT_COPIES)
+        .when(F.col("prefix_len").isNotNull(),
+              F.when(F.col("version") == 6, LONG_IPV6_COPIES).otherwise(1))
+    )
+
+
 def _salted(networks):
-    copies = F.when(F.col("prefix_len") <= SHORT, F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(
-        F.array(F.lit(0)))
-    return networks.withColumn("salt", F.explode(copies))
+    return networks.withColumn("salt", F.explode(F.sequence(F.lit(0), _copies() - 1)))
 
 
 def _probe(addresses, networks, how):
@@ -63,14 +77,18 @@ def _probe(addresses, networks, how):
 
 
 def address_flags(addresses, networks):
-    """Per distinct address: does it lie in any network, and is it unreadable."""
+    """Distinct addresses that lie in any network or are unreadable, and which it is.
+
+    The others have no row, so only these are shuffled after the join.
+    """
     parsed = with_address(addresses.select("address").distinct(), "address")
     nets = networks.select(*KEY).distinct().withColumn("hit", F.lit(True))
     return (
-        _probe(parsed, nets, "left").groupBy("address")
+        _probe(parsed, nets, "left")
+        .where(F.col("hit").isNotNull() | F.col("version").isNull())
+        .groupBy("address")
         .agg(F.coalesce(F.bool_or("hit"), F.lit(False)).alias("matched"),
-             F.count("version").alias("readable"))
-        .select("address", "matched", (F.col("readable") == 0).alias("unreadable"))
+             (F.count("version") == 0).alias("unreadable"))
     )
 
 
@@ -81,20 +99,21 @@ def contained(addresses, networks):
 
 def host_flags(host_addresses, networks):
     """Per host: does any address lie in a network, and is any unreadable."""
+    flags = address_flags(host_addresses, networks)
+    said = lambda name: F.bool_or(F.coalesce(name, F.lit(False))).alias(name)
     return (
-        host_addresses.join(address_flags(host_addresses, networks), "address")
-        .groupBy("host")
-        .agg(F.bool_or("matched").alias("matched"), F.bool_or("unreadable").alias("unreadable"))
+        lookup_join(host_addresses, flags, "address", "host")
+        .groupBy("host").agg(said("matched"), said("unreadable"))
     )
 
 
-def host_verdicts(hosts, resolutions, networks, method="exclude"):
-    """(host, passed) for each distinct host that has an address.
+def host_verdicts(host_addresses, networks, method="exclude"):
+    """(host, passed) for each host that has an address.
 
     Only a pass counts: a host without an address or with an unreadable one,
     or checked against no networks at all, fails in both modes.
     """
-    flags = host_flags(resolve_hosts(hosts, resolutions), networks)
+    flags = host_flags(host_addresses, networks)
     if method == "include":
         passed = F.col("matched")
     else:
@@ -109,13 +128,12 @@ def resolve_hosts(hosts, resolutions):
     A name holds no colon, so a host with one is left to the address parser.
     """
     literal = F.col("host").rlike(IPV4) | F.col("host").contains(":")
-    keyed = lambda df, *more: df.select(host_key(F.col("host")).alias("host"), *more).distinct()
-    known = keyed(resolutions, "address").where(~literal)
-    return (
-        keyed(hosts).join(known, "host", "left")
-        .withColumn("address", F.when(literal, F.col("host")).otherwise(F.col("address")))
-        .where(F.col("address").isNotNull())
-    )
+    keys = hosts.select(host_key(F.col("host")).alias("host")).distinct()
+    known = resolutions.select(host_key(F.col("host")).alias("host"), "address").distinct()
+    wanted = keys.where(~literal).withColumn("wanted", F.lit(True))
+    named = lookup_join(known, wanted, "host", "address").where("wanted").drop("wanted")
+    own = keys.where(literal).select("host", F.col("host").alias("address"))
+    return named.unionByName(own)
 
 
 def geo_networks(table):
@@ -140,14 +158,8 @@ def geo_labels(addresses, networks):
 def with_geo(rows, networks, key, column="exit_ip"):
     """Add country and city by the address in ``column``; NULL where unknown.
 
-    Rows without an address get a join key of their own (from their unique
-    ``key``), so that they do not all meet in one task.
+    ``key`` is unique; rows that share an address are spread by it.
     """
-    labels = geo_labels(rows.select(F.col(column).alias("address")).where(
-        F.col("address") != ""), networks)
-    lookup = labels.withColumnRenamed("address", "lookup_key")
-    own = F.concat(F.lit("#"), F.col(key).cast("string"))
-    return (
-        rows.withColumn("lookup_key", F.coalesce(F.nullif(column, F.lit("")), own))
-        .join(lookup, "lookup_key", "left").drop("lookup_key")
-    )
+    known = rows.select(F.col(column).alias("address")).where(F.col("address").isNotNull())
+    labels = geo_labels(known, networks).withColumnRenamed("address", column)
+    return lookup_join(rows, labels, column, key)

@@ -11,6 +11,7 @@ from ..functions.outbound import with_facts, with_scheme
 from ..functions.text import (
     decode_utf8, is_link_line, link_hash, normalize_link, split_lines, strip, with_base64_text,
 )
+from .skew import lookup_join
 
 
 def payload_hash(payloads):
@@ -129,7 +130,7 @@ def link_counts(links, *carry):
 def ingest_stats(counts, known):
     """Per source: links, links parsed, and distinct links parsed."""
     return (
-        counts.join(_accepted(known), "proxy_hash", "left")
+        lookup_join(counts, _accepted(known), "proxy_hash", "source")
         .groupBy("source")
         .agg(
             F.sum("n").alias("total_links"),

@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import catalog as cat, containment, ingest, select
+from ..operators import attempts, catalog as cat, containment, ingest, select
 from ..sources.export import ExportOptions, write_export
 from ..sources.snapshots import SnapshotStore
 from . import stages
@@ -91,8 +91,9 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     died = []
     if params.cidr_method:
         networks = save("networks", inputs.networks, bucketed=False)
-        results = stages.cidr_stage(
-            table, facts, inputs.resolutions, networks, params.cidr_method)
+        addresses = save("addresses", stages.host_addresses(
+            table, facts, inputs.resolutions), bucketed=False)
+        results = stages.cidr_stage(table, facts, addresses, networks, params.cidr_method)
         table = save("after_cidr", cat.update_catalog(table, stages.outcomes(results), now))
         died.append(table)
     candidates = alive(table).count()
@@ -100,8 +101,9 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     geo = None
     if params.country_method and inputs.geo is not None:
         geo = save("geo", containment.geo_networks(inputs.geo), bucketed=False)
-    results = stages.url_stage(alive(table), facts, inputs.url_attempts, inputs.exit_answers,
-                               geo, params.max_attempts)
+    exits = save("exits", attempts.exit_ips(inputs.exit_answers))
+    results = stages.url_stage(alive(table), facts, inputs.url_attempts,
+                               stages.exit_places(exits, geo), params.max_attempts)
     tested = cat.update_catalog(alive(table), stages.outcomes(results), now)
     if params.country_method:
         tested = cat.country_filter(tested, params.countries, params.country_method)

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.netaddr import host_key
 from ..functions.outbound import BROKEN, MISSING, UNSAFE
-from ..operators.attempts import (
-    ATTEMPTS, exit_ips, speed_outcomes, stop_point, url_outcomes,
-)
+from ..operators.attempts import ATTEMPTS, speed_outcomes, stop_point, url_outcomes
 from ..operators.catalog import METRICS, status_label
-from ..operators.containment import host_verdicts, with_geo
+from ..operators.containment import host_verdicts, resolve_hosts, with_geo
+from ..operators.skew import lookup_join
 from ..schemas import (
     REASON_CIDR, REASON_INVALID, REASON_OK, REASON_SPEED_FAILED, REASON_URL_FAILED, RESULTS,
 )
@@ -34,22 +33,27 @@ def _results(rows, kind, **columns):
         fixed.get(n, F.lit(None)).cast(t).alias(n) for n, t in types.items()])
 
 
-def cidr_stage(catalog, facts, resolutions, networks, method="exclude"):
+def _with_host_key(endpoints):
+    configured = F.when(F.col("verdict") != MISSING, F.col("host"))
+    return endpoints.withColumn("host_key", host_key(configured))
+
+
+def host_addresses(catalog, facts, resolutions):
+    """(host, address) of the endpoints' hosts; to be stored for ``cidr_stage``."""
+    hosts = _with_host_key(_endpoints(catalog, facts)).select(F.col("host_key").alias("host"))
+    return resolve_hosts(hosts.where(F.col("host").isNotNull()), resolutions)
+
+
+def cidr_stage(catalog, facts, addresses, networks, method="exclude"):
     """Does each endpoint's host lie in the networks (include) or not (exclude)?
 
-    An endpoint whose configuration names no host gets no result.
+    ``addresses`` are the stored ``host_addresses``. An endpoint whose
+    configuration names no host gets no result.
     """
     missing = F.col("verdict") == MISSING
-    # Endpoints without a host join on a key of their own, not all on NULL.
-    own = F.concat(F.lit("#"), F.col("proxy_hash"))
-    rows = _endpoints(catalog, facts).withColumn(
-        "host_key", F.coalesce(host_key(F.when(~missing, F.col("host"))), own))
-    checkable = rows.where(~missing & F.col("host").isNotNull())
-    verdicts = host_verdicts(checkable, resolutions, networks, method)
-    tested = (
-        rows.join(verdicts.withColumnRenamed("host", "host_key"), "host_key", "left")
-        .where(missing | F.col("host").isNotNull())
-    )
+    rows = _with_host_key(_endpoints(catalog, facts)).where(missing | F.col("host").isNotNull())
+    verdicts = host_verdicts(addresses, networks, method).withColumnRenamed("host", "host_key")
+    tested = lookup_join(rows, verdicts, "host_key", "proxy_hash")
     passed = ~missing & F.coalesce("passed", F.lit(False))
     return _results(
         tested, "cidr", proxy_hash=F.col("proxy_hash"), success=passed,
@@ -62,18 +66,20 @@ def hostless(catalog, facts):
         (F.col("verdict") != MISSING) & F.col("host").isNull()).select("proxy_hash")
 
 
-def url_stage(catalog, facts, attempts, answers, geo=None, max_attempts=ATTEMPTS):
-    """Latency, exit address and its place.
+def exit_places(exits, geo=None):
+    """Stored exit addresses with country and city.
 
     ``geo`` are the networks of ``containment.geo_networks``; without them
-    country and city stay NULL.
+    country and city are NULL.
     """
-    exits = exit_ips(answers)
     if geo is None:
         nothing = F.lit(None).cast("string")
-        exits = exits.withColumns({"country": nothing, "city": nothing})
-    else:
-        exits = with_geo(exits, geo, "proxy_hash")
+        return exits.withColumns({"country": nothing, "city": nothing})
+    return with_geo(exits, geo, "proxy_hash")
+
+
+def url_stage(catalog, facts, attempts, exits, max_attempts=ATTEMPTS):
+    """Latency, exit address and its place (``exits``, from ``exit_places``)."""
     rows = (
         _endpoints(catalog, facts)
         .join(url_outcomes(attempts, max_attempts=max_attempts), "proxy_hash", "left")

@@ -77,7 +77,8 @@ def test_host_verdicts(spark):
                                    ("both.example", "10.0.0.2"), ("both.example", "10.0.0.2"),
                                    ("9.9.9.9", "10.0.0.9"), ("broken.example", "x")], "host string, address string")
     nets = networks(spark, ["10.0.0.0/8"])
-    verdict = lambda n, m: {r.host for r in containment.host_verdicts(hosts, known, n, m).collect() if r.passed}
+    verdict = lambda n, m: {r.host for r in containment.host_verdicts(
+        containment.resolve_hosts(hosts, known), n, m).collect() if r.passed}
     assert verdict(nets, "include") == {"in.example", "both.example", "10.0.0.7"}
     assert verdict(nets, "exclude") == {"out.example", "9.9.9.9", "fe80::1"}
     nothing = networks(spark, ["# none"])

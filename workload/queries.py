@@ -53,7 +53,7 @@ class _Views:
 
     @property
     def counts(self):
-        return ingest.link_counts(self.links)
+        return self.stored(ingest.link_counts(self.links))
 
     @property
     def known(self):
@@ -67,24 +67,24 @@ class _Views:
 
     @property
     def networks(self):
-        return self._stored(self.parsed_networks, bucketed=False)
+        return self.stored(self.parsed_networks)
 
     @property
     def geo(self):
-        return self._stored(containment.geo_networks(self.geo_networks), bucketed=False)
+        return self.stored(containment.geo_networks(self.geo_networks))
 
     @property
     def facts(self):
-        return self._stored(ingest.outbound_facts(self.outbounds))
+        return self.stored(ingest.outbound_facts(self.outbounds), bucketed=True)
 
     @property
     def page_catalog(self):
         """A catalogue of the pages' links, as a merge into an empty one leaves it."""
         empty = self._at[0].createDataFrame([], CATALOG)
-        return self._stored(cat.merge_candidates(
-            empty, ingest.fresh_candidates(self.links, self.known), self.dead, NOW))
+        return self.stored(cat.merge_candidates(
+            empty, ingest.fresh_candidates(self.links, self.known), self.dead, NOW), bucketed=True)
 
-    def _stored(self, df, bucketed=True):
+    def stored(self, df, bucketed=False):
         store = SnapshotStore(self._at[0], shared_folder(self._at[0], "tables"))
         return store.read(store.write(df, store.root, "table", bucketed))
 
@@ -248,8 +248,8 @@ def resolve_hosts(spark, sf_dir):
 
 def _cidr(spark, sf_dir, method):
     v = _Views(spark, sf_dir)
-    hosts = v.resolutions.select("host")
-    return containment.host_verdicts(hosts, v.resolutions, v.networks, method)
+    pairs = v.stored(containment.resolve_hosts(v.resolutions.select("host"), v.resolutions))
+    return containment.host_verdicts(pairs, v.networks, method)
 
 
 @query
@@ -342,22 +342,22 @@ def duration_texts(spark, sf_dir):
 
 # Stages --------------------------------------------------------------------
 
-def _stage(results):
-    return results.drop("seq", "kind")
-
-
 @query
 def cidr_stage(spark, sf_dir):
     v = _Views(spark, sf_dir)
-    return stages.cidr_stage(v.page_catalog, v.facts, v.resolutions, v.networks, "include").select(
+    catalog, facts = v.page_catalog, v.facts
+    addresses = v.stored(stages.host_addresses(catalog, facts, v.resolutions))
+    return stages.cidr_stage(catalog, facts, addresses, v.networks, "include").select(
         "proxy_hash", "success", "reason")
 
 
 @query
 def url_stage(spark, sf_dir):
     v = _Views(spark, sf_dir)
-    return _stage(stages.url_stage(
-        v.page_catalog, v.facts, v.run_url_attempts, v.run_exit_answers, v.geo))
+    exits = v.stored(attempts.exit_ips(v.run_exit_answers), bucketed=True)
+    return stages.url_stage(
+        v.page_catalog, v.facts, v.run_url_attempts, stages.exit_places(exits, v.geo),
+    ).drop("seq", "kind")
 
 
 @query
