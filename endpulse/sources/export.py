@@ -8,13 +8,11 @@ from ..functions.export_text import (
     annotated_link, base64_text, clock, comment, iso_utc, spoken_time,
 )
 
-# Fixed value: the name that stands in the banner and is the default title.
-BANNER = "proxy-tester"
-
 
 @dataclass(frozen=True)
 class ExportOptions:
-    title: str = BANNER
+    title: str = "endpulse"
+    banner: str = "endpulse"  # the name in the rule above the links
     update_interval: int = 24
     web_page_url: str | None = None
     support_url: str | None = None
@@ -69,12 +67,12 @@ def header_rows(selected, options, now, candidates=None):
     return _lines(_facts(selected, now, None, candidates), texts)
 
 
-def banner_rows(selected, now, elapsed=None, candidates=None):
+def banner_rows(selected, options, now, elapsed=None, candidates=None):
     """(ord, line) of the lines above the links; run statistics only if known."""
     rule = "-" * 50
     stats = F.col("elapsed").isNotNull()
     texts = [
-        F.lit(f"#{rule}{BANNER}{rule}"),
+        F.lit(f"#{rule}{options.banner}{rule}"),
         F.concat(F.lit("# Exported at "), iso_utc(F.col("now"))),
         F.concat(F.lit("# Count: "), F.col("count").cast("string")),
         F.when(stats, "# Stats: "),
@@ -92,7 +90,7 @@ def export_rows(selected, options, now, elapsed=None, candidates=None):
         F.lit(section).alias("section"), F.col("ord"), none("double").alias("speed"),
         none("string").alias("proxy_hash"), F.col("line"))
     speed = F.col("mbps") if options.order == "mbps" else none("double")
-    rows = head(banner_rows(selected, now, elapsed, candidates), 1).unionByName(
+    rows = head(banner_rows(selected, options, now, elapsed, candidates), 1).unionByName(
         link_rows(selected).select(
             F.lit(2).alias("section"), F.lit(0).alias("ord"), speed.alias("speed"),
             "proxy_hash", "line"))

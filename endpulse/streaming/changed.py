@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F, types as T
 
 from ..operators.ingest import changed_sources, payload_lines
-from ..schemas import SOURCE_STATE
 from ..sources.tables import payload_columns, read_or_empty
 
 SEEN = T.StructType([
@@ -66,5 +65,11 @@ def changed_links(spark, folder):
         F.col("line").isNotNull()).select("source", "line")
 
 
-def empty_state(spark):
-    return spark.createDataFrame([], SOURCE_STATE)
+def compact(store, folder, now):
+    """Store the source state that the batches left and make it current.
+
+    The next stream starts with a new folder: ``folder`` is spent.
+    """
+    state = source_state(store.spark, store.load()["sources"], folder)
+    return store.commit(
+        {"sources": store.write(state, store.begin(), "sources", bucketed=False)}, now)

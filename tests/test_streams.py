@@ -89,3 +89,8 @@ def test_earlier_state_counts(spark, tmp_path):
     out = str(tmp_path / "out")
     changed.start_payload_stream(stream, base, out, str(tmp_path / "check")).awaitTermination()
     assert [tuple(r) for r in changed.changed_links(spark, out).collect()] == [("b", "ss://1")]
+
+    store = SnapshotStore(spark, str(tmp_path / "state"))
+    store.commit({"sources": store.write(base, store.begin(), "sources", bucketed=False)}, NOW)
+    changed.compact(store, out, NOW)
+    assert {r.link for r in store.load()["sources"].collect()} == {"a", "b"}

@@ -314,13 +314,13 @@ ORDER BY latency_ms, proxy_hash LIMIT {TOP_N}""",
         (4, f"'#announce: base64:' || to_base64(encode({_ANNOUNCE} || 'Candidates processed: {COUNT_PARAMS['candidates']}' || chr(10)))"),
     ]),
     "export_headers_file": _lines([
-        (0, "'add_header profile-title \"base64:' || to_base64(encode('proxy-tester')) || '\";'"),
+        (0, "'add_header profile-title \"base64:' || to_base64(encode('endpulse')) || '\";'"),
         (1, "'add_header profile-update-interval \"24\";'"),
         (3, "'add_header support-url \"https://s.example\";'"),
         (4, f"'add_header announce \"base64:' || to_base64(encode({_ANNOUNCE})) || '\";'"),
     ]),
     "export_banner": _lines([
-        (0, f"'#{_RULE}proxy-tester{_RULE}'"),
+        (0, f"'#{_RULE}{EXPORT.banner}{_RULE}'"),
         (1, f"'# Exported at ' || strftime({_AT}, '%Y-%m-%dT%H:%M:%S+00:00')"),
         (2, "'# Count: ' || n"),
         (3, "'# Stats: '"),

@@ -11,7 +11,7 @@ from endpulse.functions.text import with_base64_text
 from endpulse.operators import attempts, catalog as cat, containment, ingest, select
 from endpulse.plans import stages
 from endpulse.plans.run_once import Inputs, Params, run_once
-from endpulse.schemas import CATALOG
+from endpulse.schemas import CATALOG, RESULTS
 from endpulse.session import shared_folder
 from endpulse.sources.export import ExportOptions, banner_rows, header_rows, link_rows
 from endpulse.sources.snapshots import SnapshotStore
@@ -415,7 +415,7 @@ def export_headers_file(spark, sf_dir):
 @query
 def export_banner(spark, sf_dir):
     top = select.select_top(_Views(spark, sf_dir).catalog, TOP_N, NOW)
-    return banner_rows(top, NOW, **COUNT_PARAMS)
+    return banner_rows(top, EXPORT, NOW, **COUNT_PARAMS)
 
 
 # Streams and whole runs ----------------------------------------------------
@@ -425,8 +425,7 @@ def stream_apply_results(spark, sf_dir):
     v = _Views(spark, sf_dir)
     folder = shared_folder(spark, "stream-results")
     v.results.write.parquet(f"{folder}/landed")
-    landed = spark.readStream.schema(v.results.schema).option("maxFilesPerTrigger", 1).parquet(
-        f"{folder}/landed")
+    landed = spark.readStream.schema(RESULTS).parquet(f"{folder}/landed")
     result_stream.start_results_stream(
         landed, f"{folder}/folded", f"{folder}/checkpoint").awaitTermination()
     return result_stream.current_catalog(spark, v.catalog, f"{folder}/folded", NOW)
