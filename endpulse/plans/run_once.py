@@ -67,8 +67,8 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     store = SnapshotStore(spark, root)
     folder, written, now = store.begin(), {}, params.now
 
-    def save(name, df, bucketed=True):
-        written[name] = store.write(df, folder, name, bucketed)
+    def save(name, df, **how):
+        written[name] = store.write(df, folder, name, **how)
         return store.read(written[name])
 
     alive = lambda table: table.where(~cat.is_dead())
@@ -80,7 +80,7 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     lines = ingest.payload_lines(changed, "data_hash")
     counts = save("link_counts", ingest.link_counts(
         ingest.hashed_links(lines, "data_hash"), "data_hash"), bucketed=False)
-    facts = save("facts", ingest.outbound_facts(inputs.converted))
+    facts = save("facts", ingest.outbound_facts(inputs.converted), spread=True)
     links = counts.where(F.col("proxy_hash").isNotNull())
     save("sources", _new_sources(state["sources"], counts, facts, params.commit_state),
          bucketed=False)

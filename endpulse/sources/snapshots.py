@@ -8,6 +8,8 @@ The big tables are bucketed and sorted by ``proxy_hash``, so the catalogue, the
 dead-list and the link facts are joined without shuffling any of them. The
 number of buckets follows spark.sql.shuffle.partitions, which lets fresh rows
 be shuffled once, straight into the buckets.
+
+Folders of older runs may be removed once nobody reads them any more.
 """
 
 import json
@@ -46,9 +48,15 @@ class SnapshotStore:
         """A folder for the tables of one run; never one that is read."""
         return f"{self.root}/runs/{uuid.uuid4().hex}"
 
-    def write(self, df, folder, name, bucketed=True):
-        """Write a table; returns its entry for the log."""
+    def write(self, df, folder, name, bucketed=True, spread=False):
+        """Write a table; returns its entry for the log.
+
+        Rows that come out of a join or group on the key are in their buckets
+        already. Others need ``spread``, or each task writes to every bucket.
+        """
         path = f"{folder}/{name}"
+        if spread:
+            df = df.repartition(self.buckets, KEY)
         writer = df.write.mode("errorifexists").format("parquet")
         if bucketed:
             table = self._name()

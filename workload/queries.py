@@ -75,7 +75,7 @@ class _Views:
 
     @property
     def facts(self):
-        return self.stored(ingest.outbound_facts(self.outbounds), bucketed=True)
+        return self.stored(ingest.outbound_facts(self.outbounds), bucketed=True, spread=True)
 
     @property
     def page_catalog(self):
@@ -84,9 +84,9 @@ class _Views:
         return self.stored(cat.merge_candidates(
             empty, ingest.fresh_candidates(self.links, self.known), self.dead, NOW), bucketed=True)
 
-    def stored(self, df, bucketed=False):
+    def stored(self, df, bucketed=False, spread=False):
         store = SnapshotStore(self._at[0], shared_folder(self._at[0], "tables"))
-        return store.read(store.write(df, store.root, "table", bucketed))
+        return store.read(store.write(df, store.root, "table", bucketed, spread))
 
 
 # Scans ---------------------------------------------------------------------
