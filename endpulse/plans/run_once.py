@@ -6,6 +6,7 @@ table is read; as they are gone from later stages, the dead-list takes them
 all in one upsert at the end.
 """
 
+import time
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -44,7 +45,7 @@ class Params:
     # "before": a source counts as read even if its links could not be
     # converted; "after": only once the converter knows all its links.
     commit_state: str = "before"
-    elapsed: float | None = None
+    elapsed: float | None = None  # seconds told in the export; None: as measured
     export: ExportOptions = field(default_factory=ExportOptions)
 
 
@@ -64,6 +65,7 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
 
     Returns the new state tables, the ingest totals and the run's counts.
     """
+    start = time.monotonic()
     store = SnapshotStore(spark, root)
     folder, written, now = store.begin(), {}, params.now
 
@@ -128,6 +130,7 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     result = {**store.load(), "totals": totals, "run": run, "candidates": candidates,
               "facts": facts, "store": store}
     if export_path:
-        write_export(result["selected"], params.export, now, export_path, params.elapsed,
-                     candidates, headers_path)
+        elapsed = time.monotonic() - start if params.elapsed is None else params.elapsed
+        write_export(result["selected"], params.export, now, export_path, elapsed, candidates,
+                     headers_path)
     return result

@@ -33,7 +33,10 @@ class SnapshotStore:
     def __init__(self, spark, root, buckets=None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # The number of partitions that Spark gives a shuffle at first.
+        self.buckets = buckets or int(spark.conf.get(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            spark.conf.get("spark.sql.shuffle.partitions")))
         self._registered = []
 
     def _log(self):

@@ -193,6 +193,34 @@ def test_stored_tables_are_joined_without_shuffling_them(spark, tmp_path):
         store.close()
 
 
+def test_stages_shuffle_neither_catalogue_nor_facts(spark, tmp_path):
+    from endpulse.operators import catalog as cat
+    from endpulse.plans import stages
+
+    store = SnapshotStore(spark, str(tmp_path))
+    ids = spark.range(2000).select(F.sha2(F.col("id").cast("string"), 256).alias("proxy_hash"))
+    blank = lambda f: F.lit(None).cast(f.dataType).alias(f.name)
+    table = store.read(store.write(ids.select("*", *map(blank, schemas.CATALOG.fields[1:])), store.begin(),
+                                   "catalog", spread=True))
+    facts = store.read(store.write(ids.select("*", F.lit("h").alias("host"), F.lit("safe").alias("verdict")),
+                                   store.begin(), "facts", spread=True))
+    tries = spark.range(8000).select(
+        F.sha2((F.col("id") % 1500).cast("string"), 256).alias("proxy_hash"), F.col("id").alias("attempt_seq"),
+        (F.col("id") > 1000).alias("ok"), F.lit(1.0).alias("latency_ms"))
+    exits = store.read(store.write(ids.withColumn("exit_ip", F.lit("1.2.3.4")), store.begin(), "exits", spread=True))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        results = stages.url_stage(table, facts, tries, stages.exit_places(exits))
+        tested = cat.update_catalog(table, stages.outcomes(results), NOW)
+        plan = tested._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1, plan  # only the attempts
+        assert {r.last_status: r["count"] for r in tested.groupBy("last_status").count().collect()} == {
+            "url_ok": 1500, "dead": 500}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        store.close()
+
+
 def test_a_new_session_finds_the_tables(spark, two_runs):
     root, _, second = two_runs
     store = SnapshotStore(spark, root)
