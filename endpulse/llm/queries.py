@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from endpulse.llm import decontamination, line_dedup, mixing, oracles
+from endpulse.llm import (
+    ann_tree, chat, decontamination, license_scan, line_dedup, minhash, mixing, oracles, substring_dedup,
+    token_files, toxicity,
+)
 
 #: Parts of the mixture for each source; '*' stands for all sources not named.
 TARGET_WEIGHTS = {"src0": 30, "src1": 10, "src2": 10, "src3": 5, "src4": 5, "*": 40}
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,15 +35,54 @@ def op2_line_dedup(spark, sf_dir):
         F.sha2("text", 256).alias("text_sha256"))
 
 
+def op3_toxicity(spark, sf_dir):
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    done = toxicity.scored(docs.select("doc_id", "text"), labels)
+    return done.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op4_minhash(spark, sf_dir):
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_ann_tree(spark, sf_dir):
+    vectors = ann_tree.usable(_table(spark, sf_dir, "embeddings"))
+    return ann_tree.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def op6_chat(spark, sf_dir):
+    told = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", told), (-1, 1, "assistant", told)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionAll(extra)
+    return chat.read_back(chat.formatted(chat.linear_tree(rows))).drop("path")
+
+
+def op7_token_files(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.read_documents(token_files.write_shards(docs, tokenizer_path()))
+
+
+def op8_license_scan(spark, sf_dir):
+    done = license_scan.scanned(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.withColumns({c: F.concat_ws(",", c) for c in ("base_labels", "labels")})
+
+
+def op9_substring_dedup(spark, sf_dir):
+    spans = substring_dedup.repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spans.select("doc_id", "first_doc_id", "start", "n_bytes", "n_words", "kept",
+                        F.size("later").cast("long").alias("n_later_chunks"))
+
+
 def op10_mixing(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.scheduled(docs, TARGET_WEIGHTS)
 
 
 QUERIES = {
-    "op1_decontamination": op1_decontamination,
-    "op2_line_dedup": op2_line_dedup,
-    "op10_mixing": op10_mixing,
+    f.__name__: f for f in (
+        op1_decontamination, op2_line_dedup, op3_toxicity, op4_minhash, op5_ann_tree, op6_chat,
+        op7_token_files, op8_license_scan, op9_substring_dedup, op10_mixing)
 }
 
 ORACLES = {
