@@ -8,7 +8,7 @@ the catalogue nor the link facts are shuffled.
 from pyspark.sql import functions as F
 
 from ..functions.netaddr import host_key
-from ..functions.outbound import BROKEN, MISSING, UNSAFE
+from ..functions.outbound import BROKEN, MISSING, UNSAFE, UNUSABLE
 from ..operators.attempts import ATTEMPTS, speed_outcomes, stop_point, url_outcomes
 from ..operators.catalog import METRICS, status_label
 from ..operators.containment import host_verdicts, resolve_hosts, with_geo
@@ -34,7 +34,7 @@ def _results(rows, kind, **columns):
 
 
 def _with_host_key(endpoints):
-    configured = F.when(F.col("verdict") != MISSING, F.col("host"))
+    configured = F.when(~F.col("verdict").isin(*UNUSABLE), F.col("host"))
     return endpoints.withColumn("host_key", host_key(configured))
 
 
@@ -50,7 +50,7 @@ def cidr_stage(catalog, facts, addresses, networks, method="exclude"):
     ``addresses`` are the stored ``host_addresses``. An endpoint whose
     configuration names no host gets no result.
     """
-    missing = F.col("verdict") == MISSING
+    missing = F.col("verdict").isin(*UNUSABLE)
     rows = _with_host_key(_endpoints(catalog, facts)).where(missing | F.col("host").isNotNull())
     verdicts = host_verdicts(addresses, networks, method).withColumnRenamed("host", "host_key")
     tested = lookup_join(rows, verdicts, "host_key", "proxy_hash")
@@ -63,7 +63,7 @@ def cidr_stage(catalog, facts, addresses, networks, method="exclude"):
 def hostless(catalog, facts):
     """Endpoints that the CIDR stage rejects without a result."""
     return _endpoints(catalog, facts).where(
-        (F.col("verdict") != MISSING) & F.col("host").isNull()).select("proxy_hash")
+        ~F.col("verdict").isin(*UNUSABLE) & F.col("host").isNull()).select("proxy_hash")
 
 
 def exit_places(exits, geo=None):
@@ -85,7 +85,7 @@ def url_stage(catalog, facts, attempts, exits, max_attempts=ATTEMPTS):
         .join(url_outcomes(attempts, max_attempts=max_attempts), "proxy_hash", "left")
         .join(exits, "proxy_hash", "left")
     )
-    refused = F.col("verdict").isin(MISSING, UNSAFE)
+    refused = F.col("verdict").isin(*UNUSABLE, UNSAFE)
     passed = ~refused & (F.col("verdict") != BROKEN) & F.coalesce("success", F.lit(False))
     if_passed = lambda name: F.when(passed, F.col(name))
     return _results(
@@ -103,7 +103,7 @@ def speed_stage(catalog, facts, attempts, threshold=1.0, max_attempts=ATTEMPTS):
     rows = _endpoints(catalog, facts).join(
         speed_outcomes(attempts, threshold=threshold, max_attempts=max_attempts),
         "proxy_hash", "left")
-    refused = F.col("verdict").isin(MISSING, UNSAFE)
+    refused = F.col("verdict").isin(*UNUSABLE, UNSAFE)
     broken = F.col("verdict") == BROKEN
     untried = refused | broken
     return _results(

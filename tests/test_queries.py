@@ -5,9 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 from workload import fixtures
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
