@@ -88,9 +88,18 @@ def clock(seconds):
                        pair(F.floor(whole % 3600 / 60)), pair(whole % 60))
 
 
+def _utc(epoch):
+    """Date and time of day in UTC by arithmetic, whatever the session's time zone."""
+    whole = F.floor(epoch).cast("bigint")
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(whole / 86400).cast("int")), clock(
+        F.pmod(whole, F.lit(86400)))
+
+
 def iso_utc(epoch):
-    return F.date_format(F.timestamp_seconds(epoch), "yyyy-MM-dd'T'HH:mm:ss+00:00")
+    day, time = _utc(epoch)
+    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T"), time, F.lit("+00:00"))
 
 
 def spoken_time(epoch):
-    return F.date_format(F.timestamp_seconds(epoch), "HH:mm:ss dd.MM.yyyy")
+    day, time = _utc(epoch)
+    return F.concat(time, F.lit(" "), F.date_format(day, "dd.MM.yyyy"))

@@ -7,7 +7,7 @@ place. All joins are on ``proxy_hash``, which is unique on both sides.
 from pyspark.sql import functions as F
 
 from ..schemas import (
-    CATALOG_COLUMNS, REASON_COUNTRY, REASON_UNKNOWN, STATUS_DEAD, STATUS_UNKNOWN,
+    CATALOG_COLUMNS, check_method, REASON_COUNTRY, REASON_UNKNOWN, STATUS_DEAD, STATUS_UNKNOWN,
 )
 
 DAY = 86400
@@ -95,6 +95,7 @@ def apply_results(catalog, results, now):
 
 def country_filter(catalog, countries, method="exclude"):
     """Mark tested endpoints of unwanted or unknown country dead."""
+    check_method(method)
     wanted = sorted({str(c).strip().upper() for c in countries or ()} - {""})
     # Over an empty list, IN is false.
     listed = F.col("country").isin(wanted) if wanted else F.lit(False)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.netaddr import (
     IPV4, PREFIX_HIGH, PREFIX_LOW, host_key, with_address, with_network,
 )
+from ..schemas import check_method
 from .skew import lookup_join
 
 SHORT = 16
@@ -113,6 +114,7 @@ def host_verdicts(host_addresses, networks, method="exclude"):
     Only a pass counts: a host without an address or with an unreadable one,
     or checked against no networks at all, fails in both modes.
     """
+    check_method(method)
     flags = host_flags(host_addresses, networks)
     if method == "include":
         passed = F.col("matched")
@@ -129,9 +131,10 @@ def resolve_hosts(hosts, resolutions):
     """
     literal = F.col("host").rlike(IPV4) | F.col("host").contains(":")
     keys = hosts.select(host_key(F.col("host")).alias("host")).distinct()
-    known = resolutions.select(host_key(F.col("host")).alias("host"), "address").distinct()
-    wanted = keys.where(~literal).withColumn("wanted", F.lit(True))
-    named = lookup_join(known, wanted, "host", "address").where("wanted").drop("wanted")
+    answers = resolutions.select(host_key(F.col("host")).alias("host"), "address")
+    # Only answers for wanted hosts are made distinct. A host with very many answers is the big
+    # side of a plain join of two shuffled sides, which AQE may split.
+    named = answers.join(keys.where(~literal), "host", "left_semi").distinct()
     own = keys.where(literal).select("host", F.col("host").alias("address"))
     return named.unionByName(own)
 

@@ -20,24 +20,55 @@ def payload_hash(payloads):
 
 
 def changed_sources(payloads, state):
-    """Payloads whose hash is not the stored one, with their data_hash.
+    """(source, data_hash, arrived) of the sources whose newest payload is not the stored one.
 
-    Runs before any text is split, so unchanged payloads are only hashed.
+    Only hashes travel: a payload is hashed in the scan, and of a source's
+    payloads the last to arrive counts (of equal ones the greatest hash).
     """
+    hashed = payload_hash(_with_arrival(payloads)).select("source", "arrived", "data_hash")
+    newest = hashed.groupBy("source").agg(F.max(F.struct("arrived", "data_hash")).alias("last"))
     known = state.select(F.col("link").alias("source"), "last_data_hash")
     return (
-        payload_hash(payloads)
-        .join(known, "source", "left")
+        newest.select("source", "last.data_hash", "last.arrived").join(known, "source", "left")
         .where(~F.col("data_hash").eqNullSafe(F.col("last_data_hash")))
         .drop("last_data_hash")
     )
 
 
 def upsert_source_state(state, seen):
-    """Source state after the payloads ``seen`` (source, data_hash) came in."""
-    new = seen.select(F.col("source").alias("link"), "data_hash")
+    """Source state after the payloads ``seen`` (source, data_hash) came in, one row per source."""
+    order = [c for c in ("arrived", "data_hash") if c in seen.columns]
+    new = seen.groupBy(F.col("source").alias("link")).agg(F.max(F.struct(*order)).alias("last"))
     return state.join(new, "link", "full_outer").select(
-        "link", F.coalesce("data_hash", "last_data_hash").alias("last_data_hash"))
+        "link", F.coalesce("last.data_hash", "last_data_hash").alias("last_data_hash"))
+
+
+def _with_arrival(payloads):
+    if "arrived" in payloads.columns:
+        return payloads
+    return payloads.withColumn("arrived", F.lit(0).cast("bigint"))
+
+
+# So many changed sources are broadcast: their names, hashes and times.
+FEW_SOURCES = 100_000
+
+
+def changed_lines(payloads, changed, *carry, then=lambda lines: lines):
+    """``payload_lines`` of the changed sources, put through ``then``; pass a stored ``changed``.
+
+    Payloads are never shuffled. A short list of changed sources goes to all
+    tasks, and other payloads are only hashed. With a long one, all payloads are
+    split where they lie, and what ``then`` makes of their lines is shuffled; it
+    has to keep source, data_hash and arrived.
+    """
+    key = ("source", "data_hash", "arrived")
+    named = changed.select(*[F.col(c).alias(f"changed_{c}") for c in key])
+    on = [F.col(c).eqNullSafe(F.col(f"changed_{c}")) for c in key]
+    hashed = payload_hash(_with_arrival(payloads))
+    carry = list(dict.fromkeys((*carry, "data_hash", "arrived")))
+    if changed.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES:
+        return then(payload_lines(hashed.join(F.broadcast(named), on, "left_semi"), *carry))
+    return then(payload_lines(hashed, *carry)).join(named, on, "left_semi")
 
 
 def payload_lines(payloads, *carry):
@@ -91,18 +122,23 @@ def distinct_links(links):
 def outbound_facts(converted):
     """What the stages need of the converter's output, keyed by link hash.
 
-    ``converted`` holds one row per link. Parsed once here and read by every
-    stage: (proxy_hash, raw_link, scheme, host, verdict).
+    Parsed once here and read by every stage: (proxy_hash, raw_link, scheme,
+    host, verdict).
     """
+    return with_facts(_one_per_link(converted)).drop("outbound")
+
+
+def _one_per_link(converted):
+    """(proxy_hash, raw_link, outbound), one row per hash: of several configurations the greatest counts."""
     keyed = converted.select(
         link_hash(F.col("link")).alias("proxy_hash"), F.col("link").alias("raw_link"), "outbound")
-    return with_facts(keyed).drop("outbound")
+    return keyed.groupBy("proxy_hash").agg(F.max(F.struct("outbound", "raw_link")).alias("last")).select(
+        "proxy_hash", "last.raw_link", "last.outbound")
 
 
 def known_links(converted):
-    """(proxy_hash, raw_link, scheme) of the links the converter accepted."""
-    keyed = converted.where(F.col("outbound").isNotNull()).select(
-        link_hash(F.col("link")).alias("proxy_hash"), F.col("link").alias("raw_link"), "outbound")
+    """(proxy_hash, raw_link, scheme) of the links the converter accepted, one row per hash."""
+    keyed = _one_per_link(converted.where(F.col("outbound").isNotNull()))
     return with_scheme(keyed).drop("outbound").where(F.col("scheme").isNotNull())
 
 

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import attempts, catalog as cat, containment, ingest, select
+from ..operators.skew import lookup_join
+from ..schemas import check_method
 from ..sources.export import ExportOptions, write_export
 from ..sources.snapshots import SnapshotStore
 from . import stages
@@ -48,11 +50,23 @@ class Params:
     elapsed: float | None = None  # seconds told in the export; None: as measured
     export: ExportOptions = field(default_factory=ExportOptions)
 
+    def __post_init__(self):
+        for method in (self.cidr_method, self.country_method):
+            if method is not None:
+                check_method(method)
+        if self.commit_state not in ("before", "after"):
+            raise ValueError(f"commit_state must be 'before' or 'after', not {self.commit_state!r}")
+        if self.target <= 0 or self.max_attempts <= 0:
+            raise ValueError("target and max_attempts must be positive")
+        if self.ttl_days < 0:
+            raise ValueError("ttl_days must not be negative")
+
 
 def _new_sources(sources, counts, facts, commit_state):
     if commit_state == "after":
+        # A source without links holds one row without a hash; a link may be listed by very many.
         known = facts.select("proxy_hash", F.lit(True).alias("known"))
-        rows = counts.join(known, "proxy_hash", "left").groupBy("source", "data_hash").agg(
+        rows = lookup_join(counts, known, "proxy_hash", "source").groupBy("source", "data_hash").agg(
             F.count_if(F.col("proxy_hash").isNotNull() & F.col("known").isNull()).alias("open"))
         seen = rows.where(F.col("open") == 0)
     else:
@@ -65,6 +79,8 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
 
     Returns the new state tables, the ingest totals and the run's counts.
     """
+    if params.cidr_method and (inputs.networks is None or inputs.resolutions is None):
+        raise ValueError("a cidr_method needs networks and resolutions")
     start = time.monotonic()
     store = SnapshotStore(spark, root)
     folder, written, now = store.begin(), {}, params.now
@@ -78,11 +94,12 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     dead = cat.expire_dead(state["dead"], now)
 
     # Ingest: payloads are read once; a source without links keeps a NULL row.
-    changed = ingest.changed_sources(inputs.payloads, state["sources"])
-    lines = ingest.payload_lines(changed, "data_hash")
-    counts = save("link_counts", ingest.link_counts(
-        ingest.hashed_links(lines, "data_hash"), "data_hash"), bucketed=False)
-    facts = save("facts", ingest.outbound_facts(inputs.converted), spread=True)
+    changed = save("changed", ingest.changed_sources(inputs.payloads, state["sources"]), bucketed=False)
+    counted = lambda lines: ingest.link_counts(
+        ingest.hashed_links(lines, "data_hash", "arrived"), "data_hash", "arrived")
+    counts = save("link_counts", ingest.changed_lines(
+        inputs.payloads, changed, then=counted).drop("arrived"), bucketed=False)
+    facts = save("facts", ingest.outbound_facts(inputs.converted))
     links = counts.where(F.col("proxy_hash").isNotNull())
     save("sources", _new_sources(state["sources"], counts, facts, params.commit_state),
          bucketed=False)

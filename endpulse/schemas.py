@@ -61,3 +61,11 @@ REASON_SPEED_FAILED = "speed_test_failed"
 REASON_TOO_SLOW = "speed_below_threshold"
 REASON_CIDR = "cidr_discarded"
 REASON_COUNTRY = "discarded_filtering"
+
+# The two ways of a filter by a list.
+METHODS = ("include", "exclude")
+
+
+def check_method(method):
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}, not {method!r}")

@@ -1,32 +1,35 @@
 """Snapshots of the state tables.
 
 Plain Parquet tables know no MERGE, so a run writes new tables beside the old
-ones and then appends one row to a small log; the newest row names the current
-tables. A run that fails before that row leaves the state as it was.
+ones and then adds one file to a small log; the newest file names the current
+tables. A run that fails before that file leaves the state as it was. The file's
+name is the number after that of the state the run began with, and it is created
+only if there is none, so of two runs that began with the same state one commits
+and the other gets a CommitConflict; it has to begin again.
 
 The big tables are bucketed and sorted by ``proxy_hash``, so the catalogue, the
 dead-list and the link facts are joined without shuffling any of them. The
 number of buckets follows spark.sql.shuffle.partitions, which lets fresh rows
 be shuffled once, straight into the buckets.
 
-Folders of older runs may be removed once nobody reads them any more.
+``expire_runs`` removes the folders of older runs, once nobody reads them any more.
 """
 
 import json
 import uuid
 
-from pyspark.sql import functions as F, types as T
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import types as T
 
 from ..operators.catalog import is_dead
 from ..schemas import CATALOG, DEAD, SELECTED, SOURCE_STATE
-from .tables import read_or_empty
 
 KEY = "proxy_hash"
 STATE = {"catalog": CATALOG, "dead": DEAD, "selected": SELECTED, "sources": SOURCE_STATE}
-_LOG = T.StructType([
-    T.StructField("run", T.LongType()), T.StructField("at", T.LongType()),
-    T.StructField("tables", T.StringType()),
-])
+
+
+class CommitConflict(Exception):
+    """Somebody else committed since this run began."""
 
 
 class SnapshotStore:
@@ -38,17 +41,31 @@ class SnapshotStore:
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
             spark.conf.get("spark.sql.shuffle.partitions")))
         self._registered = []
+        self._base = None
+
+    def _files(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/log")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def _log(self):
-        return read_or_empty(self.spark, f"{self.root}/log", _LOG)
+        """Paths of the log's files by run number."""
+        files, path = self._files()
+        if not files.exists(path):
+            return {}
+        names = [(s.getPath().getName(), s.getPath().toString()) for s in files.listStatus(path) if s.getLen()]
+        return {int(name.split(".")[0]): full for name, full in names if name.split(".")[0].isdigit()}
+
+    def _entry(self, path):
+        return json.loads(self.spark.read.option("wholetext", True).text(path).first()[0])
 
     def current(self):
         """(run number, tables by name) of the newest finished run."""
-        last = self._log().orderBy(F.desc("run")).limit(1).collect()
-        return (last[0].run, json.loads(last[0].tables)) if last else (0, {})
+        log = self._log()
+        return (max(log), self._entry(log[max(log)])["tables"]) if log else (0, {})
 
     def begin(self):
-        """A folder for the tables of one run; never one that is read."""
+        """A folder for the tables of one run, which starts from the state as it is now."""
+        self._base = self.current()
         return f"{self.root}/runs/{uuid.uuid4().hex}"
 
     def write(self, df, folder, name, bucketed=True, spread=False):
@@ -84,9 +101,15 @@ class SnapshotStore:
                 f"LOCATION '{path}'")
         return self.spark.table(entry["table"])
 
+    def base(self):
+        """(run number, tables by name) that this run starts from."""
+        if self._base is None:
+            self._base = self.current()
+        return self._base
+
     def load(self):
-        """The current state tables; empty ones before the first run."""
-        tables = self.current()[1]
+        """The state tables this run starts from; empty ones before the first run."""
+        tables = self.base()[1]
         state = {
             name: self.read(tables[name]) if name in tables
             else self.spark.createDataFrame([], schema)
@@ -98,15 +121,42 @@ class SnapshotStore:
         return state
 
     def commit(self, entries, now):
-        """Make the tables current."""
-        run, tables = self.current()
+        """Make the tables current, or raise CommitConflict."""
+        run, tables = self.base()
         kept = {name: {k: v for k, v in entry.items() if k != "table"}
                 for name, entry in {**tables, **entries}.items()}
-        row = [(run + 1, int(now), json.dumps(kept))]
-        self.spark.createDataFrame(row, _LOG).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/log")
+        files, folder = self._files()
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/log/{run + 1:012d}.json")
+        files.mkdirs(folder)
+        try:
+            out = files.create(target, False)
+        except Py4JJavaError as error:
+            if "already exists" not in str(error.java_exception):
+                raise
+            raise CommitConflict(f"run {run + 1} is there already; begin again") from None
+        out.write(bytearray(json.dumps({"at": int(now), "tables": kept}).encode()))
+        out.close()
+        self._base = (run + 1, kept)
         return run + 1
 
+    def expire_runs(self, keep=2):
+        """Remove log files and tables of all but the newest runs; returns how many runs went."""
+        if keep < 1:
+            raise ValueError("keep at least the newest run")
+        log = self._log()
+        numbers = sorted(log)
+        old, kept = numbers[:-keep], numbers[-keep:]
+        paths = lambda runs: {e["path"] for n in runs for e in self._entry(log[n])["tables"].values() if "path" in e}
+        used = paths(kept)
+        files, _ = self._files()
+        Path = self.spark._jvm.org.apache.hadoop.fs.Path
+        folders = {p.rsplit("/", 1)[0] for p in paths(old)} - {p.rsplit("/", 1)[0] for p in used}
+        for path in [*folders, *(paths(old) - used)]:
+            files.delete(Path(path), True)
+        for n in old:
+            files.delete(Path(log[n]), False)
+        return len(old)
+
     def _name(self):
         name = f"endpulse_{uuid.uuid4().hex}"
         self._registered.append(name)
@@ -115,5 +165,5 @@ class SnapshotStore:
     def close(self):
         """Forget the table names; the files stay."""
         for name in self._registered:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: only the name goes
         self._registered = []

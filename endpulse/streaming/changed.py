@@ -2,13 +2,18 @@
 
 from pyspark.sql import functions as F, types as T
 
-from ..operators.ingest import changed_sources, payload_lines
+from ..operators.ingest import changed_lines, changed_sources
+from ..sources.snapshots import CommitConflict
 from ..sources.tables import payload_columns, read_or_empty
 
 SEEN = T.StructType([
     T.StructField("link", T.StringType()), T.StructField("data_hash", T.StringType()),
     T.StructField("arrived", T.LongType()), T.StructField("batch", T.LongType()),
 ])
+CHANGED = T.StructType([
+    T.StructField("source", T.StringType()), T.StructField("data_hash", T.StringType()),
+    T.StructField("arrived", T.LongType()),
+])
 LINES = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("data_hash", T.StringType()),
     T.StructField("arrived", T.LongType()), T.StructField("line", T.StringType()),
@@ -45,7 +50,10 @@ def start_payload_stream(payloads, base, folder, checkpoint):
     def write_batch(batch, batch_id):
         spark = batch.sparkSession
         state = source_state(spark, base, folder, before=batch_id)
-        lines = payload_lines(changed_sources(batch, state), "data_hash", "arrived")
+        changed_path = f"{folder}/changed/batch={batch_id}"
+        changed_sources(batch, state).write.mode("overwrite").parquet(changed_path)
+        changed = spark.read.schema(CHANGED).parquet(changed_path)
+        lines = changed_lines(batch, changed)
         lines_path = f"{folder}/lines/batch={batch_id}"
         lines.write.mode("overwrite").parquet(lines_path)
         written = spark.read.schema(LINES).parquet(lines_path)
@@ -65,11 +73,16 @@ def changed_links(spark, folder):
         F.col("line").isNotNull()).select("source", "line")
 
 
-def compact(store, folder, now):
-    """Store the source state that the batches left and make it current.
+def compact(store, folder, now, tries=5):
+    """Store the source state that the batches left and make it current; starts again after a conflict.
 
     The next stream starts with a new folder: ``folder`` is spent.
     """
-    state = source_state(store.spark, store.load()["sources"], folder)
-    return store.commit(
-        {"sources": store.write(state, store.begin(), "sources", bucketed=False)}, now)
+    for left in reversed(range(tries)):
+        place = store.begin()
+        state = source_state(store.spark, store.load()["sources"], folder)
+        try:
+            return store.commit({"sources": store.write(state, place, "sources", bucketed=False)}, now)
+        except CommitConflict:
+            if not left:
+                raise
