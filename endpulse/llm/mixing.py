@@ -91,29 +91,40 @@ def _ranked(documents: DataFrame, weights: dict[str, int]) -> DataFrame:
             .drop("__md5", "__group", "__row", "__before"))
 
 
-def scheduled(documents: DataFrame, weights: dict[str, int], block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """documents plus share, block, slot, release, deadline and place (in the block), all from 0."""
-    new = ("share", "block", "slot", "release", "deadline", "place")
-    docs = _ranked(documents.drop(*new), weights)
-    table = period(documents.sparkSession, weights)
-    total = sum((weights if REST in weights else weights | {REST: 1}).values())
-    parts = F.create_map(*[x for n, a in (weights | ({} if REST in weights else {REST: 1})).items()
-                           for x in (F.lit(n), F.lit(a))])
+ADDED = ("share", "block", "slot", "release", "deadline", "place")
+
+
+def _placed(documents: DataFrame, weights: dict[str, int], block_docs: int) -> tuple[DataFrame, dict[str, str]]:
+    """The new columns beside the old ones, which have other names meanwhile: new name by old name."""
+    own = {c: c if c in ("doc_id", "source") else f"__own_{i}" for i, c in enumerate(documents.columns)}
+    weights = weights if REST in weights else weights | {REST: 1}
+    total = sum(weights.values())
+    parts = F.create_map(*[x for n, a in weights.items() for x in (F.lit(n), F.lit(a))])
+    docs = _ranked(documents.withColumnsRenamed(own), weights)
     docs = (docs.withColumn("block", F.floor(F.col("__rank") / block_docs))
             .withColumn("place", (F.col("__rank") % block_docs).cast("int"))
             .withColumn("__parts", F.element_at(parts, F.col("share")))
             .withColumn("j", (F.col("block") % F.col("__parts")).cast("int"))
-            .withColumn("__round", F.floor(F.col("block") / F.col("__parts")) * total))
+            .withColumn("__first", F.floor(F.col("block") / F.col("__parts")) * total))
     # The period has MAX_PARTS rows at most.
-    joined = docs.join(F.broadcast(table.drop("parts", "total")), ["share", "j"])
-    at = F.col("__round")
+    table = period(documents.sparkSession, weights).drop("parts", "total")
+    joined = docs.join(F.broadcast(table), ["share", "j"])
+    first = F.col("__first")
     return joined.select(
-        *[F.col(f"`{c}`") for c in documents.columns if c not in new], "share", "block",
-        (at + F.col("at")).alias("slot"), (at + F.col("release")).alias("release"),
-        (at + F.col("deadline")).alias("deadline"), "place")
+        *own.values(), "share", "block", (first + F.col("at")).alias("slot"),
+        (first + F.col("release")).alias("release"), (first + F.col("deadline")).alias("deadline"), "place"), own
+
+
+def scheduled(documents: DataFrame, weights: dict[str, int], block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """documents plus share, block, slot, release, deadline and place (in the block), all from 0.
+
+    Columns of these names in documents are replaced.
+    """
+    done, own = _placed(documents, weights, block_docs)
+    return done.select(*[F.col(n).alias(c) for c, n in own.items() if c not in ADDED], *ADDED)
 
 
 def mixed(documents: DataFrame, weights: dict[str, int], block_docs: int = BLOCK_DOCS) -> DataFrame:
     """The columns and rows of documents, sorted by slot and place: written files hold the mixed order."""
-    done = scheduled(documents, weights, block_docs)
-    return done.orderBy("slot", "place").select(*[F.col(f"`{c}`") for c in documents.columns])
+    done, own = _placed(documents, weights, block_docs)
+    return done.orderBy("slot", "place").select(*[F.col(n).alias(c) for c, n in own.items()])
