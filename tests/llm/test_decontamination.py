@@ -1,0 +1,98 @@
+import hashlib
+import random
+
+import pytest
+from llm.helpers import rows_of, table, words
+
+from endpulse.llm import decontamination as lib
+
+ITEM = "item_id bigint, text string"
+
+
+def by_hand(docs, items):
+    out = []
+    for doc_id, text in docs:
+        w = words(text)
+        hit, found = set(), set()
+        for item, body in items:
+            b = words(body)
+            n = min(len(b), lib.SPAN)
+            grams = {tuple(b[i:i + n]) for i in range(len(b) - n + 1)} if n else set()
+            for i in range(len(w) - n + 1) if n else ():
+                if tuple(w[i:i + n]) in grams:
+                    hit |= set(range(i, i + n))
+                    found.add("" if item is None else str(item))
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((doc_id, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=repr)
+
+
+def run(spark, docs, items, extra=None):
+    found = lib.contaminated(table(spark, docs, extra), spark.createDataFrame(items, ITEM))
+    return rows_of(found, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def random_case(seed):
+    rand = random.Random(seed)
+    vocabulary = [rand.choice(["ab", "Cd", "é", "x9", "the", "of"]) + str(rand.randint(0, 3)) for _ in range(9)]
+    text = lambda n: " ".join(rand.choice(vocabulary) for _ in range(n))
+    items = [(i, text(rand.choice([0, 1, 3, 7, 8, 9, 12, 13, 14, 20, 40]))) for i in range(14)]
+    items += [(3, text(15)), (None, text(15)), (77, None), (78, items[5][1])]
+    docs = []
+    for i in range(40):
+        parts = [text(rand.randint(0, 25))]
+        for _ in range(rand.randint(0, 3)):
+            item = words(rand.choice(items)[1])
+            if item:
+                a = rand.randint(0, len(item) - 1)
+                parts.append(" ".join(item[a:a + rand.randint(1, 20)]))
+                parts.append(text(rand.randint(0, 30)))
+        docs.append((i, ", ".join(parts)))
+    return docs, items
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_same_as_by_hand(spark, seed):
+    docs, items = random_case(seed)
+    docs += [(None, docs[0][1]), (1, docs[2][1]), docs[3], docs[3], (900, None), (901, ""), (902, "?!")]
+    assert run(spark, docs, items, ["item", "place", "context", "n_hit"]) == by_hand(docs, items)
+
+
+def test_every_span_of_the_length_is_found_wherever_it_stands(spark):
+    rand = random.Random(5)
+    item = [f"w{i}" for i in range(60)]
+    docs = []
+    for a in range(60 - lib.SPAN + 1):
+        rest = [f"r{rand.randint(0, 10**9)}" for _ in range(rand.randint(0, 40))]
+        at = rand.randint(0, len(rest))
+        docs.append((a, " ".join(rest[:at] + item[a:a + lib.SPAN] + rest[at:])))
+        docs.append((1000 + a, " ".join(rest[:at] + item[a:a + lib.SPAN - 1] + rest[at:])))
+    found = run(spark, docs, [(1, " ".join(item))])
+    assert found == by_hand(docs, [(1, " ".join(item))])
+    assert all((r[2] == lib.SPAN) == (r[0] < 1000) for r in found)
+
+
+def test_empty_tables(spark):
+    assert run(spark, [], [(1, "a b c")]) == []
+    assert run(spark, [(1, "a b")], []) == by_hand([(1, "a b")], [])
+    assert run(spark, [(1, "a b")], [(5, ""), (6, None)]) == by_hand([(1, "a b")], [])
+
+
+def test_long_text_with_many_hits(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, " ".join([item] * 400 + ["x"] * 5000)), (2, "x " * 20000)]
+    assert run(spark, docs, [(1, item)]) == by_hand(docs, [(1, item)])
+
+
+def test_contaminated_rows_go_and_columns_stay(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    docs = table(spark, [(1, item), (2, "fine text"), (3, None), (2, "fine text")], ["item", "n_items"])
+    left = lib.without_contaminated(docs, spark.createDataFrame([(1, item)], ITEM))
+    assert left.columns == docs.columns
+    assert rows_of(left, "doc_id", "item") == [(2, "kept"), (2, "kept"), (3, "kept")]
+
+
+def test_plan_is_native(spark):
+    docs, items = random_case(1)
+    plan = lib.contaminated(table(spark, docs), spark.createDataFrame(items, ITEM))._jdf.queryExecution().toString()
+    assert "Python" not in plan.replace("applySchemaToPythonRDD", "") and "Arrow" not in plan

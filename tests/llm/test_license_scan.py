@@ -1,0 +1,67 @@
+import random
+
+from llm.helpers import table, words
+
+from endpulse.llm import license_scan as lib
+
+
+def by_hand(text):
+    w = words(text)
+    places = [(i, label) for p, label in lib.PHRASES for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]
+    labels, best = {l for _, l in places}, 0.0
+    for line in (text or "").split("\n"):
+        own = words(line)
+        for a in range(0, max(1, len(own)), lib.STEP):
+            block = set(own[a:a + lib.BLOCK])
+            for notice, label in lib.NOTICES:
+                tokens = set(notice.split())
+                common = len(block & tokens)
+                if common >= lib.needed(len(tokens), lib.THRESHOLD):
+                    labels.add(label)
+                    best = max(best, common / len(tokens))
+    starts = [i for i, _ in places]
+    return (len(w), len(places), min(starts, default=None), max(starts, default=None), sorted({l for _, l in places}),
+            sorted(labels), 1.0 if places else best)
+
+
+def corpus(seed=1):
+    rand = random.Random(seed)
+    tokens = lib.notice_tokens()
+    docs = []
+    for i in range(150):
+        lines = []
+        for _ in range(rand.randint(0, 4)):
+            kind = rand.random()
+            if kind < 0.4:
+                notice = rand.choice(lib.NOTICES)[0].split()
+                for _ in range(rand.randint(0, max(1, len(notice) // 4))):
+                    notice[rand.randint(0, len(notice) - 1)] = rand.choice(tokens + ["zz"])
+                pad = [rand.choice(["foo", "bar", "the", "mit"]) for _ in range(rand.randint(0, 90))]
+                at = rand.randint(0, len(pad))
+                lines.append(" ".join(pad[:at] + notice + pad[at:]))
+            elif kind < 0.6:
+                lines.append(rand.choice(["MIT License", "Licensed under CC BY-NC 4.0.", "cc by cc by", "GNU General\nPublic License",
+                                          "Apache, License!", "gnu general public", "permit license"]))
+            else:
+                lines.append(" ".join(rand.choice(tokens) for _ in range(rand.randint(0, 120))))
+        docs.append((i, "\n".join(lines)))
+    return docs + [(500, None), (501, ""), (None, "the mit license"), (3, docs[3][1]), (502, "word " * 30_000 + "apache license"),
+                   (503, "cc"), (504, "by")]
+
+
+def test_same_as_by_hand(spark):
+    docs = corpus()
+    rows = lib.scanned(table(spark, docs, ["row", "labels", "token", "score"])).collect()
+    got = sorted(((r["doc_id"], (r["n_words"], r["n_base"], r["first_word"], r["last_word"], list(r["base_labels"]),
+                                 list(r["labels"]), r["score"])) for r in rows), key=repr)
+    assert got == sorted(((i, by_hand(t)) for i, t in docs), key=repr)
+    assert any(set(r["labels"]) - set(r["base_labels"]) for r in rows)
+
+
+def test_phrases_do_not_cross_texts(spark):
+    rows = lib.scanned(table(spark, [(1, "the mit"), (2, "license of cc"), (3, "by apache")])).collect()
+    assert [r["n_base"] for r in rows] == [0, 0, 0]
+
+
+def test_empty_table(spark):
+    assert lib.scanned(table(spark, [(1, "a")]).where("false")).count() == 0
