@@ -54,8 +54,10 @@ FROM payloads WHERE split_part(source, '/', 1) <> 'src6'""",
 
     "outbounds": """
 SELECT link, max(outbound) AS outbound FROM (
-SELECT {link} AS link, CASE WHEN page_id % 9 = 0 THEN NULL ELSE
-  '{"protocol":"' || CASE WHEN page_id % 2 = 0 THEN 'vless' ELSE 'trojan' END
+SELECT {link} AS link, CASE WHEN page_id % 9 = 0 THEN NULL
+  WHEN page_id % 23 = 5 THEN '{"protocol":"vless","settings":{"address": '
+  WHEN page_id % 23 = 6 THEN '[{"protocol":"vless","address":"' || {host} || '"}]' ELSE
+  CASE WHEN page_id % 5 = 2 THEN '{"protocol":"ss",' ELSE '{' END || '"protocol":"' || CASE WHEN page_id % 2 = 0 THEN 'vless' ELSE 'trojan' END
   || '","settings":{"' || CASE WHEN page_id % 2 = 0 THEN 'vnext' ELSE 'servers' END
   || '":[{"address":"' || {host} || '"}]},"streamSettings":{"network":"'
   || CASE WHEN page_id % 4 = 0 THEN 'xhttp' WHEN page_id % 4 = 1 THEN 'httpupgrade' ELSE 'tcp' END
@@ -63,7 +65,9 @@ SELECT {link} AS link, CASE WHEN page_id % 9 = 0 THEN NULL ELSE
   || '","path":"/' || repeat('p', CAST(page_id % 260 AS INT)) || '"},"tlsSettings":{"serverName":"'
   || CASE WHEN page_id % 5 = 0 THEN '' ELSE 's.example' END
   || '"},"realitySettings":{"serverName":"'
-  || CASE WHEN page_id % 10 = 0 THEN 'é' ELSE 'r.example' END || '"}}}' END AS outbound FROM pages
+  || CASE WHEN page_id % 10 = 0 THEN 'é' ELSE 'r.example' END || '"}}'
+  || CASE WHEN page_id % 4 = 3 THEN ',"mux":{"out":[{"address":"first.example"},{"via":{"address":"' || {host}
+    || '"}}],"text":"{address"}' ELSE '' END || '}' END AS outbound FROM pages
 ) q GROUP BY link""",
 
     "catalog": """
@@ -82,17 +86,22 @@ FROM customer""",
     "dead": """
 SELECT {sha}(c_name{bits}) AS proxy_hash, 'vless://' || c_name AS raw_link, 'vless' AS scheme, 'url_test_failed' AS reason,
   CAST(1690000000 AS BIGINT) AS created_at, CAST(1699999990 + c_custkey % 20 AS BIGINT) AS expires_at
-FROM customer WHERE c_custkey % 9 = 0""",
+FROM customer WHERE c_custkey % 9 = 0
+UNION ALL SELECT {sha}(link{bits}), link, 'vless', 'url_test_failed', CAST(1690000000 AS BIGINT),
+  CAST(1699999990 + min(page_id) % 20 AS BIGINT)
+FROM (SELECT {link} AS link, page_id FROM pages WHERE page_id % 7 = 3) p GROUP BY link""",
 
     # The fixture of the merge: customers of some nations are in the catalogue
-    # before, customers of other, partly the same nations come in fresh.
+    # before, customers of other, partly the same nations come in fresh, and so do
+    # all that are not in the catalogue.
     "existing": """
 SELECT * FROM catalog WHERE city < 'City 3' OR country IS NULL""",
 
     "fresh": """
 SELECT {sha}(c_name{bits}) AS proxy_hash, 'vless://' || c_name AS raw_link,
   CASE WHEN c_custkey % 4 = 0 THEN 'trojan' ELSE 'vless' END AS scheme
-FROM customer WHERE c_nationkey >= 10""",
+FROM customer WHERE c_nationkey >= 10 OR (c_nationkey % 6 <> 0
+  AND NOT coalesce(CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 'City ' || c_nationkey END < 'City 3', false))""",
 
     "results": """
 SELECT event_id AS seq, {sha}('Customer#' || lpad(CAST(user_id * 13 AS VARCHAR(20)), 9, '0'){bits}) AS proxy_hash,

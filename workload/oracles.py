@@ -22,9 +22,31 @@ SELECT source, link, sha256(link) AS proxy_hash FROM (
   SELECT source, trim(split_part(line, '#', 1)) AS link FROM raw_lines WHERE contains(line, '://')) l
 WHERE link <> ''""",
 
+    # Of the "protocol" keys the last counts; "mux" is the last member with an address.
+    "checks": """
+SELECT link, outbound, doc IS NOT NULL AS readable,
+  CASE WHEN doc IS NOT NULL THEN regexp_extract_all(doc, '"protocol":"([a-z]+)"', 1)[-1] END AS scheme,
+  coalesce(json_extract_string(doc, '$.mux.out[1].via.address'),
+           json_extract_string(doc, '$.settings.vnext[0].address'),
+           json_extract_string(doc, '$.settings.servers[0].address')) AS host,
+  json_extract_string(doc, '$.streamSettings.network') IN ('xhttp', 'splithttp', 'httpupgrade') AS checked,
+  list_aggregate([regexp_matches(x, '[^\\x00-\\x7F]') OR contains(x, '@') OR length(x) > 250
+    FOR x IN [coalesce(nullif(json_extract_string(doc, '$.streamSettings.tlsSettings.serverName'), ''),
+                       json_extract_string(doc, '$.streamSettings.realitySettings.serverName'), ''),
+              coalesce(json_extract_string(doc, '$.streamSettings.xhttpSettings.host'), ''),
+              coalesce(json_extract_string(doc, '$.streamSettings.xhttpSettings.path'), '')]], 'bool_or') AS odd
+FROM (SELECT link, outbound, CASE WHEN json_valid(outbound) THEN
+        CASE WHEN json_type(outbound) = 'OBJECT' THEN outbound END END AS doc FROM outbounds) o""",
+
+    "verdicts": """
+SELECT link, sha256(link) AS proxy_hash, scheme, host,
+  CASE WHEN outbound IS NULL THEN 'missing' WHEN NOT readable THEN 'unreadable'
+       WHEN checked AND odd THEN 'unsafe' ELSE 'safe' END AS verdict
+FROM checks""",
+
     "known": """
-SELECT sha256(link) AS proxy_hash, link AS raw_link, json_extract_string(outbound, '$.protocol') AS scheme
-FROM outbounds WHERE outbound IS NOT NULL""",
+SELECT proxy_hash, raw_link, scheme FROM (
+  SELECT sha256(link) AS proxy_hash, link AS raw_link, scheme FROM checks WHERE readable) c""",
 
     "payload_texts": """
 SELECT source, sha256(encode(body)) AS data_hash,
@@ -35,23 +57,6 @@ SELECT source, data_hash, trim(line) AS line FROM (
   SELECT source, data_hash, unnest(string_split(txt, chr(10))) AS line FROM payload_texts) l
 WHERE contains(line, '://')""",
 
-    "checks": """
-SELECT link, outbound, json_extract_string(outbound, '$.protocol') AS scheme,
-  coalesce(json_extract_string(outbound, '$.settings.vnext[0].address'),
-           json_extract_string(outbound, '$.settings.servers[0].address')) AS host,
-  json_extract_string(outbound, '$.streamSettings.network') IN ('xhttp', 'splithttp', 'httpupgrade') AS checked,
-  list_aggregate([regexp_matches(x, '[^\\x00-\\x7F]') OR contains(x, '@') OR length(x) > 250
-    FOR x IN [coalesce(nullif(json_extract_string(outbound, '$.streamSettings.tlsSettings.serverName'), ''),
-                       json_extract_string(outbound, '$.streamSettings.realitySettings.serverName'), ''),
-              coalesce(json_extract_string(outbound, '$.streamSettings.xhttpSettings.host'), ''),
-              coalesce(json_extract_string(outbound, '$.streamSettings.xhttpSettings.path'), '')]], 'bool_or') AS odd
-FROM outbounds""",
-
-    "verdicts": """
-SELECT link, sha256(link) AS proxy_hash, scheme, host,
-  CASE WHEN outbound IS NULL THEN 'missing' WHEN checked AND odd THEN 'unsafe' ELSE 'safe' END AS verdict
-FROM checks""",
-
     "page_links": """
 SELECT DISTINCT k.proxy_hash, k.raw_link, k.scheme FROM links l JOIN known k ON k.proxy_hash = l.proxy_hash
 WHERE NOT EXISTS (SELECT 1 FROM dead d WHERE d.proxy_hash = l.proxy_hash)""",
@@ -242,9 +247,9 @@ FROM source_state s FULL JOIN payload_texts t ON s.link = t.source""",
     "ingest_stats": """SELECT l.source, count(*) AS total_links, count(k.proxy_hash) AS parsed, count(DISTINCT k.proxy_hash) AS unique_parsed
 FROM links l LEFT JOIN known k ON k.proxy_hash = l.proxy_hash GROUP BY l.source""",
     "ingest_totals": """SELECT count(*) AS total_links, count(k.proxy_hash) AS parsed, count(DISTINCT k.proxy_hash) AS unique_fresh,
-  count(DISTINCT CASE WHEN k.proxy_hash >= '4' THEN k.proxy_hash END) AS added,
-  count(DISTINCT CASE WHEN k.proxy_hash < '4' THEN k.proxy_hash END) AS skipped_dead
-FROM links l LEFT JOIN known k ON k.proxy_hash = l.proxy_hash""",
+  count(DISTINCT CASE WHEN d.proxy_hash IS NULL THEN k.proxy_hash END) AS added,
+  count(DISTINCT CASE WHEN d.proxy_hash IS NOT NULL THEN k.proxy_hash END) AS skipped_dead
+FROM links l LEFT JOIN known k ON k.proxy_hash = l.proxy_hash LEFT JOIN dead d ON d.proxy_hash = k.proxy_hash""",
     "expire_dead": f"SELECT * FROM dead WHERE expires_at >= {NOW}",
     "merge_candidates": _MERGE,
     "merge_count": f"SELECT count(*) AS added FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM {_ALIVE} d WHERE d.proxy_hash = f.proxy_hash)",

@@ -166,8 +166,7 @@ def ingest_stats(spark, sf_dir):
 @query
 def ingest_totals(spark, sf_dir):
     v = _Views(spark, sf_dir)
-    gone = v.links.select("proxy_hash").distinct().where(F.col("proxy_hash") < "4")
-    return ingest.ingest_totals(v.counts, v.known, gone)
+    return ingest.ingest_totals(v.counts, v.known, v.dead)
 
 
 # Catalogue and dead-list ---------------------------------------------------
