@@ -6,28 +6,34 @@ of a shuffle. Most lookups here are aggregates, so hot keys are split by hand.
 
 from pyspark.sql import functions as F
 
-# A key is hot if it holds more than this part of the rows. So there are never
-# more than HOT_PART hot keys, and they may always be broadcast.
-HOT_PART = 1000
-COPIES = 256
+# Groups for each task, so that they spread evenly.
+GROUPS = 4
+
+
+def parts(rows):
+    """Into how many parts Spark splits a shuffle at first: what one task is meant to hold is one of them."""
+    conf = rows.sparkSession.conf
+    return int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                        conf.get("spark.sql.shuffle.partitions")))
 
 
 def lookup_join(rows, lookup, key, own):
     """``rows`` with the columns of ``lookup``, which has one row per ``key``.
 
-    Rows of a hot key are spread over COPIES groups by their column ``own``,
-    and the lookup's row is repeated for each. Rows without a key are spread
-    in the same way. Keys are counted with map-side aggregation first, so
-    ``rows`` is read twice: pass a stored table.
+    A key is hot if it holds more rows than 1/GROUPS of a task's share, so there are
+    fewer hot keys than GROUPS for each task, and they may always be broadcast. Its
+    rows are spread by their column ``own`` over as many groups as it holds such
+    parts, and the lookup's row is repeated for each. Rows without a key are spread over all. Keys are counted with
+    map-side aggregation first, so ``rows`` is read twice: pass a stored table.
     """
+    tasks = GROUPS * parts(rows)
     sizes = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     total = sizes.agg(F.sum("n")).scalar()
-    hot = F.broadcast(
-        sizes.where(F.col("n") * HOT_PART > total).select(key, F.lit(True).alias("is_hot")))
-    group = F.pmod(F.xxhash64(own), F.lit(COPIES)).cast("int")
-    spread = F.when(F.col("is_hot") | F.col(key).isNull(), group).otherwise(0)
-    copies = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(COPIES - 1))).otherwise(
-        F.array(F.lit(0)))
-    left = rows.join(hot, key, "left").withColumn("salt", spread).drop("is_hot")
-    right = lookup.join(hot, key, "left").withColumn("salt", F.explode(copies)).drop("is_hot")
+    hot = F.broadcast(sizes.where(F.col("n") * tasks > total).select(
+        key, F.ceil(F.col("n") * tasks / total).cast("int").alias("groups")))
+    groups = F.when(F.col(key).isNull(), tasks).otherwise(F.coalesce("groups", F.lit(1)))
+    left = rows.join(hot, key, "left").withColumn(
+        "salt", F.pmod(F.xxhash64(own), groups).cast("int")).drop("groups")
+    copies = F.sequence(F.lit(0), F.coalesce("groups", F.lit(1)) - 1)
+    right = lookup.join(hot, key, "left").withColumn("salt", F.explode(copies)).drop("groups")
     return left.join(right, [key, "salt"], "left").drop("salt")

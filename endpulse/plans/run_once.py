@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.durations import duration_seconds
 from ..operators import attempts, catalog as cat, containment, ingest, select
 from ..operators.skew import lookup_join
 from ..schemas import check_method
@@ -32,6 +33,8 @@ class Inputs:
     resolutions: DataFrame | None = None
     networks: DataFrame | None = None
     geo: DataFrame | None = None
+    # Rows of received chunks (proxy_hash, attempt_seq, n_bytes), if speed_attempts tells no bytes.
+    speed_chunks: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -41,6 +44,9 @@ class Params:
     ttl_days: int = 30
     max_attempts: int = 3
     speed_threshold: float = 1.0
+    url_timeout: str | None = None  # durations such as 2s or 500ms; slower attempts failed
+    speed_timeout: str | None = None
+    latency_top: int | None = None  # test the speed of so many only, those of least latency
     cidr_method: str | None = None  # None: no CIDR stage
     country_method: str | None = None  # None: no country filter, no geo labels
     countries: tuple = ()
@@ -56,8 +62,8 @@ class Params:
                 check_method(method)
         if self.commit_state not in ("before", "after"):
             raise ValueError(f"commit_state must be 'before' or 'after', not {self.commit_state!r}")
-        if self.target <= 0 or self.max_attempts <= 0:
-            raise ValueError("target and max_attempts must be positive")
+        if self.target <= 0 or self.max_attempts <= 0 or (self.latency_top or 1) <= 0:
+            raise ValueError("target, max_attempts and latency_top must be positive")
         if self.ttl_days < 0:
             raise ValueError("ttl_days must not be negative")
 
@@ -74,15 +80,36 @@ def _new_sources(sources, counts, facts, commit_state):
     return ingest.upsert_source_state(sources, seen)
 
 
+def _seconds(spark, text):
+    """The seconds of a duration text; None for None."""
+    if text is None:
+        return None
+    seconds = spark.range(1).select(duration_seconds(F.lit(text))).first()[0]
+    if seconds is None:
+        raise ValueError(f"not a positive duration: {text!r}")
+    return seconds
+
+
 def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     """Run all stages on the state under ``root`` and make the new state current.
 
-    Returns the new state tables, the ingest totals and the run's counts.
+    Returns the new state tables, the ingest totals and the run's figures. Raises
+    CommitConflict where another run committed meanwhile; run again then.
     """
     if params.cidr_method and (inputs.networks is None or inputs.resolutions is None):
         raise ValueError("a cidr_method needs networks and resolutions")
-    start = time.monotonic()
     store = SnapshotStore(spark, root)
+    try:
+        return _run(spark, store, inputs, params, export_path, headers_path)
+    except BaseException:
+        store.close()  # the names of its tables go
+        raise
+
+
+def _run(spark, store, inputs, params, export_path, headers_path):
+    start = time.monotonic()
+    url_timeout, speed_timeout = (_seconds(spark, t) for t in (params.url_timeout, params.speed_timeout))
+    figures = {}
     folder, written, now = store.begin(), {}, params.now
 
     def save(name, df, **how):
@@ -92,6 +119,7 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     alive = lambda table: table.where(~cat.is_dead())
     state = store.load()
     dead = cat.expire_dead(state["dead"], now)
+    figures["expired"] = state["dead"].where(F.col("expires_at") < now).count()
 
     # Ingest: payloads are read once; a source without links keeps a NULL row.
     changed = save("changed", ingest.changed_sources(inputs.payloads, state["sources"]), bucketed=False)
@@ -113,6 +141,7 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
         addresses = save("addresses", stages.host_addresses(
             table, facts, inputs.resolutions), bucketed=False)
         results = stages.cidr_stage(table, facts, addresses, networks, params.cidr_method)
+        figures["hostless"] = stages.hostless(table, facts).count()
         table = save("after_cidr", cat.update_catalog(table, stages.outcomes(results), now))
         died.append(table)
     candidates = alive(table).count()
@@ -121,7 +150,7 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     if params.country_method and inputs.geo is not None:
         geo = save("geo", containment.geo_networks(inputs.geo), bucketed=False)
     exits = save("exits", attempts.exit_ips(inputs.exit_answers))
-    results = stages.url_stage(alive(table), facts, inputs.url_attempts,
+    results = stages.url_stage(alive(table), facts, stages.timed_url_attempts(inputs.url_attempts, url_timeout),
                                stages.exit_places(exits, geo), params.max_attempts)
     tested = cat.update_catalog(alive(table), stages.outcomes(results), now)
     if params.country_method:
@@ -129,8 +158,15 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     table = save("after_url", tested)
     died.append(table)
 
+    figures["speed_candidates"] = alive(table).count()
+    candidates_for_speed = alive(table)
+    if params.latency_top:
+        candidates_for_speed = candidates_for_speed.join(
+            select.latency_top(alive(table), params.latency_top).select("proxy_hash"), "proxy_hash", "left_semi")
     results = save("speed_results", stages.speed_stage(
-        alive(table), facts, inputs.speed_attempts, params.speed_threshold, params.max_attempts))
+        candidates_for_speed, facts,
+        stages.sized_speed_attempts(inputs.speed_attempts, inputs.speed_chunks, speed_timeout),
+        params.speed_threshold, params.max_attempts))
     kept = stages.stop_speed_tests(results, params.target)
     table = save("catalog", cat.update_catalog(alive(table), stages.outcomes(kept), now))
     died.append(table)
@@ -145,7 +181,8 @@ def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     run = store.commit({n: e for n, e in written.items()
                         if n in ("catalog", "dead", "selected", "sources")}, now)
     result = {**store.load(), "totals": totals, "run": run, "candidates": candidates,
-              "facts": facts, "store": store}
+              "facts": facts, "store": store, "figures": figures}
+    figures["selected"] = result["selected"].count()
     if export_path:
         elapsed = time.monotonic() - start if params.elapsed is None else params.elapsed
         write_export(result["selected"], params.export, now, export_path, elapsed, candidates,

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.netaddr import host_key
 from ..functions.outbound import BROKEN, MISSING, UNSAFE, UNUSABLE
-from ..operators.attempts import ATTEMPTS, speed_outcomes, stop_point, url_outcomes
+from ..operators.attempts import (
+    ATTEMPTS, attempt_bytes, latency_ms, speed_outcomes, stop_point, url_outcomes,
+)
 from ..operators.catalog import METRICS, status_label
 from ..operators.containment import host_verdicts, resolve_hosts, with_geo
 from ..operators.skew import lookup_join
@@ -78,6 +80,28 @@ def exit_places(exits, geo=None):
     return with_geo(exits, geo, "proxy_hash")
 
 
+def within(attempts, column, timeout):
+    """Attempts that took longer than the timeout (seconds; None: any time) count as failed."""
+    if timeout is None:
+        return attempts
+    return attempts.withColumn("ok", F.col("ok") & F.coalesce(F.col(column) <= timeout, F.lit(True)))
+
+
+def timed_url_attempts(attempts, timeout=None):
+    """Attempts with latency_ms; where they tell elapsed seconds (elapsed_s) it is computed from them."""
+    if "latency_ms" not in attempts.columns:
+        attempts = attempts.withColumn("latency_ms", F.when(F.col("ok"), latency_ms(F.col("elapsed_s"))))
+    return within(attempts, "latency_ms", timeout and timeout * 1000)
+
+
+def sized_speed_attempts(attempts, chunks=None, timeout=None):
+    """Attempts with n_bytes; with chunk rows (proxy_hash, attempt_seq, n_bytes) it is their sum."""
+    if chunks is not None:
+        key = ["proxy_hash", "attempt_seq"]
+        attempts = attempts.drop("n_bytes").join(attempt_bytes(chunks, key), key, "left")
+    return within(attempts, "duration_s", timeout)
+
+
 def url_stage(catalog, facts, attempts, exits, max_attempts=ATTEMPTS):
     """Latency, exit address and its place (``exits``, from ``exit_places``)."""
     rows = (

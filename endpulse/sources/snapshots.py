@@ -56,7 +56,7 @@ class SnapshotStore:
         return {int(name.split(".")[0]): full for name, full in names if name.split(".")[0].isdigit()}
 
     def _entry(self, path):
-        return json.loads(self.spark.read.option("wholetext", True).text(path).first()[0])
+        return json.loads(self.spark.read.text(path, wholetext=True).first()[0])
 
     def current(self):
         """(run number, tables by name) of the newest finished run."""

@@ -37,16 +37,22 @@ def payload_columns(files):
 
 
 def network_lines(lines):
-    """Lines of a network list without blanks, empty lines and # comments."""
-    line = strip(F.col("line"))
-    return lines.select(line.alias("line")).where(
+    """Lines of a network list without blanks, empty lines and # comments; other columns stay."""
+    return lines.withColumn("line", strip(F.col("line"))).where(
         (F.col("line") != "") & ~F.col("line").startswith("#"))
 
 
+def numbered_lines(spark, path):
+    """(file, line_no from 1, line) of text files; each file is read as one row."""
+    files = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r\n|\n|\r")).alias("at", "line"))
+    return files.select("file", (F.col("at") + 1).alias("line_no"), "line")
+
+
 def read_networks(spark, path):
-    """(networks, rejected lines) of a text file with one network per line."""
-    lines = network_lines(spark.read.text(path).withColumnRenamed("value", "line"))
-    return parse_networks(lines), rejected_networks(lines).select("line")
+    """(networks, rejected lines with their file and number) of text files with one network per line."""
+    lines = network_lines(numbered_lines(spark, path))
+    return parse_networks(lines), rejected_networks(lines).select("file", "line_no", "line")
 
 
 def read_geo_networks(spark, path, fmt="parquet", **options):

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from endpulse.operators.skew import HOT_PART, lookup_join
+from endpulse.operators.skew import lookup_join
 
 
 def test_hot_and_missing_keys(spark):
@@ -28,4 +28,21 @@ def test_only_few_keys_can_be_hot(spark):
     rows = spark.range(5000).select("id", (F.col("id") % 2500).cast("string").alias("key"))
     plan = lookup_join(rows, rows.select("key", F.lit(1).alias("v")).distinct(), "key", "id")
     assert plan.count() == 5000 and plan.where("v is null").count() == 0
-    assert HOT_PART == 1000
+
+
+def test_a_key_with_all_rows_is_spread_over_all_tasks(spark):
+    """Groups follow the number of shuffle partitions."""
+    rows = spark.range(32000).select("id", F.lit("k").alias("key"))
+    lookup = spark.createDataFrame([("k", 1)], "key string, v int")
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = lookup_join(rows, lookup, "key", "id")
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 32000 and max(sizes) < 4 * 32000 / 16
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

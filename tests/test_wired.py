@@ -1,0 +1,81 @@
+"""Optional steps of a run: timeouts, chunk rows, elapsed seconds, a cut by latency, figures, line numbers."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from endpulse import schemas
+from endpulse.operators.attempts import speed_outcomes, url_outcomes
+from endpulse.plans import stages
+from endpulse.plans.run_once import run_once
+from endpulse.sources.tables import read_networks
+
+from test_run import NOW, bodies, inputs, params
+
+
+def test_slow_attempts_failed(spark):
+    url = spark.createDataFrame([("a", 1, True, 900.0), ("a", 2, True, 400.0), ("b", 1, True, 600.0)],
+                                "proxy_hash string, attempt_seq long, ok boolean, latency_ms double")
+    got = {r.proxy_hash: r.latency_ms for r in url_outcomes(stages.timed_url_attempts(url, 0.5)).collect()}
+    assert got == {"a": 400.0, "b": None}
+    assert {r.latency_ms for r in url_outcomes(stages.timed_url_attempts(url)).collect()} == {900.0, 600.0}
+
+
+def test_elapsed_seconds_become_latency(spark):
+    url = spark.createDataFrame([("a", 1, True, 0.25), ("b", 1, False, 0.5)],
+                                "proxy_hash string, attempt_seq long, ok boolean, elapsed_s double")
+    got = {r.proxy_hash: r.latency_ms for r in url_outcomes(stages.timed_url_attempts(url, 1.0)).collect()}
+    assert got == {"a": 250.0, "b": None}
+
+
+def test_chunk_rows_are_added_up(spark):
+    tries = spark.createDataFrame([("a", 1, True, 2.0), ("b", 1, True, 9.0), ("c", 1, True, 1.0)],
+                                  "proxy_hash string, attempt_seq long, ok boolean, duration_s double")
+    chunks = spark.createDataFrame([("a", 1, 1 << 20), ("a", 1, 1 << 20), ("a", 2, 5), ("b", 1, 1 << 20)],
+                                   "proxy_hash string, attempt_seq long, n_bytes long")
+    sized = stages.sized_speed_attempts(tries, chunks, 5.0)
+    got = {r.proxy_hash: r.mbps for r in speed_outcomes(sized).collect()}
+    assert got == {"a": 8.0, "b": None, "c": None}  # b took too long, c received nothing
+
+
+def test_rejected_lines_have_their_number(spark, tmp_path):
+    (tmp_path / "one.txt").write_text("10.0.0.0/8\n\n# note\r\nbad line\n1.2.3\n")
+    (tmp_path / "two.txt").write_text("nonsense")
+    nets, rejects = read_networks(spark, str(tmp_path))
+    assert nets.count() == 1
+    assert sorted(map(tuple, rejects.collect())) == [("one.txt", 4, "bad line"), ("one.txt", 5, "1.2.3"), ("two.txt", 1, "nonsense")]
+
+
+def test_run_with_options_and_figures(spark, tmp_path):
+    from dataclasses import replace
+    given = inputs(spark, {"s1": bodies(*range(60))}, 3)
+    chunks = given.speed_attempts.select("proxy_hash", "attempt_seq", F.explode(
+        F.array(F.col("n_bytes") - 5, F.lit(5).cast("long"))).alias("n_bytes"))
+    plain = run_once(spark, str(tmp_path / "plain"), given, params(NOW))
+    parts = run_once(spark, str(tmp_path / "parts"), replace(
+        given, speed_chunks=chunks, speed_attempts=given.speed_attempts.drop("n_bytes")), params(NOW))
+    rows = lambda r: sorted(map(str, r["selected"].collect()))
+    assert rows(plain) == rows(parts) and plain["figures"] == parts["figures"]
+    figures = plain["figures"]
+    assert figures["expired"] == 0 and figures["selected"] == plain["selected"].count() > 0
+    assert figures["hostless"] == sum(1 for i in range(60) if i % 11 and i % 17 == 0)
+    cut = run_once(spark, str(tmp_path / "cut"), given, params(NOW, latency_top=2, url_timeout="400ms"))
+    tested = cut["catalog"].where("last_status in ('speed_ok')").count()
+    assert tested <= 2 and cut["figures"]["speed_candidates"] <= figures["speed_candidates"]
+    assert cut["catalog"].where("latency_ms > 400").count() == 0
+    later = run_once(spark, str(tmp_path / "plain"), given, params(NOW + 5 * 86400))
+    assert later["figures"]["expired"] == plain["dead"].count() > 0
+    for result in (plain, parts, cut, later):
+        result["store"].close()
+
+
+def test_a_failed_run_leaves_no_names(spark, tmp_path):
+    given = inputs(spark, {"s1": bodies(1)}, 3)
+    before = {t.name for t in spark.catalog.listTables()}
+    with pytest.raises(ValueError):
+        run_once(spark, str(tmp_path), given, params(NOW, url_timeout="soon"))
+    broken = given.url_attempts.withColumn("ok", F.raise_error(F.lit("no")).cast("boolean"))
+    from dataclasses import replace
+    with pytest.raises(Exception):
+        run_once(spark, str(tmp_path), replace(given, url_attempts=broken), params(NOW))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert spark.createDataFrame([], schemas.CATALOG).count() == 0
