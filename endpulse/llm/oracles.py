@@ -1,6 +1,7 @@
 """SQL texts for DuckDB of those queries that SQL can express."""
 
 from endpulse.llm.decontamination import SPAN
+from endpulse.llm.license_scan import BLOCK, NOTICES, PHRASES, STEP, THRESHOLD
 from endpulse.llm.line_dedup import RUN
 from endpulse.llm.mixing import BLOCK_DOCS
 
@@ -52,6 +53,55 @@ FROM lines LEFT JOIN gone USING (doc_id, k) GROUP BY doc_id
 """
 
 
+op6 = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (
+  SELECT *, 2 * length(text) - length(regexp_replace(text, '[\\\\<>\\[\\]]', '', 'g')) AS text_chars,
+    2 * length(role) - length(regexp_replace(role, '[\\\\<>\\[\\]]', '', 'g')) AS role_chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  cast(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  cast(3 + sum(text_chars + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 4 ELSE role_chars + 16 END)
+       AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+_PHRASE_ROWS = ", ".join(f"('{p}', {len(p.split())}, '{label}')" for p, label in PHRASES)
+_NOTICE_ROWS = ", ".join(f"(list_distinct(string_split('{t}', ' ')), '{label}')" for t, label in NOTICES)
+op8 = f"""
+WITH phrases(phrase, k, label) AS (VALUES {_PHRASE_ROWS}),
+notices(tokens, label) AS (VALUES {_NOTICE_ROWS}),
+d AS (SELECT doc_id, text, {WORDS.format('text')} AS w FROM documents),
+places AS (
+  SELECT doc_id, i, label FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM d), phrases
+  WHERE w[i + 1] = split_part(phrase, ' ', 1) AND array_to_string(w[i + 1:i + k], ' ') = phrase),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+         list_sort(list_distinct(list(label))) AS labels FROM places GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, {WORDS.format('line')} AS w
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+blocks AS (
+  SELECT doc_id, list_distinct(w[a + 1:a + {BLOCK}]) AS b
+  FROM (SELECT doc_id, w, unnest(range(0, len(w), {STEP})) AS a FROM lines)),
+met AS (
+  SELECT doc_id, label, common, n FROM (
+    SELECT doc_id, label, len(list_intersect(b, tokens)) AS common, len(tokens) AS n FROM blocks, notices)
+  WHERE common >= ceil({THRESHOLD} * n - 1e-9)),
+more AS (
+  SELECT doc_id, list_distinct(list(label)) AS labels, max(common / n) AS best FROM met GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(base.labels, ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
+"""
+
+
 def op10(weights: dict[str, int]) -> str:
     named = ", ".join(f"('{n}', {a})" for n, a in sorted(weights.items()))
     inside = ", ".join(f"'{n}'" for n in weights if n != "*")

@@ -88,5 +88,7 @@ QUERIES = {
 ORACLES = {
     "op1_decontamination": oracles.op1,
     "op2_line_dedup": oracles.op2,
+    "op6_chat": oracles.op6,
+    "op8_license_scan": oracles.op8,
     "op10_mixing": oracles.op10(TARGET_WEIGHTS),
 }
