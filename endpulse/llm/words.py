@@ -9,9 +9,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 4 << 20  # bytes hashed at once; only a single longer word needs more
+BLOCK = 1 << 20  # bytes hashed at once; only a single longer word needs more
 MULT = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-MASK = (1 << 64) - 1
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -24,13 +23,15 @@ _powers: dict[str, np.ndarray] = {}
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    x ^= x >> np.uint64(33)
+    return x
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of MULT and of its inverse, at least n of them; kept for the next call."""
     if len(_powers.get("up", ())) < n:
         n = max(n, BLOCK + 1)
         for name, base in (("up", MULT), ("down", pow(MULT, -1, 1 << 64))):
@@ -74,7 +75,7 @@ def word_hashes(offsets: np.ndarray, raw: np.ndarray):
         stops = word.copy()
         stops[:-1] &= ~word[1:] | gap[1:-1]
         b, e = np.flatnonzero(starts), np.flatnonzero(stops) + 1
-        up, down = _power(to - at)
+        up, down = powers(to - at)
         total = np.zeros(to - at + 1, dtype=np.uint64)
         np.cumsum(low * up[:to - at], dtype=np.uint64, out=total[1:])
         hashes.append(mix((total[e] - total[b]) * down[b]))
@@ -99,10 +100,12 @@ def hash_word(text: str) -> int:
 def gram_hashes(hashes: np.ndarray, steps: tuple[int, ...]) -> np.ndarray:
     """Hash of the words at each of the given distances; one entry per possible first word."""
     n = max(0, len(hashes) - steps[-1])
-    out = np.full(n, len(steps) * 0x51_7C_C1_B7_27_22_0A_95 & MASK, dtype=np.uint64)
+    out = np.full(n, len(steps), dtype=np.uint64)
     for s in steps:
-        out = mix(out * np.uint64(MULT) + hashes[s:s + n] + np.uint64(s))
-    return out
+        out *= np.uint64(MULT)
+        out += hashes[s:s + n]
+        out += np.uint64(s)
+    return mix(out)
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = BLOCK):
