@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -32,11 +34,20 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from endpulse.llm.common import new_folder, write_table
+from endpulse.llm.words import mix, powers, text_bytes
 
 END_ID = 0
 FRAME_IDS = 1 << 16
 LEVEL = 3
-KEPT_PIECES = 300_000
+KEPT_PIECES = 2_000_000
+BLOCK = 2 << 20  # bytes of text cut at once
+#: Punctuation that begins a new token after a letter.
+MARKS = np.isin(np.arange(256), [ord(c) for c in ".,;:!?|*&%$#"])
+#: The blanks outside of ASCII: first byte, and what can follow it.
+OTHER_BLANKS = {
+    0xC2: (b"\x85", b"\xa0"), 0xE1: (b"\x9a\x80",), 0xE3: (b"\x80\x80",),
+    0xE2: tuple(chr(c).encode()[1:] for c in (*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F)),
+}
 # Fixed values of the seekable format.
 SKIPPABLE, TABLE_MAGIC, FOOTER_MAGIC, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 ENTRY, FOOTER = "<III", "<IBI"  # sizes and checksum of a frame; frames, flags and magic number
@@ -47,42 +58,165 @@ MANIFEST = "shard int, file string, n_docs bigint, n_ids bigint"
 class Encoder:
     """Ids of whole texts; the library encodes each distinct piece once.
 
-    A byte-level pre-tokenizer always ends a token before a single space that stands
-    between two non-spaces, so a text may be cut there without any change of its ids.
+    The byte-level pre-tokenizer starts a token at every single blank or line end
+    between two other characters, and at a punctuation mark after a letter. So a
+    text without neighbouring blanks is cut there without any change of its ids,
+    and the pieces of many texts are looked up at once: in a sorted table of
+    hashes, with the ids of all known pieces behind one another. The other texts
+    are cut at single blanks only and encoded as they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join(map(re.escape, special))) if special else None
-        self.odd = re.compile(r"(?: \s)|(?:\s )|^ | $")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = re.compile(r"(?<=\S)(?= \S)")
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        new = list({p for p in pieces if p not in self.known})
-        for piece, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, dtype="<u4").tobytes()
+        self.line_end = self._ids(["\n"])[0]
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [np.array(f.ids, dtype="<u4") for f in found]
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of these pieces, and how many each has; some hundred are encoded in one text.
+
+        After a line end a piece has the ids that it has alone, unless it begins with a line end itself.
+        """
+        out, counts = [], []
+        for at in range(0, len(pieces), 500):
+            part = pieces[at:at + 500]
+            ids = self._ids(["\n".join(["", *[p.removeprefix("\n") for p in part], ""])])[0]
+            ends = np.flatnonzero(ids == self.line_end[0])
+            led = np.array([p[0] == "\n" for p in part])
+            # Between two line ends is a piece; the line end before it is its own where it begins with one.
+            first = ends[:-1] + ~led
+            n = ends[1:] - first
+            keep = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            out.append(ids[keep])
+            counts.append(n)
+        return np.concatenate(out), np.concatenate(counts)
+
+    def _learn(self, keys: np.ndarray, at: np.ndarray, pieces: list[str]) -> None:
+        ids, n = self._pieces(pieces)
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.keys = np.insert(self.keys, at, keys)
+        self.starts = np.insert(self.starts, at, self.used + np.cumsum(n) - n)
+        self.sizes = np.insert(self.sizes, at, n.astype(np.int32))
+        self.used += len(ids)
+
+    def plain(self, offsets: np.ndarray, raw: np.ndarray) -> np.ndarray:
+        """Which texts can be cut at every blank: no two blanks together, at an end, or of another kind."""
+        n = len(raw)
+        bad = np.zeros(n, dtype=bool)
+        blank = (raw == 32) | (raw == 10)
+        bad[1:] = blank[1:] & blank[:-1]
+        bad |= ((raw >= 9) & (raw <= 13) & (raw != 10)) | ((raw >= 28) & (raw <= 31))
+        filled = np.flatnonzero(offsets[1:] > offsets[:-1])
+        edges = np.concatenate([offsets[:-1][filled], offsets[1:][filled] - 1])
+        bad[edges] |= blank[edges]
+        for lead, rest in OTHER_BLANKS.items():  # blanks of several bytes
+            for i in np.flatnonzero(raw == lead).tolist():
+                if raw[i + 1:i + 1 + len(rest[0])].tobytes() in rest:
+                    bad[i] = True
+        for text in self.special:
+            mark = text.encode()
+            if (whole := raw.tobytes()).find(mark) >= 0:
+                bad[[m.start() for m in re.finditer(re.escape(mark), whole)]] = True
+        out = np.ones(len(offsets) - 1, dtype=bool)
+        out[np.searchsorted(offsets, np.flatnonzero(bad), side="right") - 1] = False
+        return out
+
+    def batch(self, offsets: np.ndarray, raw: np.ndarray) -> list[bytes]:
+        """The ids of each text, as bytes."""
+        plain = self.plain(offsets, raw)
+        found: list[bytes] = [b""] * len(plain)
+        for i in np.flatnonzero(~plain).tolist():
+            found[i] = self.other(raw[offsets[i]:offsets[i + 1]].tobytes().decode())
+        if not len(raw):
+            return found
+        begin = (raw == 32) | (raw == 10)
+        letter = ((raw | 32) >= 97) & ((raw | 32) <= 122)
+        begin[1:] |= letter[:-1] & MARKS[raw[1:]]
+        begin[offsets[:-1][offsets[:-1] < len(raw)]] = True
+        begins = np.flatnonzero(begin)
+        owner = np.searchsorted(offsets, begins, side="right") - 1
+        ends = np.append(begins[1:], len(raw))
+        keep = plain[owner]
+        begins, ends, owner = begins[keep], ends[keep], owner[keep]
+        if not len(begins):
+            return found
+        up, down = powers(len(raw))
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((raw + np.uint64(1)) * up[:len(raw)], out=total[1:])
+        keys = mix((total[ends] - total[begins]) * down[begins] + (ends - begins).astype(np.uint64))
+        keys, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        if len(self.keys) > KEPT_PIECES:
+            self.forget()
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), dtype=bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != keys[inside]
+        if new.any():
+            text = raw.tobytes()
+            self._learn(keys[new], at[new], [text[begins[i]:ends[i]].decode() for i in first[new].tolist()])
+            at = np.searchsorted(self.keys, keys)
+        starts, sizes = self.starts[at][place], self.sizes[at][place]
+        ids = self.pool[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+        per_text = np.bincount(owner, weights=sizes, minlength=len(plain)).astype(np.int64)
+        data, edges = ids.astype("<u4").tobytes(), (4 * np.concatenate([[0], np.cumsum(per_text)])).tolist()
+        for i in np.flatnonzero(per_text).tolist():
+            found[i] = data[edges[i]:edges[i + 1]]
+        return found
+
+    def other(self, text: str) -> bytes:
+        """Any text: whole if a special token's string is in it, else cut at single blanks."""
+        if any(s in text for s in self.special):
+            return self._ids([text])[0].tobytes()
+        return b"".join(x.tobytes() for x in self._ids(self.cut.split(text)))
+
+    def texts(self, column: pa.Array):
+        """The ids of each text of a column, in order."""
+        at = 0
+        while at < len(column):
+            offsets, _ = text_bytes(column.slice(at))
+            to = max(1, int(np.searchsorted(offsets, BLOCK, side="right")) - 1)
+            if offsets[1] > 4 * BLOCK:
+                yield self.long(column[at].as_py())
+                to = 1
+            else:
+                yield from self.batch(*text_bytes(column.slice(at, to)))
+            at += to
+
+    def long(self, text: str) -> bytes:
+        """A long text in parts, cut before single blanks."""
+        if any(s in text for s in self.special):
+            return self.other(text)
+        out, at = [], 0
+        while at < len(text):
+            cut = self.cut.search(text, at + BLOCK) if len(text) - at > BLOCK else None
+            to = cut.start() if cut else len(text)
+            out += self.batch(*text_bytes(pa.array([text[at:to]], pa.string())))
+            at = to
+        return b"".join(out)
 
     def __call__(self, text: str) -> bytes:
-        if self.whole and self.whole.search(text):
-            found = self.tokenizer.encode(text, add_special_tokens=False)
-            return np.array(found.ids, dtype="<u4").tobytes()
-        if not text:
-            return b""
-        if self.odd.search(text):
-            pieces = self.cut.split(text)
-        else:
-            head, *rest = text.split(" ")
-            pieces = [head, *[" " + r for r in rest]]
-        try:
-            return b"".join([self.known[p] for p in pieces])
-        except KeyError:
-            self._learn(pieces)
-            return b"".join([self.known[p] for p in pieces])
+        return next(self.texts(pa.array([text], pa.string())))
+
+
+def kept_encoder(path: str) -> Encoder:
+    """The worker's encoder; it lives as long as the worker, over all its tasks."""
+    kept = sys.modules.setdefault("endpulse_kept_encoders", types.ModuleType("endpulse_kept_encoders"))
+    if path not in vars(kept):
+        vars(kept)[path] = Encoder(path)
+    return vars(kept)[path]
 
 
 class ShardWriter:
@@ -181,15 +315,16 @@ def write_shards(documents: DataFrame, tokenizer: str, folder: str | None = None
         writer, number = None, TaskContext.get().partitionId()
         name = f"{folder}/{number:06d}-{TaskContext.get().taskAttemptId()}.zst"
         stream, encode = None, None
+        end = struct.pack("<I", END_ID)
         for batch in batches:
             if writer is None and batch.num_rows:
                 system, path = pa.fs.FileSystem.from_uri(name)
                 system.create_dir(path.rsplit("/", 1)[0], recursive=True)
                 stream = system.open_output_stream(path, compression=None)
-                writer, encode = ShardWriter(stream), Encoder(tokenizer)
-            end = struct.pack("<I", END_ID)
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                writer.add(doc_id.as_py(), encode(text.as_py() or "") + end)
+                writer, encode = ShardWriter(stream), kept_encoder(tokenizer)
+            if batch.num_rows:
+                for doc_id, ids in zip(batch.column(0), encode.texts(batch.column(1).fill_null(""))):
+                    writer.add(doc_id.as_py(), ids + end)
         if writer is not None:
             n_docs, n_ids = writer.close()
             stream.close()

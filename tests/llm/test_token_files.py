@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from hypothesis import given, settings, strategies as st
@@ -41,12 +42,24 @@ def test_pieces_give_the_ids_of_the_whole_text(text):
 
 
 def test_pieces_are_forgotten_when_there_are_many(monkeypatch):
-    monkeypatch.setattr(lib, "KEPT_WORDS", 5)
+    monkeypatch.setattr(lib, "KEPT_PIECES", 5)
     encode = lib.Encoder(tokenizer_path())
     for text in ["a b c d e f g h", "i j k", "a b c", "z"]:
         assert encode(text) == ids_of(text)
 
 
+def test_many_and_long_texts(monkeypatch):
+    """Blocks, texts that are cut in parts, and pieces learned in one block and met in the next."""
+    monkeypatch.setattr(lib, "BLOCK", 50)
+    rand = random.Random(7)
+    word = lambda: "".join(rand.choice("abé,.'9ß") for _ in range(rand.randint(1, 6)))
+    texts = [rand.choice([" ", "\n", " ", "  "]).join(word() for _ in range(rand.choice([0, 1, 5, 30, 200]))) for _ in range(200)]
+    texts[3] = None
+    encode = lib.Encoder(tokenizer_path())
+    column = pa.array(texts, pa.string()).fill_null("")
+    assert list(encode.texts(column)) == [ids_of(t) for t in texts]
+
+
 def test_shard_round_trip_and_random_access(monkeypatch):
     monkeypatch.setattr(lib, "FRAME_IDS", 50)
     rand = random.Random(1)
