@@ -3,7 +3,7 @@
 import re
 
 from .fixtures import NOW, duckdb_sql
-from .queries import COUNT_PARAMS, EXPORT, TOP_N
+from .queries import CHANGED_SOURCES, COUNT_PARAMS, EXPORT, NOW_2, TOP_N
 
 _CATALOG = ("proxy_hash, raw_link, scheme, first_seen_at, last_seen_at, last_checked_at, "
             "last_status, reason, latency_ms, mbps, exit_ip, country, city")
@@ -154,6 +154,15 @@ def _sql(query):
     return duckdb_sql(query, [(n, STEPS[n]) for n in STEPS if n in found])
 
 
+_CHANGED = "split_part(source, '/', 1) IN (" + ", ".join(f"'{c}'" for c in CHANGED_SOURCES) + ")"
+_RUN_DEAD = """
+  SELECT proxy_hash, raw_link, scheme, 'cidr_discarded' AS reason FROM run_cidr WHERE NOT cidr_ok
+  UNION ALL SELECT proxy_hash, raw_link, scheme, why FROM run_url WHERE NOT kept
+  UNION ALL SELECT proxy_hash, raw_link, scheme, CASE WHEN mbps IS NULL THEN 'speed_test_failed' ELSE 'speed_below_threshold' END
+  FROM run_end WHERE seq IS NOT NULL AND NOT fast"""
+_SEEN_AGAIN = f"""(SELECT sha256(trim(split_part(line, '#', 1))) AS proxy_hash FROM payload_lines
+  WHERE {_CHANGED} AND trim(split_part(line, '#', 1)) <> '')"""
+
 _FOLDED = """
 SELECT proxy_hash, arg_max(CASE WHEN success THEN kind || '_ok' ELSE 'dead' END, seq) AS status, arg_max(reason, seq) AS reason,
   arg_max(latency_ms, seq) FILTER (WHERE latency_ms IS NOT NULL) AS latency_ms,
@@ -339,11 +348,22 @@ FROM run_end WHERE fast ORDER BY mbps DESC, proxy_hash LIMIT 10""",
     "run_once_catalog": f"""SELECT proxy_hash, raw_link, scheme, CAST({NOW} AS BIGINT) AS first_seen_at, CAST({NOW} AS BIGINT) AS last_seen_at,
   CAST({NOW} AS BIGINT) AS last_checked_at, CASE WHEN fast THEN 'speed_ok' ELSE 'url_ok' END AS last_status, 'ok' AS reason,
   latency_ms, mbps, exit_ip, country, city FROM run_end WHERE seq IS NULL OR fast""",
-    "run_once_dead": f"""SELECT proxy_hash, raw_link, scheme, reason, CAST({NOW} AS BIGINT) AS created_at, CAST({NOW} + 30 * 86400 AS BIGINT) AS expires_at FROM (
-  SELECT proxy_hash, raw_link, scheme, 'cidr_discarded' AS reason FROM run_cidr WHERE NOT cidr_ok
-  UNION ALL SELECT proxy_hash, raw_link, scheme, why FROM run_url WHERE NOT kept
-  UNION ALL SELECT proxy_hash, raw_link, scheme, CASE WHEN mbps IS NULL THEN 'speed_test_failed' ELSE 'speed_below_threshold' END
-  FROM run_end WHERE seq IS NOT NULL AND NOT fast) d""",
+    "run_once_dead": f"""SELECT proxy_hash, raw_link, scheme, reason, CAST({NOW} AS BIGINT) AS created_at, CAST({NOW} + 30 * 86400 AS BIGINT) AS expires_at
+FROM ({_RUN_DEAD}) d""",
+    # The same tests again: the living stay as they are, the dead are skipped, changed sources are seen again.
+    "second_run_catalog": f"""SELECT proxy_hash, raw_link, scheme, CAST({NOW} AS BIGINT) AS first_seen_at,
+  CAST(CASE WHEN proxy_hash IN {_SEEN_AGAIN} THEN {NOW_2} ELSE {NOW} END AS BIGINT) AS last_seen_at,
+  CAST({NOW_2} AS BIGINT) AS last_checked_at, CASE WHEN fast THEN 'speed_ok' ELSE 'url_ok' END AS last_status, 'ok' AS reason,
+  latency_ms, mbps, exit_ip, country, city FROM run_end WHERE seq IS NULL OR fast""",
+    "second_run_selected": f"""SELECT proxy_hash, CAST({NOW_2} AS BIGINT) AS selected_at, raw_link, latency_ms, mbps, exit_ip, country, city
+FROM run_end WHERE fast ORDER BY mbps DESC, proxy_hash LIMIT 10""",
+    "second_run_sources": f"""SELECT source AS link, sha256(encode(CASE WHEN {_CHANGED} THEN body || chr(10) ELSE body END)) AS last_data_hash
+FROM payloads""",
+    "second_run_totals": f"""SELECT count(*) AS total_links, count(k.proxy_hash) AS parsed, count(DISTINCT k.proxy_hash) AS unique_fresh,
+  count(DISTINCT CASE WHEN d.proxy_hash IS NULL THEN k.proxy_hash END) AS added,
+  count(DISTINCT CASE WHEN d.proxy_hash IS NOT NULL THEN k.proxy_hash END) AS skipped_dead
+FROM {_SEEN_AGAIN} l LEFT JOIN known k ON k.proxy_hash = l.proxy_hash
+LEFT JOIN ({_RUN_DEAD}) d ON d.proxy_hash = k.proxy_hash""",
 }
 
 ORACLES = {name: _sql(query) for name, query in _QUERIES.items()}

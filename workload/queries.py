@@ -26,6 +26,9 @@ EXPORT = ExportOptions(title="Top endpoints of the day, sorted out by the whole
                        web_page_url="https://pages.example/list")
 COUNT_PARAMS = {"elapsed": 3725.9, "candidates": 1234}
 
+CHANGED_SOURCES = ("src0", "src2")
+NOW_2 = NOW + 86400
+
 QUERIES = {}
 
 
@@ -442,16 +445,32 @@ def stream_changed_sources(spark, sf_dir):
     return changed.changed_links(spark, f"{folder}/out")
 
 
+def _inputs(v, payloads):
+    return Inputs(
+        payloads=payloads, converted=v.outbounds, url_attempts=v.run_url_attempts,
+        exit_answers=v.run_exit_answers, speed_attempts=v.run_speed_attempts,
+        resolutions=v.resolutions, networks=v.parsed_networks, geo=v.geo_networks)
+
+
+def _params(now):
+    return Params(now=now, target=10, speed_threshold=2.0, cidr_method="include",
+                  country_method="exclude", countries=("SB", "SC"), elapsed=12.5)
+
+
 def first_run(spark, sf_dir):
     """A whole run from empty state."""
     v = _Views(spark, sf_dir)
-    inputs = Inputs(
-        payloads=v.content, converted=v.outbounds, url_attempts=v.run_url_attempts,
-        exit_answers=v.run_exit_answers, speed_attempts=v.run_speed_attempts,
-        resolutions=v.resolutions, networks=v.parsed_networks, geo=v.geo_networks)
-    params = Params(now=NOW, target=10, speed_threshold=2.0, cidr_method="include",
-                    country_method="exclude", countries=("SB", "SC"), elapsed=12.5)
-    return run_once(spark, shared_folder(spark, "run"), inputs, params)
+    return run_once(spark, shared_folder(spark, "run"), _inputs(v, v.content), _params(NOW))
+
+
+def second_run(spark, sf_dir):
+    """A day after the first run: some sources changed their text but not their links."""
+    v, root = _Views(spark, sf_dir), shared_folder(spark, "run")
+    run_once(spark, root, _inputs(v, v.content), _params(NOW))["store"].close()
+    changed = F.substring_index("source", "/", 1).isin(*CHANGED_SOURCES)
+    content = v.payloads.select("source", F.encode(F.when(
+        changed, F.concat("body", F.lit("\n"))).otherwise(F.col("body")), "UTF-8").alias("content"))
+    return run_once(spark, root, _inputs(v, content), _params(NOW_2))
 
 
 @query
@@ -467,3 +486,23 @@ def run_once_catalog(spark, sf_dir):
 @query
 def run_once_dead(spark, sf_dir):
     return first_run(spark, sf_dir)["dead"]
+
+
+@query
+def second_run_catalog(spark, sf_dir):
+    return second_run(spark, sf_dir)["catalog"]
+
+
+@query
+def second_run_selected(spark, sf_dir):
+    return second_run(spark, sf_dir)["selected"]
+
+
+@query
+def second_run_sources(spark, sf_dir):
+    return second_run(spark, sf_dir)["sources"]
+
+
+@query
+def second_run_totals(spark, sf_dir):
+    return second_run(spark, sf_dir)["totals"]
