@@ -60,15 +60,16 @@ def chosen_paths(messages: DataFrame, n_paths: int = 1) -> DataFrame:
     levels, most = [], nodes.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
     step = cut(step)
     while True:
-        if step.where(F.col("up").isNotNull()).isEmpty() or 1 << len(levels) > most:
+        climbing = step.where(F.col("up").isNotNull())  # the others know their root already
+        if climbing.isEmpty() or 1 << len(levels) > most:
             break
-        levels.append(step.where(F.col("up").isNotNull()).select("conv", "node", "up"))
+        levels.append(climbing.select("conv", "node", "up"))
         far = step.select("conv", F.col("node").alias("up"), F.col("up").alias("up2"),
                           F.col("total").alias("total2"), F.col("depth").alias("depth2"))
-        step = cut(step.join(far, ["conv", "up"], "left").select(
-            "conv", "node", F.col("up2").alias("up"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0).cast("long"))).alias("depth")))
+        climbed = climbing.join(far, ["conv", "up"]).select(
+            "conv", "node", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"),
+            (F.col("depth") + F.col("depth2")).alias("depth"))
+        step = cut(step.where(F.col("up").isNull()).unionAll(climbed))
     parents = nodes.where(F.col("parent").isNotNull()).select("conv", F.col("parent").alias("node")).distinct()
     leaves = step.where(F.col("up").isNull()).join(parents, ["conv", "node"], "left_anti")
     rank = Window.partitionBy("conv").orderBy(F.desc("total"), F.desc("depth"), "node")
@@ -77,7 +78,7 @@ def chosen_paths(messages: DataFrame, n_paths: int = 1) -> DataFrame:
     for number in reversed(range(len(levels))):
         above = path.join(levels[number], ["conv", "node"]).select(
             "conv", "path", F.col("up").alias("node"), (F.col("depth") - (1 << number)).alias("depth"))
-        path = path.unionAll(above)
+        path = cut(path.unionAll(above))  # or each level would hold the plan of the last one twice
     return path
 
 

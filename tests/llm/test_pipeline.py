@@ -70,3 +70,27 @@ def test_mixture_is_the_order_of_the_token_files(spark, stages):
 def test_run(spark, stages):
     assert rows_of(corpus_pipeline.run(spark, SF_DIR), "doc_id", "n_tokens", "ids_crc32") == rows_of(
         stages[5], "doc_id", "n_tokens", "ids_crc32")
+
+
+def test_stages_with_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty and long texts, ties and repeated rows, and columns of clashing names."""
+    rows = [(1, "a few words of text", "en", "src0", 5), (1, "a few words of text", "en", "src0", 5), (2, None, None, None, None),
+            (3, "", "en", "", 0), (None, "no id here at all", "en", "src1", 1), (None, "no id here at all", "en", "src1", 1),
+            (4, "long words " * 60_000, "en", "src0", None), (5, "line\n" * 50, "fr", "src9", 250), (6, "?!", "en", "src0", 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    extra = ["score", "predicted", "tid", "label", "slot", "share", "row", "n_hit", "start", "j", "__rank"]
+    docs = docs.withColumns({c: F.lit(c) for c in extra})
+    for empty in (False, True):
+        frame = docs.where("false") if empty else docs
+        for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            path = str(tmp_path / f"{empty}-{n}")
+            frame.write.parquet(path)
+            before = spark.read.parquet(path)
+            frame = stage(spark, before, SF_DIR)
+            if n < 4:
+                assert frame.columns == docs.columns
+                assert all(r[c] == c for r in frame.collect() for c in extra)
+            if n == 1 and not empty:
+                assert rows_of(frame, "doc_id") == sorted([(1,), (2,), (4,), (5,), (6,), (None,)], key=repr)
+        got = rows_of(frame, "doc_id", "n_tokens")
+        assert got == [] if empty else len(got) == 6 and (2, 1) in got
