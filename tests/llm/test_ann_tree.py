@@ -58,7 +58,7 @@ def test_lengths_matter_for_inner_products(spark):
 
 def test_ties_go_to_the_smaller_id_in_a_hot_leaf(spark, monkeypatch):
     rows = [(i, [1.0, 0.0]) for i in range(500)] + [(1000 + i, [0.0, 1.0 + i]) for i in range(20)]
-    monkeypatch.setattr(lib, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(lib, "BLOCK_BYTES", 50 * 8 * 2)
     monkeypatch.setattr(lib, "BLOCK_QUERIES", 7)
     found = search(spark, rows)
     for q in range(0, 500, 20):
@@ -86,3 +86,15 @@ def test_tree_holds_and_visits_every_leaf_once():
     assert tree.n_leaves > 10
     assert sorted(tree.visits(points[0])) == list(range(tree.n_leaves))
     assert lib.Tree(np.ones((500, 3))).n_leaves == 1
+
+
+def test_recall_of_the_registered_query(spark):
+    """On the given vectors, which hardly have clusters."""
+    from endpulse.llm.queries import op5_ann_tree
+    sf_dir = "/root/testdata/sf0.1"
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    want, found = exact(rows), {}
+    for r in op5_ann_tree(spark, sf_dir).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert set(found) == set(want) and all(len(x) == 20 for x in found.values())
+    assert np.mean([len(found[q] & {x[1] for x in want[q]}) / 20 for q in want]) >= 0.9
