@@ -39,7 +39,7 @@ from endpulse.llm.words import mix, powers, text_bytes
 END_ID = 0
 FRAME_IDS = 1 << 16
 LEVEL = 3
-KEPT_PIECES = 2_000_000
+KEPT_PIECES = 1_000_000
 BLOCK = 2 << 20  # bytes of text cut at once
 #: Punctuation that begins a new token after a letter.
 MARKS = np.isin(np.arange(256), [ord(c) for c in ".,;:!?|*&%$#"])
