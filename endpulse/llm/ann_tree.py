@@ -8,9 +8,11 @@ queue over the centres on its way. How many leaves it visits is calibrated: a
 bounded set of queries is answered exactly against all rows, and the visits are
 the fewest that find RECALL of their neighbours.
 
-Leaves are shuffled in blocks of BLOCK_ROWS vectors by BLOCK_QUERIES queries, so a
-leaf that holds a third of all vectors, or that a third of all queries visit, is
-the work of many tasks. Each block sends its best k per query only.
+Neighbouring leaves form groups of about BLOCK_BYTES of vectors; a query goes once to
+each group with the list of its leaves there. Groups are worked on in blocks of
+about BLOCK_BYTES of vectors by BLOCK_QUERIES queries, so a leaf that holds a third of
+all vectors, or that a third of all queries visit, is the work of many tasks. Each
+block sends its best k per query only.
 
 Defined results: vectors that are null, zero, hold null or non-finite components,
 have no vec_id, or not the most frequent length (the larger of equals) take no
@@ -34,8 +36,9 @@ K = 20
 SAMPLE, SAMPLE_BYTES = 20_000, 32 << 20
 BRANCHES, LEAF = 12, 40
 CALIBRATION = 256
-RECALL = 0.97
-BLOCK_ROWS, BLOCK_QUERIES = 2048, 2048
+RECALL = 0.95
+BLOCK_BYTES, BLOCK_QUERIES = 8 << 20, 2048  # vectors and queries of a block
+AT_ONCE = 256  # queries multiplied at once
 SEED = 7
 
 
@@ -110,12 +113,13 @@ def _widened(points: np.ndarray, largest: float) -> np.ndarray:
     return np.hstack([points, rest[:, None]])
 
 
-def best_of(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int):
-    """Per query the k best of these vectors: row of query, row of vector, inner product."""
+def best_of(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, visited=None):
+    """Per query the k best of these vectors (visited: of those marked): row of query, row of vector, product."""
     rows, cols, values = [], [], []
     scores = queries @ vectors.T
     for i in range(len(queries)):
-        own = np.flatnonzero(ids != query_ids[i])
+        other = ids != query_ids[i]
+        own = np.flatnonzero(other if visited is None else other & visited[i])
         if len(own) > k:
             s = scores[i, own]
             edge = np.partition(s, len(s) - k)[len(s) - k]
@@ -152,6 +156,7 @@ def search(embeddings: DataFrame, queries: DataFrame, k: int = K, sample: int =
     if not norms["n"]:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     dims, largest = norms["d"], norms["largest"]
+    block_rows = max(1, BLOCK_BYTES // (8 * dims))
     sample = max(1, min(sample, SAMPLE_BYTES // (8 * dims)))
 
     def few(frame: DataFrame, n: int, of: int) -> DataFrame:
@@ -179,42 +184,56 @@ def search(embeddings: DataFrame, queries: DataFrame, k: int = K, sample: int =
     n_asked = asked.count()
     visits = _calibrated(rows, few(queries, CALIBRATION, n_asked), tree, k)
 
+    group = np.cumsum(sizes) // block_rows  # of each leaf
+
     def probe(batches):
         for batch in batches:
-            at, leaves = [], []
+            at, groups, lists = [], [], []
             for i, q in enumerate(_matrix(batch.column(1)) if batch.num_rows else ()):
-                reached = 0
+                reached, seen = 0, {}
                 for n, leaf in enumerate(tree.value.visits(np.append(q, 0.0))):
                     if n >= visits and reached > k:
                         break
                     if sizes[leaf]:
-                        at.append(i)
-                        leaves.append(leaf)
+                        seen.setdefault(int(group[leaf]), []).append(leaf)
                     reached += sizes[leaf]
+                at += [i] * len(seen)
+                groups += seen.keys()
+                lists += seen.values()
+            at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64())),
-                 pa.array(leaves, pa.int32())], names=["query_id", "query", "leaf"])
-
-    probes = write_table(asked.mapInArrow(probe, "query_id bigint, query array<double>, leaf int"), "probes")
-    wide = [(int(i), int(-(-n // BLOCK_ROWS))) for i, n in enumerate(sizes) if n]
-    busy = {r["leaf"]: -(-r["count"] // BLOCK_QUERIES) for r in probes.groupBy("leaf").count().collect()}
-    blocks = F.broadcast(spark.createDataFrame(  # one row per leaf
-        [(i, n, busy.get(i, 0)) for i, n in wide], "leaf int, row_blocks int, query_blocks int"))
-    left = rows.join(blocks.where("query_blocks > 0"), "leaf").select(
-        "leaf", F.pmod(F.xxhash64("vec_id"), F.col("row_blocks")).cast("int").alias("r"),
-        F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("q"), "vec_id", "embedding")
-    right = probes.join(blocks, "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)).alias("r"),
-        F.pmod(F.xxhash64("query_id"), F.col("query_blocks")).cast("int").alias("q"), "query_id", "query")
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(groups, pa.int32()),
+                 pa.array(lists, pa.list_(pa.int32()))], names=["query_id", "query", "grp", "leaves"])
+
+    probes = write_table(asked.mapInArrow(
+        probe, "query_id bigint, query array<double>, grp int, leaves array<int>"), "probes")
+    held = np.bincount(group, weights=sizes)
+    wanted = {r["grp"]: r["count"] for r in probes.groupBy("grp").count().collect()}  # one row per group
+    blocks = F.broadcast(spark.createDataFrame(
+        [(g, -(-int(held[g]) // block_rows), -(-n // BLOCK_QUERIES)) for g, n in wanted.items()],
+        "grp int, row_blocks int, query_blocks int"))
+    leaf_group = F.broadcast(spark.createDataFrame([(i, int(g)) for i, g in enumerate(group)], "leaf int, grp int"))
+    number = lambda column, n: F.pmod(F.xxhash64(column), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.join(leaf_group, "leaf").join(blocks, "grp").select(
+        "grp", number("vec_id", "row_blocks").alias("r"), every("query_blocks").alias("q"), "vec_id", "embedding", "leaf")
+    right = probes.join(blocks, "grp").select(
+        "grp", every("row_blocks").alias("r"), number("query_id", "query_blocks").alias("q"), "query_id", "query", "leaves")
 
     def compare(vectors: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(asking):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        leaves, place = np.unique(vectors["leaf"].to_numpy(), return_inverse=True)
+        marked = np.stack([np.isin(leaves, own) for own in asking["leaves"]])
         ids, query_ids = vectors["vec_id"].to_numpy(), asking["query_id"].to_numpy()
-        i, j, score = best_of(np.stack(vectors["embedding"]), ids, np.stack(asking["query"]), query_ids, k)
-        return pd.DataFrame({"query_id": query_ids[i], "vec_id": ids[j], "score": score})
-
-    near = left.groupBy("leaf", "r", "q").cogroup(right.groupBy("leaf", "r", "q")).applyInPandas(
+        points, asked_points, found = np.stack(vectors["embedding"]), np.stack(asking["query"]), []
+        for at in range(0, len(query_ids), AT_ONCE):
+            part = slice(at, at + AT_ONCE)
+            i, j, score = best_of(points, ids, asked_points[part], query_ids[part], k, marked[part][:, place])
+            found.append(pd.DataFrame({"query_id": query_ids[part][i], "vec_id": ids[j], "score": score}))
+        return pd.concat(found)
+
+    near = left.groupBy("grp", "r", "q").cogroup(right.groupBy("grp", "r", "q")).applyInPandas(
         compare, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
@@ -232,8 +251,8 @@ def _calibrated(rows: DataFrame, queries: DataFrame, tree, k: int) -> int:
     def exact(batches):
         found = None
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(at, BLOCK_ROWS)
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
                 names = part.column(0).to_numpy()
                 i, j, score = best_of(_matrix(part.column(1)), names, asking, ids, k)
                 new = pd.DataFrame({"query": i.astype(np.int32), "vec_id": names[j], "score": score,
