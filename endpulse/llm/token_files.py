@@ -219,6 +219,11 @@ def kept_encoder(path: str) -> Encoder:
     return vars(kept)[path]
 
 
+def forget_encoders() -> None:
+    """Free what the worker's encoders keep; other stages use the worker too."""
+    vars(sys.modules.get("endpulse_kept_encoders", types.ModuleType(""))).clear()
+
+
 class ShardWriter:
     """Writes one shard; holds one frame of ids and the document index."""
 
@@ -342,6 +347,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
     files = manifest.select("shard", "file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
 
     def read(batches):
+        forget_encoders()  # the shards are written
         for batch in batches:
             for shard, file, base in zip(*(c.to_pylist() for c in batch.columns)):
                 reader = open_shard(file)

@@ -20,7 +20,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -97,8 +96,9 @@ def _fit_task(batches):
     rows.sort(key=lambda r: r[:3])
     if rows:
         every, weights, bias = fit([(r[3], r[4]) for r in rows])
-        yield pd.DataFrame({"feature": np.append(every, -1).astype(np.int32),
-                            "weight": np.append(weights, bias)})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(every, -1).astype(np.int32)), pa.array(np.append(weights, bias))],
+            names=["feature", "weight"])
 
 
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
@@ -112,18 +112,11 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tupl
     chosen = taught.orderBy(order, "doc_id").limit(sample)
     rows = (documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # `sample` rows at most
             .mapInArrow(_examples, "doc_id bigint, toxic int, found array<int>")
-            .repartition(1).mapInPandas(lambda parts: _fit_task(_arrow(parts)), "feature int, weight double"))
+            .repartition(1).mapInArrow(_fit_task, "feature int, weight double"))
     model = rows.toPandas()  # 2**BITS + 1 rows at most, a few thousand in fact
     return model["feature"].to_numpy(np.int32), model["weight"].to_numpy(np.float64)
 
 
-def _arrow(frames):
-    for frame in frames:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(frame["doc_id"], pa.int64()), pa.array(frame["toxic"], pa.int32()),
-             pa.array(frame["found"].tolist(), pa.list_(pa.int32()))], names=["doc_id", "toxic", "found"])
-
-
 def scored(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """documents plus score (0 to 1) and predicted (1 from 0.5 on)."""
     found, weights = train(documents, labels, sample)
