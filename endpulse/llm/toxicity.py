@@ -118,7 +118,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tupl
 
 
 def scored(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """documents plus score (0 to 1) and predicted (1 from 0.5 on)."""
+    """documents plus score (0 to 1) and predicted (1 from 0.5 on), in place of columns of these names."""
     found, weights = train(documents, labels, sample)
     model = documents.sparkSession.sparkContext.broadcast((found, weights))
     named = [c for c in documents.columns if c not in ("score", "predicted")]
@@ -149,5 +149,7 @@ def scored(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Dat
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of documents that are not predicted toxic, with all their columns."""
-    return scored(documents, labels).where("predicted = 0").select(
+    own = {c: f"__own_{c}" for c in documents.columns if c in ("score", "predicted")}
+    kept = scored(documents.withColumnsRenamed(own), labels).where("predicted = 0").drop("score", "predicted")
+    return kept.withColumnsRenamed({v: k for k, v in own.items()}).select(
         *[F.col(f"`{c}`") for c in documents.columns])
