@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from llm.helpers import rows_of, table
+from llm.helpers import rows_of, table, words
 
 from endpulse.llm import line_dedup as lib
 
@@ -55,3 +55,35 @@ def test_clashing_columns_and_empty_table(spark):
     docs = table(spark, [(1, "a\nb\nc")], ["deleted_lines", "n_lines", "run"])
     assert set(lib.dedup_lines(docs).columns) == set(docs.columns)
     assert lib.dedup_lines(table(spark, [(1, "a")]).where("false")).count() == 0
+
+
+def short_runs_by_hand(docs, min_words):
+    """Deleted lines, with runs of fewer lines of min_words words and whole texts of fewer lines; distinct ids, in order."""
+    seen, gone = set(), {}
+    for doc_id, text in docs:
+        lines, drop = text.split("\n"), set()
+        for n in range(1, lib.RUN + 1):
+            for i in range(len(lines) - n + 1):
+                own = tuple(lines[i:i + n])
+                runs = [own] if n == lib.RUN or sum(len(words(x)) for x in own) >= min_words else []
+                runs += [("whole", own)] if n < lib.RUN and n == len(lines) else []
+                for x in runs:
+                    if x in seen:
+                        drop |= set(range(i, i + n))
+                    seen.add(x)
+        gone[doc_id] = sorted(drop)
+    return gone
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_short_runs_of_many_words(spark, seed):
+    rand = random.Random(seed)
+    lines = ["", "a", "b c", "one two three", "Four, five; six seven", "é e é e é", "1 2 3 4 5 6 7"]
+    docs = [(i, "\n".join(rand.choice(lines) + rand.choice(["", "", f" {i}"]) for _ in range(rand.randint(1, 8))))
+            for i in range(60)]
+    docs += [(100, "unique\na long line of six words"), (101, "x\na long line of six words\ny\nz"),
+             (102, "short"), (103, "short"), (104, "two\nlines"), (105, "two\nlines"), (106, "short\nq\nr")]
+    rows = lib.dedup_lines(table(spark, docs), min_words=5).collect()
+    got = {r["doc_id"]: list(r["deleted_lines"]) for r in rows}
+    assert got == short_runs_by_hand(docs, 5)
+    assert got[101] == [1] and got[103] == [0] and got[105] == [0, 1] and got[106] == []
