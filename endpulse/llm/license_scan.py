@@ -1,7 +1,9 @@
 """License scans: fixed phrases, and an exact set-similarity join of text blocks with license notices.
 
 Blocks are windows of BLOCK words, each STEP words, inside a line, so a notice of
-up to BLOCK - STEP words lies whole in a block. The join finds every block that
+up to BLOCK - STEP words lies whole in a block. With wrapped, there are also such
+windows over the words of the whole text, for notices that run over line ends, as
+phrases may. The join finds every block that
 holds at least THRESHOLD of a notice's distinct words. Tokens are ordered by how
 many of all texts hold them, rarest first: a block can reach the threshold only if
 it holds one of a notice's first tokens (prefix filter), has enough tokens (length
@@ -100,7 +102,7 @@ def _same_words(words, begins, ends, raw, at: np.ndarray, phrase: list[str]) ->
     return at[np.array(sure, dtype=bool)]
 
 
-def _scan(documents: DataFrame, phrases, tokens: list[str], prefix: set[int]) -> DataFrame:
+def _scan(documents: DataFrame, phrases, tokens: list[str], prefix: set[int], wrapped: bool) -> DataFrame:
     """Phrase places and candidate blocks of every text, in one pass."""
     hashes = np.array([hash_word(t) for t in tokens], dtype=np.uint64)
     order = np.argsort(hashes)
@@ -119,22 +121,25 @@ def _scan(documents: DataFrame, phrases, tokens: list[str], prefix: set[int]) ->
             return out
         newlines = np.flatnonzero(raw == 10)
         line = np.searchsorted(newlines, begins)
-        new = np.ones(len(words), bool)
-        new[1:] = (line[1:] != line[:-1]) | (texts[1:] != texts[:-1])
-        starts = np.flatnonzero(new)
-        stops = np.append(starts[1:], len(words))
+        new_text = np.ones(len(words), bool)
+        new_text[1:] = texts[1:] != texts[:-1]
+        new_line = new_text.copy()
+        new_line[1:] |= line[1:] != line[:-1]
         seen = set()
-        for i in seeds.tolist():
-            k = int(np.searchsorted(starts, i, side="right")) - 1
-            last = (i - starts[k]) // STEP
-            for j in range(max(0, last - BLOCK // STEP + 1), last + 1):
-                a = int(starts[k]) + j * STEP
-                if a in seen:
-                    continue
-                seen.add(a)
-                b = min(a + BLOCK, int(stops[k]))
-                held = np.unique(order[at[a:b][hit[a:b]]])
-                out[texts[a]].append({"size": len(np.unique(words[a:b])), "tokens": held.tolist()})
+        for new in (new_line, new_text) if wrapped else (new_line,):
+            starts = np.flatnonzero(new)
+            stops = np.append(starts[1:], len(words))
+            for i in seeds.tolist():
+                k = int(np.searchsorted(starts, i, side="right")) - 1
+                last = (i - starts[k]) // STEP
+                for j in range(max(0, last - BLOCK // STEP + 1), last + 1):
+                    a = int(starts[k]) + j * STEP
+                    b = min(a + BLOCK, int(stops[k]))
+                    if (a, b) in seen:
+                        continue
+                    seen.add((a, b))
+                    held = np.unique(order[at[a:b][hit[a:b]]])
+                    out[texts[a]].append({"size": len(np.unique(words[a:b])), "tokens": held.tolist()})
         return out
 
     def scan(batches):
@@ -166,7 +171,8 @@ def _scan(documents: DataFrame, phrases, tokens: list[str], prefix: set[int]) ->
     return documents.select("doc_id", "text").mapInArrow(scan, SCANNED)
 
 
-def scanned(documents: DataFrame, phrases=PHRASES, notices=NOTICES, threshold: float = THRESHOLD) -> DataFrame:
+def scanned(documents: DataFrame, phrases=PHRASES, notices=NOTICES, threshold: float = THRESHOLD,
+            wrapped: bool = False) -> DataFrame:
     """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels (arrays), score."""
     spark = documents.sparkSession
     tokens = notice_tokens(notices)
@@ -184,7 +190,7 @@ def scanned(documents: DataFrame, phrases=PHRASES, notices=NOTICES, threshold: f
     index = spark.createDataFrame(
         rows, "notice int, label string, token int, place int, n int, need int, wanted array<int>")
     ranks = F.array(*[F.lit(rank[t]) for t in tokens])
-    texts = write_table(_scan(documents, phrases, tokens, prefix).withColumn(
+    texts = write_table(_scan(documents, phrases, tokens, prefix, wrapped).withColumn(
         "row", F.monotonically_increasing_id()), "license-scan")
 
     blocks = texts.select("row", F.posexplode("blocks").alias("block", "b"))

@@ -64,7 +64,7 @@ def op7_token_files(spark, sf_dir):
 
 
 def op8_license_scan(spark, sf_dir):
-    done = license_scan.scanned(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = license_scan.scanned(_table(spark, sf_dir, "documents").select("doc_id", "text"), wrapped=True)
     return done.withColumns({c: F.concat_ws(",", c) for c in ("base_labels", "labels")})
 
 

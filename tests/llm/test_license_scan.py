@@ -1,8 +1,11 @@
 import random
+import textwrap
 
+import pytest
 from llm.helpers import table, words
 
 from endpulse.llm import license_scan as lib
+from endpulse.llm.queries import QUERIES
 
 
 def by_hand(text):
@@ -65,3 +68,56 @@ def test_phrases_do_not_cross_texts(spark):
 
 def test_empty_table(spark):
     assert lib.scanned(table(spark, [(1, "a")]).where("false")).count() == 0
+
+
+def wrapped_by_hand(text):
+    """by_hand, and the blocks of the whole text's words."""
+    *rest, labels, best = by_hand(text)
+    own, labels = words(text), set(labels)
+    for a in range(0, max(1, len(own)), lib.STEP):
+        block = set(own[a:a + lib.BLOCK])
+        for notice, label in lib.NOTICES:
+            tokens = set(notice.split())
+            common = len(block & tokens)
+            if common >= lib.needed(len(tokens), lib.THRESHOLD):
+                labels.add(label)
+                best = max(best, common / len(tokens))
+    return (*rest, sorted(labels), best)
+
+
+def test_wrapped_same_as_by_hand(spark):
+    docs = [(i, t) for i, t in corpus(2) if i is not None]
+    docs = [(n, t) for n, (_, t) in enumerate(docs)]
+    rows = lib.scanned(table(spark, docs), wrapped=True).collect()
+    got = {r["doc_id"]: (r["n_words"], r["n_base"], r["first_word"], r["last_word"], list(r["base_labels"]),
+                         list(r["labels"]), r["score"]) for r in rows}
+    assert got == {i: wrapped_by_hand(t) for i, t in docs}
+    assert any(wrapped_by_hand(t) != by_hand(t) for _, t in docs)
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_notices_over_line_ends(spark, mark):
+    rand = random.Random(3)
+    docs, want = [], {}
+    for width in range(60, 81, 4):
+        for notice, label in lib.NOTICES:
+            pad = " ".join(rand.choice(["foo", "bar"]) for _ in range(rand.randint(0, 90)))
+            want[len(docs)] = label
+            docs.append((len(docs), "\n".join(mark + x for x in textwrap.wrap(f"{pad} {notice}. {pad}", width))))
+    bsd = ("Redistribution and use in source and binary forms, with or without\n"
+           "modification, are permitted provided that the following conditions are met:")
+    gpl = ("This program is free software: you can redistribute it and/or modify\n"
+           "it under the terms of the GNU General Public License as published by")
+    for text, label in ((bsd, "bsd"), (gpl, "gpl")):
+        want[len(docs)] = label
+        docs.append((len(docs), text))
+    rows = lib.scanned(table(spark, docs), wrapped=True).collect()
+    assert len(rows) == len(docs)
+    assert all(want[r["doc_id"]] in r["labels"] and r["score"] == 1.0 for r in rows)
+
+
+def test_query_finds_a_wrapped_notice(spark, tmp_path):
+    table(spark, [(1, "Redistribution and use in source and binary forms, with or without\n"
+                      "modification, are permitted.")]).write.parquet(str(tmp_path / "documents.parquet"))
+    row = QUERIES["op8_license_scan"](spark, str(tmp_path)).first()
+    assert row["labels"] == "bsd" and row["score"] == 1.0
