@@ -36,7 +36,7 @@ K = 20
 SAMPLE, SAMPLE_BYTES = 20_000, 32 << 20
 BRANCHES, LEAF = 12, 40
 CALIBRATION = 256
-RECALL = 0.95
+RECALL = 0.97
 BLOCK_BYTES, BLOCK_QUERIES = 8 << 20, 2048  # vectors and queries of a block
 AT_ONCE = 256  # queries multiplied at once
 SEED = 7

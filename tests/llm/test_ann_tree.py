@@ -98,3 +98,13 @@ def test_recall_of_the_registered_query(spark):
         found.setdefault(r["query_id"], set()).add(r["vec_id"])
     assert set(found) == set(want) and all(len(x) == 20 for x in found.values())
     assert np.mean([len(found[q] & {x[1] for x in want[q]}) / 20 for q in want]) >= 0.9
+
+
+def test_calibration_aims_at_97_percent(spark):
+    from endpulse.llm.queries import op5_ann_tree
+    sf_dir = "/root/testdata/sf0.1"
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    want, found = exact(rows), {}
+    for r in op5_ann_tree(spark, sf_dir).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert np.mean([len(found[q] & {x[1] for x in want[q]}) / 20 for q in want]) >= 0.96
