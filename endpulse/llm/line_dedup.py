@@ -1,10 +1,11 @@
 """Line dedup by winnowing over line hashes, in DataFrame functions only.
 
-A run is RUN consecutive lines. Grams of GRAM line hashes are winnowed, so every
-run holds its window's minimum as a fingerprint. Only fingerprints that occur
-more than once are extended, both ways, to the runs whose minimum they are; of
-equal runs all but the first in the order of (doc_id, row key, line) are
-repeated, and their lines are deleted.
+A run is RUN consecutive lines. Each run is hashed whole, with the minimum over its
+grams of GRAM line hashes as its fingerprint. Runs whose fingerprint occurs once are
+dropped; equal runs are found by grouping the others on their own 128-bit hash, which
+stands for joining and extending positions (see README). Of equal runs all but the
+first in the order of (doc_id, row key, line) are repeated, and their lines are
+deleted; overlapping runs make longer repeats.
 
 Defined results: a null text has no lines and stays null; an empty text has one
 empty line; a text of fewer lines than a run stays whole; rows equal in doc_id
