@@ -16,15 +16,45 @@ other columns are ignored by the order and kept by `mixed`.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 BLOCK_DOCS = 16
 MAX_PARTS = 10_000
+MAX_NAMED = 200
 GROUP_ROWS = 1024
 REST = "*"
 
 
+def split_rest(documents: DataFrame, weights: dict[str, int]) -> dict[str, int]:
+    """weights with the parts of '*' dealt equally to the sources found that have none of their own.
+
+    All parts are multiplied so that they divide, as far as MAX_PARTS allows; else the shares differ
+    by one part. Null is a source too, the only one left in '*'. Of more than MAX_NAMED sources the
+    largest get shares of their own, and the others have the rest of '*' together.
+    """
+    named = {n: a for n, a in weights.items() if n != REST}
+    rest = weights.get(REST, 1)
+    source = F.when(F.col("source") != REST, F.col("source")).alias("source")
+    found = documents.groupBy(source).count().where(F.col("source").isNull() | ~F.col("source").isin(list(named)))
+    n = found.count()
+    largest = found.orderBy(F.desc("count"), F.col("source").asc_nulls_last()).limit(MAX_NAMED).collect()
+    if not n:
+        return weights
+    factor = max(1, min(n // math.gcd(n, rest), MAX_PARTS // (sum(named.values()) + rest)))
+    room = rest * factor
+    names = [REST if r["source"] is None else r["source"] for r in largest]
+    if n <= min(room, MAX_NAMED):
+        dealt = {name: room // n + (i < room % n) for i, name in enumerate(names)}
+    else:
+        own = [name for name in names if name != REST][:room // 2]
+        dealt = dict.fromkeys(own, max(1, room // n))
+        dealt[REST] = room - sum(dealt.values())
+    return {name: a * factor for name, a in named.items()} | dealt
+
+
 def period(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
     """One period: source share, parts, total, j, slot, release, deadline. At most MAX_PARTS rows."""
     if any(int(n) != n or n <= 0 for n in weights.values()) or sum(weights.values()) > MAX_PARTS:

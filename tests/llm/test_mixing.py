@@ -76,3 +76,44 @@ def test_bad_weights_and_empty_table(spark):
         with pytest.raises(ValueError):
             lib.period(spark, weights)
     assert lib.scheduled(documents(spark).where("false"), WEIGHTS).count() == 0
+
+
+@pytest.mark.parametrize("n, weights, want", [
+    (5, {"a": 3, "*": 4}, {"a": 15, **{f"s{i}": 4 for i in range(5)}}),
+    (2, {"a": 3, "*": 4}, {"a": 3, "s0": 2, "s1": 2}),
+    (3, {"a": 9998, "*": 2}, {"a": 9998, "s2": 1, "*": 1}),
+    (0, {"a": 3, "*": 4}, {"a": 3, "*": 4}),
+])
+def test_the_rest_is_split_over_the_sources_found(spark, n, weights, want):
+    docs = table(spark, [(i, "x", "a") for i in range(9)] + [(i, "x", f"s{i}") for i in range(n)]
+                 + [(100 + i, "y", "s2") for i in range(2 if n == 3 else 0)])
+    assert lib.split_rest(docs, weights) == want
+
+
+def test_null_sources_keep_the_rest_and_many_sources_stay_within_the_parts(spark):
+    docs = table(spark, [(1, "x", None), (2, "x", "*"), (3, "x", "b"), (4, "x", "a")])
+    assert lib.split_rest(docs, {"a": 1, "*": 1}) == {"a": 2, "b": 1, "*": 1}
+    many = table(spark, [(i, "x", f"s{i}") for i in range(lib.MAX_NAMED + 50)])
+    got = lib.split_rest(many, {"a": 60, "*": 40})
+    assert len(got) == lib.MAX_NAMED + 2 and sum(got.values()) <= lib.MAX_PARTS and min(got.values()) > 0
+    assert got["*"] / 50 >= got["s0"]
+
+
+def test_pipeline_keeps_every_source_within_one_block(spark):
+    import corpus_pipeline
+    rand = random.Random(4)
+    docs = table(spark, [(i, "x", f"src{rand.choice([*range(12)] + [11] * 8)}") for i in range(6000)])
+    sources = {r["source"] for r in docs.select("source").distinct().collect()}
+    used, mixed = {}, lib.mixed
+    try:
+        lib.mixed = lambda d, w: used.update(w) or mixed(d, w)
+        corpus_pipeline.mix_sources(spark, docs, "")
+    finally:
+        lib.mixed = mixed
+    assert sources <= set(used)
+    blocks = {(r["share"], r["block"]): r["slot"] for r in lib.scheduled(docs, used).collect()}
+    end = min(max(t for (n, _), t in blocks.items() if n == s) for s in sources)
+    total = sum(used.values()) + ("*" not in used)
+    for t in range(1, end + 1):
+        for s in sources:
+            assert abs(sum(1 for (n, _), at in blocks.items() if n == s and at < t) - used[s] * t / total) < 1
