@@ -1,12 +1,12 @@
-"""The ten queries, with production parameters, over their whole tables."""
+"""The queries, with production parameters, over their whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from endpulse.llm import (
-    ann_tree, chat, decontamination, license_scan, line_dedup, minhash, mixing, oracles, substring_dedup,
-    token_files, toxicity,
+    ann_tree, chat, decontamination, license_scan, line_dedup, minhash, mixing, oracles, packing,
+    substring_dedup, token_files, toxicity,
 )
 
 #: Parts of the mixture for each source; '*' stands for all sources not named.
@@ -18,6 +18,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def word_tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -79,10 +84,15 @@ def op10_mixing(spark, sf_dir):
     return mixing.scheduled(docs, TARGET_WEIGHTS)
 
 
+def op13_packing(spark, sf_dir):
+    return packing.packed(_table(spark, sf_dir, "documents"), word_tokenizer_path()).drop("n_loss")
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_decontamination, op2_line_dedup, op3_toxicity, op4_minhash, op5_ann_tree, op6_chat,
-        op7_token_files, op8_license_scan, op9_substring_dedup, op10_mixing)
+        op7_token_files, op8_license_scan, op9_substring_dedup, op10_mixing,
+        op13_packing)
 }
 
 ORACLES = {

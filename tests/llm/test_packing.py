@@ -1,0 +1,148 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from llm.helpers import table
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from endpulse.llm import packing as lib
+from endpulse.llm.queries import QUERIES, word_tokenizer_path
+
+SF_DIR = "/root/testdata/sf0.001"
+WHOLE = Tokenizer.from_file(word_tokenizer_path())
+
+
+def ids_of(text):
+    return WHOLE.encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def check_pieces(rows, docs, limits):
+    """rows of packed(): every id in exactly one piece, gapless sequences within the limits."""
+    by_doc = {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    assert set(by_doc) == set(docs)
+    for doc_id, pieces in by_doc.items():
+        ids, at = docs[doc_id], 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert r.start == at and r.length > 0 and r.doc_tokens == len(ids)
+            part = np.array(ids[at:at + r.length], "<u4")
+            assert r.ids_crc32 == zlib.crc32(part.tobytes())
+            at += r.length
+        assert at == len(ids)
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    lengths = []
+    for pieces in sequences.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= limits.tokens and len(pieces) <= limits.segments
+        assert sum(r.n_loss for r in pieces) <= limits.loss
+        lengths.append(at)
+    assert sorted(sequences) == list(range(len(sequences)))
+    return lengths
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 70), st.integers(0, 70)), max_size=40), st.integers(1, 32),
+       st.integers(1, 9), st.integers(1, 32), st.booleans(), st.integers(0, 12))
+def test_every_id_is_packed_once_within_the_limits(sizes, tokens, segments, loss, whole, window):
+    limits = lib.Limits(tokens, segments, loss)
+    packer = lib.Packer(limits, whole, window)
+    made = []
+    for i, (n, prompt) in enumerate(sizes):
+        made += packer.add(lib.Piece((i, n), np.arange(n), 0, n, min(n, prompt)))
+        assert len(packer.waiting) <= window
+    made += packer.rest()
+    seen = [[] for _ in sizes]
+    for pieces in made:
+        used = sum(p.end - p.start for p in pieces)
+        assert 0 < used <= tokens and len(pieces) <= segments and sum(p.loss() for p in pieces) <= loss
+        assert whole or used == tokens or used & (used - 1) == 0
+        for p in pieces:
+            assert list(p.ids[p.start:p.end]) == list(range(p.start, p.end))
+            seen[p.doc[0]] += range(p.start, p.end)
+            if whole and max(0, sizes[p.doc[0]][0] - min(sizes[p.doc[0]])) <= loss and p.doc[1] <= tokens:
+                assert p.end - p.start == p.doc[1]
+    assert [sorted(x) for x in seen] == [list(range(n)) for n, _ in sizes]
+
+
+def test_the_largest_dot_product_goes_first():
+    """With little loss left the prompt-heavy example fits better than one of equal length."""
+    packer = lib.Packer(lib.Limits(10, 4, 4), whole=True)
+    for i, (n, prompt) in enumerate([(5, 2), (4, 3), (4, 0), (5, 4)]):
+        assert not list(packer.add(lib.Piece((i, n), np.arange(n), 0, n, prompt)))
+    # Products in an empty sequence, tokens / 10 + 1 / 4 + loss / 4: 1.5, 0.9, 1.65 and 1.0.
+    assert [[p.doc[0] for p in s] for s in packer.rest()] == [[2], [0, 3], [1]]
+
+
+def test_words_have_the_ids_of_the_whole_text(monkeypatch):
+    rand = random.Random(3)
+    letters = list("aB's0\t\r,.é\x1c\u0085<") + ["  ", " ", "\n", " \n", "\n\n", " The", "<|endoftext|>", "́", "　", "Σ"]
+    texts = ["".join(rand.choice(letters) for _ in range(rand.randint(0, 40))) for _ in range(3000)]
+    encode = lib.WordIds(word_tokenizer_path())
+    monkeypatch.setattr(lib, "LONG", 25)
+    for text, ids in zip(texts, encode(texts)):
+        assert list(np.frombuffer(ids, "<u4")) + [1] == ids_of(text)
+
+
+def test_odd_tables(spark):
+    long = "word " * 9000
+    rows = [(1, "One two."), (2, None), (3, ""), (None, "null id"), (5, long), (6, "x" * 5000), (7, "One two.")]
+    docs = table(spark, rows, extra=["part", "number", "sequence_id", "ids", "base"])
+    got = lib.packed(docs, word_tokenizer_path()).collect()
+    lengths = check_pieces(got, {d: ids_of(t) for d, t in rows}, lib.Limits())
+    assert all(n == 2048 or n & (n - 1) == 0 for n in lengths)
+    empty = lib.packed(docs.where("doc_id = 99"), word_tokenizer_path())
+    assert empty.count() == 0 and empty.columns == [
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "n_loss", "sequence_id", "offset"]
+
+
+def test_repeated_rows_are_packed_each(spark):
+    rows = [(1, "the same words")] * 5
+    got = lib.packed(table(spark, rows), word_tokenizer_path()).collect()
+    assert sum(r.length for r in got) == 5 * len(ids_of("the same words"))
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_instruction_data_in_sequences(spark, whole):
+    rand = random.Random(5)
+    words = lambda n: " ".join(rand.choice(["red", "green", "unbelievable", "x1"]) for _ in range(n))
+    rows = [(i, words(rand.randint(0, 60)), words(rand.randint(0, 30))) for i in range(120)]
+    limits = lib.Limits(128, 4, 90)
+    examples = spark.createDataFrame(rows, "doc_id bigint, text string, prompt string")
+    pieces = lib.packed(examples, word_tokenizer_path(), limits, whole=whole, with_ids=True).cache()
+    docs = {i: ids_of(p)[:-1] + ids_of(t) for i, t, p in rows}
+    check_pieces(pieces.collect(), docs, limits)
+    made = {r.sequence_id: r for r in lib.sequences(pieces, limits, pad_id=7).collect()}
+    loss_from = {i: len(ids_of(p)) - 1 for i, _, p in rows}
+    at = {}
+    for r in pieces.collect():
+        row = made[r.sequence_id]
+        span = slice(r.offset, r.offset + r.length)
+        assert row.ids[span] == docs[r.doc_id][r.start:r.start + r.length]
+        assert row.loss_mask[span] == [int(k >= loss_from[r.doc_id]) for k in range(r.start, r.start + r.length)]
+        assert len(set(row.segments[span])) == 1
+        at[r.sequence_id] = max(at.get(r.sequence_id, 0), r.offset + r.length)
+    for number, row in made.items():
+        used = at[number]
+        assert len(row.ids) == (used if used & (used - 1) == 0 else 128) == used + row.padding
+        assert row.ids[used:] == [7] * row.padding and not any(row.segments[used:]) and not any(row.loss_mask[used:])
+    if whole:
+        assert all(r.length == r.doc_tokens for r in pieces.collect())
+    else:
+        assert not any(r.padding for r in made.values())
+
+
+def test_query_packs_all_documents(spark):
+    texts = {r.doc_id: ids_of(r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    frame = QUERIES["op13_packing"](spark, SF_DIR)
+    lengths = check_pieces(frame.withColumn("n_loss", F.col("length")).collect(), texts, lib.Limits())
+    assert all(n & (n - 1) == 0 for n in lengths)
+    assert sum(n == 2048 for n in lengths) > 0.5 * sum(lengths) / 2048
