@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from endpulse.llm import (
-    ann_tree, chat, decontamination, license_scan, line_dedup, minhash, mixing, oracles, packing,
+    alignment, ann_tree, chat, decontamination, license_scan, line_dedup, minhash, mixing, oracles, packing,
     substring_dedup, token_files, toxicity,
 )
 
@@ -18,6 +18,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def word_tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
@@ -84,6 +89,10 @@ def op10_mixing(spark, sf_dir):
     return mixing.scheduled(docs, TARGET_WEIGHTS)
 
 
+def op11_alignment(spark, sf_dir):
+    return alignment.aligned(_table(spark, sf_dir, "documents"), tokenizer_path(), piece_tokenizer_path())
+
+
 def op13_packing(spark, sf_dir):
     return packing.packed(_table(spark, sf_dir, "documents"), word_tokenizer_path()).drop("n_loss")
 
@@ -92,7 +101,7 @@ QUERIES = {
     f.__name__: f for f in (
         op1_decontamination, op2_line_dedup, op3_toxicity, op4_minhash, op5_ann_tree, op6_chat,
         op7_token_files, op8_license_scan, op9_substring_dedup, op10_mixing,
-        op13_packing)
+        op11_alignment, op13_packing)
 }
 
 ORACLES = {
