@@ -4,6 +4,7 @@ from endpulse.llm.decontamination import SPAN
 from endpulse.llm.license_scan import BLOCK, NOTICES, PHRASES, STEP, THRESHOLD
 from endpulse.llm.line_dedup import RUN
 from endpulse.llm.mixing import BLOCK_DOCS
+from endpulse.llm.prefix_trie import BASES, HEADS
 
 WORDS = ("regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
          "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
@@ -135,3 +136,38 @@ SELECT doc_id, source, share, block,
        cast(r % {BLOCK_DOCS} AS INTEGER) AS place
 FROM blocks JOIN w USING (share) JOIN period USING (share, a) WHERE block % a = j
 """
+
+
+# CRC-32 of the decimal digits, bit by bit.
+_CRC = """xor(4294967295::BIGINT, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(cast(conv_id AS VARCHAR), ''), lambda x: cast(ascii(x) AS BIGINT))),
+    lambda r, x: list_reduce([xor(r, x), 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT],
+                             lambda a, b: xor(a // 2, (a % 2) * 3988292384))))"""
+op12 = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(struct_pack(r := role, t := text) ORDER BY n) AS l, cast({_CRC} % {HEADS} AS BIGINT) AS h
+      FROM t GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, CASE WHEN b.l IS NULL THEN c.l[c.h + 1:] ELSE list_concat(b.l[1:c.h], c.l[c.h + 1:]) END AS s
+  FROM c LEFT JOIN c AS b ON b.conv_id = c.conv_id - c.conv_id % {BASES}),
+m AS (SELECT conv_id, len(s) AS n, d, s[1:d] AS p FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM r)),
+nodes AS (
+  SELECT d, p, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(cast(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256,
+    CASE WHEN d > 0 THEN len(regexp_extract_all(p[d].t, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS words
+  FROM m GROUP BY d, p),
+children AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+below AS (
+  SELECT a AS d, p[1:a] AS p, sum(leaf) AS n_leaves, sum(saved) AS saved FROM (
+    SELECT p, unnest(range(0, d + 1)) AS a, (n IS NULL)::INT AS leaf, (n_convs - 1) * words AS saved
+    FROM nodes LEFT JOIN children USING (d, p)) GROUP BY ALL)
+SELECT x.conv_id, cast(x.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, x.n_convs,
+  coalesce(children.n, 0) AS n_children, cast(n_leaves AS BIGINT) AS n_leaves, cast(saved AS BIGINT) AS saved_tokens,
+  x.ends_sha256
+FROM nodes AS x JOIN below ON below.d = x.d AND below.p = x.p
+LEFT JOIN children ON children.d = x.d AND children.p = x.p
+LEFT JOIN nodes AS up ON up.d = x.d - 1 AND up.p = x.p[1:x.d - 1]
+"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from endpulse.llm import (
     alignment, ann_tree, chat, decontamination, license_scan, line_dedup, minhash, mixing, oracles, packing,
-    substring_dedup, token_files, toxicity,
+    prefix_trie, substring_dedup, token_files, toxicity,
 )
 
 #: Parts of the mixture for each source; '*' stands for all sources not named.
@@ -93,6 +93,10 @@ def op11_alignment(spark, sf_dir):
     return alignment.aligned(_table(spark, sf_dir, "documents"), tokenizer_path(), piece_tokenizer_path())
 
 
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_packing(spark, sf_dir):
     return packing.packed(_table(spark, sf_dir, "documents"), word_tokenizer_path()).drop("n_loss")
 
@@ -101,7 +105,7 @@ QUERIES = {
     f.__name__: f for f in (
         op1_decontamination, op2_line_dedup, op3_toxicity, op4_minhash, op5_ann_tree, op6_chat,
         op7_token_files, op8_license_scan, op9_substring_dedup, op10_mixing,
-        op11_alignment, op13_packing)
+        op11_alignment, op12_prefix_trie, op13_packing)
 }
 
 ORACLES = {
@@ -110,4 +114,5 @@ ORACLES = {
     "op6_chat": oracles.op6,
     "op8_license_scan": oracles.op8,
     "op10_mixing": oracles.op10(TARGET_WEIGHTS),
+    "op12_prefix_trie": oracles.op12,
 }
