@@ -61,7 +61,7 @@ def random_rows(seed, convs, longest=7):
 
 def test_products_are_associative_and_have_inverses():
     rand = random.Random(2)
-    x, y, z = (lib.element(rand.randbytes(32)) for _ in range(3))
+    x, y, z = (lib.element(rand.randbytes(32), n) for n in (1, 0, 7))
     assert lib.times(lib.times(x, y), z) == lib.times(x, lib.times(y, z))
     assert lib.times(x, y) != lib.times(y, x)
     assert lib.times(x, lib.inverse(x)) == lib.ONE == lib.times(lib.inverse(x), x)
@@ -87,18 +87,15 @@ def test_clashing_elements_are_found_and_others_taken(spark, monkeypatch):
     """Turns that look alike to the first elements are told apart by their texts."""
     rows = random_rows(7, range(60))
     seeds = []
-    real = lib.stored_turns
+    real, alike = lib.stored_turns, lib.element(bytes(range(32)), 1)
 
     def blind(conversations, seed):
         seeds.append(seed)
         if seed:
             return real(conversations, seed)
-        constant = lib.element(bytes(range(32)))
-        monkeypatch.setattr(lib, "element", lambda digest: constant)
-        turns, sizes = real(conversations, seed)
-        monkeypatch.undo()
-        monkeypatch.setattr(lib, "stored_turns", blind)
-        return turns, sizes
+        with monkeypatch.context() as patch:
+            patch.setattr(lib, "element", lambda digest, words: alike)
+            return real(conversations, seed)
 
     monkeypatch.setattr(lib, "stored_turns", blind)
     assert got(spark, rows) == by_hand(rows)
