@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from endpulse.llm.common import write_table
-from endpulse.llm.pieces import Known, literal, spaced
+from endpulse.llm.pieces import Known, in_worker, literal, no_gc, spaced
 from endpulse.llm.words import slices
 
 CHUNK = 2 << 20
@@ -128,7 +129,7 @@ def align(lengths_a: np.ndarray, lengths_b: np.ndarray) -> Aligned:
     """Align two tokenizations of the same bytes, given the bytes of each token; none is empty."""
     links = product(spans(lengths_a), transposed(spans(lengths_b)))
     ends_a, ends_b = np.cumsum(lengths_a), np.cumsum(lengths_b)
-    ends = np.intersect1d(ends_a, ends_b)
+    ends = ends_b[ends_a[np.minimum(np.searchsorted(ends_a, ends_b), len(ends_a) - 1)] == ends_b]
     return Aligned(links, np.searchsorted(ends, ends_a), np.searchsorted(ends, ends_b), len(ends))
 
 
@@ -162,7 +163,8 @@ class Pair:
         # Cuts before blanks are safe if no piece has a blank behind another character, or holds a line end.
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.cuts = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
-        self.known = Known(self._learn, most=200_000)
+        self.names_a, self.names_b = (np.array([str(i) for i in range(n)], object) for n in (size, len(pieces)))
+        self.known = Known(self._learn, most=100_000)
 
     def _ids_b(self, literals: list[str]) -> list[list[int]]:
         """Ids of pieces; the tokenizer puts a blank before each, which some have themselves."""
@@ -171,49 +173,63 @@ class Pair:
         # Before a line end the blank is a token of its own.
         return [ids if o else ids[1:] for ids, o in zip(found, own)]
 
+    def join_a(self, ids) -> bytes:
+        return b"".join(map(self.bytes_a.__getitem__, ids))
+
+    def join_b(self, ids) -> bytes:
+        return b"".join(map(self.bytes_b.__getitem__, ids))
+
     def ids(self, literals: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         found = self.a.encode_batch_fast(literals, add_special_tokens=False)
         return [f.ids for f in found], self._ids_b(literals)
 
-    def _learn(self, keys: list[str]) -> list[Piece | None]:
-        """What each piece has; None where the joined bytes of a tokenizer are not the piece."""
-        literals = [literal(k) for k in keys]
-        all_a, all_b = self.ids(literals)
-        good = [b"".join(map(self.bytes_a.__getitem__, a)) == (text := p.encode())
-                == b"".join(map(self.bytes_b.__getitem__, b)) and text != b""
-                for p, a, b in zip(literals, all_a, all_b)]
-        out: list[Piece | None] = [None] * len(keys)
-        at = [i for i, ok in enumerate(good) if ok]
-        for start in range(0, len(at), 20_000):
-            part = at[start:start + 20_000]
-            for i, piece in zip(part, self._pieces([all_a[i] for i in part], [all_b[i] for i in part])):
-                out[i] = piece
+    def _learn(self, keys: list[str]) -> list[tuple | None]:
+        """What each piece has, see ``_pieces``; None where the joined bytes of a tokenizer are not the piece."""
+        out: list[tuple | None] = []
+        for start in range(0, len(keys), 20_000):
+            literals = [literal(k) for k in keys[start:start + 20_000]]
+            all_a, all_b = self.ids(literals)
+            give_back = lambda text, a, b: self.join_a(a) == text == self.join_b(b)
+            if give_back("".join(literals).encode(), chain.from_iterable(all_a), chain.from_iterable(all_b)):
+                out += self._pieces(all_a, all_b)
+                continue
+            good = [give_back(p.encode(), a, b) for p, a, b in zip(literals, all_a, all_b)]
+            found = iter(self._pieces([a for a, ok in zip(all_a, good) if ok], [b for b, ok in zip(all_b, good) if ok]))
+            out += [next(found) if ok else None for ok in good]
         return out
 
     def _pieces(self, all_a: list[list[int]], all_b: list[list[int]]):
-        """The pieces' tokens, one behind the other, as two tokenizations of all their bytes."""
-        ids_a, ids_b = (np.array([i for x in ids for i in x], np.int64) for ids in (all_a, all_b))
+        """Per piece: its groups as text, its counts (A, B, groups, links, shared links), and the pair of each link.
+
+        The tokens of all pieces, one behind the other, are two tokenizations of all their bytes.
+        """
+        if not all_a:
+            return []
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (all_a, all_b))
         found = align(self.n_a[ids_a], self.n_b[ids_b])
-        ends_a, ends_b = np.cumsum([len(x) for x in all_a]), np.cumsum([len(x) for x in all_b])
-        pairs = ids_a[found.links.rows()] * SIDE + ids_b[found.links.indices]
-        link_ends = found.links.indptr[ends_a].tolist()
+        in_a, in_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (all_a, all_b))
+        ends_a, ends_b = np.cumsum(in_a), np.cumsum(in_b)
+        pairs = (ids_a[found.links.rows()] * SIDE + ids_b[found.links.indices]).tobytes()
+        link_ends = found.links.indptr[ends_a]
         shared = np.zeros(len(ids_a) + 1, np.int64)
         for rows, _, _ in found.shared():
-            np.add.at(shared, rows + 1, 1)
-        shared_ends = np.cumsum(shared)[ends_a].tolist()
-        group_ends = (found.groups_a[ends_a - 1] + 1).tolist()
-        # Where each group's tokens end on both sides.
-        stop_a = np.searchsorted(found.groups_a, np.arange(found.n_groups), side="right").tolist()
-        stop_b = np.searchsorted(found.groups_b, np.arange(found.n_groups), side="right").tolist()
-        text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        i = j = g = link = share = 0
-        for a, b, to_group, to_link, to_share in zip(all_a, all_b, group_ends, link_ends, shared_ends):
-            groups = []
-            for k in range(g, to_group):
-                groups.append(f"{','.join(text_a[i:stop_a[k]])}|{','.join(text_b[j:stop_b[k]])}")
-                i, j = stop_a[k], stop_b[k]
-            yield Piece(";".join(groups).encode(), len(a), len(b), to_group - g, to_share - share, pairs[link:to_link])
-            g, link, share = to_group, to_link, to_share
+            shared[1:] += np.bincount(rows, minlength=len(ids_a))
+        sizes = np.stack([in_a, in_b, np.diff(found.groups_a[ends_a - 1] + 1, prepend=0),
+                          np.diff(link_ends, prepend=0), np.diff(np.cumsum(shared)[ends_a], prepend=0)], axis=1)
+        # A group's A tokens, then its B tokens; each is followed by what stands behind it in the text.
+        n_a, n_b = (np.bincount(g, minlength=found.n_groups) for g in (found.groups_a, found.groups_b))
+        before_a, before_b = np.cumsum(n_b) - n_b, np.cumsum(n_a)
+        parts = np.empty(2 * (len(ids_a) + len(ids_b)), object)
+        parts[1::2] = ","
+        for ids, groups, before, names in ((ids_a, found.groups_a, before_a, self.names_a),
+                                           (ids_b, found.groups_b, before_b, self.names_b)):
+            parts[2 * (np.arange(len(ids)) + before[groups])] = names[ids]
+        parts[2 * (np.cumsum(n_a) + before_a) - 1] = "|"
+        parts[2 * (np.cumsum(n_a) + np.cumsum(n_b)) - 1] = ";"
+        parts[2 * (ends_a + ends_b) - 1] = "\n"
+        texts = "".join(parts.tolist()).encode().split(b"\n")
+        edges = [0, *(8 * link_ends).tolist()]
+        return [(text, tuple(n), pairs[a:b]) for text, n, a, b in zip(texts, sizes.tolist(), edges, edges[1:])]
 
     def keys(self, text: str | None) -> list[str]:
         """Keys of the pieces of blank and text."""
@@ -222,18 +238,6 @@ class Pair:
         return spaced(" " + text) if self.cuts else ["\0=" + " " + text]
 
 
-@dataclass(slots=True)
-class Piece:
-    """A piece's groups as text, its counts, and the id pair of each link."""
-
-    groups: bytes
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_shared: int
-    pairs: np.ndarray
-
-
 CHUNKS = ("chunk bigint, pairs array<bigint>, holders array<int>, piece_ends array<int>, piece_pairs array<int>, "
           "doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
           "n_shared array<bigint>, groups_sha256 array<string>, doc_ends array<int>, doc_pieces array<int>")
@@ -245,37 +249,46 @@ def _chunk(pair: Pair, number: int, doc_ids: pa.Array, texts: list[str | None])
     """One row: documents as lists of pieces, pieces as lists of pairs, and the documents that hold each pair."""
     keys = [pair.keys(t) for t in texts]
     value = pair.known.meet(keys)
+    local = dict.fromkeys(chain.from_iterable(keys))
     # A text with a piece that its tokens do not give back has no tokens.
-    keys = [k if all(map(value, set(k))) else [] for k in keys]
-    local: dict[str, int] = {}
-    doc_pieces = [np.fromiter((local.setdefault(x, len(local)) for x in k), np.int64, len(k)) for k in keys]
+    bad = {k for k in local if value(k) is None}
+    if bad:
+        keys = [k if bad.isdisjoint(k) else [] for k in keys]
+        local = dict.fromkeys(chain.from_iterable(keys))
     pieces = [value(k) for k in local]
-    sizes = np.array([[p.n_a, p.n_b, p.n_groups, len(p.pairs), p.n_shared] for p in pieces], np.int64).reshape(-1, 5)
-    doc_sizes = np.array([sizes[d].sum(axis=0) for d in doc_pieces], np.int64).reshape(-1, 5)
-    digests = [hashlib.sha256(b";".join([pieces[i].groups for i in d.tolist()])).hexdigest() if len(d) else ""
-               for d in doc_pieces]
-
-    codes = np.concatenate([p.pairs for p in pieces]) if pieces else np.zeros(0, np.int64)
+    local = dict(zip(local, range(len(local))))
+    lengths = np.array([len(k) for k in keys], np.int64)
+    doc_ends = np.cumsum(lengths)
+    doc_pieces = np.fromiter(map(local.__getitem__, chain.from_iterable(keys)), np.int64, int(lengths.sum()))
+    sizes = np.array([p[1] for p in pieces], np.int64).reshape(-1, 5)
+    sums = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(sizes[doc_pieces], axis=0)])
+    doc_sizes = sums[doc_ends] - sums[doc_ends - lengths]
+    groups = {k: p[0] for k, p in zip(local, pieces)}.__getitem__
+    digests = [hashlib.sha256(b";".join(map(groups, k))).hexdigest() if k else "" for k in keys]
+
+    codes = np.frombuffer(b"".join([p[2] for p in pieces]), np.int64)
     pairs, places = np.unique(codes, return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(sizes[:, 3])]).astype(np.int64)
     # Documents by pieces, times pieces by pairs: which documents hold which pairs.
     holders = np.zeros(len(pairs), np.int64)
-    lists = [np.unique(d) for d in doc_pieces]
-    by_piece = Csr(np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64),
-                   np.concatenate(lists) if lists else np.zeros(0, np.int64),
-                   np.ones(sum(map(len, lists)), np.int64), len(pieces))
+    width = max(1, len(pieces))
+    owner = np.repeat(np.arange(len(keys)), lengths)
+    entries = np.sort(owner * width + doc_pieces)
+    entries = entries[np.diff(entries, prepend=-1) > 0]
+    by_piece = Csr(np.searchsorted(entries, np.arange(len(keys) + 1) * width), entries % width,
+                   np.ones(len(entries), np.int64), width)
     by_pair = Csr(starts, places.astype(np.int64), np.ones(len(places), np.int64), max(1, len(pairs)))
-    for _, columns, _ in row_products(by_piece, by_pair):
-        holders += np.bincount(columns, minlength=len(pairs))
+    if pieces:
+        for _, columns, _ in row_products(by_piece, by_pair):
+            holders += np.bincount(columns, minlength=len(pairs))
 
-    flat = np.concatenate(doc_pieces) if doc_pieces else np.zeros(0, np.int64)
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-    lists = [pa.array([x], pa.list_(k)) for x, k in zip([pairs, holders, starts[1:], places], kinds)]
+    lists = [pa.array([x.astype(k.to_pandas_dtype())], pa.list_(k))
+             for x, k in zip([pairs, holders, starts[1:], places], kinds)]
     docs = [pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids.cast(pa.int64())),
             *[pa.array([doc_sizes[:, i]], pa.list_(pa.int64())) for i in range(5)],
             pa.array([digests], pa.list_(pa.string())),
-            pa.array([np.cumsum([len(d) for d in doc_pieces])], pa.list_(pa.int32())),
-            pa.array([flat], pa.list_(pa.int32()))]
+            *[pa.array([x.astype(np.int32)], pa.list_(pa.int32())) for x in (doc_ends, doc_pieces)]]
     return pa.RecordBatch.from_arrays([pa.array([number]), *lists, *docs], names=[
         c.split()[0] for c in CHUNKS.split(", ")])
 
@@ -308,8 +321,10 @@ def chunks_of(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
         pair, number = None, TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "text", CHUNK):
-                pair = pair or Pair(path_a, path_b)
-                yield _chunk(pair, number, part.column(0), part.column(1).to_pylist())
+                pair = pair or in_worker(f"pair {path_a} {path_b}", lambda: Pair(path_a, path_b))
+                with no_gc():
+                    row = _chunk(pair, number, part.column(0), part.column(1).to_pylist())
+                yield row
                 number += 1
 
     return write_table(documents.select("doc_id", "text").mapInArrow(run, CHUNKS), "aligned-chunks")
@@ -356,8 +371,7 @@ def links(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
                     pieces = [literal(k) for k in pair.keys(text)]
                     (a, b) = ([i for x in ids for i in x] for ids in pair.ids(pieces)) if pieces else ([], [])
                     whole = (" " + (text or "")).encode()
-                    if not pieces or not b"".join(map(pair.bytes_a.__getitem__, a)) == whole == b"".join(
-                            map(pair.bytes_b.__getitem__, b)):
+                    if not pieces or not pair.join_a(a) == whole == pair.join_b(b):
                         rows.append([])
                         continue
                     n_a, n_b = pair.n_a[a], pair.n_b[b]

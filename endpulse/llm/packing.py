@@ -23,6 +23,7 @@ and prompt are ignored. Equal products go to the example that waits longest.
 from __future__ import annotations
 
 import zlib
+from array import array
 from dataclasses import dataclass
 from itertools import chain
 
@@ -33,11 +34,12 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from endpulse.llm.common import write_table
-from endpulse.llm.pieces import Known, long_parts
+from endpulse.llm.pieces import Known, in_worker, long_parts
 from endpulse.llm.words import slices
 
 END_ID = 1
 WINDOW = 512
+MARKS = ".,;:!?#%*&$"  # ASCII and no apostrophe, which begins contractions
 LONG = 4 << 20  # characters of one text encoded at once
 
 
@@ -60,11 +62,19 @@ class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = Known(self._learn)
+        self.words = Known(self._learn, most=400_000)
 
     def _learn(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        """Marks behind a letter are tokens of their own, and ASCII letters are lower-cased, so fewer words are encoded."""
+        halves = [(stem, w[len(stem):]) if (stem := w.rstrip(MARKS))[-1:].isalpha() else (w, "") for w in words]
+        halves = [(w.lower() if w.isascii() and w.isalpha() else w, marks) for w, marks in halves]
+        known, older = self.words.values, self.words.older
+        found = {w: known.get(w) or older.get(w) for w in set(chain.from_iterable(halves))}
+        new = [w for w, ids in found.items() if ids is None]
+        for w, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            found[w] = array("I", encoding.ids).tobytes()
+        found[""] = b""
+        return [found[w] + found[marks] for w, marks in halves]
 
     def many(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
@@ -253,7 +263,7 @@ def packed(examples: DataFrame, tokenizer: str, limits: Limits = Limits(), whole
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for rows in slices(batch, "text"):
-                encode = encode or WordIds(tokenizer)
+                encode = encode or in_worker(f"words {tokenizer}", lambda: WordIds(tokenizer))
                 prompts, texts = encode(rows.column(2).to_pylist()), encode(rows.column(1).to_pylist())
                 ready = []
                 for doc_id, before, ids in zip(rows.column(0).to_pylist(), prompts, texts):

@@ -7,7 +7,12 @@ before single blanks (and line ends) between two other characters.
 
 from __future__ import annotations
 
+import gc
+import os
 import re
+import sys
+import types
+from contextlib import contextmanager
 from itertools import chain
 
 #: A blank or line end that is the last character or has white space behind it.
@@ -54,20 +59,55 @@ def long_parts(text: str, most: int):
 
 
 class Known:
-    """Values of keys; those not known yet are learned together, and all are forgotten when there are many."""
+    """Values of keys; those not known yet are learned together.
 
-    def __init__(self, learn, most: int = 300_000, most_chars: int = 16 << 20):
+    Values come in two generations: once the newer holds `most` keys (or their characters are too many) it
+    becomes the older one, whose keys move back when they are met again and go with it otherwise.
+    """
+
+    def __init__(self, learn, most: int = 250_000, most_chars: int = 8 << 20):
         self.learn, self.most, self.most_chars = learn, most, most_chars
-        self.values, self.chars = {}, 0
+        self.values, self.older, self.chars = {}, {}, 0
 
     def meet(self, keys: list[list[str]]):
         """The values of all these keys: a function of a key."""
-        new = set(chain.from_iterable(keys))
         if len(self.values) > self.most or self.chars > self.most_chars:
-            self.values, self.chars = {}, 0
-        new.difference_update(self.values)
+            self.values, self.older, self.chars = {}, self.values, 0
+        new = set(chain.from_iterable(keys)).difference(self.values)
         if new:
-            new = sorted(new)
-            self.values.update(zip(new, self.learn(new)))
             self.chars += sum(map(len, new))
+            known = new.intersection(self.older)
+            self.values.update(zip(known, map(self.older.__getitem__, known)))
+            new = list(new.difference(known))
+            with no_gc():
+                self.values.update(zip(new, self.learn(new)))
         return self.values.__getitem__
+
+
+@contextmanager
+def no_gc():
+    """Without the cycle collector, which would go through all new objects again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+KEPT = "endpulse_kept_in_worker"
+
+
+def in_worker(name: str, make):
+    """An object that lives as long as the Python worker, over all its tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    kept = vars(sys.modules.setdefault(KEPT, types.ModuleType(KEPT)))
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
+def forget_in_worker() -> None:
+    """Free what the worker keeps; other stages use the worker too."""
+    vars(sys.modules.get(KEPT, types.ModuleType(""))).clear()

@@ -62,8 +62,9 @@ class Encoder:
     between two other characters, and at a punctuation mark after a letter. So a
     text without neighbouring blanks is cut there without any change of its ids,
     and the pieces of many texts are looked up at once: in a sorted table of
-    hashes, with the ids of all known pieces behind one another. The other texts
-    are cut at single blanks only and encoded as they are.
+    hashes, with the bytes and the ids of all known pieces behind one another. Every
+    piece is compared with the known bytes; a text with a piece that has another one's
+    hash, like the other texts, is cut at single blanks only and encoded as it is.
     """
 
     def __init__(self, path: str):
@@ -78,6 +79,8 @@ class Encoder:
         self.keys = np.zeros(0, np.uint64)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.text_starts, self.text_sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.text_pool, self.text_used = np.zeros(1 << 18, np.uint8), 0
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -107,6 +110,14 @@ class Encoder:
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
         self.pool[self.used:self.used + len(ids)] = ids
+        texts = [p.encode() for p in pieces]
+        text, sizes = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts], np.int64)
+        while self.text_used + len(text) > len(self.text_pool):
+            self.text_pool = np.concatenate([self.text_pool, np.zeros(len(self.text_pool), np.uint8)])
+        self.text_pool[self.text_used:self.text_used + len(text)] = text
+        self.text_starts = np.insert(self.text_starts, at, self.text_used + np.cumsum(sizes) - sizes)
+        self.text_sizes = np.insert(self.text_sizes, at, sizes)
+        self.text_used += len(text)
         self.keys = np.insert(self.keys, at, keys)
         self.starts = np.insert(self.starts, at, self.used + np.cumsum(n) - n)
         self.sizes = np.insert(self.sizes, at, n.astype(np.int32))
@@ -168,14 +179,37 @@ class Encoder:
             text = raw.tobytes()
             self._learn(keys[new], at[new], [text[begins[i]:ends[i]].decode() for i in first[new].tolist()])
             at = np.searchsorted(self.keys, keys)
-        starts, sizes = self.starts[at][place], self.sizes[at][place]
+        known = at[place]
+        wrong = np.unique(owner[~self._same(raw, begins, ends, known)])
+        if len(wrong):
+            right = ~np.isin(owner, wrong)
+            known, owner = known[right], owner[right]
+        starts, sizes = self.starts[known], self.sizes[known]
         ids = self.pool[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
         per_text = np.bincount(owner, weights=sizes, minlength=len(plain)).astype(np.int64)
         data, edges = ids.astype("<u4").tobytes(), (4 * np.concatenate([[0], np.cumsum(per_text)])).tolist()
         for i in np.flatnonzero(per_text).tolist():
             found[i] = data[edges[i]:edges[i + 1]]
+        for i in wrong.tolist():
+            found[i] = self.other(raw[offsets[i]:offsets[i + 1]].tobytes().decode())
         return found
 
+    def _same(self, raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Which pieces raw[begin:end] are, byte for byte, the known ones (numbers in the table)."""
+        n = ends - begins
+        same = self.text_sizes[known] == n
+        step = 1 << 16  # pieces at once
+        for a in range(0, len(n), step):
+            part = slice(a, a + step)
+            size = np.where(same[part], n[part], 0)
+            base = np.cumsum(size) - size
+            place = np.arange(size.sum())
+            here = raw[place + np.repeat(begins[part] - base, size)]
+            there = self.text_pool[place + np.repeat(self.text_starts[known[part]] - base, size)]
+            differ = np.concatenate([[0], np.cumsum(here != there)])
+            same[part] &= differ[base + size] == differ[base]
+        return same
+
     def other(self, text: str) -> bytes:
         """Any text: whole if a special token's string is in it, else cut at single blanks."""
         if any(s in text for s in self.special):

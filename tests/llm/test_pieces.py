@@ -40,12 +40,15 @@ def test_values_are_learned_once_and_forgotten():
     learned = []
 
     def learn(keys):
-        learned.append(keys)
+        learned.append(sorted(keys))
         return [k.upper() for k in keys]
 
     known = lib.Known(learn, most=3)
     assert list(map(known.meet([["a", "b"], ["a"]]), ["a", "b", "a"])) == ["A", "B", "A"]
     assert list(map(known.meet([["b", "c", "d"]]), ["b", "c", "d"])) == ["B", "C", "D"]
-    assert learned == [["a", "b"], ["c", "d"]]
-    known.meet([["a"]])
-    assert learned[-1] == ["a"] and len(known.values) == 1
+    assert sorted(learned[1]) == ["c", "d"]
+    known.meet([["a", "e"]])  # a new generation begins: a is taken over, e is new
+    assert learned[2] == ["e"] and sorted(known.values) == ["a", "e"] and len(known.older) == 4
+    known.meet([["f", "g"]])
+    known.meet([["a", "b"]])  # the next one: b is forgotten
+    assert learned[-1] == ["b"] and sorted(known.values) == ["a", "b"]

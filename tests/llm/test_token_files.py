@@ -117,3 +117,29 @@ def test_query_columns(spark):
 def test_empty_table(spark):
     none = table(spark, [(1, "a")]).where("false")
     assert lib.read_documents(lib.write_shards(none, tokenizer_path())).count() == 0
+
+
+def thue_morse(n):
+    """Two words of n letters that a polynomial hash modulo 2**64 takes for one from 1,024 letters on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_of_one_hash_have_their_own_ids(spark, n):
+    one, other = thue_morse(n)
+    encode = lib.Encoder(tokenizer_path())
+    assert list(encode.texts(pa.array([one, f"x {other}", other, f"x {one}"]))) == [
+        ids_of(t) for t in (one, f"x {other}", other, f"x {one}")]
+    assert encode(other) == ids_of(other)  # in a later batch
+    docs = [(1, f"x {one}"), (2, f"x {other}"), (3, f"y\n{other} {one}")]
+    got = rows_of(lib.read_documents(lib.write_shards(table(spark, docs), tokenizer_path())), "doc_id", "n_tokens", "ids_crc32")
+    assert got == [(i, len(ids_of(t)) // 4 + 1, zlib.crc32(ids_of(t) + bytes(4))) for i, t in docs]
+
+
+def test_random_binary_words():
+    rand = random.Random(9)
+    words = ["".join(rand.choice("ab") for _ in range(rand.choice([1, 3, 8, 64, 700]))) for _ in range(800)]
+    texts = [" ".join(rand.sample(words, 5)) for _ in range(300)]
+    encode = lib.Encoder(tokenizer_path())
+    assert list(encode.texts(pa.array(texts))) == [ids_of(t) for t in texts]
