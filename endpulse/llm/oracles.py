@@ -1,7 +1,7 @@
 """SQL texts for DuckDB of those queries that SQL can express."""
 
 from endpulse.llm.decontamination import SPAN
-from endpulse.llm.license_scan import BLOCK, NOTICES, PHRASES, STEP, THRESHOLD
+from endpulse.llm.license_scan import NOTICES, PHRASES, THRESHOLD, step_of
 from endpulse.llm.line_dedup import RUN
 from endpulse.llm.mixing import BLOCK_DOCS
 from endpulse.llm.prefix_trie import BASES, HEADS
@@ -72,10 +72,11 @@ FROM turns GROUP BY conv_id
 """
 
 _PHRASE_ROWS = ", ".join(f"('{p}', {len(p.split())}, '{label}')" for p, label in PHRASES)
-_NOTICE_ROWS = ", ".join(f"(list_distinct(string_split('{t}', ' ')), '{label}')" for t, label in NOTICES)
+_NOTICE_ROWS = ", ".join(f"(list_distinct(string_split('{t}', ' ')), '{label}', ' {mark} ')" for t, label, mark in NOTICES)
+_STEP = step_of()
 op8 = f"""
 WITH phrases(phrase, k, label) AS (VALUES {_PHRASE_ROWS}),
-notices(tokens, label) AS (VALUES {_NOTICE_ROWS}),
+notices(tokens, label, mark) AS (VALUES {_NOTICE_ROWS}),
 d AS (SELECT doc_id, text, {WORDS.format('text')} AS w FROM documents),
 places AS (
   SELECT doc_id, i, label FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM d), phrases
@@ -85,13 +86,16 @@ base AS (
          list_sort(list_distinct(list(label))) AS labels FROM places GROUP BY doc_id),
 lines AS (
   SELECT doc_id, {WORDS.format('line')} AS w
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+  UNION ALL SELECT doc_id, w FROM d),
 blocks AS (
-  SELECT doc_id, list_distinct(w[a + 1:a + {BLOCK}]) AS b
-  FROM (SELECT doc_id, w, unnest(range(0, len(w), {STEP})) AS a FROM lines)),
+  SELECT doc_id, list_distinct(b) AS b, ' ' || array_to_string(b, ' ') || ' ' AS x FROM (
+    SELECT doc_id, w[a + 1:a + {2 * _STEP}] AS b
+    FROM (SELECT doc_id, w, unnest(range(0, len(w), {_STEP})) AS a FROM lines))),
 met AS (
   SELECT doc_id, label, common, n FROM (
-    SELECT doc_id, label, len(list_intersect(b, tokens)) AS common, len(tokens) AS n FROM blocks, notices)
+    SELECT doc_id, label, len(list_intersect(b, tokens)) AS common, len(tokens) AS n
+    FROM blocks, notices WHERE contains(x, mark))
   WHERE common >= ceil({THRESHOLD} * n - 1e-9)),
 more AS (
   SELECT doc_id, list_distinct(list(label)) AS labels, max(common / n) AS best FROM met GROUP BY doc_id)

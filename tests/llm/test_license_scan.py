@@ -8,20 +8,29 @@ from endpulse.llm import license_scan as lib
 from endpulse.llm.queries import QUERIES
 
 
-def by_hand(text):
+def notices_of(blocks):
+    """Labels and best containment of the notices that blocks (lists of words) meet."""
+    labels, best = set(), 0.0
+    for block in blocks:
+        for notice, label, mark in lib.NOTICES:
+            tokens = set(notice.split())
+            common = len(set(block) & tokens)
+            if common >= lib.needed(len(tokens), lib.THRESHOLD) and f" {mark} " in f" {' '.join(block)} ":
+                labels.add(label)
+                best = max(best, common / len(tokens))
+    return labels, best
+
+
+def windows(own):
+    return [own[a:a + 64] for a in range(0, len(own), 32)]
+
+
+def by_hand(text, wrapped=False):
     w = words(text)
     places = [(i, label) for p, label in lib.PHRASES for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]
-    labels, best = {l for _, l in places}, 0.0
-    for line in (text or "").split("\n"):
-        own = words(line)
-        for a in range(0, max(1, len(own)), lib.STEP):
-            block = set(own[a:a + lib.BLOCK])
-            for notice, label in lib.NOTICES:
-                tokens = set(notice.split())
-                common = len(block & tokens)
-                if common >= lib.needed(len(tokens), lib.THRESHOLD):
-                    labels.add(label)
-                    best = max(best, common / len(tokens))
+    blocks = [b for line in (text or "").split("\n") for b in windows(words(line))]
+    labels, best = notices_of(blocks + (windows(w) if wrapped else []))
+    labels |= {l for _, l in places}
     starts = [i for i, _ in places]
     return (len(w), len(places), min(starts, default=None), max(starts, default=None), sorted({l for _, l in places}),
             sorted(labels), 1.0 if places else best)
@@ -72,17 +81,7 @@ def test_empty_table(spark):
 
 def wrapped_by_hand(text):
     """by_hand, and the blocks of the whole text's words."""
-    *rest, labels, best = by_hand(text)
-    own, labels = words(text), set(labels)
-    for a in range(0, max(1, len(own)), lib.STEP):
-        block = set(own[a:a + lib.BLOCK])
-        for notice, label in lib.NOTICES:
-            tokens = set(notice.split())
-            common = len(block & tokens)
-            if common >= lib.needed(len(tokens), lib.THRESHOLD):
-                labels.add(label)
-                best = max(best, common / len(tokens))
-    return (*rest, sorted(labels), best)
+    return by_hand(text, wrapped=True)
 
 
 def test_wrapped_same_as_by_hand(spark):
@@ -100,7 +99,7 @@ def test_notices_over_line_ends(spark, mark):
     rand = random.Random(3)
     docs, want = [], {}
     for width in range(60, 81, 4):
-        for notice, label in lib.NOTICES:
+        for notice, label, _ in lib.NOTICES:
             pad = " ".join(rand.choice(["foo", "bar"]) for _ in range(rand.randint(0, 90)))
             want[len(docs)] = label
             docs.append((len(docs), "\n".join(mark + x for x in textwrap.wrap(f"{pad} {notice}. {pad}", width))))
@@ -121,3 +120,33 @@ def test_query_finds_a_wrapped_notice(spark, tmp_path):
                       "modification, are permitted.")]).write.parquet(str(tmp_path / "documents.parquet"))
     row = QUERIES["op8_license_scan"](spark, str(tmp_path)).first()
     assert row["labels"] == "bsd" and row["score"] == 1.0
+
+
+def test_one_notice_gives_one_label(spark):
+    """Siblings share most of their tokens; only the notice that stands there counts."""
+    docs = [(k, f"foo {notice}. Bar") for k, (notice, _, _) in enumerate(lib.NOTICES)]
+    rows = lib.scanned(table(spark, docs), wrapped=True).collect()
+    for r in rows:
+        assert set(r["labels"]) - set(r["base_labels"]) <= {lib.NOTICES[r["doc_id"]][1]}
+        assert lib.NOTICES[r["doc_id"]][1] in r["labels"]
+    told = {r["doc_id"]: r["labels"] for r in lib.scanned(table(spark, [
+        (1, "This work is licensed under the GNU General Public License, version 3."),
+        (2, "Licensed under CC BY-NC 4.0."), (3, "Released under the MIT License."),
+        (4, "Licensed under the Apache License, Version 2.0."),
+        (5, "Lizenziert unter der GNU General Public License, mit allen Rechten, version 3 oder 2."),
+        (6, "released under the license mit"), (7, "the public license under general terms of gnu licensed version 3"),
+    ]), wrapped=True).collect()}
+    assert told == {1: ["gpl", "gpl-3"], 2: ["cc-by", "cc-by-nc"], 3: ["mit"], 4: ["apache", "apache-2.0"],
+                    5: ["gpl"], 6: [], 7: []}
+
+
+def test_blocks_hold_the_longest_notice(spark):
+    """A notice of more words than half a usual block, and one without a mark."""
+    rand = random.Random(4)
+    long = " ".join(f"w{i}" for i in range(100))
+    own = ((long, "long", "w50 w51"), ("alpha beta gamma", "short"))
+    pad = lambda: " ".join(rand.choice(["foo", "bar"]) for _ in range(rand.randint(0, 250)))
+    docs = [(i, f"{pad()} {long} {pad()}") for i in range(20)] + [(30, "gamma foo alpha beta")]
+    rows = {r["doc_id"]: r for r in lib.scanned(table(spark, docs), notices=own).collect()}
+    assert all(rows[i]["labels"] == ["long"] and rows[i]["score"] == 1.0 for i in range(20))
+    assert rows[30]["labels"] == ["short"]
