@@ -34,12 +34,12 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from endpulse.llm.common import new_folder, write_table
-from endpulse.llm.words import mix, powers, text_bytes
+from endpulse.llm.words import freeing, mix, powers, text_bytes
 
 END_ID = 0
 FRAME_IDS = 1 << 16
 LEVEL = 3
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 400_000
 BLOCK = 2 << 20  # bytes of text cut at once
 #: Punctuation that begins a new token after a letter.
 MARKS = np.isin(np.arange(256), [ord(c) for c in ".,;:!?|*&%$#"])
@@ -372,7 +372,7 @@ def write_shards(documents: DataFrame, tokenizer: str, folder: str | None = None
                 schema=pa.schema([("shard", pa.int32()), ("file", pa.string()),
                                   ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    return write_table(ranged.mapInArrow(write, MANIFEST), "manifest")
+    return write_table(ranged.mapInArrow(freeing(write), MANIFEST), "manifest")
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
@@ -397,4 +397,4 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
 
     return files.repartition(max(1, manifest.count())).mapInArrow(
-        read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, shard int")
+        freeing(read), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, shard int")

@@ -6,9 +6,14 @@ which on UTF-8 is the class [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ on characters.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
+LONG = 64  # bytes; longer words have a digest for a hash, as products of powers collide for some of them
 BLOCK = 1 << 20  # bytes hashed at once; only a single longer word needs more
 MULT = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
@@ -78,7 +83,10 @@ def word_hashes(offsets: np.ndarray, raw: np.ndarray):
         up, down = powers(to - at)
         total = np.zeros(to - at + 1, dtype=np.uint64)
         np.cumsum(low * up[:to - at], dtype=np.uint64, out=total[1:])
-        hashes.append(mix((total[e] - total[b]) * down[b]))
+        found = mix((total[e] - total[b]) * down[b])
+        for i in np.flatnonzero(e - b > LONG).tolist():
+            found[i] = int.from_bytes(hashlib.blake2b(low[b[i]:e[i]].tobytes(), digest_size=8).digest(), "little")
+        hashes.append(found)
         begins.append(b + at)
         ends.append(e + at)
         at = to
@@ -119,3 +127,16 @@ def slices(batch: pa.RecordBatch, column: str, most: int = BLOCK):
         to = min(batch.num_rows, max(at + 1, to))
         yield batch.slice(at, to - at)
         at = to
+
+
+def freeing(task):
+    """A task that gives its memory back to the system when it ends; the worker lives on, perhaps idle."""
+    def run(batches):
+        yield from task(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+    return run
