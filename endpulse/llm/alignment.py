@@ -33,8 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from endpulse.llm.common import write_table
-from endpulse.llm.pieces import Known, in_worker, literal, no_gc, spaced
-from endpulse.llm.words import slices
+from endpulse.llm.pieces import Known, Letters, byte_alphabet, in_worker, literal, marked, no_gc, spaced
+from endpulse.llm.words import freeing, slices
 
 CHUNK = 2 << 20
 SIDE = 1 << 24  # more ids than a tokenizer has; a pair is one number
@@ -133,13 +133,6 @@ def align(lengths_a: np.ndarray, lengths_b: np.ndarray) -> Aligned:
     return Aligned(links, np.searchsorted(ends, ends_a), np.searchsorted(ends, ends_b), len(ends))
 
 
-def _byte_alphabet() -> dict[str, int]:
-    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in printable]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Pair:
     """Two tokenizers, and what is known of each piece of text."""
 
@@ -149,7 +142,7 @@ class Pair:
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        alphabet = _byte_alphabet()
+        alphabet = byte_alphabet()
         size = self.a.get_vocab_size(with_added_tokens=True)
         entries = [self.a.id_to_token(i) or "" for i in range(size)]
         self.bytes_a = [bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else b"" for t in entries]
@@ -164,6 +157,7 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.cuts = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
         self.names_a, self.names_b = (np.array([str(i) for i in range(n)], object) for n in (size, len(pieces)))
+        self.letters, self.marks = Letters(self.a, head=" "), {}
         self.known = Known(self._learn, most=100_000)
 
     def _ids_b(self, literals: list[str]) -> list[list[int]]:
@@ -180,8 +174,24 @@ class Pair:
         return b"".join(map(self.bytes_b.__getitem__, ids))
 
     def ids(self, literals: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        found = self.a.encode_batch_fast(literals, add_special_tokens=False)
-        return [f.ids for f in found], self._ids_b(literals)
+        out, rest = [], []
+        for i, p in enumerate(literals):
+            stem, marks = marked(p[1:])
+            if self.letters.right and p[0] == " " and self.letters.fits(stem):
+                out.append(self.letters(stem) + (self._marks(marks) if marks else []))
+            else:
+                out.append(None)
+                rest.append(i)
+        for i, f in zip(rest, self.a.encode_batch_fast([literals[i] for i in rest], add_special_tokens=False)):
+            out[i] = f.ids
+        return out, self._ids_b(literals)
+
+    def _marks(self, marks: str) -> list[int]:
+        if marks not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks.clear()
+            self.marks[marks] = self.a.encode(marks, add_special_tokens=False).ids
+        return self.marks[marks]
 
     def _learn(self, keys: list[str]) -> list[tuple | None]:
         """What each piece has, see ``_pieces``; None where the joined bytes of a tokenizer are not the piece."""
@@ -326,8 +336,10 @@ def chunks_of(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
                     row = _chunk(pair, number, part.column(0), part.column(1).to_pylist())
                 yield row
                 number += 1
+        if pair:
+            pair.known.forget()  # the worker may be idle from now on
 
-    return write_table(documents.select("doc_id", "text").mapInArrow(run, CHUNKS), "aligned-chunks")
+    return write_table(documents.select("doc_id", "text").mapInArrow(freeing(run), CHUNKS), "aligned-chunks")
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
@@ -350,7 +362,7 @@ def aligned(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
     # A chunk's distinct pairs: bounded by its bytes.
     values = values.groupBy("chunk").agg(F.sort_array(F.collect_list("v")).alias("v")).select(
         "chunk", F.col("v.value").alias("values"))
-    return chunks.drop("pairs", "holders").join(values, "chunk", "left").mapInArrow(_scores, ALIGNED)
+    return chunks.drop("pairs", "holders").join(values, "chunk", "left").mapInArrow(freeing(_scores), ALIGNED)
 
 
 def links(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:

@@ -34,12 +34,11 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from endpulse.llm.common import write_table
-from endpulse.llm.pieces import Known, in_worker, long_parts
+from endpulse.llm.pieces import Known, Letters, in_worker, long_parts, marked
 from endpulse.llm.words import slices
 
 END_ID = 1
 WINDOW = 512
-MARKS = ".,;:!?#%*&$"  # ASCII and no apostrophe, which begins contractions
 LONG = 4 << 20  # characters of one text encoded at once
 
 
@@ -62,19 +61,28 @@ class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = Letters(self.tokenizer, lower=True)
         self.words = Known(self._learn, most=400_000)
 
     def _learn(self, words: list[str]) -> list[bytes]:
-        """Marks behind a letter are tokens of their own, and ASCII letters are lower-cased, so fewer words are encoded."""
-        halves = [(stem, w[len(stem):]) if (stem := w.rstrip(MARKS))[-1:].isalpha() else (w, "") for w in words]
-        halves = [(w.lower() if w.isascii() and w.isalpha() else w, marks) for w, marks in halves]
+        """Marks behind a letter are tokens of their own, and case does not count, so fewer words are encoded."""
+        halves = [(w.lower() if (plain := self.letters.fits(w)) else w, marks, plain) for w, marks in map(marked, words)]
         known, older = self.words.values, self.words.older
-        found = {w: known.get(w) or older.get(w) for w in set(chain.from_iterable(halves))}
-        new = [w for w, ids in found.items() if ids is None]
-        for w, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+        found, rest = {"": b""}, []
+        for w, marks, plain in halves:
+            if w not in found:
+                found[w] = ids = known.get(w) or older.get(w)
+                if ids is None:
+                    if plain and self.letters.right:
+                        found[w] = array("I", self.letters(w)).tobytes()
+                    else:
+                        rest.append(w)
+            if marks not in found:
+                found[marks] = None
+                rest.append(marks)
+        for w, encoding in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             found[w] = array("I", encoding.ids).tobytes()
-        found[""] = b""
-        return [found[w] + found[marks] for w, marks in halves]
+        return [found[w] + found[marks] for w, marks, _ in halves]
 
     def many(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]

@@ -58,6 +58,48 @@ def long_parts(text: str, most: int):
         at = to
 
 
+MARKS = ".,;:!?#%*&$"  # ASCII and no apostrophe, which begins contractions
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def marked(word: str) -> tuple[str, str]:
+    """A word without the marks at its end, and these: after a letter they are tokens of their own."""
+    stem = word.rstrip(MARKS)
+    return (stem, word[len(stem):]) if stem[-1:].isalpha() else (word, "")
+
+
+class Letters:
+    """Ids of words of letters, from the tokenizer's model alone: it is half of the work of the whole tokenizer.
+
+    Only for letters below U+0250, which every normal form leaves as they are, and only if some
+    such words have the ids that the whole tokenizer gives them.
+    """
+
+    PROBES = ("word", "The", "Zürich", "ÉCOLE", "straße", "ñandú", "øre", "unbelievable", "x", "ż", "ǆ")
+
+    def __init__(self, tokenizer, head: str = "", lower: bool = False):
+        self.model, self.head, self.lower = tokenizer.model, head, lower
+        self.letters = {b: c for c, b in byte_alphabet().items()}
+        probes = [w for w in self.PROBES if self.fits(w)]
+        whole = tokenizer.encode_batch_fast([head + w for w in probes], add_special_tokens=False)
+        self.right = all(self(w) == e.ids for w, e in zip(probes, whole))
+
+    def fits(self, word: str) -> bool:
+        if self.lower:
+            word = word.lower()
+        return word.isalpha() and max(word) < "\u0250"
+
+    def __call__(self, word: str) -> list[int]:
+        word = self.head + (word.lower() if self.lower else word)
+        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+
+
 class Known:
     """Values of keys; those not known yet are learned together.
 
@@ -67,6 +109,9 @@ class Known:
 
     def __init__(self, learn, most: int = 250_000, most_chars: int = 8 << 20):
         self.learn, self.most, self.most_chars = learn, most, most_chars
+        self.forget()
+
+    def forget(self) -> None:
         self.values, self.older, self.chars = {}, {}, 0
 
     def meet(self, keys: list[list[str]]):

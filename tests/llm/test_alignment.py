@@ -41,7 +41,7 @@ def bytes_of(text):
         return None
     whole = " " + text
     encoded = A.encode(whole, add_special_tokens=False)
-    known = lib._byte_alphabet()
+    known = lib.byte_alphabet()
     left = [(i, bytes(known[c] for c in A.id_to_token(i))) for i in encoded.ids]
     right = []
     for i in B.encode(text, num_threads=1):
@@ -98,7 +98,7 @@ def by_hand(docs):
 
 
 def test_byte_alphabet_is_the_tokenizers_own():
-    known = lib._byte_alphabet()
+    known = lib.byte_alphabet()
     assert len(known) == 256 and sorted(known.values()) == list(range(256))
     assert {c: known[c] for c in alphabet()} == alphabet()
 
