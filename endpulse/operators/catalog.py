@@ -26,7 +26,12 @@ def living(fresh, dead):
 
 def merge_candidates(catalog, fresh, dead, now):
     """Catalogue after an upsert of the fresh candidates that are not dead."""
-    new = living(fresh, dead).select(
+    return merge_living(catalog, living(fresh, dead), now)
+
+
+def merge_living(catalog, fresh, now):
+    """Catalogue after an upsert of fresh candidates, none of which is dead."""
+    new = fresh.select(
         "proxy_hash", F.col("raw_link").alias("new_link"), F.col("scheme").alias("new_scheme"))
     seen = F.col("new_link").isNotNull()
     when_seen = F.lit(now).cast("bigint")

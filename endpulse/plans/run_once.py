@@ -1,14 +1,18 @@
 """One whole run: ingest, merge, test stages, selection, export.
 
-The catalogue is written once per stage, and each table is read back instead
-of being computed again. Rows that die in a stage are filtered out when its
-table is read; as they are gone from later stages, the dead-list takes them
-all in one upsert at the end.
+The catalogue is written once, at the end. A stage stores only its outcomes, bucketed
+like the catalogue; later stages read the old catalogue with the outcomes so far joined
+to it, without a shuffle. Rows that die in a stage are filtered out from there on; they
+are in the last table, from which the dead-list takes them in one upsert.
+
+A run that was killed goes on from the tables it finished when it is started again with
+the same state, inputs and parameters: its folder is named by their fingerprint.
 """
 
+import hashlib
+import re
 import time
-from dataclasses import dataclass, field
-from functools import reduce
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -90,6 +94,28 @@ def _seconds(spark, text):
     return seconds
 
 
+def fingerprint(spark, inputs, params):
+    """What tells a run from another: parameters, and each input's plan and files, or its rows if it has none."""
+    told = [repr([(f.name, getattr(params, f.name)) for f in fields(params) if f.name != "elapsed"])]
+    for name in (f.name for f in fields(inputs)):
+        table = getattr(inputs, name)
+        if table is None:
+            told.append(f"{name}: none")
+            continue
+        paths = sorted(table.inputFiles())
+        if paths:
+            plan = table._jdf.queryExecution().analyzed().toString()
+            told.append(name + ": " + re.sub(r"#\d+L?|plan_id=\d+|@[0-9a-f]+", "", plan))
+            for path in paths:
+                path = spark._jvm.org.apache.hadoop.fs.Path(path)
+                status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+                told.append(f"{path.toString()} {status.getLen()} {status.getModificationTime()}")
+        else:
+            row = F.xxhash64(*[F.col(f"`{c}`") for c in table.columns]).cast("decimal(38)")
+            told.append(f"{name}: {tuple(table.agg(F.count('*'), F.sum(row)).first())}")
+    return hashlib.sha256("\n".join(told).encode()).hexdigest()[:32]
+
+
 def run_once(spark, root, inputs, params, export_path=None, headers_path=None):
     """Run all stages on the state under ``root`` and make the new state current.
 
@@ -110,11 +136,17 @@ def _run(spark, store, inputs, params, export_path, headers_path):
     start = time.monotonic()
     url_timeout, speed_timeout = (_seconds(spark, t) for t in (params.url_timeout, params.speed_timeout))
     figures = {}
-    folder, written, now = store.begin(), {}, params.now
-
-    def save(name, df, **how):
-        written[name] = store.write(df, folder, name, **how)
-        return store.read(written[name])
+    folder, written, now = store.begin(fingerprint(spark, inputs, params)), {}, params.now
+
+    def save(name, make, **how):
+        """The stored table; what an earlier attempt of this run has finished is not made again."""
+        entry = store.finished(folder, name)
+        if entry is None:
+            store.clear(f"{folder}/{name}")
+            entry = store.write(make(), folder, name, **how)
+            store.finish(folder, name, entry)
+        written[name] = entry
+        return store.read(entry)
 
     alive = lambda table: table.where(~cat.is_dead())
     state = store.load()
@@ -122,61 +154,61 @@ def _run(spark, store, inputs, params, export_path, headers_path):
     figures["expired"] = state["dead"].where(F.col("expires_at") < now).count()
 
     # Ingest: payloads are read once; a source without links keeps a NULL row.
-    changed = save("changed", ingest.changed_sources(inputs.payloads, state["sources"]), bucketed=False)
+    changed = save("changed", lambda: ingest.changed_sources(inputs.payloads, state["sources"]), bucketed=False)
     counted = lambda lines: ingest.link_counts(
         ingest.hashed_links(lines, "data_hash", "arrived"), "data_hash", "arrived")
-    counts = save("link_counts", ingest.changed_lines(
+    counts = save("link_counts", lambda: ingest.changed_lines(
         inputs.payloads, changed, then=counted).drop("arrived"), bucketed=False)
-    facts = save("facts", ingest.outbound_facts(inputs.converted))
+    facts = save("facts", lambda: ingest.outbound_facts(inputs.converted))
     links = counts.where(F.col("proxy_hash").isNotNull())
-    save("sources", _new_sources(state["sources"], counts, facts, params.commit_state),
+    save("sources", lambda: _new_sources(state["sources"], counts, facts, params.commit_state),
          bucketed=False)
     totals = ingest.ingest_totals(links, facts, dead)
-    table = save("merged", cat.merge_candidates(
-        state["catalog"], ingest.fresh_candidates(links, facts), dead, now))
+    fresh = save("fresh", lambda: cat.living(ingest.fresh_candidates(links, facts), dead))
+    table = cat.merge_living(state["catalog"], fresh, now)
 
-    died = []
     if params.cidr_method:
-        networks = save("networks", inputs.networks, bucketed=False)
-        addresses = save("addresses", stages.host_addresses(
+        networks = save("networks", lambda: inputs.networks, bucketed=False)
+        addresses = save("addresses", lambda: stages.host_addresses(
             table, facts, inputs.resolutions), bucketed=False)
-        results = stages.cidr_stage(table, facts, addresses, networks, params.cidr_method)
         figures["hostless"] = stages.hostless(table, facts).count()
-        table = save("after_cidr", cat.update_catalog(table, stages.outcomes(results), now))
-        died.append(table)
+        merged = table
+        outcomes = save("cidr_outcomes", lambda: stages.outcomes(
+            stages.cidr_stage(merged, facts, addresses, networks, params.cidr_method)))
+        table = cat.update_catalog(table, outcomes, now)
     candidates = alive(table).count()
 
     geo = None
     if params.country_method and inputs.geo is not None:
-        geo = save("geo", containment.geo_networks(inputs.geo), bucketed=False)
-    exits = save("exits", attempts.exit_ips(inputs.exit_answers))
-    results = stages.url_stage(alive(table), facts, stages.timed_url_attempts(inputs.url_attempts, url_timeout),
-                               stages.exit_places(exits, geo), params.max_attempts)
-    tested = cat.update_catalog(alive(table), stages.outcomes(results), now)
+        geo = save("geo", lambda: containment.geo_networks(inputs.geo), bucketed=False)
+    exits = save("exits", lambda: attempts.exit_ips(inputs.exit_answers))
+    tested = alive(table)
+    outcomes = save("url_outcomes", lambda: stages.outcomes(stages.url_stage(
+        tested, facts, stages.timed_url_attempts(inputs.url_attempts, url_timeout),
+        stages.exit_places(exits, geo), params.max_attempts)))
+    # Dead rows have no outcomes, and the filter leaves them as they are.
+    table = cat.update_catalog(table, outcomes, now)
     if params.country_method:
-        tested = cat.country_filter(tested, params.countries, params.country_method)
-    table = save("after_url", tested)
-    died.append(table)
+        table = cat.country_filter(table, params.countries, params.country_method)
 
-    figures["speed_candidates"] = alive(table).count()
-    candidates_for_speed = alive(table)
+    reached = alive(table)
+    figures["speed_candidates"] = reached.count()
     if params.latency_top:
-        candidates_for_speed = candidates_for_speed.join(
-            select.latency_top(alive(table), params.latency_top).select("proxy_hash"), "proxy_hash", "left_semi")
-    results = save("speed_results", stages.speed_stage(
-        candidates_for_speed, facts,
+        reached = reached.join(
+            select.latency_top(reached, params.latency_top).select("proxy_hash"), "proxy_hash", "left_semi")
+    results = save("speed_results", lambda: stages.speed_stage(
+        reached, facts,
         stages.sized_speed_attempts(inputs.speed_attempts, inputs.speed_chunks, speed_timeout),
         params.speed_threshold, params.max_attempts))
     kept = stages.stop_speed_tests(results, params.target)
-    table = save("catalog", cat.update_catalog(alive(table), stages.outcomes(kept), now))
-    died.append(table)
+    before = table
+    table = save("catalog", lambda: cat.update_catalog(before, stages.outcomes(kept), now))
 
-    dying = reduce(DataFrame.unionByName, [
-        t.where(cat.is_dead()).select("proxy_hash", "raw_link", "scheme", "reason") for t in died])
-    save("dead", cat.bury(dead, dying, now, params.ttl_days))
+    save("dead", lambda: cat.bury(dead, table.where(cat.is_dead()).select(
+        "proxy_hash", "raw_link", "scheme", "reason"), now, params.ttl_days))
     selected = select.select_top(table, params.target, now)
     if selected is not None:
-        save("selected", selected, bucketed=False)
+        save("selected", lambda: selected, bucketed=False)
 
     run = store.commit({n: e for n, e in written.items()
                         if n in ("catalog", "dead", "selected", "sources")}, now)

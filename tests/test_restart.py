@@ -1,0 +1,209 @@
+"""Runs and writers that die: what they leave behind, and what the next ones make of it."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from endpulse import schemas
+from endpulse.plans import run_once as plan
+from endpulse.sources.snapshots import CommitConflict, SnapshotStore
+from endpulse.streaming import changed
+from test_run import DAY, NOW, bodies, inputs, params
+
+TABLES = ("catalog", "dead", "selected", "sources")
+
+
+class Killed(Exception):
+    pass
+
+
+def rows(state, names=TABLES):
+    return {n: sorted((tuple(r) for r in state[n].collect()), key=repr) for n in names}
+
+
+def feeds():
+    return {"s1": bodies(*range(0, 40)), "s2": bodies(*range(30, 60))}
+
+
+def killed_after(monkeypatch, name):
+    """From now on a run dies as soon as it has finished this table; returns the tables written until then."""
+    written, real = [], SnapshotStore.finish
+
+    def finish(self, folder, table, entry):
+        real(self, folder, table, entry)
+        written.append(table)
+        if table == name:
+            raise Killed
+
+    monkeypatch.setattr(SnapshotStore, "finish", finish)
+    return written
+
+
+@pytest.fixture(scope="module")
+def unbroken(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("unbroken"))
+    own = inputs(spark, feeds(), 1)
+    state = plan.run_once(spark, root, own, params(NOW))
+    return own, {**rows(state), "totals": rows(state, ["totals"])["totals"],
+                 "figures": state["figures"], "candidates": state["candidates"]}
+
+
+@pytest.mark.parametrize("name", ["link_counts", "fresh", "cidr_outcomes", "url_outcomes", "speed_results",
+                                  "catalog", "selected"])
+def test_a_killed_run_goes_on(spark, tmp_path, monkeypatch, unbroken, name):
+    own, want = unbroken
+    root = str(tmp_path / "state")
+    with monkeypatch.context() as patch:
+        first = killed_after(patch, name)
+        with pytest.raises(Killed):
+            plan.run_once(spark, root, own, params(NOW))
+    assert SnapshotStore(spark, root).current() == (0, {})
+    # A table that was begun and not finished is made again.
+    (folder,) = (tmp_path / "state" / "runs").iterdir()
+    (folder / "selected").mkdir(exist_ok=True)
+    if name != "selected":
+        (folder / "selected" / "part-00000.parquet").write_bytes(b"half a file")
+    with monkeypatch.context() as patch:
+        second = killed_after(patch, None)
+        state = plan.run_once(spark, root, own, params(NOW))
+    assert not set(first) & set(second)
+    assert rows(state) == {n: want[n] for n in TABLES}
+    assert rows(state, ["totals"])["totals"] == want["totals"]
+    assert (state["figures"], state["candidates"], state["run"]) == (want["figures"], want["candidates"], 1)
+    state["store"].close()
+
+
+def test_other_inputs_parameters_or_states_begin_anew(spark, tmp_path, monkeypatch, unbroken):
+    own, _ = unbroken
+    root = str(tmp_path / "state")
+    with monkeypatch.context() as patch:
+        killed_after(patch, "fresh")
+        for given, chosen in ((own, params(NOW)), (own, params(NOW + 1)), (inputs(spark, feeds(), 2), params(NOW))):
+            with pytest.raises(Killed):
+                plan.run_once(spark, root, given, chosen)
+    folders = lambda: sorted(p.name for p in (tmp_path / "state" / "runs").iterdir())
+    assert len(folders()) == 3
+    state = plan.run_once(spark, root, own, params(NOW))
+    assert state["run"] == 1 and len(folders()) == 3
+    with monkeypatch.context() as patch:
+        killed_after(patch, "fresh")
+        with pytest.raises(Killed):
+            plan.run_once(spark, root, own, params(NOW))  # the same again, from another state
+    assert len(folders()) == 4
+    # Runs of the first state can never commit any more; the last one may still go on.
+    before = rows(state)
+    assert state["store"].expire_runs(keep=1) == 0
+    assert len(folders()) == 2
+    assert rows(SnapshotStore(spark, root).load(), TABLES) == before
+    state["store"].close()
+
+
+def test_the_files_of_inputs_tell_runs_apart(spark, tmp_path, unbroken):
+    own, _ = unbroken
+    path = str(tmp_path / "converted")
+    own.converted.coalesce(1).write.parquet(path)
+    stored = lambda: plan.Inputs(**{**vars(own), "converted": spark.read.parquet(path)})
+    one = plan.fingerprint(spark, stored(), params(NOW))
+    assert one == plan.fingerprint(spark, stored(), params(NOW)) != plan.fingerprint(spark, own, params(NOW))
+    own.converted.limit(3).coalesce(1).write.mode("overwrite").parquet(path)
+    assert plan.fingerprint(spark, stored(), params(NOW)) != one
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    own = SnapshotStore(spark, str(tmp_path / "state"))
+    yield own
+    own.close()
+
+
+def sources(spark, **hashes):
+    return spark.createDataFrame(sorted(hashes.items()), schemas.SOURCE_STATE)
+
+
+def put(store, **hashes):
+    return {"sources": store.write(sources(store.spark, **hashes), store.begin(), "sources", bucketed=False)}
+
+
+def known(store):
+    store.begin()
+    return {r.link: r.last_data_hash for r in store.load()["sources"].collect()}
+
+
+@pytest.mark.parametrize("left", [b"", None])
+def test_a_writer_that_dies_does_not_lock_the_state(spark, store, tmp_path, left):
+    """Killed between creating the log's file and writing it: as an earlier version left it, and as this one does."""
+    log = tmp_path / "state" / "log"
+    entries = put(store, a="1")
+    log.mkdir()
+    if left is None:
+        (log / "_0123456789abcdef.part").write_text('{"at": 1, "tabl')
+    else:
+        (log / "000000000001.json").write_bytes(left)
+    assert store.current()[0] == 0
+    assert store.commit(entries, NOW) == 1
+    assert known(store) == {"a": "1"}
+    assert store.commit(put(store, a="2"), NOW) == 2
+    assert json.loads((log / "000000000002.json").read_text())["tables"]["sources"]
+
+
+@pytest.mark.parametrize("renamed", [False, True])
+def test_one_of_two_writers_commits(spark, store, monkeypatch, renamed):
+    """By a link in a local folder, by renaming elsewhere."""
+    if renamed:
+        monkeypatch.setattr(SnapshotStore, "_links", lambda self, files: False)
+    other = SnapshotStore(spark, store.root)
+    mine, theirs = put(store, a="mine"), put(other, a="theirs")
+    assert store.commit(mine, NOW) == 1
+    with pytest.raises(CommitConflict):
+        other.commit(theirs, NOW)
+    assert known(store) == {"a": "mine"}
+    other.close()
+
+
+def land(spark, folder, batch, **hashes):
+    """What a batch of the payload stream leaves of these sources."""
+    seen = sources(spark, **hashes).select("link", F.col("last_data_hash").alias("data_hash"),
+                                           F.lit(batch).cast("long").alias("arrived"))
+    seen.write.mode("overwrite").parquet(f"{folder}/seen/batch={batch}")
+
+
+def test_a_compaction_does_not_bring_back_what_is_older(spark, store, tmp_path):
+    folder = str(tmp_path / "payloads")
+    land(spark, folder, 0, a="old", b="b0")
+    changed.compact(store, folder, NOW)
+    assert known(store) == {"a": "old", "b": "b0"}
+    store.commit(put(store, a="new", b="b0"), NOW + 1)  # a run read a newer payload of a
+    changed.compact(store, folder, NOW + 2)
+    assert known(store) == {"a": "new", "b": "b0"}
+    land(spark, folder, 1, b="b1")
+    changed.compact(store, folder, NOW + DAY)
+    assert known(store) == {"a": "new", "b": "b1"} and changed.taken_batch(store, folder) == 1
+    state = changed.source_state(spark, store.load()["sources"], folder, taken=1)
+    assert {r.link: r.last_data_hash for r in state.collect()} == {"a": "new", "b": "b1"}
+
+
+def test_batches_that_land_during_a_compaction_are_still_to_come(spark, store, tmp_path, monkeypatch):
+    folder = str(tmp_path / "payloads")
+    land(spark, folder, 0, a="0")
+    first = store.write
+
+    def write(*args, **more):
+        monkeypatch.setattr(store, "write", first)
+        land(spark, folder, 1, a="1", c="1")
+        return first(*args, **more)
+
+    monkeypatch.setattr(store, "write", write)
+    changed.compact(store, folder, NOW)
+    assert known(store) == {"a": "0"}
+    changed.compact(store, folder, NOW)
+    assert known(store) == {"a": "1", "c": "1"}
+
+
+def test_half_a_batch_is_not_taken(spark, store, tmp_path):
+    folder = tmp_path / "payloads"
+    land(spark, str(folder), 0, a="0")
+    land(spark, str(folder), 1, a="1")
+    (folder / "seen" / "batch=1" / "_SUCCESS").unlink()
+    changed.compact(store, str(folder), NOW)
+    assert known(store) == {"a": "0"} and changed.taken_batch(store, str(folder)) == 0

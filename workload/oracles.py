@@ -351,6 +351,17 @@ FROM run_end WHERE fast ORDER BY mbps DESC, proxy_hash LIMIT 10""",
     "run_once_dead": f"""SELECT proxy_hash, raw_link, scheme, reason, CAST({NOW} AS BIGINT) AS created_at, CAST({NOW} + 30 * 86400 AS BIGINT) AS expires_at
 FROM ({_RUN_DEAD}) d""",
     # The same tests again: the living stay as they are, the dead are skipped, changed sources are seen again.
+    "second_run_dead": f"""SELECT proxy_hash, raw_link, scheme, reason, CAST({NOW} AS BIGINT) AS created_at, CAST({NOW} + 30 * 86400 AS BIGINT) AS expires_at
+FROM ({_RUN_DEAD}) d""",
+    "stream_resume_sources": f"""SELECT coalesce(p.source, s.link) AS link, CASE WHEN p.source IS NULL THEN s.last_data_hash
+  WHEN {_CHANGED} THEN sha256(encode(p.body || chr(10))) ELSE sha256(encode(p.body)) END AS last_data_hash
+FROM payloads p FULL JOIN source_state s ON s.link = p.source""",
+    # The second run after 40 days: nobody is barred any more, but no source changed either.
+    "run_figures": f"""SELECT 'candidates' AS figure, count(*) AS n FROM run_end WHERE seq IS NULL OR fast
+UNION ALL SELECT 'expired', count(*) FROM ({_RUN_DEAD}) d
+UNION ALL SELECT 'hostless', count(*) FROM run_end e JOIN run_links l ON l.proxy_hash = e.proxy_hash WHERE (seq IS NULL OR fast) AND l.host IS NULL
+UNION ALL SELECT 'selected', least(10, count(*)) FROM run_end WHERE fast
+UNION ALL SELECT 'speed_candidates', count(*) FROM run_end WHERE seq IS NULL OR fast""",
     "second_run_catalog": f"""SELECT proxy_hash, raw_link, scheme, CAST({NOW} AS BIGINT) AS first_seen_at,
   CAST(CASE WHEN proxy_hash IN {_SEEN_AGAIN} THEN {NOW_2} ELSE {NOW} END AS BIGINT) AS last_seen_at,
   CAST({NOW_2} AS BIGINT) AS last_checked_at, CASE WHEN fast THEN 'speed_ok' ELSE 'url_ok' END AS last_status, 'ok' AS reason,

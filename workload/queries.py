@@ -506,3 +506,42 @@ def second_run_sources(spark, sf_dir):
 @query
 def second_run_totals(spark, sf_dir):
     return second_run(spark, sf_dir)["totals"]
+
+
+@query
+def second_run_dead(spark, sf_dir):
+    return second_run(spark, sf_dir)["dead"]
+
+
+@query
+def run_figures(spark, sf_dir):
+    """What a second run, after all entries of the dead-list ended, tells of itself."""
+    v, root = _Views(spark, sf_dir), shared_folder(spark, "run")
+    run_once(spark, root, _inputs(v, v.content), _params(NOW))["store"].close()
+    state = run_once(spark, root, _inputs(v, v.content), _params(NOW + 40 * 86400))
+    told = {"candidates": state["candidates"], **state["figures"]}
+    return spark.createDataFrame(sorted(told.items()), "figure string, n bigint")
+
+
+@query
+def stream_resume_sources(spark, sf_dir):
+    """Stored state after a stream, a run that read newer payloads, and a compaction of the same stream again."""
+    v = _Views(spark, sf_dir)
+    folder = shared_folder(spark, "stream-payloads")
+    payloads = v.content.withColumn("arrived", F.lit(NOW).cast("bigint"))
+    payloads.write.parquet(f"{folder}/landed")
+    store = SnapshotStore(spark, f"{folder}/state")
+    store.commit({"sources": store.write(v.source_state, store.begin(), "sources", bucketed=False)}, NOW)
+    landed = spark.readStream.schema(payloads.schema).parquet(f"{folder}/landed")
+    changed.start_payload_stream(
+        landed, v.source_state, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    changed.compact(store, f"{folder}/out", NOW)
+
+    place = store.begin()
+    seen = v.payloads.where(F.substring_index("source", "/", 1).isin(*CHANGED_SOURCES)).select(
+        "source", F.sha2(F.concat("body", F.lit("\n")), 256).alias("data_hash"))
+    newer = ingest.upsert_source_state(store.load()["sources"], seen)
+    store.commit({"sources": store.write(newer, place, "sources", bucketed=False)}, NOW_2)
+    changed.compact(store, f"{folder}/out", NOW_2)
+    store.begin()
+    return store.load()["sources"]
