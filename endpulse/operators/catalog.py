@@ -26,13 +26,24 @@ def living(fresh, dead):
 
 def merge_candidates(catalog, fresh, dead, now):
     """Catalogue after an upsert of the fresh candidates that are not dead."""
-    return merge_living(catalog, living(fresh, dead), now)
+    new = living(fresh, dead).select(
+        "proxy_hash", F.col("raw_link").alias("new_link"), F.col("scheme").alias("new_scheme"))
+    return _merged(catalog.join(new, "proxy_hash", "full_outer"), now)
 
 
-def merge_living(catalog, fresh, now):
-    """Catalogue after an upsert of fresh candidates, none of which is dead."""
-    new = fresh.select(
-        "proxy_hash", F.col("raw_link").alias("new_link"), F.col("scheme").alias("new_scheme"))
+def merged_endpoints(catalog, fresh):
+    """All endpoints after an upsert, with new_link and new_scheme where they are seen again or new."""
+    return catalog.select("proxy_hash").join(
+        fresh.select("proxy_hash", F.col("raw_link").alias("new_link"), F.col("scheme").alias("new_scheme")),
+        "proxy_hash", "full_outer")
+
+
+def merged_catalog(catalog, endpoints, now):
+    """The catalogue's rows of ``merged_endpoints``."""
+    return _merged(endpoints.join(catalog, "proxy_hash", "left"), now)
+
+
+def _merged(rows, now):
     seen = F.col("new_link").isNotNull()
     when_seen = F.lit(now).cast("bigint")
     changed = {
@@ -43,7 +54,7 @@ def merge_living(catalog, fresh, now):
         "last_status": F.coalesce("last_status", F.lit(STATUS_UNKNOWN)),
         "reason": F.coalesce("reason", F.lit(REASON_UNKNOWN)),
     }
-    return catalog.join(new, "proxy_hash", "full_outer").select(
+    return rows.select(
         *[changed.get(name, F.col(name)).alias(name) for name in CATALOG_COLUMNS])
 
 

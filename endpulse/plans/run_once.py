@@ -1,9 +1,9 @@
 """One whole run: ingest, merge, test stages, selection, export.
 
 The catalogue is written once, at the end. A stage stores only its outcomes, bucketed
-like the catalogue; later stages read the old catalogue with the outcomes so far joined
-to it, without a shuffle. Rows that die in a stage are filtered out from there on; they
-are in the last table, from which the dead-list takes them in one upsert.
+like the catalogue; the next one leaves out the hashes of those that died, without a
+shuffle. At the end all outcomes are joined to the old catalogue. Rows that died are in
+that table, from which the dead-list takes them in one upsert; readers leave them out.
 
 A run that was killed goes on from the tables it finished when it is started again with
 the same state, inputs and parameters: its folder is named by their fingerprint.
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.durations import duration_seconds
 from ..operators import attempts, catalog as cat, containment, ingest, select
 from ..operators.skew import lookup_join
-from ..schemas import check_method
+from ..schemas import STATUS_DEAD, check_method
 from ..sources.export import ExportOptions, write_export
 from ..sources.snapshots import SnapshotStore
 from . import stages
@@ -164,34 +164,39 @@ def _run(spark, store, inputs, params, export_path, headers_path):
     save("sources", lambda: _new_sources(state["sources"], counts, facts, params.commit_state),
          bucketed=False)
     totals = ingest.ingest_totals(links, facts, dead)
-    fresh = save("fresh", lambda: cat.living(ingest.fresh_candidates(links, facts), dead))
-    table = cat.merge_living(state["catalog"], fresh, now)
-
+    # Stages need the endpoints' hashes only; the catalogue is put together from outcomes.
+    endpoints = save("endpoints", lambda: cat.merged_endpoints(
+        state["catalog"], cat.living(ingest.fresh_candidates(links, facts), dead)))
+    table = cat.merged_catalog(state["catalog"], endpoints, now)
+    passed = lambda keys, outcomes: keys.select("proxy_hash").join(
+        outcomes.where(F.col("status") == STATUS_DEAD).select("proxy_hash"), "proxy_hash", "left_anti")
+
+    tested = endpoints
     if params.cidr_method:
         networks = save("networks", lambda: inputs.networks, bucketed=False)
         addresses = save("addresses", lambda: stages.host_addresses(
-            table, facts, inputs.resolutions), bucketed=False)
-        figures["hostless"] = stages.hostless(table, facts).count()
-        merged = table
+            endpoints, facts, inputs.resolutions), bucketed=False)
         outcomes = save("cidr_outcomes", lambda: stages.outcomes(
-            stages.cidr_stage(merged, facts, addresses, networks, params.cidr_method)))
+            stages.cidr_stage(endpoints, facts, addresses, networks, params.cidr_method)))
+        figures["hostless"] = endpoints.count() - outcomes.count()  # all others have an outcome
         table = cat.update_catalog(table, outcomes, now)
-    candidates = alive(table).count()
+        tested = passed(endpoints, outcomes)
 
     geo = None
     if params.country_method and inputs.geo is not None:
         geo = save("geo", lambda: containment.geo_networks(inputs.geo), bucketed=False)
     exits = save("exits", lambda: attempts.exit_ips(inputs.exit_answers))
-    tested = alive(table)
     outcomes = save("url_outcomes", lambda: stages.outcomes(stages.url_stage(
         tested, facts, stages.timed_url_attempts(inputs.url_attempts, url_timeout),
         stages.exit_places(exits, geo), params.max_attempts)))
+    candidates = outcomes.count()  # each of them has one
     # Dead rows have no outcomes, and the filter leaves them as they are.
     table = cat.update_catalog(table, outcomes, now)
     if params.country_method:
         table = cat.country_filter(table, params.countries, params.country_method)
 
-    reached = alive(table)
+    after_url = table
+    reached = save("reached", lambda: alive(after_url).select("proxy_hash", "last_status", "latency_ms"))
     figures["speed_candidates"] = reached.count()
     if params.latency_top:
         reached = reached.join(
@@ -201,8 +206,7 @@ def _run(spark, store, inputs, params, export_path, headers_path):
         stages.sized_speed_attempts(inputs.speed_attempts, inputs.speed_chunks, speed_timeout),
         params.speed_threshold, params.max_attempts))
     kept = stages.stop_speed_tests(results, params.target)
-    before = table
-    table = save("catalog", lambda: cat.update_catalog(before, stages.outcomes(kept), now))
+    table = save("catalog", lambda: cat.update_catalog(after_url, stages.outcomes(kept), now))
 
     save("dead", lambda: cat.bury(dead, table.where(cat.is_dead()).select(
         "proxy_hash", "raw_link", "scheme", "reason"), now, params.ttl_days))

@@ -49,7 +49,7 @@ def unbroken(spark, tmp_path_factory):
                  "figures": state["figures"], "candidates": state["candidates"]}
 
 
-@pytest.mark.parametrize("name", ["link_counts", "fresh", "cidr_outcomes", "url_outcomes", "speed_results",
+@pytest.mark.parametrize("name", ["link_counts", "endpoints", "cidr_outcomes", "url_outcomes", "speed_results",
                                   "catalog", "selected"])
 def test_a_killed_run_goes_on(spark, tmp_path, monkeypatch, unbroken, name):
     own, want = unbroken
@@ -78,7 +78,7 @@ def test_other_inputs_parameters_or_states_begin_anew(spark, tmp_path, monkeypat
     own, _ = unbroken
     root = str(tmp_path / "state")
     with monkeypatch.context() as patch:
-        killed_after(patch, "fresh")
+        killed_after(patch, "endpoints")
         for given, chosen in ((own, params(NOW)), (own, params(NOW + 1)), (inputs(spark, feeds(), 2), params(NOW))):
             with pytest.raises(Killed):
                 plan.run_once(spark, root, given, chosen)
@@ -87,7 +87,7 @@ def test_other_inputs_parameters_or_states_begin_anew(spark, tmp_path, monkeypat
     state = plan.run_once(spark, root, own, params(NOW))
     assert state["run"] == 1 and len(folders()) == 3
     with monkeypatch.context() as patch:
-        killed_after(patch, "fresh")
+        killed_after(patch, "endpoints")
         with pytest.raises(Killed):
             plan.run_once(spark, root, own, params(NOW))  # the same again, from another state
     assert len(folders()) == 4
@@ -207,3 +207,31 @@ def test_half_a_batch_is_not_taken(spark, store, tmp_path):
     (folder / "seen" / "batch=1" / "_SUCCESS").unlink()
     changed.compact(store, str(folder), NOW)
     assert known(store) == {"a": "0"} and changed.taken_batch(store, str(folder)) == 0
+
+
+def test_the_catalogue_is_written_once_and_never_shuffled(spark, tmp_path, monkeypatch, unbroken):
+    """Only the last table of a run has the catalogue's columns, and it is joined out of buckets."""
+    own, _ = unbroken
+    root, written, plans = str(tmp_path / "state"), {}, {}
+    plan.run_once(spark, root, own, params(NOW))["store"].close()
+    real = SnapshotStore.write
+
+    def write(self, df, folder, name, **how):
+        written[name] = df.columns
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(self, df, folder, name, **how)
+
+    monkeypatch.setattr(SnapshotStore, "write", write)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        plan.run_once(spark, root, inputs(spark, feeds(), 2), params(NOW + DAY))["store"].close()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [n for n, c in written.items() if "first_seen_at" in c] == ["catalog"]
+    # The one exchange finds the last speed that counts, out of speed results alone.
+    joined = plans["catalog"].split("Subquery")[0]
+    assert "Exchange hashpartitioning(proxy_hash" not in joined and joined.count("SortMergeJoin") >= 3
