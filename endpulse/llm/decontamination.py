@@ -152,6 +152,8 @@ def _verdict(frame: DataFrame) -> DataFrame:
 
 def without_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of documents that are not contaminated, with all their columns."""
+    own = {c: f"__own_{i}" for i, c in enumerate(documents.columns) if c not in ("doc_id", "text")}
+    documents = documents.withColumnsRenamed(own)
     judged = contaminated(documents, items).where("contaminated").select("doc_id", KEY).distinct()
     keyed = documents.withColumn(KEY, row_key("doc_id", "text"))
-    return key_join(keyed, judged, "left_anti").drop(KEY)
+    return key_join(keyed, judged, "left_anti").drop(KEY).withColumnsRenamed({v: k for k, v in own.items()})

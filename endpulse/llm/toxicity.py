@@ -5,8 +5,8 @@ between, each present or not. FTRL-proximal gives every coordinate its own
 learning rate, and its L1 part leaves most weights zero, so that the model is a
 short list of (feature, weight), at most 2**BITS of them, which is broadcast.
 
-The model is fitted on at most `sample` labelled rows (those of the smallest
-doc_id hash), in one task: the sample bounds its memory. Scoring reads every
+The model is fitted on at most `sample` labelled documents (those of the smallest
+doc_id hash, one row each, MOST_FEATURES features at most), in one task: the sample bounds its memory. Scoring reads every
 whole text.
 
 Defined results: null and empty texts get the score of the bias alone; labels
@@ -23,11 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from endpulse.llm.words import gram_hashes, slices, text_bytes, word_hashes
+from endpulse.llm.words import gram_hashes, mix, slices, text_bytes, word_hashes
 
 BITS = 20
 GRAMS = ((0,), (0, 1), (0, 2))  # words, pairs, pairs around one word
 SAMPLE = 16_384
+MOST_FEATURES = 8_192  # of one example; with SAMPLE this bounds what the fit holds in bytes
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 3.0, 0.01, 6
 FOLDS = 5
 
@@ -73,12 +74,17 @@ def held_out(doc_id):
 
 
 def _examples(batches):
-    """Distinct features of each labelled text."""
+    """Distinct features of each labelled text; of a text with very many those of the least hashes."""
     for batch in batches:
         for part in slices(batch, "text"):
             texts, found = features(*text_bytes(part.column(part.schema.get_field_index("text"))))
             pairs = np.unique(texts.astype(np.int64) << BITS | found)
             cuts = np.searchsorted(pairs >> BITS, np.arange(part.num_rows + 1))
+            for i in np.flatnonzero(np.diff(cuts) > MOST_FEATURES)[::-1].tolist():
+                own = np.arange(cuts[i], cuts[i + 1])
+                order = np.argsort(mix((pairs[own] & (1 << BITS) - 1).astype(np.uint64)), kind="stable")
+                pairs = np.delete(pairs, own[order[MOST_FEATURES:]])
+            cuts = np.searchsorted(pairs >> BITS, np.arange(part.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()),
                                              pa.array(pairs & (1 << BITS) - 1, pa.int32()))
             keep = [part.column(part.schema.get_field_index(c)) for c in ("doc_id", "toxic")]
@@ -110,7 +116,10 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tupl
     if rows > 2 * sample:  # thin out first, so that no task sends much more than the sample
         taught = taught.where(F.pmod(order, F.lit(1 << 20)) < (2 * sample << 20) // rows)
     chosen = taught.orderBy(order, "doc_id").limit(sample)
-    rows = (documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # `sample` rows at most
+    taught = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # `sample` rows at most
+    # Of several rows of one doc_id the one whose text has the least hash.
+    one = taught.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "toxic")).alias("x"))
+    rows = (one.select("doc_id", "x.text", "x.toxic")
             .mapInArrow(_examples, "doc_id bigint, toxic int, found array<int>")
             .repartition(1).mapInArrow(_fit_task, "feature int, weight double"))
     model = rows.toPandas()  # 2**BITS + 1 rows at most, a few thousand in fact

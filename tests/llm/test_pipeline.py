@@ -78,7 +78,8 @@ def test_stages_with_odd_rows(spark, tmp_path):
             (3, "", "en", "", 0), (None, "no id here at all", "en", "src1", 1), (None, "no id here at all", "en", "src1", 1),
             (4, "long words " * 60_000, "en", "src0", None), (5, "line\n" * 50, "fr", "src9", 250), (6, "?!", "en", "src0", 2)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    extra = ["score", "predicted", "tid", "label", "slot", "share", "row", "n_hit", "start", "j", "__rank"]
+    extra = ["score", "predicted", "tid", "label", "slot", "share", "row", "n_hit", "start", "j", "__rank", "__key", "n_lines",
+             "__right___key", "hash"]
     docs = docs.withColumns({c: F.lit(c) for c in extra})
     for empty in (False, True):
         frame = docs.where("false") if empty else docs

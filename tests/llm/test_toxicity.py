@@ -86,3 +86,20 @@ def test_sample_is_bounded(spark):
     docs, labels = corpus(300)
     found, _ = lib.train(table(spark, docs), spark.createDataFrame(labels, LABELS), sample=50)
     assert 0 < len(found) <= 1 << lib.BITS
+
+
+def test_many_rows_of_one_document_are_one_example(spark, monkeypatch):
+    """The bound on the fit holds for rows and for features of a row."""
+    monkeypatch.setattr(lib, "MOST_FEATURES", 50)
+    real = lib.fit
+    docs = [(1, f"copy {i} of the same document") for i in range(300)] + [(2, "other words " + "w x y z " * 400), (3, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 4)], "doc_id bigint, toxic int")
+    free = [i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5]
+
+    def fit(examples):
+        return real(examples) if len(examples) <= len(free) and all(len(f) <= 50 for f, _ in examples) else 1 / 0
+
+    monkeypatch.setattr(lib, "fit", fit)
+    assert free
+    found, weights = lib.train(table(spark, docs), labels)
+    assert len(found) == len(weights) > 0
