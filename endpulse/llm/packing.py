@@ -34,11 +34,12 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from endpulse.llm.common import write_table
-from endpulse.llm.pieces import Known, Letters, in_worker, long_parts, marked
+from endpulse.llm.pieces import Letters, in_worker, long_parts, marked
 from endpulse.llm.words import slices
 
 END_ID = 1
 WINDOW = 512
+KEPT_WORDS, KEPT_CHARS = 300_000, 8 << 20
 LONG = 4 << 20  # characters of one text encoded at once
 
 
@@ -55,39 +56,45 @@ class Limits:
             raise ValueError("limits must be positive")
 
 
-class WordIds:
-    """Ids of texts under a tokenizer that drops white space; each distinct word is encoded once."""
+class WordIds(dict):
+    """Ids of texts under a tokenizer that drops white space; each distinct word is encoded once.
+
+    Words are kept in two generations: when the newer one is full it becomes the older one, whose words come
+    back when they are met again and go with it otherwise.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = Letters(self.tokenizer, lower=True)
-        self.words = Known(self._learn, most=400_000)
-
-    def _learn(self, words: list[str]) -> list[bytes]:
-        """Marks behind a letter are tokens of their own, and case does not count, so fewer words are encoded."""
-        halves = [(w.lower() if (plain := self.letters.fits(w)) else w, marks, plain) for w, marks in map(marked, words)]
-        known, older = self.words.values, self.words.older
-        found, rest = {"": b""}, []
-        for w, marks, plain in halves:
-            if w not in found:
-                found[w] = ids = known.get(w) or older.get(w)
-                if ids is None:
-                    if plain and self.letters.right:
-                        found[w] = array("I", self.letters(w)).tobytes()
-                    else:
-                        rest.append(w)
-            if marks not in found:
-                found[marks] = None
-                rest.append(marks)
-        for w, encoding in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            found[w] = array("I", encoding.ids).tobytes()
-        return [found[w] + found[marks] for w, marks, _ in halves]
+        self.older, self.chars = {}, 0
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            # Marks behind a letter are tokens of their own, and case does not count, so fewer words are encoded.
+            stem, marks = marked(word)
+            plain = self.letters.right and self.letters.fits(stem)
+            if marks:
+                ids = self[stem.lower() if plain else stem] + self.encoded(marks)
+            elif plain:
+                ids = array("I", self.letters(word)).tobytes()
+            else:
+                ids = self.encoded(word)
+        self[word] = ids
+        self.chars += len(word)
+        return ids
+
+    def encoded(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def many(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        ids = self.words.meet(words)
-        return [b"".join(map(ids, w)) for w in words]
+        if len(self) > KEPT_WORDS or self.chars > KEPT_CHARS:
+            self.older, self.chars = dict(self), 0
+            self.clear()
+        ids = self.__getitem__
+        return [b"".join(map(ids, t.replace("\n", " ").split(" "))) for t in texts]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out = self.many([t if len(t) <= LONG else "" for t in texts])

@@ -84,8 +84,9 @@ class Letters:
     PROBES = ("word", "The", "Zürich", "ÉCOLE", "straße", "ñandú", "øre", "unbelievable", "x", "ż", "ǆ")
 
     def __init__(self, tokenizer, head: str = "", lower: bool = False):
-        self.model, self.head, self.lower = tokenizer.model, head, lower
+        self.model, self.lower = tokenizer.model, lower
         self.letters = {b: c for c, b in byte_alphabet().items()}
+        self.head = head.translate(self.letters)
         probes = [w for w in self.PROBES if self.fits(w)]
         whole = tokenizer.encode_batch_fast([head + w for w in probes], add_special_tokens=False)
         self.right = all(self(w) == e.ids for w, e in zip(probes, whole))
@@ -96,8 +97,11 @@ class Letters:
         return word.isalpha() and max(word) < "\u0250"
 
     def __call__(self, word: str) -> list[int]:
-        word = self.head + (word.lower() if self.lower else word)
-        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        if self.lower:
+            word = word.lower()
+        if not word.isascii():  # ASCII letters stand for themselves
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(self.head + word)]
 
 
 class Known:
