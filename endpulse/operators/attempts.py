@@ -14,6 +14,9 @@ from ..schemas import (
 
 ATTEMPTS = 3
 EXIT_SOURCES = 4
+# Most successes that one task sorts to find where tests stop, and ranges of one round of counting.
+TASK_ROWS = 10_000
+RANGES = 1024
 
 
 def first_rows(rows, key, order, n):
@@ -96,17 +99,40 @@ def exit_ips(answers, key="proxy_hash", max_sources=EXIT_SOURCES):
     )
 
 
-def stop_point(results, target):
+def stop_point(results, target, task_rows=TASK_ROWS):
     """The seq of the target-th success in order of arrival (one row).
 
-    NULL when there are fewer successes, so nothing is cut off. Only
-    ``target`` rows (the number of endpoints wanted) reach one task.
+    NULL when there are fewer successes, so nothing is cut off. A target beyond
+    ``task_rows`` is narrowed down first: successes are counted per range of seq, and the
+    range with the target-th one is divided again until it holds ``task_rows``
+    successes at most. So no task sorts more, whatever the target. Each round scans the
+    results once and returns RANGES + 1 counts at most; there are seven rounds at most.
     """
-    first = results.where(F.col("success")).select("seq").orderBy("seq").limit(target)
+    hits = results.where(F.col("success") & F.col("seq").isNotNull()).select("seq")
+    if target > task_rows:
+        hits, target = _narrowed(hits, target, task_rows)
+    first = hits.orderBy("seq").limit(target)
     return first.agg(F.when(F.count("*") >= target, F.max("seq")).alias("last_seq"))
 
 
-def early_stop(results, target):
+def _narrowed(hits, target, task_rows):
+    """(hits of the range that holds the target-th one, its number in that range)."""
+    ends = hits.agg(F.min("seq"), F.max("seq"), F.count("*")).first()
+    if ends[2] < target:
+        return hits.limit(0), 1
+    bits, held, inside = (ends[1] - ends[0]).bit_length(), ends[2], hits
+    while held > task_rows and bits:
+        bits = max(0, bits - RANGES.bit_length() + 1)
+        ranges = inside.groupBy(F.shiftright("seq", bits).alias("range")).agg(F.count("*").alias("n"))
+        for number, held in sorted(ranges.collect()):
+            if held >= target:
+                break
+            target -= held
+        inside = hits.where(F.col("seq").between(number << bits, (number + 1 << bits) - 1))
+    return inside, target
+
+
+def early_stop(results, target, task_rows=TASK_ROWS):
     """Results up to the target-th success; all when there are fewer."""
-    last = stop_point(results, target).scalar()
+    last = stop_point(results, target, task_rows).scalar()
     return results.where(F.coalesce(F.col("seq") <= last, F.lit(True)))

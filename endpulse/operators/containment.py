@@ -1,19 +1,22 @@
 """Addresses against networks: any-match and longest match.
 
 An address lies in a network when their prefixes of the network's length are
-equal, so containment is an equi-join on (version, prefix_len, prefix) with
-each distinct address repeated once per prefix length in use (at most 33 and
-129). Catalyst and AQE broadcast the networks when their measured size allows,
-and then nothing but the distinct addresses is shuffled.
+equal, so containment is an equi-join on (version, prefix_len, prefix). A
+distinct address is probed only for the lengths that its own head (its first
+HEAD bits) has networks of, and for the lengths below HEAD that its version has:
+one row for each, none where no network can be near. The heads are at most
+2 * 2**HEAD rows of at most 128 lengths, whatever the data, so they are always
+broadcast. Catalyst and AQE broadcast the networks too when their measured size
+allows, and then nothing but the distinct addresses is shuffled.
 
 For the other case, a prefix that many addresses share would be a hot join
 key, so such prefixes are salted: each network is repeated, and its addresses
-are spread over the copies. Prefixes of up to SHORT bits get the most copies;
-there are at most 2 * (2**(SHORT + 1) - 1) of them, whatever the data. A longer
-IPv4 prefix has at most 2**(31 - SHORT) distinct addresses and needs none; a
-longer IPv6 one may have any number and gets a few.
+are spread over the copies. Prefixes of up to HEAD bits get as many copies as
+there are tasks; there are at most 2 * (2**(HEAD + 1) - 1) of them, whatever
+the data. A longer IPv4 prefix has at most 2**(31 - HEAD) distinct addresses
+and needs none; a longer IPv6 one may have any number and gets a few.
 
-Networks are read twice (lengths and join), and so are the rows that are
+Networks are read twice (heads and join), and so are the rows that are
 labelled: pass stored tables.
 """
 
@@ -23,11 +26,9 @@ from ..functions.netaddr import (
     IPV4, PREFIX_HIGH, PREFIX_LOW, host_key, with_address, with_network,
 )
 from ..schemas import check_method
-from .skew import lookup_join
+from .skew import lookup_join, parts
 
-SHORT = 16
-SHORT_COPIES = 64
-LONG_IPV6_COPIES = 16
+HEAD = 16
 KEY = ["version", "prefix_len", "p_hi", "p_lo"]
 
 
@@ -40,41 +41,49 @@ def rejected_networks(lines):
     return with_network(lines, "line").where(F.col("prefix_len").isNull())
 
 
+def _heads(networks):
+    """(version, head, lengths) of the networks of HEAD bits and more."""
+    head = F.expr(f"CAST(shiftrightunsigned(p_hi, least(prefix_len, 64) - {HEAD}) AS INT)")
+    return networks.where(F.col("prefix_len") >= HEAD).groupBy(
+        "version", head.alias("head")).agg(F.collect_set("prefix_len").alias("lengths"))
+
+
 def _with_prefixes(addresses, networks):
-    """Addresses (version, hi, lo, ...) once per prefix length of the networks.
+    """Addresses (version, hi, lo, ...) once per prefix length that may match.
 
-    The lengths in use come as a scalar subquery, one array per version.
+    An address without one (unreadable, or no networks around) can match
+    nothing; it keeps one row, without prefix_len.
     """
-    size_if = lambda version: F.collect_set(
-        F.when(F.col("version") == version, F.col("prefix_len")))
-    lengths = networks.agg(F.struct(size_if(4).alias("v4"), size_if(6).alias("v6"))).scalar()
-    own = F.when(F.col("version") == 4, lengths["v4"]).when(F.col("version") == 6, lengths["v6"])
-    # Without a prefix (unreadable, or no networks of the version) nothing can
-    # match; those rows are spread as well.
-    copies = F.coalesce(_copies(), F.lit(SHORT_COPIES))
-    return addresses.withColumn("prefix_len", F.explode_outer(own)).withColumns({
-        "p_hi": F.expr(PREFIX_HIGH.format("hi")),
-        "p_lo": F.expr(PREFIX_LOW.format("lo")),
-        "salt": F.pmod(F.xxhash64("address"), copies).cast("int"),
-    })
-
-
-def _copies():
-    """How often a network is repeated in the join."""
+    short_if = lambda version: F.collect_set(
+        F.when((F.col("version") == version) & (F.col("prefix_len") < HEAD), F.col("prefix_len")))
+    short = networks.agg(F.struct(short_if(4).alias("v4"), short_if(6).alias("v6"))).scalar()
+    below = F.when(F.col("version") == 4, short["v4"]).when(F.col("version") == 6, short["v6"])
+    none = F.array().cast("array<int>")
+    lengths = F.concat(F.coalesce(below, none), F.coalesce("lengths", none))
+    headed = addresses.withColumn("head", F.expr(f"CAST(shiftrightunsigned(hi, {64 - HEAD}) AS INT)"))
     return (
-        F.when(F.col("prefix_len") <= SHORT, SHORT_COPIES)
-        .when(F.col("prefix_len").isNotNull(),
-              F.when(F.col("version") == 6, LONG_IPV6_COPIES).otherwise(1))
+        headed.join(F.broadcast(_heads(networks)), ["version", "head"], "left")
+        .withColumn("prefix_len", F.explode_outer(lengths)).drop("head", "lengths")
+        .withColumns({"p_hi": F.expr(PREFIX_HIGH.format("hi")), "p_lo": F.expr(PREFIX_LOW.format("lo"))})
     )
 
 
-def _salted(networks):
-    return networks.withColumn("salt", F.explode(F.sequence(F.lit(0), _copies() - 1)))
+def _copies(tasks):
+    """How often a network is repeated in the join."""
+    return (
+        F.when(F.col("prefix_len") <= HEAD, tasks)
+        .when(F.col("prefix_len").isNotNull(),
+              F.when(F.col("version") == 6, max(1, tasks // HEAD)).otherwise(1))
+    )
 
 
 def _probe(addresses, networks, how):
     """Join the addresses with the networks (one row per KEY) around them."""
-    return _with_prefixes(addresses, networks).join(_salted(networks), [*KEY, "salt"], how)
+    tasks = parts(addresses)
+    # Rows without a prefix are spread as well.
+    salt = F.pmod(F.xxhash64("address"), F.coalesce(_copies(tasks), F.lit(tasks))).cast("int")
+    copies = networks.withColumn("salt", F.explode(F.sequence(F.lit(0), _copies(tasks) - 1)))
+    return _with_prefixes(addresses, networks).withColumn("salt", salt).join(copies, [*KEY, "salt"], how)
 
 
 def address_flags(addresses, networks):
@@ -139,6 +148,26 @@ def resolve_hosts(hosts, resolutions):
     return named.unionByName(own)
 
 
+def resolve_hosts_as_of(hosts, lookups, now, ttl):
+    """(host, address) like ``resolve_hosts``, by the lookups that are known and still valid at ``now``.
+
+    ``lookups`` has one row (host, address, resolved_at, ok) for each address that a
+    lookup found; ``resolved_at`` is the same in all of them. Of each host the newest
+    lookup counts that found an address, is not later than ``now`` and younger than
+    ``ttl`` seconds: a failed one (``ok`` not true, or without an address) replaces
+    nothing. A host without such a lookup has no row. With a ttl of 0 or
+    less nothing is kept. Read from a stored table: it is scanned three times.
+    """
+    age = F.lit(now) - F.col("resolved_at")
+    valid = lookups.where(F.col("ok") & F.col("address").isNotNull() & (age >= 0) & (age < max(0, ttl)))
+    # Each address once before anything is joined, however often it was looked up.
+    answers = valid.groupBy(host_key(F.col("host")).alias("host"), "address").agg(
+        F.max("resolved_at").alias("resolved_at"))
+    newest = answers.groupBy("host").agg(F.max("resolved_at").alias("newest"))
+    current = lookup_join(answers, newest, "host", "address").where("resolved_at = newest")
+    return resolve_hosts(hosts, current.select("host", "address"))
+
+
 def geo_networks(table):
     """Geo networks with labels, one row per KEY (the least label if repeated)."""
     country = F.coalesce(F.nullif("iso_code", F.lit("")), "country_name")

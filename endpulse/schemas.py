@@ -45,6 +45,8 @@ RESULTS = _struct(
 PAYLOADS = _struct(("source", _S), ("content", T.BinaryType()))
 CONVERTED = _struct(("link", _S), ("outbound", _S))
 RESOLUTIONS = _struct(("host", _S), ("address", _S))
+# One row per address that a lookup found; a failed lookup has one without.
+LOOKUPS = _struct(("host", _S), ("address", _S), ("resolved_at", _L), ("ok", _B))
 GEO_NETWORKS = _struct(
     ("network", _S), ("iso_code", _S), ("country_name", _S), ("city", _S))
 

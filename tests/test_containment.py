@@ -93,3 +93,51 @@ def test_rejected_lines_are_told(spark, tmp_path):
     nets, rejects = read_networks(spark, str(path))
     assert {r.line for r in nets.collect()} == {"10.0.0.0/8", "::/0"}
     assert {r.line for r in rejects.collect()} == {"1.2.3.0/24 # x", "300.1.1.1"}
+
+
+def test_an_address_is_probed_for_the_lengths_of_its_own_head_only(spark):
+    nets = networks(spark, ["10.0.0.0/8", "10.1.0.0/16", "10.1.2.0/24", "10.1.3.0/25", "10.2.0.0/32", "2001:db8::/32",
+                            "2001:db8::1/128", "2002::/17", "::/0"])
+    from endpulse.functions.netaddr import with_address
+
+    rows = containment._with_prefixes(with_address(addresses(
+        spark, ["10.1.9.9", "10.2.9.9", "9.9.9.9", "2001:db8::5", "2002::1", "3000::", "bad"]), "address"), nets)
+    found = {}
+    for r in rows.collect():
+        found.setdefault(r.address, set()).add(r.prefix_len)
+    assert found == {"10.1.9.9": {8, 16, 24, 25}, "10.2.9.9": {8, 32}, "9.9.9.9": {8}, "2001:db8::5": {0, 32, 128},
+                     "2002::1": {0, 17}, "3000::": {0}, "bad": {None}}
+
+
+def test_lookups_as_of_now(spark):
+    from endpulse.schemas import LOOKUPS
+
+    now, ttl = 10_000, 100
+    lookups = spark.createDataFrame([
+        ("a.example", "1.1.1.1", 9950, True), ("A.example.", "1.1.1.2", 9950, True),  # one lookup, two addresses
+        ("a.example", "1.1.1.3", 9940, True), ("a.example", "1.1.1.1", 9920, True),  # older ones, still valid
+        ("a.example", None, 9990, False), ("a.example", "9.9.9.9", 9995, False),  # failed: replaces nothing
+        ("a.example", "8.8.8.8", 10_001, True),  # not known yet
+        ("b.example", "2.2.2.2", 9900, True),  # ends now
+        ("c.example", "3.3.3.3", 9901, True), ("c.example", None, 9999, True),
+        ("d.example", "4.4.4.4", 10_000, True), ("e.example", "5.5.5.5", None, True), ("f.example", "6.6.6.6", 9999, None),
+        ("unasked.example", "7.7.7.7", 9999, True)], LOOKUPS)
+    hosts = spark.createDataFrame([(f"{c}.example",) for c in "abcdefg"] + [("10.0.0.1",), (None,)], "host string")
+    answers = lambda ttl: {(r.host, r.address) for r in containment.resolve_hosts_as_of(
+        hosts, lookups, now, ttl).collect()}
+    own = {("10.0.0.1", "10.0.0.1")}
+    assert answers(ttl) == own | {("a.example", "1.1.1.1"), ("a.example", "1.1.1.2"), ("c.example", "3.3.3.3"),
+                                  ("d.example", "4.4.4.4")}
+    assert answers(0) == answers(-5) == own
+    assert answers(101) == answers(ttl) | {("b.example", "2.2.2.2")}
+
+
+def test_lookups_of_a_hot_host(spark):
+    from endpulse.schemas import LOOKUPS
+
+    rows = [("hot.example", f"10.0.{i % 50}.{i % 200}", 100 + i % 7, True) for i in range(3000)]
+    rows += [(f"h{i}.example", "10.1.1.1", 100, True) for i in range(500)]
+    hosts = spark.createDataFrame([("hot.example",), ("h7.example",)], "host string")
+    got = {(r.host, r.address) for r in containment.resolve_hosts_as_of(
+        hosts, spark.createDataFrame(rows, LOOKUPS), 110, 50).collect()}
+    assert got == {(h, a) for h, a, at, _ in rows if h == "hot.example" and at == 106} | {("h7.example", "10.1.1.1")}

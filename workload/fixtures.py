@@ -78,7 +78,10 @@ SELECT {sha}(c_name{bits}) AS proxy_hash, 'vless://' || c_name AS raw_link, 'vle
   CASE c_custkey % 5 WHEN 0 THEN 'unknown' WHEN 4 THEN 'url_test_failed' ELSE 'ok' END AS reason,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE abs(c_acctbal) END AS latency_ms,
   CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE abs(c_acctbal) END AS mbps,
-  (c_custkey % 223 + 1) || '.' || (c_custkey % 256) || '.' || (c_custkey * 7 % 256) || '.' || (c_custkey * 13 % 256) AS exit_ip,
+  CASE c_custkey % 11 WHEN 7 THEN '2001:db8:' || hex(c_custkey % 4096) || '::' || hex(c_custkey % 97)
+    WHEN 8 THEN '2001:DB8:' || hex(c_custkey % 25) || ':' || hex(32768 + c_custkey % 8192) || '::1.2.3.4'
+    WHEN 9 THEN '2001:db8:0:' || (c_custkey % 9999) || ':x'
+    ELSE (c_custkey % 223 + 1) || '.' || (c_custkey % 256) || '.' || (c_custkey * 7 % 256) || '.' || (c_custkey * 13 % 256) END AS exit_ip,
   CASE WHEN c_nationkey % 6 = 0 THEN NULL ELSE chr(CAST(65 + c_nationkey AS INT)) || chr(CAST(65 + (c_nationkey * 7) % 26 AS INT)) END AS country,
   CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 'City ' || c_nationkey END AS city
 FROM customer""",
@@ -126,21 +129,42 @@ SELECT {test_id} AS test_id, event_id AS answer_seq, event_type <> 'error' AS ok
 
     "resolutions": """
 SELECT DISTINCT {host} AS host,
-  (page_id % 223 + 1) || '.' || (page_id % 256) || '.' || (page_id * 7 % 256) || '.1' AS address
+  CASE page_id % 17 WHEN 4 THEN '2001:db8:' || hex(page_id % 97) || ':' || hex(page_id % 512) || '::' || hex(page_id % 65536)
+    WHEN 5 THEN 'unreadable ' || (page_id % 10)
+    ELSE (page_id % 223 + 1) || '.' || (page_id % 256) || '.' || (page_id * 7 % 256) || '.1' END AS address
 FROM pages WHERE page_id % 3 <> 0""",
 
+    # Two lookups of each page's host: some failed, some too old, some later than NOW.
+    "lookups": """
+SELECT {host} AS host, CASE WHEN page_id % 4 <> 0 THEN (page_id % 223 + 1) || '.' || (page_id % 256) || '.0.2' END AS address,
+  CAST(1699998800 + page_id * 37 % 1500 AS BIGINT) AS resolved_at, page_id % 5 <> 2 AS ok FROM pages
+UNION ALL SELECT {host}, (page_id % 223 + 1) || '.' || (page_id % 256) || '.0.' || (page_id % 3),
+  CAST(1699998800 + page_id % 50 * 30 AS BIGINT), page_id % 7 <> 2 FROM pages""",
+
     "cidr_lines": """
 SELECT (n_nationkey * 8 + 1) || '.0.0.9/' || (8 + n_regionkey) AS line FROM nation
 UNION ALL SELECT (s_suppkey % 223 + 1) || '.' || (s_suppkey % 256) || '.' || (s_suppkey * 7 % 256) || '.0/24' FROM supplier
 UNION ALL SELECT '# note ' || n_nationkey FROM nation UNION ALL SELECT n_nationkey || '.1.2' FROM nation
-UNION ALL SELECT '  ' FROM region UNION ALL SELECT (r_regionkey + 40) || '.1.2.3' FROM region""",
+UNION ALL SELECT '  ' FROM region UNION ALL SELECT (r_regionkey + 40) || '.1.2.3' FROM region
+UNION ALL SELECT '2001:db8:' || hex(s_suppkey % 97) || ':' || hex(s_suppkey % 512) || ':7::/' || (40 + s_suppkey % 89) FROM supplier
+UNION ALL SELECT '2001:db8:' || hex(n_nationkey) || '::' || hex(n_nationkey) FROM nation
+UNION ALL SELECT (n_nationkey + 100) || '.3.0.9/255.255.0.0' FROM nation
+UNION ALL SELECT (n_nationkey + 130) || '.4.7.0/0.0.0.255' FROM nation
+UNION ALL SELECT (n_nationkey + 60) || '.1.0.0/33' FROM nation UNION ALL SELECT '0' || n_nationkey || '.2.3.4/24' FROM nation
+UNION ALL SELECT '1.2.3.4/255.0.255.' || r_regionkey FROM region UNION ALL SELECT (r_regionkey + 256) || '.1.1.0/24' FROM region
+UNION ALL SELECT '2001:db8::/' || (129 + r_regionkey) FROM region UNION ALL SELECT '2001:db8::' || r_regionkey || 'g/64' FROM region
+UNION ALL SELECT '2001:db8:' || r_regionkey || '/64' FROM region""",
 
     "geo_networks": """
 SELECT (n_nationkey * 8 + 1) || '.0.0.0/' || (8 + n_regionkey) AS network,
   CASE WHEN n_nationkey % 4 = 0 THEN '' ELSE chr(CAST(65 + n_nationkey AS INT)) || 'X' END AS iso_code,
   n_name AS country_name, CAST(NULL AS VARCHAR(20)) AS city FROM nation
 UNION ALL SELECT (s_suppkey % 223 + 1) || '.' || (s_suppkey % 256) || '.0.0/16',
-  'S' || chr(CAST(65 + s_suppkey % 26 AS INT)), 'Supplierland', 'Town ' || s_suppkey FROM supplier""",
+  'S' || chr(CAST(65 + s_suppkey % 26 AS INT)), 'Supplierland', 'Town ' || s_suppkey FROM supplier
+UNION ALL SELECT '2001:db8:' || hex(s_suppkey) || '::/48', 'S' || chr(CAST(65 + s_suppkey % 26 AS INT)), 'Supplierland', 'Town ' || s_suppkey
+  FROM supplier WHERE s_suppkey < 65536
+UNION ALL SELECT '2001:db8:' || hex(n_nationkey) || ':8000::/' || (49 + n_regionkey), 'Q' || chr(CAST(65 + n_nationkey AS INT)), n_name, NULL FROM nation
+UNION ALL SELECT '2001::/' || (12 + 3 * r_regionkey), '', r_name, NULL FROM region""",
 
     # Texts for the duration parser out of every event.
     "durations": """
@@ -161,7 +185,8 @@ SELECT proxy_hash, event_id AS attempt_seq, event_type <> 'error' AS ok,
     "run_exit_answers": """
 SELECT proxy_hash, event_id AS answer_seq, event_type <> 'error' AS ok,
   CASE WHEN event_type = 'signup' THEN ' '
-  ELSE ' ' || (event_id % 223 + 1) || '.' || (event_id % 256) || '.1.7' END AS body FROM tries""",
+  ELSE ' ' || CASE WHEN event_id % 11 = 3 THEN '2001:db8:' || hex(event_id % 4096) || '::7'
+    ELSE (event_id % 223 + 1) || '.' || (event_id % 256) || '.1.7' END END AS body FROM tries""",
 
     "run_speed_attempts": """
 SELECT proxy_hash, event_id AS attempt_seq, event_type <> 'error' AS ok,

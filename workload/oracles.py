@@ -3,16 +3,29 @@
 import re
 
 from .fixtures import NOW, duckdb_sql
-from .queries import CHANGED_SOURCES, COUNT_PARAMS, EXPORT, NOW_2, TOP_N
+from .queries import CHANGED_SOURCES, COUNT_PARAMS, DNS_TTL, EXPORT, NOW_2, TOP_N
 
 _CATALOG = ("proxy_hash, raw_link, scheme, first_seen_at, last_seen_at, last_checked_at, "
             "last_status, reason, latency_ms, mbps, exit_ip, country, city")
-_IP = ("(CAST(split_part({0}, '.', 1) AS BIGINT) * 16777216 + CAST(split_part({0}, '.', 2) AS BIGINT) * 65536"
-       " + CAST(split_part({0}, '.', 3) AS BIGINT) * 256 + CAST(split_part({0}, '.', 4) AS BIGINT))")
+# An address as one number, NULL where it is none: IPv6 from 0 on, IPv4 below 0.
+_V4 = r"(0|[1-9][0-9]{{0,2}})([.](0|[1-9][0-9]{{0,2}})){{3}}"
+_DOTTED = ("CASE WHEN regexp_full_match({0}, '" + _V4 + "') AND list_max(list_transform(string_split({0}, '.'), "
+           "lambda x: CAST(x AS INTEGER))) < 256 THEN list_reduce(list_transform(string_split({0}, '.'), "
+           "lambda x: CAST(x AS HUGEINT)), lambda a, b: a * 256 + b) END")
+# Groups of hexadecimal digits; a dotted tail counts as two of them, and '::' stands for those left out.
+_TAIL = ("CASE WHEN contains({0}, '.') THEN regexp_replace({0}, '[0-9.]+$', '') || "
+         "regexp_replace(printf('%08x', CAST(" + _DOTTED.replace("{0}", "split_part({0}, ':', -1)") + " AS BIGINT)), "
+         "'^(....)', '\\1:') ELSE {0} END")
+_SIDE = "list_filter(string_split(split_part(" + _TAIL + ", '::', {1}), ':'), lambda x: x <> '')"
+_LEFT, _RIGHT = _SIDE.replace("{1}", "1"), _SIDE.replace("{1}", "2")
+_GROUPS = f"list_concat({_LEFT}, list_transform(range(0, 8 - len({_LEFT}) - len({_RIGHT})), lambda i: '0'), {_RIGHT})"
+_V6 = (f"CASE WHEN regexp_full_match({{0}}, '[0-9A-Fa-f:.]+') AND len({_GROUPS}) = 8 AND (contains({{0}}, '::') OR len({_LEFT}) = 8) THEN "
+       f"list_reduce(list_transform({_GROUPS}, lambda x: CAST(try_cast('0x' || x AS BIGINT) AS HUGEINT)), lambda a, b: a * 65536 + b) END")
 
 
 def _ip(column):
-    return _IP.format(column)
+    return (f"CASE WHEN contains({column}, ':') THEN {_V6.format(column)} "
+            f"ELSE {_DOTTED.format(column)} - 4294967296::HUGEINT END")
 
 
 # Shared steps, each reading views or earlier steps.
@@ -64,21 +77,37 @@ WHERE NOT EXISTS (SELECT 1 FROM dead d WHERE d.proxy_hash = l.proxy_hash)""",
     "list_lines": """
 SELECT trim(line) AS line FROM cidr_lines WHERE trim(line) <> '' AND NOT starts_with(trim(line), '#')""",
 
-    "nets": f"""
-SELECT line, prefix_len, CAST({_ip("split_part(line, '/', 1)")} // (1::BIGINT << (32 - prefix_len)) AS BIGINT) AS p FROM (
-  SELECT line, CASE WHEN contains(line, '/') THEN CAST(split_part(line, '/', 2) AS INTEGER) ELSE 32 END AS prefix_len
-  FROM list_lines WHERE regexp_full_match(line, '[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+(/[0-9]+)?')) n""",
+    "net_parts": f"""
+SELECT line, ip, mask, CASE WHEN ip < 0 THEN 4 WHEN ip >= 0 THEN 6 END AS version, {_DOTTED.format("mask")} AS dotted FROM (
+  SELECT line, {_ip("split_part(line, '/', 1)")} AS ip,
+    CASE WHEN contains(line, '/') THEN split_part(line, '/', 2) END AS mask FROM list_lines) l""",
+
+    # A dotted mask may name the bits of the network or those of the hosts.
+    "net_lengths": """
+SELECT line, ip, version, CASE version WHEN 4 THEN 32 ELSE 128 END AS width, CAST(CASE
+  WHEN mask IS NULL THEN CASE version WHEN 4 THEN 32 ELSE 128 END
+  WHEN regexp_full_match(mask, '[0-9]+') THEN CAST(mask AS INTEGER)
+  WHEN version = 4 THEN coalesce(
+    list_filter(range(0, 33), lambda k: dotted = 4294967296 - (1::BIGINT << (32 - k)))[1],
+    list_filter(range(0, 33), lambda k: dotted = (1::BIGINT << (32 - k)) - 1)[1]) END AS INTEGER) AS prefix_len
+FROM net_parts WHERE version IS NOT NULL""",
+
+    "nets": """
+SELECT line, CAST(version AS INTEGER) AS version, prefix_len, width,
+  CAST((CASE WHEN version = 4 THEN ip + 4294967296 ELSE ip END) // (1::HUGEINT << (width - prefix_len)) AS HUGEINT) AS p
+FROM net_lengths WHERE prefix_len BETWEEN 0 AND width""",
 
     "ranges": """
-SELECT DISTINCT p * (1::BIGINT << (32 - prefix_len)) AS first_ip, (p + 1) * (1::BIGINT << (32 - prefix_len)) - 1 AS last_ip
-FROM nets""",
+SELECT DISTINCT first_ip, first_ip + (1::HUGEINT << (width - prefix_len)) - 1 AS last_ip FROM (
+  SELECT width, prefix_len, p * (1::HUGEINT << (width - prefix_len)) - CASE WHEN version = 4 THEN 4294967296 ELSE 0 END AS first_ip
+  FROM nets) n""",
 
     "host_hits": f"""
-SELECT r.host, bool_or(n.first_ip IS NOT NULL) AS hit
-FROM resolutions r LEFT JOIN ranges n ON {_ip('r.address')} BETWEEN n.first_ip AND n.last_ip GROUP BY r.host""",
+SELECT r.host, bool_or(n.first_ip IS NOT NULL) AS hit, bool_or(r.ip IS NULL) AS unreadable
+FROM (SELECT host, {_ip('address')} AS ip FROM resolutions) r LEFT JOIN ranges n ON r.ip BETWEEN n.first_ip AND n.last_ip GROUP BY r.host""",
 
     "geo_ranges": f"""
-SELECT first_ip, first_ip + (1::BIGINT << (32 - len)) - 1 AS last_ip, len, country, city FROM (
+SELECT first_ip, first_ip + (1::HUGEINT << (CASE WHEN first_ip < 0 THEN 32 ELSE 128 END - len)) - 1 AS last_ip, len, country, city FROM (
   SELECT {_ip("split_part(network, '/', 1)")} AS first_ip, CAST(split_part(network, '/', 2) AS INTEGER) AS len,
     coalesce(nullif(iso_code, ''), country_name) AS country, city FROM geo_networks) g""",
 
@@ -239,10 +268,16 @@ _MERGE = f"""SELECT coalesce(p.proxy_hash, t.proxy_hash) AS proxy_hash, coalesce
 FROM existing p FULL JOIN (SELECT * FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM {_ALIVE} d WHERE d.proxy_hash = f.proxy_hash)) t
 ON t.proxy_hash = p.proxy_hash"""
 
+# At least half of the successes, cut by their number.
+_STOPPED_HALF = f"""SELECT * FROM {_SPEEDS} r WHERE seq <= (SELECT seq FROM (
+  SELECT seq, row_number() OVER (ORDER BY seq) AS nth, count(*) OVER () AS n FROM {_SPEEDS} s WHERE success) f
+  WHERE nth = n // 2 + 1)"""
+
 _QUERIES = {
     "load_state": f"SELECT {_CATALOG} FROM catalog",
     "selected_scan": f"SELECT proxy_hash, raw_link, coalesce(country, '?') AS country FROM {_TOP} t",
-    "parse_networks": "SELECT line, CAST(4 AS INTEGER) AS version, prefix_len, p AS p_hi FROM nets",
+    "parse_networks": """SELECT line, version, prefix_len,
+  CAST(CASE WHEN prefix_len > 64 THEN p // (1::HUGEINT << (prefix_len - 64)) ELSE p END AS BIGINT) AS p_hi FROM nets""",
     "rejected_networks": "SELECT line FROM list_lines WHERE line NOT IN (SELECT line FROM nets)",
     "distinct_links": "SELECT DISTINCT proxy_hash FROM links",
     "split_payload_links": "SELECT source, line FROM payload_lines",
@@ -272,8 +307,12 @@ FROM links l LEFT JOIN known k ON k.proxy_hash = l.proxy_hash LEFT JOIN dead d O
     "country_filter_empty_list": _country("false"),
     "country_filter_include_empty_list": _country("true"),
     "resolve_hosts": "SELECT DISTINCT r.host, r.address FROM resolutions r JOIN checks c ON c.host = r.host",
+    "resolve_hosts_as_of": f"""SELECT DISTINCT l.host, l.address FROM (
+  SELECT *, max(resolved_at) OVER (PARTITION BY host) AS newest FROM lookups
+  WHERE ok AND address IS NOT NULL AND resolved_at <= {NOW} AND resolved_at + {DNS_TTL} > {NOW}) l
+JOIN checks c ON c.host = l.host WHERE l.resolved_at = l.newest""",
     "cidr_include": "SELECT host, hit AS passed FROM host_hits",
-    "cidr_exclude": "SELECT host, NOT hit AS passed FROM host_hits",
+    "cidr_exclude": "SELECT host, NOT hit AND NOT unreadable AS passed FROM host_hits",
     "address_in_networks": f"""SELECT DISTINCT exit_ip AS address FROM catalog c
 WHERE EXISTS (SELECT 1 FROM ranges n WHERE {_ip('c.exit_ip')} BETWEEN n.first_ip AND n.last_ip)""",
     "geo_lookup": f"""SELECT proxy_hash, exit_ip, country, city FROM (
@@ -292,6 +331,7 @@ WHERE EXISTS (SELECT 1 FROM ranges n WHERE {_ip('c.exit_ip')} BETWEEN n.first_ip
   SELECT *, min(CASE WHEN ok THEN answer_seq END) OVER (PARTITION BY test_id) AS first_seq FROM (
     SELECT *, row_number() OVER (PARTITION BY test_id ORDER BY answer_seq) AS rn FROM exit_answers) a WHERE rn <= 4) b GROUP BY test_id""",
     "speed_early_stop": _STOPPED,
+    "speed_early_stop_half": _STOPPED_HALF,
     "success_count": f"SELECT count(*) FILTER (WHERE success) AS successes, count(*) AS tests FROM ({_STOPPED}) k",
     "safe_outbounds": "SELECT link FROM verdicts WHERE verdict = 'safe'",
     "outbound_host": "SELECT link, host FROM checks",
@@ -317,6 +357,8 @@ WHERE v.verdict = 'unsafe' OR t.seq IS NOT NULL""",
     "select_top": f"SELECT * FROM {_TOP} t",
     "keyset_page": "SELECT proxy_hash, raw_link, scheme FROM catalog WHERE proxy_hash > '8' ORDER BY proxy_hash LIMIT 100",
     "keyset_first_page": "SELECT proxy_hash, raw_link, scheme FROM catalog ORDER BY proxy_hash LIMIT 100",
+    "stored_page": """SELECT proxy_hash, raw_link, scheme FROM catalog WHERE last_status <> 'dead' AND proxy_hash > '8'
+ORDER BY proxy_hash LIMIT 100""",
     "latency_top_n": f"""SELECT proxy_hash, latency_ms FROM catalog WHERE last_status = 'url_ok' AND latency_ms IS NOT NULL
 ORDER BY latency_ms, proxy_hash LIMIT {TOP_N}""",
     "export_lines": _LINE.format(_TOP),
@@ -377,4 +419,15 @@ FROM {_SEEN_AGAIN} l LEFT JOIN known k ON k.proxy_hash = l.proxy_hash
 LEFT JOIN ({_RUN_DEAD}) d ON d.proxy_hash = k.proxy_hash""",
 }
 
+
+
+def _file(speed):
+    return f"""SELECT CAST(row_number() OVER (ORDER BY section, ord, speed DESC NULLS LAST, proxy_hash) - 1 AS INTEGER) AS n, line FROM (
+  SELECT 0 AS section, ord, CAST(NULL AS DOUBLE) AS speed, '' AS proxy_hash, line FROM ({_QUERIES['export_headers']}) h
+  UNION ALL SELECT 1, ord, NULL, '', line FROM ({_QUERIES['export_banner']}) b
+  UNION ALL SELECT 2, 0, {speed}, l.proxy_hash, l.line FROM ({_QUERIES['export_lines']}) l JOIN {_TOP} t ON t.proxy_hash = l.proxy_hash) f"""
+
+
+_QUERIES |= {"export_file": _file("NULL"), "export_file_by_speed": _file("t.mbps")}
+
 ORACLES = {name: _sql(query) for name, query in _QUERIES.items()}

@@ -3,6 +3,8 @@
 Fixture views stand for the pipeline's own tables; see FIXTURES.md.
 """
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from endpulse.functions.durations import duration_seconds
@@ -13,7 +15,8 @@ from endpulse.plans import stages
 from endpulse.plans.run_once import Inputs, Params, run_once
 from endpulse.schemas import CATALOG, RESULTS
 from endpulse.session import shared_folder
-from endpulse.sources.export import ExportOptions, banner_rows, header_rows, link_rows
+from endpulse.sources.export import ExportOptions, banner_rows, header_rows, link_rows, write_export
+from endpulse.sources import pages
 from endpulse.sources.snapshots import SnapshotStore
 from endpulse.sources.tables import network_lines
 from endpulse.streaming import changed, results as result_stream
@@ -28,6 +31,7 @@ COUNT_PARAMS = {"elapsed": 3725.9, "candidates": 1234}
 
 CHANGED_SOURCES = ("src0", "src2")
 NOW_2 = NOW + 86400
+DNS_TTL = 600
 
 QUERIES = {}
 
@@ -248,6 +252,13 @@ def resolve_hosts(spark, sf_dir):
     return containment.resolve_hosts(hosts, v.resolutions)
 
 
+@query
+def resolve_hosts_as_of(spark, sf_dir):
+    v = _Views(spark, sf_dir)
+    hosts = with_host(v.outbounds).where(F.col("host").isNotNull())
+    return containment.resolve_hosts_as_of(hosts, v.stored(v.lookups), NOW, DNS_TTL)
+
+
 def _cidr(spark, sf_dir, method):
     v = _Views(spark, sf_dir)
     pairs = v.stored(containment.resolve_hosts(v.resolutions.select("host"), v.resolutions))
@@ -312,6 +323,15 @@ def speed_early_stop(spark, sf_dir):
     return attempts.early_stop(speeds.withColumn("success", F.col("mbps") > 20), 40)
 
 
+@query
+def speed_early_stop_half(spark, sf_dir):
+    """Half of all successes are wanted, and no task sorts more than 100 of them."""
+    v = _Views(spark, sf_dir)
+    speeds = v.stored(v.results.where("kind = 'speed'").withColumn("success", F.col("mbps") > 20))
+    half = speeds.where("success").count() // 2 + 1
+    return attempts.early_stop(speeds, half, task_rows=100)
+
+
 @query
 def success_count(spark, sf_dir):
     speeds = _Views(spark, sf_dir).results.where("kind = 'speed'")
@@ -386,6 +406,16 @@ def keyset_first_page(spark, sf_dir):
     return select.keyset_page(_Views(spark, sf_dir).catalog, 100)
 
 
+@query
+def stored_page(spark, sf_dir):
+    """The page after a hash out of the stored pages of a committed catalogue."""
+    v = _Views(spark, sf_dir)
+    store = SnapshotStore(spark, shared_folder(spark, "pages"))
+    store.commit({"catalog": store.write(v.catalog, store.begin(), "catalog", spread=True)}, NOW)
+    pages.store_pages(store, NOW)
+    return pages.read_page(store, 100, "8")
+
+
 @query
 def latency_top_n(spark, sf_dir):
     return select.latency_top(_Views(spark, sf_dir).catalog, TOP_N).select("proxy_hash", "latency_ms")
@@ -420,6 +450,25 @@ def export_banner(spark, sf_dir):
     return banner_rows(top, EXPORT, NOW, **COUNT_PARAMS)
 
 
+def _export_file(spark, sf_dir, options):
+    """The lines of the written file with their numbers; it holds the top n only."""
+    top = select.select_top(_Views(spark, sf_dir).catalog, TOP_N, NOW)
+    path = shared_folder(spark, "export")
+    write_export(top, options, NOW, path, **COUNT_PARAMS)
+    whole = spark.read.text(path, wholetext=True).where("value <> ''")
+    return whole.select(F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("n", "line"))
+
+
+@query
+def export_file(spark, sf_dir):
+    return _export_file(spark, sf_dir, EXPORT)
+
+
+@query
+def export_file_by_speed(spark, sf_dir):
+    return _export_file(spark, sf_dir, replace(EXPORT, order="mbps"))
+
+
 # Streams and whole runs ----------------------------------------------------
 
 @query
