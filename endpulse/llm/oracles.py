@@ -3,7 +3,7 @@
 from endpulse.llm.decontamination import SPAN
 from endpulse.llm.license_scan import NOTICES, PHRASES, THRESHOLD, step_of
 from endpulse.llm.line_dedup import RUN
-from endpulse.llm.mixing import BLOCK_DOCS
+from endpulse.llm.mixing import BLOCK_DOCS, MAX_PARTS
 from endpulse.llm.prefix_trie import BASES, HEADS
 
 WORDS = ("regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -33,17 +33,28 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-op2 = f"""
-WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+_SHORT = [f"""
+  UNION ALL SELECT doc_id, i, {n}, false, array_to_string(lines[i + 1:i + {n}], chr(10))
+  FROM (SELECT doc_id, lines, n_words, unnest(range(0, len(lines) - {n} + 1)) AS i FROM d WHERE len(lines) >= {n})
+  WHERE list_sum(n_words[i + 1:i + {n}]) >= MIN_WORDS
+  UNION ALL SELECT doc_id, 0, {n}, true, text FROM d WHERE len(lines) = {n}""" for n in range(1, RUN)]
+
+
+def op2(min_words: int) -> str:
+    return f"""
+WITH d AS (
+  SELECT doc_id, text, lines, list_transform(lines, lambda x: len({WORDS.format('x')})) AS n_words
+  FROM (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents)),
 runs AS (
-  SELECT doc_id, i, array_to_string(lines[i + 1:i + {RUN}], chr(10)) AS x
+  SELECT doc_id, i, {RUN} AS n, false AS whole, array_to_string(lines[i + 1:i + {RUN}], chr(10)) AS x
   FROM (SELECT doc_id, lines, unnest(range(0, len(lines) - {RUN} + 1)) AS i
-        FROM d WHERE len(lines) >= {RUN})),
+        FROM d WHERE len(lines) >= {RUN}){''.join(_SHORT).replace('MIN_WORDS', str(min_words))}),
 again AS (
-  SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS r FROM runs)
+  SELECT doc_id, i, n FROM (
+    SELECT *, row_number() OVER (PARTITION BY n, whole, x ORDER BY doc_id, i) AS r FROM runs)
   WHERE r > 1),
 gone AS (
-  SELECT DISTINCT doc_id, k FROM (SELECT doc_id, unnest(range(i, i + {RUN})) AS k FROM again)),
+  SELECT DISTINCT doc_id, k FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM again)),
 lines AS (
   SELECT doc_id, k, line FROM (
     SELECT doc_id, unnest(range(0, len(lines))) AS k, unnest(lines) AS line FROM d))
@@ -108,14 +119,28 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
 
 
 def op10(weights: dict[str, int]) -> str:
-    named = ", ".join(f"('{n}', {a})" for n, a in sorted(weights.items()))
-    inside = ", ".join(f"'{n}'" for n in weights if n != "*")
-    total = sum(weights.values())
+    """Each source found that is not named has an equal share of the parts of '*' (up to 200 of them)."""
+    own = {n: a for n, a in weights.items() if n != "*"}
+    named = ", ".join(f"('{n}', {a})" for n, a in sorted(own.items()))
+    inside, rest = ", ".join(f"'{n}'" for n in own), weights["*"]
     return f"""
-WITH RECURSIVE w(share, a) AS (VALUES {named}),
+WITH RECURSIVE s AS (
+  SELECT doc_id, source, coalesce(source, '*') AS share FROM documents),
+others AS (
+  SELECT share, row_number() OVER (ORDER BY n DESC, share = '*', share) - 1 AS i FROM (
+    SELECT share, count(*) AS n FROM s WHERE share NOT IN ({inside}) GROUP BY share)),
+size AS (
+  SELECT n, {rest} * f AS room, f FROM (
+    SELECT n, CASE WHEN n = 0 THEN 1 ELSE least(n // gcd(n, {rest}), {MAX_PARTS // sum(weights.values())}) END AS f
+    FROM (SELECT count(*) AS n FROM others))),
+w AS (
+  SELECT share, a * f AS a FROM (VALUES {named}) v(share, a), size
+  UNION ALL SELECT share, room // n + CASE WHEN i < room % n THEN 1 ELSE 0 END FROM others, size
+  UNION ALL SELECT '*', CASE WHEN n = 0 THEN room ELSE 1 END FROM size WHERE NOT EXISTS (SELECT 1 FROM others WHERE share = '*')),
+total AS (SELECT cast(sum(a) AS BIGINT) AS total FROM w),
 jobs AS (
-  SELECT share, a, j, j * {total} // a AS release, ((j + 1) * {total} + a - 1) // a AS deadline
-  FROM (SELECT share, a, unnest(range(0, a)) AS j FROM w)),
+  SELECT share, a, j, j * total // a AS release, ((j + 1) * total + a - 1) // a AS deadline
+  FROM (SELECT share, a, unnest(range(0, cast(a AS BIGINT))) AS j FROM w), total),
 edf(t, done) AS (
   SELECT 0, []::VARCHAR[]
   UNION ALL
@@ -123,22 +148,20 @@ edf(t, done) AS (
     SELECT share || '/' || j FROM jobs
     WHERE release <= t AND NOT list_contains(done, share || '/' || j)
     ORDER BY deadline, share LIMIT 1))
-  FROM edf WHERE t < {total}),
+  FROM edf WHERE t < (SELECT total FROM total)),
 slots AS (
-  SELECT unnest(done) AS job, unnest(range(0, {total})) AS slot FROM edf WHERE t = {total}),
+  SELECT unnest(done) AS job, unnest(range(0, total)) AS slot FROM edf, total WHERE t = total),
 period AS (SELECT jobs.*, slot FROM jobs JOIN slots ON job = share || '/' || j),
-d AS (
-  SELECT doc_id, source, CASE WHEN source IN ({inside}) THEN source ELSE '*' END AS share FROM documents),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY share ORDER BY md5(cast(doc_id AS VARCHAR)), doc_id) - 1 AS r
-  FROM d),
+  FROM s),
 blocks AS (SELECT *, r // {BLOCK_DOCS} AS block FROM ranked)
 SELECT doc_id, source, share, block,
-       cast(block // a * {total} + slot AS BIGINT) AS slot,
-       cast(block // a * {total} + release AS BIGINT) AS release,
-       cast(block // a * {total} + deadline AS BIGINT) AS deadline,
+       cast(block // a * total + slot AS BIGINT) AS slot,
+       cast(block // a * total + release AS BIGINT) AS release,
+       cast(block // a * total + deadline AS BIGINT) AS deadline,
        cast(r % {BLOCK_DOCS} AS INTEGER) AS place
-FROM blocks JOIN w USING (share) JOIN period USING (share, a) WHERE block % a = j
+FROM blocks JOIN w USING (share) JOIN period USING (share, a), total WHERE block % a = j
 """
 
 

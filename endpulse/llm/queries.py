@@ -11,6 +11,8 @@ from endpulse.llm import (
 
 #: Parts of the mixture for each source; '*' stands for all sources not named.
 TARGET_WEIGHTS = {"src0": 30, "src1": 10, "src2": 10, "src3": 5, "src4": 5, "*": 40}
+#: Words that a single repeated line, or a pair of lines, holds at least.
+SHORT_WORDS = 20
 
 
 def tokenizer_path() -> str:
@@ -38,7 +40,7 @@ def op1_decontamination(spark, sf_dir):
 
 
 def op2_line_dedup(spark, sf_dir):
-    done = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    done = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), min_words=SHORT_WORDS)
     return done.select(
         "doc_id", "n_lines", F.size("deleted_lines").cast("long").alias("n_deleted"),
         F.concat_ws(",", F.transform("deleted_lines", lambda x: x.cast("string"))).alias("deleted_lines"),
@@ -86,7 +88,7 @@ def op9_substring_dedup(spark, sf_dir):
 
 def op10_mixing(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.scheduled(docs, TARGET_WEIGHTS)
+    return mixing.scheduled(docs, mixing.split_rest(docs, TARGET_WEIGHTS))
 
 
 def op11_alignment(spark, sf_dir):
@@ -110,7 +112,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_decontamination": oracles.op1,
-    "op2_line_dedup": oracles.op2,
+    "op2_line_dedup": oracles.op2(SHORT_WORDS),
     "op6_chat": oracles.op6,
     "op8_license_scan": oracles.op8,
     "op10_mixing": oracles.op10(TARGET_WEIGHTS),

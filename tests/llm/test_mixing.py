@@ -117,3 +117,21 @@ def test_pipeline_keeps_every_source_within_one_block(spark):
     for t in range(1, end + 1):
         for s in sources:
             assert abs(sum(1 for (n, _), at in blocks.items() if n == s and at < t) - used[s] * t / total) < 1
+
+
+def test_every_source_found_has_its_own_share_within_one_block(spark):
+    from endpulse.llm.queries import TARGET_WEIGHTS, op10_mixing
+
+    sf_dir = "/root/testdata/sf0.01"
+    rows = op10_mixing(spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert len(rows) == docs.count() and all(r["share"] == r["source"] for r in rows)
+    weights = lib.split_rest(docs, TARGET_WEIGHTS) | {"*": 1}
+    total = sum(weights.values())
+    blocks = {}
+    for r in rows:
+        blocks.setdefault(r["share"], set()).add(r["slot"])
+    end = min(max(slots) for slots in blocks.values())
+    for t in range(1, end + 1):
+        for share, slots in blocks.items():
+            assert abs(sum(s < t for s in slots) - weights[share] * t / total) < 1
