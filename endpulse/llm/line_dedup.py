@@ -89,7 +89,8 @@ def repeated_lines(documents: DataFrame, min_words: int | None = None) -> DataFr
     runs = _runs(documents)
     if min_words is not None:
         runs = runs.unionByName(_short_runs(documents, min_words))
-    runs = write_table(runs.distinct(), "line-runs")
+    # Runs of equal rows are all the first one or none is, so they are made distinct at the end, where few are left.
+    runs = write_table(runs, "line-runs")
     common = runs.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
     candidates = runs.join(common, "fingerprint").select(
         "doc_id", KEY, "line", "n_lines", "run_a", "run_b")
@@ -97,6 +98,7 @@ def repeated_lines(documents: DataFrame, min_words: int | None = None) -> DataFr
         F.min(F.struct("doc_id", KEY, "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
     here = F.struct("doc_id", KEY, "line")
     again = (candidates.join(first, ["n_lines", "run_a", "run_b"]).where(~here.eqNullSafe(F.col("first")))
+             .groupBy("doc_id", KEY, "line").agg(F.max("n_lines").alias("n_lines"))
              .select("doc_id", KEY, F.sequence(F.col("line"), F.col("line") + F.col("n_lines") - 1).alias("gone")))
     return again.groupBy("doc_id", KEY).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
