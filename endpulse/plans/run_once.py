@@ -206,7 +206,7 @@ def _run(spark, store, inputs, params, export_path, headers_path):
         stages.sized_speed_attempts(inputs.speed_attempts, inputs.speed_chunks, speed_timeout),
         params.speed_threshold, params.max_attempts))
     kept = stages.stop_speed_tests(results, params.target)
-    table = save("catalog", lambda: cat.update_catalog(after_url, stages.outcomes(kept), now))
+    table = save("catalog", lambda: cat.update_catalog(after_url, stages.outcomes(kept), now), counted="last_status")
 
     save("dead", lambda: cat.bury(dead, table.where(cat.is_dead()).select(
         "proxy_hash", "raw_link", "scheme", "reason"), now, params.ttl_days))

@@ -25,12 +25,15 @@ import re
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
-from ..operators.catalog import is_dead
+from ..operators.catalog import is_dead, status_counts
 from ..schemas import CATALOG, DEAD, SELECTED, SOURCE_STATE
 
 KEY = "proxy_hash"
+STATUS = "last_status"
+# Most values of a column whose counts go into the log.
+MOST_COUNTS = 1000
 STATE = {"catalog": CATALOG, "dead": DEAD, "selected": SELECTED, "sources": SOURCE_STATE}
 
 
@@ -131,12 +134,23 @@ class SnapshotStore:
             files.getUri(), self.spark._jsc.hadoopConfiguration()).rename(
                 files.makeQualified(part), files.makeQualified(target), how)
 
-    def write(self, df, folder, name, bucketed=True, spread=False):
+    def write(self, df, folder, name, bucketed=True, spread=False, counted=None):
         """Write a table; returns its entry for the log.
 
         Rows that come out of a join or group on the key are in their buckets
         already. Others need ``spread``, or each task writes to every bucket.
+        With ``counted``, a column of few values, the entry tells how many written
+        rows hold each; only that column is read for it.
         """
+        entry = self._write(df, folder, name, bucketed, spread)
+        if counted:
+            values = df.sparkSession.read.schema(df.select(counted).schema).parquet(entry["path"])
+            counts = values.groupBy(counted).agg(F.count("*").alias("n")).take(MOST_COUNTS + 1)
+            if len(counts) <= MOST_COUNTS:
+                entry["counts"] = {"column": counted, "rows": sorted(([*r] for r in counts), key=repr)}
+        return entry
+
+    def _write(self, df, folder, name, bucketed, spread):
         path = f"{folder}/{name}"
         if spread:
             df = df.repartition(self.buckets, KEY)
@@ -183,6 +197,17 @@ class SnapshotStore:
         state["catalog"] = state["catalog"].where(~is_dead())
         return state
 
+    def status_counts(self):
+        """(last_status, n) of the current catalogue, out of the log; no file of the catalogue is read.
+
+        A catalogue committed without counts is scanned.
+        """
+        counts = self.base()[1].get("catalog", {}).get("counts")
+        if counts is None or counts["column"] != STATUS:
+            return status_counts(self.load()["catalog"])
+        rows = self.spark.createDataFrame([tuple(r) for r in counts["rows"]], f"{STATUS} string, n bigint")
+        return rows.where(~is_dead())
+
     def commit(self, entries, now):
         """Make the tables current, or raise CommitConflict."""
         run, tables = self.base()

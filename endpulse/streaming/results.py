@@ -89,7 +89,7 @@ def compact(store, folder, now, tries=5):
         pending = [n for n in batches(spark, folder) if n not in set(taken)]
         folded = folded_batches(spark, folder, pending)
         catalog = update_catalog(store.load()["catalog"], flat_fold(newer(folded, applied)), now)
-        entries = {"catalog": store.write(catalog, place, "catalog"),
+        entries = {"catalog": store.write(catalog, place, "catalog", counted="last_status"),
                    "applied": store.write(refold(applied.unionByName(folded)), place, "applied"),
                    "batches": {**store.base()[1].get("batches", {}), folder: sorted({*taken, *pending})}}
         try:

@@ -219,3 +219,18 @@ def test_times_are_utc_in_any_session(spark):
     assert [tuple(r) for r in row] == [
         ("2023-11-14T22:13:20+00:00", "22:13:20 14.11.2023"), ("1970-01-01T00:00:00+00:00", "00:00:00 01.01.1970"),
         ("2000-02-28T23:59:59+00:00", "23:59:59 28.02.2000")]
+
+
+def test_counts_come_out_of_the_log_and_agree_with_a_scan(spark, store, tmp_path):
+    counted = lambda s: {r.last_status: r.n for r in s.status_counts().collect()}
+    scanned = lambda s: {r.last_status: r.n for r in cat.status_counts(s.load()["catalog"]).collect()}
+    assert counted(store) == scanned(store)  # committed without counts
+    folder = str(tmp_path / "folded")
+    for n, (name, ok) in enumerate([("h1", True), ("h2", False), ("h3", True)]):
+        land(spark, folder, n, result(spark, (5 + n, name, ok, 9.0)))
+        rs.compact(store, folder, NOW + n)
+        assert counted(store) == scanned(store)
+        assert store.status_counts().inputFiles() == []
+    assert counted(store)["url_ok"] == 2 and "dead" not in counted(store)
+    empty = SnapshotStore(spark, str(tmp_path / "none"))
+    assert counted(empty) == {}

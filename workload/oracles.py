@@ -428,6 +428,7 @@ def _file(speed):
   UNION ALL SELECT 2, 0, {speed}, l.proxy_hash, l.line FROM ({_QUERIES['export_lines']}) l JOIN {_TOP} t ON t.proxy_hash = l.proxy_hash) f"""
 
 
+_QUERIES["stored_status_counts"] = f"SELECT last_status, count(*) AS n FROM ({_QUERIES['second_run_catalog']}) c GROUP BY last_status"
 _QUERIES |= {"export_file": _file("NULL"), "export_file_by_speed": _file("t.mbps")}
 
 ORACLES = {name: _sql(query) for name, query in _QUERIES.items()}

@@ -562,6 +562,12 @@ def second_run_dead(spark, sf_dir):
     return second_run(spark, sf_dir)["dead"]
 
 
+@query
+def stored_status_counts(spark, sf_dir):
+    """Endpoints per status after two runs, out of the log."""
+    return second_run(spark, sf_dir)["store"].status_counts()
+
+
 @query
 def run_figures(spark, sf_dir):
     """What a second run, after all entries of the dead-list ended, tells of itself."""
