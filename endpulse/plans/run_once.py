@@ -208,15 +208,19 @@ def _run(spark, store, inputs, params, export_path, headers_path):
     kept = stages.stop_speed_tests(results, params.target)
     table = save("catalog", lambda: cat.update_catalog(after_url, stages.outcomes(kept), now), counted="last_status")
 
-    save("dead", lambda: cat.bury(dead, table.where(cat.is_dead()).select(
-        "proxy_hash", "raw_link", "scheme", "reason"), now, params.ttl_days))
+    # Without burials the stored dead-list stays as it is; readers leave out what is past its time.
+    counts = written["catalog"].get("counts")
+    if counts is None or any(status == STATUS_DEAD for status, _ in counts["rows"]):
+        save("dead", lambda: cat.bury(dead, table.where(cat.is_dead()).select(
+            "proxy_hash", "raw_link", "scheme", "reason"), now, params.ttl_days))
     selected = select.select_top(table, params.target, now)
     if selected is not None:
         save("selected", lambda: selected, bucketed=False)
 
     run = store.commit({n: e for n, e in written.items()
                         if n in ("catalog", "dead", "selected", "sources")}, now)
-    result = {**store.load(), "totals": totals, "run": run, "candidates": candidates,
+    state = store.load()
+    result = {**state, "dead": cat.expire_dead(state["dead"], now), "totals": totals, "run": run, "candidates": candidates,
               "facts": facts, "store": store, "figures": figures}
     figures["selected"] = result["selected"].count()
     if export_path:

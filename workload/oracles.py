@@ -248,6 +248,13 @@ def _attempt_oracle(latency):
 FROM (SELECT *, row_number() OVER (PARTITION BY test_id ORDER BY attempt_seq) AS rn FROM attempts) a WHERE rn <= 3 GROUP BY test_id"""
 
 
+_SPEED_ATTEMPTS = """SELECT test_id, seq, coalesce(mbps > 50, false) AS success,
+  CASE WHEN mbps IS NULL THEN 'speed_test_failed' WHEN mbps > 50 THEN 'ok' ELSE 'speed_below_threshold' END AS reason, mbps FROM (
+  SELECT test_id, coalesce(min(attempt_seq) FILTER (WHERE good), max(attempt_seq)) AS seq,
+    arg_min(speed, attempt_seq) FILTER (WHERE good) AS mbps FROM (
+    SELECT *, ok AND duration_s > 0 AS good, CASE WHEN duration_s > 0 THEN n_bytes / duration_s * 8 / 1048576 END AS speed,
+      row_number() OVER (PARTITION BY test_id ORDER BY attempt_seq) AS rn FROM attempts) a WHERE rn <= 3 GROUP BY test_id) s"""
+
 _SPEEDS = """(SELECT seq, proxy_hash, kind, mbps > 20 AS success, reason, latency_ms, exit_ip, country, city, mbps
 FROM results WHERE kind = 'speed')"""
 _STOPPED = f"""SELECT * FROM {_SPEEDS} r WHERE seq <= coalesce(
@@ -299,6 +306,8 @@ FROM links l LEFT JOIN known k ON k.proxy_hash = l.proxy_hash LEFT JOIN dead d O
     "merge_count": f"SELECT count(*) AS added FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM {_ALIVE} d WHERE d.proxy_hash = f.proxy_hash)",
     "apply_results": _APPLY,
     "stream_apply_results": _APPLY,
+    "stream_attempts": _attempt_oracle("latency_ms"),
+    "stream_speed_attempts": _SPEED_ATTEMPTS,
     "move_dead_catalog": f"SELECT {_CATALOG} FROM catalog WHERE last_status <> 'dead'",
     "move_dead_deadlist": _BURY,
     "status_counts": "SELECT last_status, count(*) AS n FROM catalog GROUP BY last_status",
@@ -320,12 +329,7 @@ WHERE EXISTS (SELECT 1 FROM ranges n WHERE {_ip('c.exit_ip')} BETWEEN n.first_ip
   FROM catalog c LEFT JOIN geo_ranges g ON {_ip('c.exit_ip')} BETWEEN g.first_ip AND g.last_ip) x WHERE rn = 1""",
     "url_first_success": _attempt_oracle("latency_ms"),
     "url_elapsed_latency": f"SELECT test_id, success, latency_ms FROM ({_attempt_oracle('duration_s * 1000')}) u",
-    "speed_first_success": """SELECT test_id, seq, coalesce(mbps > 50, false) AS success,
-  CASE WHEN mbps IS NULL THEN 'speed_test_failed' WHEN mbps > 50 THEN 'ok' ELSE 'speed_below_threshold' END AS reason, mbps FROM (
-  SELECT test_id, coalesce(min(attempt_seq) FILTER (WHERE good), max(attempt_seq)) AS seq,
-    arg_min(speed, attempt_seq) FILTER (WHERE good) AS mbps FROM (
-    SELECT *, ok AND duration_s > 0 AS good, CASE WHEN duration_s > 0 THEN n_bytes / duration_s * 8 / 1048576 END AS speed,
-      row_number() OVER (PARTITION BY test_id ORDER BY attempt_seq) AS rn FROM attempts) a WHERE rn <= 3 GROUP BY test_id) s""",
+    "speed_first_success": _SPEED_ATTEMPTS,
     "attempt_bytes": "SELECT test_id, CAST(sum(n_bytes) AS BIGINT) AS n_bytes FROM attempts GROUP BY test_id",
     "exit_ip_first_answer": """SELECT test_id, max(CASE WHEN answer_seq = first_seq THEN nullif(trim(body), '') END) AS exit_ip FROM (
   SELECT *, min(CASE WHEN ok THEN answer_seq END) OVER (PARTITION BY test_id) AS first_seq FROM (

@@ -19,7 +19,7 @@ from endpulse.sources.export import ExportOptions, banner_rows, header_rows, lin
 from endpulse.sources import pages
 from endpulse.sources.snapshots import SnapshotStore
 from endpulse.sources.tables import network_lines
-from endpulse.streaming import changed, results as result_stream
+from endpulse.streaming import attempts as attempt_stream, changed, results as result_stream
 
 from .fixtures import NOW, view
 
@@ -482,6 +482,35 @@ def stream_apply_results(spark, sf_dir):
     return result_stream.current_catalog(spark, v.catalog, f"{folder}/folded", NOW)
 
 
+def _streamed_attempts(spark, sf_dir, columns):
+    """The first attempts of each test, streamed in two parts, the first of them compacted."""
+    rows = _Views(spark, sf_dir).attempts.select("test_id", "attempt_seq", *columns)
+    folder = shared_folder(spark, "stream-attempts")
+    store = SnapshotStore(spark, f"{folder}/state")
+
+    def land(part):
+        part.write.mode("append").parquet(f"{folder}/landed")
+        landed = spark.readStream.schema(rows.schema).parquet(f"{folder}/landed")
+        attempt_stream.start_attempts_stream(
+            landed, f"{folder}/first", f"{folder}/checkpoint", "test_id").awaitTermination()
+
+    land(rows.where(F.col("attempt_seq") % 2 == 1))
+    attempt_stream.compact(store, f"{folder}/first", rows.schema, NOW, "test_id")
+    land(rows.where(F.col("attempt_seq") % 2 == 0))
+    return attempt_stream.attempts_so_far(store, f"{folder}/first", rows.schema, "test_id")
+
+
+@query
+def stream_attempts(spark, sf_dir):
+    return attempts.url_outcomes(_streamed_attempts(spark, sf_dir, ["ok", "latency_ms"]), "test_id")
+
+
+@query
+def stream_speed_attempts(spark, sf_dir):
+    return attempts.speed_outcomes(
+        _streamed_attempts(spark, sf_dir, ["ok", "n_bytes", "duration_s"]), "test_id", 50.0)
+
+
 @query
 def stream_changed_sources(spark, sf_dir):
     v = _Views(spark, sf_dir)
