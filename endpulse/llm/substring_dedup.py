@@ -4,7 +4,8 @@ A byte ends a chunk where the gear hash of the last WINDOW bytes is the smallest
 within REACH bytes to both sides (the first of equals), or where a chunk reaches
 LONGEST bytes. Both depend on nearby bytes only, so copies of a passage have the
 same chunks but for the edges, wherever the passage stands and whatever is
-inserted before it. Chunks are compared by digest. A repeated span is a run of
+inserted before it. Chunks are compared by digests of 128 bits: the first half finds
+candidates among all chunks, the second one tells chance pairs apart. A repeated span is a run of
 neighbouring chunks that all occur in other documents too, of MIN_WORDS words or
 more (the whole chunks within a passage of 50 words have about 40 of them); its
 chunks that are not the first of their digest in the order of (doc_id, row) can be
@@ -81,13 +82,13 @@ def _chunk_task(batches):
     for batch in batches:
         for part in slices(batch, "text"):
             offsets, raw = text_bytes(part.column(part.schema.get_field_index("text")))
-            digests, sizes, counts, owned = [], [], [], [0]
+            digests, sizes, counts, owned = [], [], [], [0]  # digests: both halves in turn
             for a, b in zip(offsets[:-1], offsets[1:]):
                 own = raw[a:b]
                 ends = cut_places(own)
                 whole, at = own.tobytes(), 0
                 for e in ends.tolist():
-                    digests.append(digest(whole[at:e], digest_size=8).digest())
+                    digests.append(digest(whole[at:e], digest_size=16).digest())
                     at = e
                 word = IS_WORD[LOWER[own]]
                 first = word.copy()
@@ -98,20 +99,23 @@ def _chunk_task(batches):
                 counts.append(total[ends] - total[begins] if len(ends) else ends)
                 owned.append(owned[-1] + len(ends))
             lists = lambda x, t: pa.ListArray.from_arrays(pa.array(owned, pa.int32()), pa.array(x, t))
+            halves = np.frombuffer(b"".join(digests), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [part.column(part.schema.get_field_index("row")),
                  part.column(part.schema.get_field_index("doc_id")),
-                 lists(np.frombuffer(b"".join(digests), np.int64), pa.int64()),
+                 lists(halves[::2], pa.int64()), lists(halves[1::2], pa.int64()),
                  lists(np.concatenate(sizes), pa.int32()), lists(np.concatenate(counts), pa.int32())],
-                names=["row", "doc_id", "digests", "sizes", "words"])
+                names=["row", "doc_id", "digests", "checks", "sizes", "words"])
+
+
+_CHUNKS = ("row bigint, doc_id bigint, digests array<bigint>, checks array<bigint>, "
+           "sizes array<int>, words array<int>")
 
 
 def chunked(documents: DataFrame) -> DataFrame:
-    """Stored: row number, doc_id, and the digest, bytes and words of each chunk."""
+    """Stored: row number, doc_id, and the digest (in two halves), bytes and words of each chunk."""
     numbered = documents.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    return write_table(numbered.mapInArrow(
-        _chunk_task, "row bigint, doc_id bigint, digests array<bigint>, sizes array<int>, words array<int>"),
-        "chunks")
+    return write_table(numbered.mapInArrow(_chunk_task, _CHUNKS), "chunks")
 
 
 def repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -120,12 +124,16 @@ def repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFram
 
 
 def _spans(docs: DataFrame, min_words: int) -> DataFrame:
-    chunks = docs.select("doc_id", "row", F.posexplode("digests").alias("place", "digest"))
+    chunks = docs.select("row", F.explode("digests").alias("digest"))
     common = chunks.groupBy("digest").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a < b").select("digest")
-    found = write_table(chunks.join(common, "digest"), "repeated-chunks")
+    # A chunk is repeated if both halves are.
+    both = docs.select("doc_id", "row", F.posexplode(F.arrays_zip("digests", "checks")).alias("place", "both")).select(
+        "doc_id", "row", "place", F.col("both.digests").alias("digest"), F.col("both.checks").alias("check"))
+    found = write_table(both.join(common, "digest"), "repeated-chunks")
     here = F.struct("doc_id", "row", "place")
-    first = found.groupBy("digest").agg(F.min(here).alias("first"))
-    marked = found.join(first, "digest").select(
+    first = found.groupBy("digest", "check").agg(
+        F.min(here).alias("first"), F.min("row").alias("a"), F.max("row").alias("b")).where("a < b").drop("a", "b")
+    marked = found.join(first, ["digest", "check"]).select(
         "doc_id", "row", "place", F.col("first.doc_id").alias("first_doc_id"),
         here.eqNullSafe(F.col("first")).alias("is_first"))
     order = Window.partitionBy("row").orderBy("place")
@@ -149,9 +157,7 @@ def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     own = {c: f"__own_{i}" for i, c in enumerate(documents.columns) if c in ("row", "__later", "__sizes")}
     numbered = write_table(documents.withColumnsRenamed(own).withColumn(
         "row", F.monotonically_increasing_id()), "rows")
-    docs = write_table(numbered.select("row", "doc_id", "text").mapInArrow(
-        _chunk_task, "row bigint, doc_id bigint, digests array<bigint>, sizes array<int>, words array<int>"),
-        "chunks")
+    docs = write_table(numbered.select("row", "doc_id", "text").mapInArrow(_chunk_task, _CHUNKS), "chunks")
     gone = _spans(docs, min_words).where(~F.col("kept")).groupBy("row").agg(
         F.flatten(F.collect_list("later")).alias("__later"), F.first("sizes").alias("__sizes"))
     gone = gone.withColumnRenamed("row", "__gone_row")

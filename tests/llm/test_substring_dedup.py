@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 from llm.helpers import rows_of, table
+from pyspark.sql import functions as F
 
 from endpulse.llm import substring_dedup as lib
 
@@ -80,3 +81,62 @@ def test_repeated_rows_null_ids_long_texts_and_empty_tables(spark):
         (4, None, False), (4, None, False), (8, 8, True), (9, 8, False)]
     assert [r["n_bytes"] for r in rows if r["doc_id"] == 9] == [len(long.encode())]
     assert lib.repeated_spans(table(spark, [(1, "a")]).where("false")).count() == 0
+
+
+def spans_by_hand(docs):
+    """(doc_id, first_doc_id, start, n_bytes, n_words, kept) of runs of chunks that other rows have too."""
+    places = {}
+    for row, (doc, text) in enumerate(docs):
+        for place, chunk in enumerate(chunks(text)):
+            places.setdefault(chunk, []).append((doc, row, place))
+    found = []
+    for row, (doc, text) in enumerate(docs):
+        own = chunks(text)
+        common = [len({r for _, r, _ in places[c]}) > 1 for c in own]
+        at = 0
+        while at < len(own):
+            if not common[at]:
+                at += 1
+                continue
+            end = at
+            while end < len(own) and common[end]:
+                end += 1
+            firsts = [min(places[c]) for c in own[at:end]]
+            data = text.encode()
+            a, b = len(b"".join(own[:at])), len(b"".join(own[:end]))
+            word = [x >= 128 or chr(x).isalnum() for x in data]
+            n_words = sum(word[i] and (i == 0 or not word[i - 1]) for i in range(a, b))
+            if n_words >= lib.MIN_WORDS:
+                found.append((doc, min(f[0] for f in firsts), a, b - a, n_words,
+                              all(f == (doc, row, at + i) for i, f in enumerate(firsts))))
+            at = end
+    return sorted(found)
+
+
+def test_spans_are_those_found_by_hand_whatever_the_length_of_words(spark):
+    rand = random.Random(6)
+    for longest in (3, 6):
+        words = lambda n: " ".join("".join(rand.choice("abcdefgh1é") for _ in range(rand.randint(1, longest)))
+                                   for _ in range(n))
+        passages = [words(rand.randint(30, 120)) for _ in range(12)]
+        # Passages next to each other, cut in two, repeated within a text, in texts that come twice.
+        docs = [(i, words(rand.randint(0, 40)) + " " + " ".join(
+            p[rand.choice([0, 0, 40]):] for p in rand.sample(passages, rand.randint(0, 3))) + words(rand.randint(0, 40)))
+            for i in range(60)]
+        docs += [(100, docs[3][1]), (101, passages[0] + " | " + passages[0]), (102, "lone " * 300)]
+        got = lib.repeated_spans(table(spark, docs).coalesce(1).sortWithinPartitions("doc_id")).collect()
+        want = spans_by_hand(docs)
+        assert sorted((r["doc_id"], r["first_doc_id"], r["start"], r["n_bytes"], r["n_words"], r["kept"])
+                      for r in got) == want and len(want) > 40
+
+
+def test_chance_pairs_of_half_a_digest_are_told_apart(spark):
+    rand = random.Random(7)
+    passage = prose(rand, 60)
+    docs = [(i, prose(rand, 50) + " " + (passage if i < 3 else "") + " " + prose(rand, 50)) for i in range(9)]
+    stored = lib.chunked(table(spark, docs))
+    told = lambda spans: sorted((r["doc_id"], r["start"], r["n_bytes"], r["kept"]) for r in spans.collect())
+    want = told(lib._spans(stored, lib.MIN_WORDS))
+    assert {d for d, *_ in want} == {0, 1, 2}
+    alike = stored.withColumn("digests", F.transform("digests", lambda d: d % 3))
+    assert told(lib._spans(alike, lib.MIN_WORDS)) == want
