@@ -3,7 +3,7 @@
 from endpulse.llm.decontamination import SPAN
 from endpulse.llm.license_scan import NOTICES, PHRASES, THRESHOLD, step_of
 from endpulse.llm.line_dedup import RUN
-from endpulse.llm.mixing import BLOCK_DOCS, MAX_PARTS
+from endpulse.llm.mixing import BLOCK_DOCS, MAX_NAMED, MAX_PARTS
 from endpulse.llm.prefix_trie import BASES, HEADS
 
 WORDS = ("regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -119,24 +119,27 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
 
 
 def op10(weights: dict[str, int]) -> str:
-    """Each source found that is not named has an equal share of the parts of '*' (up to 200 of them)."""
+    """Each source found that is not named has an equal share of the parts of '*', or a turn in '*' if they are many."""
     own = {n: a for n, a in weights.items() if n != "*"}
     named = ", ".join(f"('{n}', {a})" for n, a in sorted(own.items()))
     inside, rest = ", ".join(f"'{n}'" for n in own), weights["*"]
     return f"""
-WITH RECURSIVE s AS (
-  SELECT doc_id, source, coalesce(source, '*') AS share FROM documents),
+WITH RECURSIVE q AS (
+  SELECT doc_id, source, coalesce(source, '*') AS queue FROM documents),
 others AS (
-  SELECT share, row_number() OVER (ORDER BY n DESC, share = '*', share) - 1 AS i FROM (
-    SELECT share, count(*) AS n FROM s WHERE share NOT IN ({inside}) GROUP BY share)),
+  SELECT queue, row_number() OVER (ORDER BY n DESC, queue = '*', queue) - 1 AS i,
+    row_number() OVER (ORDER BY md5(queue), queue) - 1 AS turn FROM (
+    SELECT queue, count(*) AS n FROM q WHERE queue NOT IN ({inside}) GROUP BY queue)),
 size AS (
-  SELECT n, {rest} * f AS room, f FROM (
+  SELECT n, {rest} * f AS room, f, n <= least({rest} * f, {MAX_NAMED}) AS split FROM (
     SELECT n, CASE WHEN n = 0 THEN 1 ELSE least(n // gcd(n, {rest}), {MAX_PARTS // sum(weights.values())}) END AS f
     FROM (SELECT count(*) AS n FROM others))),
+s AS (SELECT q.*, CASE WHEN split OR queue IN ({inside}) THEN queue ELSE '*' END AS share FROM q, size),
 w AS (
-  SELECT share, a * f AS a FROM (VALUES {named}) v(share, a), size
-  UNION ALL SELECT share, room // n + CASE WHEN i < room % n THEN 1 ELSE 0 END FROM others, size
-  UNION ALL SELECT '*', CASE WHEN n = 0 THEN room ELSE 1 END FROM size WHERE NOT EXISTS (SELECT 1 FROM others WHERE share = '*')),
+  SELECT share, a * CASE WHEN split THEN f ELSE 1 END AS a FROM (VALUES {named}) v(share, a), size
+  UNION ALL SELECT queue, room // n + CASE WHEN i < room % n THEN 1 ELSE 0 END FROM others, size WHERE split
+  UNION ALL SELECT '*', CASE WHEN n > 0 AND split THEN 1 ELSE {rest} END FROM size
+    WHERE NOT split OR NOT EXISTS (SELECT 1 FROM others WHERE queue = '*')),
 total AS (SELECT cast(sum(a) AS BIGINT) AS total FROM w),
 jobs AS (
   SELECT share, a, j, j * total // a AS release, ((j + 1) * total + a - 1) // a AS deadline
@@ -153,9 +156,12 @@ slots AS (
   SELECT unnest(done) AS job, unnest(range(0, total)) AS slot FROM edf, total WHERE t = total),
 period AS (SELECT jobs.*, slot FROM jobs JOIN slots ON job = share || '/' || j),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY share ORDER BY md5(cast(doc_id AS VARCHAR)), doc_id) - 1 AS r
+  SELECT *, row_number() OVER (PARTITION BY queue ORDER BY md5(cast(doc_id AS VARCHAR)), doc_id) - 1 AS r
   FROM s),
-blocks AS (SELECT *, r // {BLOCK_DOCS} AS block FROM ranked)
+blocks AS (
+  SELECT ranked.*, r // {BLOCK_DOCS} * CASE WHEN split OR share <> '*' THEN 1 ELSE n END
+    + CASE WHEN split OR share <> '*' THEN 0 ELSE turn END AS block
+  FROM ranked LEFT JOIN others USING (queue), size)
 SELECT doc_id, source, share, block,
        cast(block // a * total + slot AS BIGINT) AS slot,
        cast(block // a * total + release AS BIGINT) AS release,

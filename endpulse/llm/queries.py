@@ -88,7 +88,7 @@ def op9_substring_dedup(spark, sf_dir):
 
 def op10_mixing(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.scheduled(docs, mixing.split_rest(docs, TARGET_WEIGHTS))
+    return mixing.scheduled(docs, mixing.split_rest(docs, TARGET_WEIGHTS), each=True)
 
 
 def op11_alignment(spark, sf_dir):
