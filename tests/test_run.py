@@ -236,3 +236,29 @@ def test_nothing_becomes_current_before_the_end(spark, tmp_path):
     assert store.current() == (0, {})
     assert store.load()["catalog"].count() == 0
     store.close()
+
+
+def test_a_run_without_burials_leaves_the_stored_dead_list(spark, tmp_path):
+    root = str(tmp_path)
+    store = SnapshotStore(spark, root)
+    rows = [(sha(link(i)), link(i), "vless", "ok", NOW - DAY, NOW + (5 if i < 3 else -5)) for i in (1, 2, 3)]
+    entry = store.write(spark.createDataFrame(rows, schemas.DEAD), store.begin(), "dead")
+    store.commit({"dead": entry}, NOW - DAY)
+    nothing = inputs(spark, {"s1": bodies(1, 2)}, 1)
+    done = run_once(spark, root, nothing, params(NOW))  # both are on the dead-list
+    assert {r.proxy_hash for r in done["dead"].collect()} == {sha(link(1)), sha(link(2))}
+    assert done["figures"]["expired"] == 1 and done["catalog"].count() == 0
+    tables = store.current()[1]
+    assert tables["dead"]["path"] == entry["path"] and tables["catalog"]["path"] != entry["path"]
+    done["store"].close()
+    # A run with burials writes it again, without what is past its time, and the old one may go.
+    done = run_once(spark, root, inputs(spark, {"s1": bodies(1, 2, 3)}, 1), params(NOW))
+    assert {r.proxy_hash: r.reason for r in done["dead"].collect()} == {
+        sha(link(1)): "ok", sha(link(2)): "ok", sha(link(3)): "cidr_discarded"}
+    new = store.current()[1]["dead"]["path"]
+    assert new != entry["path"] and spark.read.parquet(new).count() == 3
+    store.begin()
+    store.expire_runs(keep=1)
+    assert spark.read.parquet(new).count() == 3
+    done["store"].close()
+    store.close()
