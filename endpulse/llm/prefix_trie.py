@@ -148,7 +148,10 @@ def _flagged(batch, columns, starts, next_starts, final):
 
 
 def stored_turns(conversations: DataFrame, seed: int) -> DataFrame:
-    """The turns, with idx, their place in the conversation, and the product before it: base times before."""
+    """The turns, with idx, their place in the conversation, and the product before it: base times before.
+
+    last: the last turn of the conversation, in whichever partition it stands.
+    """
     role, text = (F.coalesce(c, F.lit("")) for c in ("role", "text"))
     rows = conversations.where(F.col("conv_id").isNotNull()).select(
         "conv_id", role.alias("role"), text.alias("text"), "turn")
@@ -165,16 +168,19 @@ def stored_turns(conversations: DataFrame, seed: int) -> DataFrame:
     # A conversation spans partitions only from the last of one on; so two rows per partition tell all.
     edges = turns.where("edge").select("conv_id", "part", "local", "before", "element").orderBy("part", "conv_id").collect()
     starts, conv, n, product = [], None, 0, ONE
-    for row in edges:
+    for row, following in zip(edges, [*edges[1:], None]):
         if row.conv_id != conv:
             conv, n, product = row.conv_id, 0, ONE
-        elif n:
-            starts.append((conv, row.part, n, bytearray(product)))
+        goes_on = following is not None and following.conv_id == conv
+        if n or goes_on:
+            starts.append((conv, row.part, n, bytearray(product), goes_on))
         n, product = n + row.local + 1, times(product, times(bytes(row.before), bytes(row.element)))
-    starts = conversations.sparkSession.createDataFrame(starts, "conv_id bigint, part int, base_n bigint, base binary")
+    starts = conversations.sparkSession.createDataFrame(
+        starts, "conv_id bigint, part int, base_n bigint, base binary, goes_on boolean")
     return turns.join(F.broadcast(starts), ["conv_id", "part"], "left").select(
         "conv_id", "role", "text", (F.coalesce("base_n", F.lit(0)) + F.col("local")).alias("idx"),
-        F.coalesce("base", F.lit(ONE)).alias("base"), "before", "element", "last")
+        F.coalesce("base", F.lit(ONE)).alias("base"), "before", "element",
+        (F.col("last") & ~F.coalesce("goes_on", F.lit(False))).alias("last"))
 
 
 # -- members of nodes -----------------------------------------------------------------------------

@@ -83,6 +83,20 @@ def test_one_conversation_of_many_turns_and_many_copies(spark):
     assert got(spark, rows, parts=8) == by_hand(rows)
 
 
+def test_only_the_last_turn_ends_a_conversation_that_spans_partitions(spark):
+    """Small partitions, as large tables have them: Spark does not put them together."""
+    rows = [(c, t, "user", f"turn {t}") for c in (40, 80) for t in range(60)] + random_rows(5, range(100, 150))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        turns = lib.stored_turns(spark.createDataFrame(rows, SCHEMA), 0)
+        assert turns.where("last").count() == len({r[0] for r in rows})
+        assert got(spark, rows, parts=8) == by_hand(rows)
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_clashing_elements_are_found_and_others_taken(spark, monkeypatch):
     """Turns that look alike to the first elements are told apart by their texts."""
     rows = random_rows(7, range(60))
