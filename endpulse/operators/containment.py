@@ -6,18 +6,17 @@ distinct address is probed only for the lengths that its own head (its first
 HEAD bits) has networks of, and for the lengths below HEAD that its version has:
 one row for each, none where no network can be near. The heads are at most
 2 * 2**HEAD rows of at most 128 lengths, whatever the data, so they are always
-broadcast. Catalyst and AQE broadcast the networks too when their measured size
-allows, and then nothing but the distinct addresses is shuffled.
+broadcast. AQE broadcasts the networks too when their measured size allows.
 
 For the other case, a prefix that many addresses share would be a hot join
-key, so such prefixes are salted: each network is repeated, and its addresses
-are spread over the copies. Prefixes of up to HEAD bits get as many copies as
-there are tasks; there are at most 2 * (2**(HEAD + 1) - 1) of them, whatever
-the data. A longer IPv4 prefix has at most 2**(31 - HEAD) distinct addresses
-and needs none; a longer IPv6 one may have any number and gets a few.
-
-Networks are read twice (heads and join), and so are the rows that are
-labelled: pass stored tables.
+key, so such prefixes are counted and salted, as in ``skew.lookup_join``: their
+networks are repeated, and their addresses are spread over the copies. A network
+that is not hot stands there once, so the copies are about as many as the networks.
+Not counted are IPv4 prefixes longer than HEAD: they have at most 2**(31 - HEAD)
+distinct addresses.
+
+Networks are read several times (heads, counts and join), and so are the rows that
+are labelled: pass stored tables.
 """
 
 from pyspark.sql import functions as F
@@ -26,7 +25,7 @@ from ..functions.netaddr import (
     IPV4, PREFIX_HIGH, PREFIX_LOW, host_key, with_address, with_network,
 )
 from ..schemas import check_method
-from .skew import lookup_join, parts
+from .skew import GROUPS, lookup_join, parts
 
 HEAD = 16
 KEY = ["version", "prefix_len", "p_hi", "p_lo"]
@@ -68,22 +67,36 @@ def _with_prefixes(addresses, networks):
     )
 
 
-def _copies(tasks):
-    """How often a network is repeated in the join."""
-    return (
-        F.when(F.col("prefix_len") <= HEAD, tasks)
-        .when(F.col("prefix_len").isNotNull(),
-              F.when(F.col("version") == 6, max(1, tasks // HEAD)).otherwise(1))
-    )
+def _hot(probed, tasks):
+    """(*KEY, groups) of the prefixes that hold more than one of `tasks` equal shares of the rows that could be many.
+
+    There are fewer than `tasks` of them, and their groups are fewer than 2 * tasks.
+    """
+    sizes = probed.where((F.col("prefix_len") <= HEAD) | (F.col("version") == 6)).groupBy(*KEY).agg(
+        F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).scalar()
+    return sizes.where(F.col("n") * tasks > total).select(
+        *KEY, F.ceil(F.col("n") * tasks / total).cast("int").alias("groups"))
+
+
+def _salted(addresses, networks):
+    """Addresses with their prefixes, and networks (one row per KEY), both with a salt."""
+    tasks = GROUPS * parts(addresses)
+    probed = _with_prefixes(addresses, networks)
+    hot = F.broadcast(_hot(probed, tasks))
+    # Rows without a prefix are spread as well.
+    groups = F.when(F.col("prefix_len").isNull(), tasks).otherwise(F.coalesce("groups", F.lit(1)))
+    salted = probed.join(hot, KEY, "left").withColumn(
+        "salt", F.pmod(F.xxhash64("address"), groups).cast("int")).drop("groups")
+    copies = F.sequence(F.lit(0), F.coalesce("groups", F.lit(1)) - 1)
+    repeated = networks.join(hot, KEY, "left").withColumn("salt", F.explode(copies)).drop("groups")
+    return salted, repeated
 
 
 def _probe(addresses, networks, how):
-    """Join the addresses with the networks (one row per KEY) around them."""
-    tasks = parts(addresses)
-    # Rows without a prefix are spread as well.
-    salt = F.pmod(F.xxhash64("address"), F.coalesce(_copies(tasks), F.lit(tasks))).cast("int")
-    copies = networks.withColumn("salt", F.explode(F.sequence(F.lit(0), _copies(tasks) - 1)))
-    return _with_prefixes(addresses, networks).withColumn("salt", salt).join(copies, [*KEY, "salt"], how)
+    """Join the addresses with the networks around them."""
+    salted, repeated = _salted(addresses, networks)
+    return salted.join(repeated, [*KEY, "salt"], how)
 
 
 def address_flags(addresses, networks):

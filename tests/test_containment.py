@@ -109,6 +109,28 @@ def test_an_address_is_probed_for_the_lengths_of_its_own_head_only(spark):
                      "2002::1": {0, 17}, "3000::": {0}, "bad": {None}}
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_networks_are_repeated_for_prefixes_of_many_addresses_only(spark, hot):
+    from endpulse.functions.netaddr import with_address
+
+    texts = [f"{a}.{b}.0.0/16" for a in (20, 30) for b in range(150)] + ["2001:db8::/32"]
+    ips = [f"{a}.{b}.7.{i}" for a in (20, 30) for b in range(150) for i in (1, 2)]
+    ips += [f"20.3.{i}.9" for i in range(200)] + [f"2001:db8::{i:x}" for i in range(200)] if hot else []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        found = with_address(addresses(spark, ips), "address")
+        rows, repeated = containment._salted(found, networks(spark, texts))
+        assert rows.count() == len(ips)
+        copies = {r["line"]: r["count"] for r in repeated.groupBy("line").count().collect()}
+        assert set(copies) == set(texts) and sum(copies.values()) <= len(texts) + 2 * 4 * 50
+        assert {t for t, n in copies.items() if n > 10} == ({"20.3.0.0/16", "2001:db8::/32"} if hot else set())
+        got = containment.contained(addresses(spark, ips), networks(spark, texts)).collect()
+        assert sorted(r.address for r in got) == sorted(ips)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_lookups_as_of_now(spark):
     from endpulse.schemas import LOOKUPS
 
