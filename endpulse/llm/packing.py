@@ -226,13 +226,12 @@ class Part:
 
 
 def joined(pieces: list[Piece]) -> list[Piece]:
-    """Pieces of one example that follow one another become one again."""
+    """Pieces of one example that follow one another become one again, if they hold the same ids."""
     out: list[Piece] = []
     for piece in sorted(pieces, key=lambda p: p.start):
         for i, other in enumerate(out):
-            if other.doc is piece.doc and other.end == piece.start:
-                out[i] = Piece(piece.doc, other.ids if len(other.ids) >= len(piece.ids) else piece.ids,
-                               other.start, piece.end, piece.loss_from)
+            if other.ids is piece.ids and other.end == piece.start:
+                out[i] = Piece(piece.doc, piece.ids, other.start, piece.end, piece.loss_from)
                 break
         else:
             out.append(piece)

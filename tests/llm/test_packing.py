@@ -73,6 +73,13 @@ def test_every_id_is_packed_once_within_the_limits(sizes, tokens, segments, loss
     assert [sorted(x) for x in seen] == [list(range(n)) for n, _ in sizes]
 
 
+def test_parts_of_one_example_with_ids_of_their_own_keep_them():
+    """Of an example cut by the loss limit several parts wait, each with its own ids only."""
+    packer = lib.Packer(lib.Limits(14, 3, 13), window=0)
+    made = [*packer.add(lib.Piece((0, 27), np.arange(27), 0, 27, 0)), *packer.rest()]
+    assert sorted(i for pieces in made for p in pieces for i in p.ids[p.start:p.end]) == list(range(27))
+
+
 def test_the_largest_dot_product_goes_first():
     """With little loss left the prompt-heavy example fits better than one of equal length."""
     packer = lib.Packer(lib.Limits(10, 4, 4), whole=True)
