@@ -23,6 +23,7 @@ import struct
 import sys
 import types
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from endpulse.llm.common import new_folder, write_table
+from endpulse.llm.pieces import Letters
 from endpulse.llm.words import freeing, mix, powers, text_bytes
 
 END_ID = 0
@@ -73,6 +75,7 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = re.compile(r"(?<=\S)(?= \S)")
         self.line_end = self._ids(["\n"])[0]
+        self.letters = Letters(self.tokenizer, head=" ")
         self.forget()
 
     def forget(self) -> None:
@@ -83,11 +86,27 @@ class Encoder:
         self.text_pool, self.text_used = np.zeros(1 << 18, np.uint8), 0
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)  # without offsets
         return [np.array(f.ids, dtype="<u4") for f in found]
 
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of these pieces, and how many each has; some hundred are encoded in one text.
+        """All ids of these pieces, and how many each has; a blank and letters need the tokenizer's model only."""
+        fits, letters = self.letters.fits if self.letters.right else (lambda word: False), self.letters
+        own = [letters(p[1:]) if p[0] == " " and fits(p[1:]) else None for p in pieces]
+        rest = [i for i, ids in enumerate(own) if ids is None]
+        counts = np.array([0 if ids is None else len(ids) for ids in own], np.int64)
+        of_rest, n_rest = self._together([pieces[i] for i in rest]) if rest else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        counts[rest] = n_rest
+        alone = np.ones(len(pieces), bool)
+        alone[rest] = False
+        ids = np.empty(counts.sum(), "<u4")
+        by_model = np.repeat(alone, counts)
+        ids[by_model] = np.fromiter(chain.from_iterable(filter(None, own)), "<u4", int(by_model.sum()))
+        ids[~by_model] = of_rest
+        return ids, counts
+
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same by the whole tokenizer; some hundred are encoded in one text.
 
         After a line end a piece has the ids that it has alone, unless it begins with a line end itself.
         """

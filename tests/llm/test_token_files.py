@@ -143,3 +143,15 @@ def test_random_binary_words():
     texts = [" ".join(rand.sample(words, 5)) for _ in range(300)]
     encode = lib.Encoder(tokenizer_path())
     assert list(encode.texts(pa.array(texts))) == [ids_of(t) for t in texts]
+
+
+def test_words_behind_a_blank_need_the_model_only(monkeypatch):
+    """They have the ids of the whole tokenizer, which is asked for the other pieces alone."""
+    encode, asked = lib.Encoder(tokenizer_path()), []
+    text = "First unbelievable words, Zürich ÉCOLE 12 x1 don't ǆ ж\nline İstanbul end. ſ ½ ª"
+    whole = encode.tokenizer.encode(text, add_special_tokens=False).ids
+    real = encode._together
+    monkeypatch.setattr(encode, "_together", lambda pieces: asked.extend(pieces) or real(pieces))
+    assert np.frombuffer(encode(text), "<u4").tolist() == whole
+    assert {" 12", " x1", " don't", " ж"} <= set(asked)
+    assert not {" unbelievable", " words", " Zürich", " ÉCOLE"} & set(asked)
