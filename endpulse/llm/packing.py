@@ -77,7 +77,7 @@ class WordIds(dict):
             stem, marks = marked(word)
             plain = self.letters.right and self.letters.fits(stem)
             if marks:
-                ids = self[stem.lower() if plain else stem] + self.encoded(marks)
+                ids = self[stem.lower() if plain else stem] + self[marks]
             elif plain:
                 ids = array("I", self.letters(word)).tobytes()
             else:

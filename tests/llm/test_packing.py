@@ -99,6 +99,15 @@ def test_words_have_the_ids_of_the_whole_text(monkeypatch):
         assert list(np.frombuffer(ids, "<u4")) + [1] == ids_of(text)
 
 
+def test_marks_behind_words_are_encoded_once(monkeypatch):
+    encode, asked = lib.WordIds(word_tokenizer_path()), []
+    real = encode.encoded
+    monkeypatch.setattr(encode, "encoded", lambda word: asked.append(word) or real(word))
+    text = "one, two, three, four. five."
+    assert [*np.frombuffer(encode([text])[0], "<u4"), 1] == ids_of(text)
+    assert sorted(asked) == [",", "."]
+
+
 def test_odd_tables(spark):
     long = "word " * 9000
     rows = [(1, "One two."), (2, None), (3, ""), (None, "null id"), (5, long), (6, "x" * 5000), (7, "One two.")]
