@@ -15,8 +15,8 @@ that is not hot stands there once, so the copies are about as many as the networ
 Not counted are IPv4 prefixes longer than HEAD: they have at most 2**(31 - HEAD)
 distinct addresses.
 
-Networks are read several times (heads, counts and join), and so are the rows that
-are labelled: pass stored tables.
+Networks are read several times (heads, counts and join), and so are the addresses and
+the rows that are labelled; the counts are taken at once. Pass stored tables.
 """
 
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from ..functions.netaddr import (
     IPV4, PREFIX_HIGH, PREFIX_LOW, host_key, with_address, with_network,
 )
 from ..schemas import check_method
-from .skew import GROUPS, lookup_join, parts
+from .skew import GROUPS, hot_keys, lookup_join, parts, repeated, with_groups, with_salt
 
 HEAD = 16
 KEY = ["version", "prefix_len", "p_hi", "p_lo"]
@@ -55,9 +55,10 @@ def _with_prefixes(addresses, networks):
     """
     short_if = lambda version: F.collect_set(
         F.when((F.col("version") == version) & (F.col("prefix_len") < HEAD), F.col("prefix_len")))
-    short = networks.agg(F.struct(short_if(4).alias("v4"), short_if(6).alias("v6"))).scalar()
-    below = F.when(F.col("version") == 4, short["v4"]).when(F.col("version") == 6, short["v6"])
-    none = F.array().cast("array<int>")
+    short = networks.agg(short_if(4), short_if(6)).first()
+    array = lambda lengths: F.array(*map(F.lit, sorted(lengths))).cast("array<int>")
+    below = F.when(F.col("version") == 4, array(short[0])).when(F.col("version") == 6, array(short[1]))
+    none = array([])
     lengths = F.concat(F.coalesce(below, none), F.coalesce("lengths", none))
     headed = addresses.withColumn("head", F.expr(f"CAST(shiftrightunsigned(hi, {64 - HEAD}) AS INT)"))
     return (
@@ -68,35 +69,24 @@ def _with_prefixes(addresses, networks):
 
 
 def _hot(probed, tasks):
-    """(*KEY, groups) of the prefixes that hold more than one of `tasks` equal shares of the rows that could be many.
-
-    There are fewer than `tasks` of them, and their groups are fewer than 2 * tasks.
-    """
-    sizes = probed.where((F.col("prefix_len") <= HEAD) | (F.col("version") == 6)).groupBy(*KEY).agg(
-        F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n")).scalar()
-    return sizes.where(F.col("n") * tasks > total).select(
-        *KEY, F.ceil(F.col("n") * tasks / total).cast("int").alias("groups"))
+    """(*KEY, groups) of the prefixes that hold more than one of `tasks` equal shares of the rows that could be many."""
+    return hot_keys(probed.where((F.col("prefix_len") <= HEAD) | (F.col("version") == 6)).select(*KEY), KEY, tasks)
 
 
 def _salted(addresses, networks):
     """Addresses with their prefixes, and networks (one row per KEY), both with a salt."""
     tasks = GROUPS * parts(addresses)
     probed = _with_prefixes(addresses, networks)
-    hot = F.broadcast(_hot(probed, tasks))
+    hot = _hot(probed, tasks)
     # Rows without a prefix are spread as well.
-    groups = F.when(F.col("prefix_len").isNull(), tasks).otherwise(F.coalesce("groups", F.lit(1)))
-    salted = probed.join(hot, KEY, "left").withColumn(
-        "salt", F.pmod(F.xxhash64("address"), groups).cast("int")).drop("groups")
-    copies = F.sequence(F.lit(0), F.coalesce("groups", F.lit(1)) - 1)
-    repeated = networks.join(hot, KEY, "left").withColumn("salt", F.explode(copies)).drop("groups")
-    return salted, repeated
+    salted = with_salt(with_groups(probed, hot, KEY), "address", tasks, F.col("prefix_len").isNull())
+    return salted, repeated(with_groups(networks, hot, KEY))
 
 
 def _probe(addresses, networks, how):
     """Join the addresses with the networks around them."""
-    salted, repeated = _salted(addresses, networks)
-    return salted.join(repeated, [*KEY, "salt"], how)
+    salted, copies = _salted(addresses, networks)
+    return salted.join(copies, [*KEY, "salt"], how)
 
 
 def address_flags(addresses, networks):
@@ -120,9 +110,12 @@ def contained(addresses, networks):
     return address_flags(addresses, networks).where("matched").select("address")
 
 
-def host_flags(host_addresses, networks):
-    """Per host: does any address lie in a network, and is any unreadable."""
-    flags = address_flags(host_addresses, networks)
+def host_flags(host_addresses, networks, flags=None):
+    """Per host: does any address lie in a network, and is any unreadable.
+
+    ``flags`` are the ``address_flags`` of the same tables, if they are stored already.
+    """
+    flags = address_flags(host_addresses, networks) if flags is None else flags
     said = lambda name: F.bool_or(F.coalesce(name, F.lit(False))).alias(name)
     return (
         lookup_join(host_addresses, flags, "address", "host")
@@ -130,14 +123,14 @@ def host_flags(host_addresses, networks):
     )
 
 
-def host_verdicts(host_addresses, networks, method="exclude"):
+def host_verdicts(host_addresses, networks, method="exclude", flags=None):
     """(host, passed) for each host that has an address.
 
     Only a pass counts: a host without an address or with an unreadable one,
-    or checked against no networks at all, fails in both modes.
+    or checked against no networks at all, fails in both modes. ``flags`` as in ``host_flags``.
     """
     check_method(method)
-    flags = host_flags(host_addresses, networks)
+    flags = host_flags(host_addresses, networks, flags)
     if method == "include":
         passed = F.col("matched")
     else:
@@ -169,7 +162,7 @@ def resolve_hosts_as_of(hosts, lookups, now, ttl):
     lookup counts that found an address, is not later than ``now`` and younger than
     ``ttl`` seconds: a failed one (``ok`` not true, or without an address) replaces
     nothing. A host without such a lookup has no row. With a ttl of 0 or
-    less nothing is kept. Read from a stored table: it is scanned three times.
+    less nothing is kept. Read from a stored table: it is scanned four times.
     """
     age = F.lit(now) - F.col("resolved_at")
     valid = lookups.where(F.col("ok") & F.col("address").isNotNull() & (age >= 0) & (age < max(0, ttl)))

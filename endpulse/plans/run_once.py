@@ -176,8 +176,9 @@ def _run(spark, store, inputs, params, export_path, headers_path):
         networks = save("networks", lambda: inputs.networks, bucketed=False)
         addresses = save("addresses", lambda: stages.host_addresses(
             endpoints, facts, inputs.resolutions), bucketed=False)
+        flags = save("address_flags", lambda: containment.address_flags(addresses, networks), bucketed=False)
         outcomes = save("cidr_outcomes", lambda: stages.outcomes(
-            stages.cidr_stage(endpoints, facts, addresses, networks, params.cidr_method)))
+            stages.cidr_stage(endpoints, facts, addresses, networks, params.cidr_method, flags)))
         figures["hostless"] = endpoints.count() - outcomes.count()  # all others have an outcome
         table = cat.update_catalog(table, outcomes, now)
         tested = passed(endpoints, outcomes)
@@ -186,9 +187,10 @@ def _run(spark, store, inputs, params, export_path, headers_path):
     if params.country_method and inputs.geo is not None:
         geo = save("geo", lambda: containment.geo_networks(inputs.geo), bucketed=False)
     exits = save("exits", lambda: attempts.exit_ips(inputs.exit_answers))
+    places = stages.exit_places(exits) if geo is None else save(
+        "exit_places", lambda: stages.exit_places(exits, geo))
     outcomes = save("url_outcomes", lambda: stages.outcomes(stages.url_stage(
-        tested, facts, stages.timed_url_attempts(inputs.url_attempts, url_timeout),
-        stages.exit_places(exits, geo), params.max_attempts)))
+        tested, facts, stages.timed_url_attempts(inputs.url_attempts, url_timeout), places, params.max_attempts)))
     candidates = outcomes.count()  # each of them has one
     # Dead rows have no outcomes, and the filter leaves them as they are.
     table = cat.update_catalog(table, outcomes, now)

@@ -46,15 +46,15 @@ def host_addresses(catalog, facts, resolutions):
     return resolve_hosts(hosts.where(F.col("host").isNotNull()), resolutions)
 
 
-def cidr_stage(catalog, facts, addresses, networks, method="exclude"):
+def cidr_stage(catalog, facts, addresses, networks, method="exclude", flags=None):
     """Does each endpoint's host lie in the networks (include) or not (exclude)?
 
-    ``addresses`` are the stored ``host_addresses``. An endpoint whose
-    configuration names no host gets no result.
+    ``addresses`` are the stored ``host_addresses``, ``flags`` their ``address_flags``, if
+    these are stored too. An endpoint whose configuration names no host gets no result.
     """
     missing = F.col("verdict").isin(*UNUSABLE)
     rows = _with_host_key(_endpoints(catalog, facts)).where(missing | F.col("host").isNotNull())
-    verdicts = host_verdicts(addresses, networks, method).withColumnRenamed("host", "host_key")
+    verdicts = host_verdicts(addresses, networks, method, flags).withColumnRenamed("host", "host_key")
     tested = lookup_join(rows, verdicts, "host_key", "proxy_hash")
     passed = ~missing & F.coalesce("passed", F.lit(False))
     return _results(

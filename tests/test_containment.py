@@ -163,3 +163,14 @@ def test_lookups_of_a_hot_host(spark):
     got = {(r.host, r.address) for r in containment.resolve_hosts_as_of(
         hosts, spark.createDataFrame(rows, LOOKUPS), 110, 50).collect()}
     assert got == {(h, a) for h, a, at, _ in rows if h == "hot.example" and at == 106} | {("h7.example", "10.1.1.1")}
+
+
+def test_the_plan_of_a_probe_holds_the_addresses_once(spark):
+    """Lengths and hot prefixes are counted beforehand; the networks' heads and the networks themselves are left."""
+    ips = spark.range(500).select(F.concat(F.lit("10.1.7."), F.col("id") % 250).alias("address"))
+    nets = networks(spark, ["10.0.0.0/8", "10.1.7.0/28", "bad"])
+    scans = lambda rows: rows._jdf.queryExecution().optimizedPlan().toString()
+    flags = containment.address_flags(ips, nets)
+    assert scans(flags).count("Range (") == 1
+    assert scans(flags).count("LogicalRDD") <= 4  # heads, networks, and hot prefixes on both sides
+    assert flags.where("matched").count() == 250

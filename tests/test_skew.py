@@ -46,3 +46,19 @@ def test_a_key_with_all_rows_is_spread_over_all_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_the_plan_holds_the_rows_once(spark):
+    """Hot keys are counted beforehand, so their counts do not multiply the plan of the rows."""
+    rows = spark.range(7000).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("key"))
+    lookup = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, v int")
+    got = lookup_join(rows, lookup, "key", "id")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    assert {r.v: r["count"] for r in got.groupBy("v").count().collect()} == {1: 3500, 2: 1, None: 3499}
+
+
+def test_rows_without_any_key(spark):
+    lookup = spark.createDataFrame([("a", 1)], "key string, v int")
+    rows = spark.range(50).select("id", F.lit(None).cast("string").alias("key"))
+    assert lookup_join(rows, lookup, "key", "id").where("v is null").count() == 50
+    assert lookup_join(rows.limit(0), lookup, "key", "id").count() == 0
