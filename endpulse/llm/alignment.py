@@ -9,10 +9,11 @@ that share a group.
 
 Texts are cut where tokens of both end anyway (see ``pieces``), and the products of all
 new pieces of some texts are computed together, as blocks of one matrix. Texts
-are taken in chunks of about CHUNK bytes. A chunk is stored as one row: its documents as
-lists of pieces, its pieces as lists of id pairs, and in how many of its documents each pair
-stands. Only a chunk's distinct pairs are shuffled, added up over the corpus, and sent
-back to the chunks that hold them; as a chunk holds a pair once, no pair is hot.
+are taken in chunks of about CHUNK bytes. A chunk's documents are stored as lists of pieces
+and its pieces as lists of id pairs, compressed and in rows of at most PART bytes (Spark holds
+several copies of a row that it moves); a row for each distinct pair has in how many of its
+documents the pair stands. A chunk's distinct pairs are shuffled, added up over the corpus, and
+sent back to the chunks that hold them; as a chunk holds a pair once, no pair is hot.
 
 Defined results: texts that are null, empty, or whose joined token bytes differ from
 blank and text have no tokens (zeros, groups_sha256 ''); rows with null or repeated
@@ -36,9 +37,11 @@ from endpulse.llm.common import write_table
 from endpulse.llm.pieces import Known, Letters, byte_alphabet, in_worker, literal, marked, no_gc, spaced
 from endpulse.llm.words import freeing, slices
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20
+PART = 256 << 10
+ROWS = 1 << 16  # of pairs, in a batch
 SIDE = 1 << 24  # more ids than a tokenizer has; a pair is one number
-TERMS = 1 << 21  # products expanded at once
+TERMS = 1 << 18  # products expanded at once
 
 
 @dataclass
@@ -248,15 +251,17 @@ class Pair:
         return spaced(" " + text) if self.cuts else ["\0=" + " " + text]
 
 
-CHUNKS = ("chunk bigint, pairs array<bigint>, holders array<int>, piece_ends array<int>, piece_pairs array<int>, "
-          "doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
-          "n_shared array<bigint>, groups_sha256 array<string>, doc_ends array<int>, doc_pieces array<int>")
+#: Rows of a chunk: parts of its documents (at -n to -1), then its pairs (at 0 on) and the documents that hold each.
+STORED = "chunk bigint, at int, pair bigint, held int, part binary"
+KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+DOCS = ("piece_ends", "piece_pairs", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared", "groups_sha256",
+        "doc_ends", "doc_pieces")
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_shared bigint, n_best bigint, "
            "count_sum bigint, groups_sha256 string")
 
 
-def _chunk(pair: Pair, number: int, doc_ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
-    """One row: documents as lists of pieces, pieces as lists of pairs, and the documents that hold each pair."""
+def _chunk(pair: Pair, doc_ids: pa.Array, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
+    """Pairs, in how many documents each stands, and in one row documents as lists of pieces, pieces as lists of pairs."""
     keys = [pair.keys(t) for t in texts]
     value = pair.known.meet(keys)
     local = dict.fromkeys(chain.from_iterable(keys))
@@ -292,60 +297,99 @@ def _chunk(pair: Pair, number: int, doc_ids: pa.Array, texts: list[str | None])
         for _, columns, _ in row_products(by_piece, by_pair):
             holders += np.bincount(columns, minlength=len(pairs))
 
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-    lists = [pa.array([x.astype(k.to_pandas_dtype())], pa.list_(k))
-             for x, k in zip([pairs, holders, starts[1:], places], kinds)]
+    lists = [pa.array([x.astype(np.int32)], pa.list_(pa.int32())) for x in (starts[1:], places)]
     docs = [pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids.cast(pa.int64())),
             *[pa.array([doc_sizes[:, i]], pa.list_(pa.int64())) for i in range(5)],
             pa.array([digests], pa.list_(pa.string())),
             *[pa.array([x.astype(np.int32)], pa.list_(pa.int32())) for x in (doc_ends, doc_pieces)]]
-    return pa.RecordBatch.from_arrays([pa.array([number]), *lists, *docs], names=[
-        c.split()[0] for c in CHUNKS.split(", ")])
+    return pairs, holders, pa.RecordBatch.from_arrays([*lists, *docs], names=list(DOCS))
+
+
+def _stored(number: int, pairs: np.ndarray, holders: np.ndarray, docs: pa.RecordBatch):
+    """Batches of a chunk's rows, see STORED."""
+    def rows(first: int, n: int, *columns):
+        columns = [np.full(n, number), np.arange(first, first + n), *columns]
+        return pa.RecordBatch.from_arrays([pa.nulls(n, k) if c is None else pa.array(c, k) for c, k in zip(columns, KINDS)],
+                                          names=[c.split()[0] for c in STORED.split(", ")])
+
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(docs)
+    whole = sink.getvalue().to_pybytes()
+    starts = range(0, len(whole), PART)
+    for i, start in enumerate(starts):
+        yield rows(i - len(starts), 1, None, None, [whole[start:start + PART]])
+    for i in range(0, len(pairs), ROWS):
+        some = slice(i, i + ROWS)
+        yield rows(i, len(pairs[some]), pairs[some], holders[some], None)
+
+
+def _gathered(batches):
+    """The documents and the values of each chunk, from rows (chunk, at, value, part) in order of chunk and at."""
+    def read():
+        with pa.ipc.open_stream(b"".join(parts)) as stream:
+            return stream.read_next_batch(), np.concatenate([np.zeros(0, np.int64), *values])
+
+    chunk, parts, values = None, [], []
+    for batch in batches:
+        chunks, at = (batch.column(i).to_numpy() for i in (0, 1))
+        edges = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
+        for start, end in zip(edges, edges[1:]):
+            if start == end:
+                continue
+            if chunks[start] != chunk:
+                if parts:
+                    yield read()
+                chunk, parts, values = chunks[start], [], []
+            first = start + int(np.count_nonzero(at[start:end] < 0))
+            parts += batch.column(3).slice(start, first - start).to_pylist()
+            values.append(batch.column(2).slice(first, end - first).to_numpy())
+    if parts:
+        yield read()
 
 
 def _scores(batches):
     """Per document of a chunk, with the values of its pairs: 2 * count, plus 1 for the best of an A id."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            at = {n: batch.column(i)[row] for i, n in enumerate(batch.schema.names)}
-            numbers = lambda n: at[n].values.to_numpy(zero_copy_only=False)
-            values = numbers("values").astype(np.int64) if at["values"].is_valid else np.zeros(0, np.int64)
-            link = values[numbers("piece_pairs")]
+    for docs, values in _gathered(batches):
+        at = {n: docs.column(i)[0] for i, n in enumerate(DOCS)}
+        numbers = lambda n: at[n].values.to_numpy(zero_copy_only=False)
+        link = values[numbers("piece_pairs")]
 
-            def sums(x, ends):
-                total = np.concatenate([[0], np.cumsum(x)])
-                return np.diff(total[np.concatenate([[0], ends]).astype(np.int64)])
+        def sums(x, ends):
+            total = np.concatenate([[0], np.cumsum(x)])
+            return np.diff(total[np.concatenate([[0], ends]).astype(np.int64)])
 
-            pieces, ends = numbers("doc_pieces"), numbers("doc_ends")
-            best = sums(sums(link & 1, numbers("piece_ends"))[pieces], ends)
-            counts = sums(sums(link >> 1, numbers("piece_ends"))[pieces], ends)
-            keep = [at[n].values for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared")]
-            yield pa.RecordBatch.from_arrays(
-                [*keep, pa.array(best, pa.int64()), pa.array(counts, pa.int64()), at["groups_sha256"].values],
-                names=[c.split()[0] for c in ALIGNED.split(", ")])
+        pieces, ends = numbers("doc_pieces"), numbers("doc_ends")
+        best = sums(sums(link & 1, numbers("piece_ends"))[pieces], ends)
+        counts = sums(sums(link >> 1, numbers("piece_ends"))[pieces], ends)
+        keep = [at[n].values for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared")]
+        yield pa.RecordBatch.from_arrays(
+            [*keep, pa.array(best, pa.int64()), pa.array(counts, pa.int64()), at["groups_sha256"].values],
+            names=[c.split()[0] for c in ALIGNED.split(", ")])
 
 
 def chunks_of(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """The stored chunks of documents (doc_id, text); see CHUNKS."""
+    """The stored chunks of documents (doc_id, text); see STORED."""
     def run(batches):
         pair, number = None, TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "text", CHUNK):
                 pair = pair or in_worker(f"pair {path_a} {path_b}", lambda: Pair(path_a, path_b))
                 with no_gc():
-                    row = _chunk(pair, number, part.column(0), part.column(1).to_pylist())
-                yield row
+                    found = _chunk(pair, part.column(0), part.column(1).to_pylist())
+                yield from _stored(number, *found)
                 number += 1
+                del part, found
+            del batch  # before the next one comes
         if pair:
             pair.known.forget()  # the worker may be idle from now on
 
-    return write_table(documents.select("doc_id", "text").mapInArrow(freeing(run), CHUNKS), "aligned-chunks")
+    return write_table(documents.select("doc_id", "text").mapInArrow(freeing(run), STORED), "aligned-chunks")
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
     """Per id pair: in how many documents it stands (n), and whether no pair of its A id stands in more (best)."""
-    rows = chunks.select(F.explode(F.arrays_zip("pairs", "holders")).alias("x")).select(
-        F.col("x.pairs").alias("pair"), F.col("x.holders").cast("long").alias("held"))
+    rows = chunks.where("at >= 0")
     counts = write_table(rows.groupBy("pair").agg(F.sum("held").alias("n")), "pair-counts")
     of_a = F.floor(F.col("pair") / SIDE).alias("a")
     most = counts.groupBy(of_a).agg(F.max("n").alias("most"))  # a row per id of A
@@ -356,13 +400,12 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
 def aligned(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Per row of documents (doc_id, text) what ALIGNED names; n_shared counts the shared-group links."""
     chunks = chunks_of(documents, path_a, path_b)
-    held = chunks.select("chunk", F.posexplode("pairs").alias("at", "pair"))
     value = (F.col("n") * 2 + F.col("best").cast("long")).alias("value")
-    values = held.join(pair_counts(chunks), "pair").select("chunk", F.struct("at", value).alias("v"))
-    # A chunk's distinct pairs: bounded by its bytes.
-    values = values.groupBy("chunk").agg(F.sort_array(F.collect_list("v")).alias("v")).select(
-        "chunk", F.col("v.value").alias("values"))
-    return chunks.drop("pairs", "holders").join(values, "chunk", "left").mapInArrow(freeing(_scores), ALIGNED)
+    values = chunks.where("at >= 0").select("chunk", "at", "pair").join(pair_counts(chunks), "pair").select(
+        "chunk", "at", value, F.lit(None).cast("binary").alias("part"))
+    parts = chunks.where("at < 0").select("chunk", "at", F.lit(0).cast("long").alias("value"), "part")
+    rows = parts.unionAll(values).repartition("chunk").sortWithinPartitions("chunk", "at")
+    return rows.mapInArrow(freeing(_scores), ALIGNED)
 
 
 def links(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from llm.helpers import rows_of, table
@@ -157,6 +158,47 @@ def test_against_whole_texts(spark, monkeypatch, chunk):
     assert got == by_hand(docs)
 
 
+def long_docs():
+    """Texts of many different words, some megabytes."""
+    rand = random.Random(7)
+    words = ["".join(rand.choices("abcdefghijklmnop", k=rand.randint(2, 9))) for _ in range(60_000)]
+    return [(i, " ".join(rand.choices(words, k=n))) for i, n in enumerate([3, 60_000, 500, 150_000, 2_000, 150_000])]
+
+
+def test_spark_moves_small_rows_only(spark):
+    """A stored row is held several times by the JVM that reads, sorts and sends it."""
+    chunks = lib.chunks_of(table(spark, long_docs()).coalesce(1), tokenizer_path(), piece_tokenizer_path())
+    sizes = {"binary": "length(`{}`)", "array<int>": "4 * size(`{}`)", "array<bigint>": "8 * size(`{}`)"}
+    total = " + ".join(f"coalesce({sizes[kind].format(c)}, 0)" for c, kind in chunks.dtypes if kind in sizes)
+    most, whole = chunks.selectExpr(f"max({total})", f"sum({total})").first()
+    assert most <= 256 << 10 < 1 << 20 < whole
+
+
+def test_documents_stored_in_several_rows(spark):
+    docs = [(1, "the same few words"), (2, None), *long_docs()[:2]]
+    frame = table(spark, docs).coalesce(1)
+    chunks = lib.chunks_of(frame, tokenizer_path(), piece_tokenizer_path())
+    assert chunks.where("at < -1").count() > 0
+    assert rows_of(lib.aligned(frame, tokenizer_path(), piece_tokenizer_path()), *COLUMNS) == by_hand(docs)
+
+
+@pytest.mark.parametrize("n_rows", [1, 3, 100])
+def test_chunks_are_gathered_from_their_rows(monkeypatch, n_rows):
+    monkeypatch.setattr(lib, "PART", 100)
+    monkeypatch.setattr(lib, "ROWS", 2)
+    pair = lib.Pair(tokenizer_path(), piece_tokenizer_path())
+    texts = [["some words", "of a text"], [None, ""], ["words again", None, "of another text"]]
+    made = [lib._chunk(pair, pa.array(range(len(t))), t) for t in texts]
+    stored = pa.Table.from_batches([b for i, x in enumerate(made) for b in lib._stored(i, *x)])
+    assert stored.schema.names == [c.split()[0] for c in lib.STORED.split(", ")]
+    assert len(set(zip(stored["chunk"].to_pylist(), stored["at"].to_pylist()))) == len(stored)
+    rows = stored.select(["chunk", "at", "pair", "part"]).combine_chunks().to_batches(n_rows)
+    got = list(lib._gathered([rows[0].slice(0, 0), *rows]))
+    assert [d.to_pylist() for d, _ in got] == [x[2].to_pylist() for x in made]
+    assert [v.tolist() for _, v in got] == [x[0].tolist() for x in made]
+    assert not len(made[1][0]) and len(made[0][0]) > 2
+
+
 def test_query_on_whole_documents(spark):
     frame = QUERIES["op11_alignment"](spark, SF_DIR)
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
