@@ -37,7 +37,7 @@ from endpulse.llm.common import write_table
 from endpulse.llm.pieces import Known, Letters, byte_alphabet, in_worker, literal, marked, no_gc, spaced
 from endpulse.llm.words import freeing, slices
 
-CHUNK = 1 << 20
+CHUNK = 2 << 20
 PART = 256 << 10
 ROWS = 1 << 16  # of pairs, in a batch
 SIDE = 1 << 24  # more ids than a tokenizer has; a pair is one number
@@ -161,7 +161,7 @@ class Pair:
         self.cuts = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
         self.names_a, self.names_b = (np.array([str(i) for i in range(n)], object) for n in (size, len(pieces)))
         self.letters, self.marks = Letters(self.a, head=" "), {}
-        self.known = Known(self._learn, most=100_000)
+        self.known = Known(self._learn)
 
     def _ids_b(self, literals: list[str]) -> list[list[int]]:
         """Ids of pieces; the tokenizer puts a blank before each, which some have themselves."""
@@ -212,7 +212,8 @@ class Pair:
         return out
 
     def _pieces(self, all_a: list[list[int]], all_b: list[list[int]]):
-        """Per piece: its groups as text, its counts (A, B, groups, links, shared links), and the pair of each link.
+        """Per piece: its groups as text, its counts (A, B, groups, links, shared links), and the pair of each link,
+        the last two as bytes of 64-bit numbers.
 
         The tokens of all pieces, one behind the other, are two tokenizations of all their bytes.
         """
@@ -242,7 +243,9 @@ class Pair:
         parts[2 * (ends_a + ends_b) - 1] = "\n"
         texts = "".join(parts.tolist()).encode().split(b"\n")
         edges = [0, *(8 * link_ends).tolist()]
-        return [(text, tuple(n), pairs[a:b]) for text, n, a, b in zip(texts, sizes.tolist(), edges, edges[1:])]
+        counts, one = sizes.tobytes(), {}  # many pieces have the same counts: one object for all
+        counts = [one.setdefault(c, c) for c in (counts[n:n + 40] for n in range(0, len(counts), 40))]
+        return [(text, n, pairs[a:b]) for text, n, a, b in zip(texts, counts, edges, edges[1:])]
 
     def keys(self, text: str | None) -> list[str]:
         """Keys of the pieces of blank and text."""
@@ -265,24 +268,25 @@ def _chunk(pair: Pair, doc_ids: pa.Array, texts: list[str | None]) -> tuple[np.n
     keys = [pair.keys(t) for t in texts]
     value = pair.known.meet(keys)
     local = dict.fromkeys(chain.from_iterable(keys))
+    pieces = [*map(value, local)]
     # A text with a piece that its tokens do not give back has no tokens.
-    bad = {k for k in local if value(k) is None}
-    if bad:
+    if None in pieces:
+        bad = {k for k, p in zip(local, pieces) if p is None}
         keys = [k if bad.isdisjoint(k) else [] for k in keys]
         local = dict.fromkeys(chain.from_iterable(keys))
-    pieces = [value(k) for k in local]
+        pieces = [*map(value, local)]
+    of_groups, counts, codes = zip(*pieces) if pieces else ((), (), ())
+    groups = dict(zip(local, of_groups)).__getitem__
     local = dict(zip(local, range(len(local))))
     lengths = np.array([len(k) for k in keys], np.int64)
     doc_ends = np.cumsum(lengths)
     doc_pieces = np.fromiter(map(local.__getitem__, chain.from_iterable(keys)), np.int64, int(lengths.sum()))
-    sizes = np.array([p[1] for p in pieces], np.int64).reshape(-1, 5)
+    sizes = np.frombuffer(b"".join(counts), np.int64).reshape(-1, 5)
     sums = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(sizes[doc_pieces], axis=0)])
     doc_sizes = sums[doc_ends] - sums[doc_ends - lengths]
-    groups = {k: p[0] for k, p in zip(local, pieces)}.__getitem__
     digests = [hashlib.sha256(b";".join(map(groups, k))).hexdigest() if k else "" for k in keys]
 
-    codes = np.frombuffer(b"".join([p[2] for p in pieces]), np.int64)
-    pairs, places = np.unique(codes, return_inverse=True)
+    pairs, places = np.unique(np.frombuffer(b"".join(codes), np.int64), return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(sizes[:, 3])]).astype(np.int64)
     # Documents by pieces, times pieces by pairs: which documents hold which pairs.
     holders = np.zeros(len(pairs), np.int64)
